@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.functions import display_time, pair_from_product, parse_time
+from pricelake.functions import display_time, json_fields, pair_from_product, parse_time
 from pricelake.schemas import FEED, ROLLING_24H
 
 TICKER = "ticker"  # the one message type that carries prices (fixed value)
@@ -15,9 +15,8 @@ TICKER = "ticker"  # the one message type that carries prices (fixed value)
 
 def parse_feed(messages: DataFrame, value: str = "value") -> DataFrame:
     """One column per feed field; a message that is no JSON object is all null."""
-    return messages.withColumn("_message", F.from_json(value, FEED)).select(
-        *[name for name in messages.columns if name != value], "_message.*"
-    )
+    others = [name for name in messages.columns if name != value]
+    return messages.select(*others, json_fields(value, FEED))
 
 
 def ticker_only(feed: DataFrame) -> DataFrame:

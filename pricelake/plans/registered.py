@@ -59,21 +59,20 @@ from pricelake.schemas import (
     FULL_COLUMNS,
     RAW_BAR_COLUMNS,
 )
-from pricelake.session import configure, scratch_dir, session_conf
+from pricelake.session import configure, scratch_dir
 from pricelake.sources import audit_counts, export_csv, read_bar_files, read_combined, read_lake
 from pricelake.sources import write_lake
 from pricelake.streaming import (
     fan_out,
+    latest_n_stream,
     parquet_batches,
     parse_ticks,
     read_board,
     read_ticks,
     split_valid,
-    start_board,
     start_upsert,
     to_messages,
 )
-from pricelake.streaming.board import ROCKSDB
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -558,10 +557,9 @@ def latest_nine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def start(stream: DataFrame, checkpoint: str):
         valid, _ = split_valid(parse_ticks(stream))
-        return start_board(valid, path, checkpoint, trigger=ALL_AVAILABLE)
+        return latest_n_stream(valid, path, checkpoint, trigger=ALL_AVAILABLE)
 
-    with session_conf(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
-        _deliver(spark, _quarters(spark, sf_dir, (2, 4, 1, 3)), start)
+    _deliver(spark, _quarters(spark, sf_dir, (2, 4, 1, 3)), start)
     return read_board(spark, path).select("pair", "rank", "seq", "close", "volume")
 
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -63,20 +61,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Set runtime options (dots written as ``__``) and restore them on exit."""
-    names = {key.replace("__", "."): value for key, value in settings.items()}
-    before = {key: spark.conf.get(key, None) for key in names}
-    for key, value in names.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)

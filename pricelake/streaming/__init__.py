@@ -1,19 +1,19 @@
 """Structured Streaming jobs."""
 
-from pricelake.streaming.board import latest_n_stream, read_board, start_board
+from pricelake.streaming.board import latest_n_stream, merge_board, read_board
 from pricelake.streaming.ticks import parse_ticks, read_ticks, split_valid, to_messages, write_ticks
 from pricelake.streaming.upsert import fan_out, parquet_batches, queue_batches, start_upsert
 
 __all__ = [
     "fan_out",
     "latest_n_stream",
+    "merge_board",
     "parquet_batches",
     "parse_ticks",
     "queue_batches",
     "read_board",
     "read_ticks",
     "split_valid",
-    "start_board",
     "start_upsert",
     "to_messages",
     "write_ticks",

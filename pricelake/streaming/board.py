@@ -1,130 +1,85 @@
-"""The live board: the newest n ticks per pair, kept as stream state."""
+"""The live board: the newest n ticks per pair, kept current by a stream.
+
+The board is a mergeable summary: the newest n of (old board + new ticks) are
+the newest n of everything seen. So the state is a small table, pairs times n
+rows, and the merge is the batch operator ``latest_n``: JVM-side, and limited to
+n rows per pair and task before the exchange, however hot a pair is.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from typing import Any
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from pricelake.operators.latest import BOARD_ROWS
+from pricelake.operators.latest import BOARD_ROWS, latest_n
 from pricelake.streaming.ticks import DEFAULT_TRIGGER
 
-# Inside the state times are microseconds: pandas and Python timestamps would
-# bring the worker's own time zone in.
-_ROW = "event_us bigint, seq bigint, close double, volume double"
-_FIELDS = ["event_us", "seq", "close", "volume"]
-_TICK = f"pair string, {_ROW}"
-_UPDATE = f"pair string, rank int, {_ROW}"
-BOARD = "pair string, rank int, event_time timestamp, seq bigint, close double, volume double"
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
-
-def _newest(rows: pd.DataFrame, n: int) -> pd.DataFrame:
-    return (
-        rows.sort_values(["event_us", "seq"], ascending=False, kind="stable")
-        .groupby("pair", sort=False)
-        .head(n)
-    )
-
-
-def _trim(n: int):
-    """Keep a task's n newest ticks per pair, so no hot pair is shuffled whole."""
-
-    def trim(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: pd.DataFrame | None = None
-        for frame in frames:
-            if len(frame):
-                kept = _newest(frame if kept is None else pd.concat([kept, frame]), n)
-        if kept is not None:
-            yield kept
-
-    return trim
-
-
-class Board(StatefulProcessor):
-    """State per pair: its n newest ticks. Emits the whole board of that pair."""
+_TICK = ["pair", "event_time", "seq", "close", "volume"]
+BOARD = (
+    "pair string, event_time timestamp, seq bigint, close double, volume double, rank int"
+)
 
-    def __init__(self, n: int = BOARD_ROWS):
-        self.n = n
+# Ticks without time or sequence count as oldest; price and volume make the
+# order total.
+_ORDER = ["event_time", "seq", "close", "volume"]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getListState("rows", _ROW)
 
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        held = [tuple(row) for row in self.rows.get()] if self.rows.exists() else []
-        board = pd.DataFrame(held, columns=_FIELDS).assign(pair=key[0]) if held else None
-        for frame in rows:
-            board = _newest(frame if board is None else pd.concat([board, frame]), self.n)
-        self.rows.put(list(board[_FIELDS].itertuples(index=False, name=None)))
-        yield board.assign(rank=range(1, len(board) + 1))[["pair", "rank", *_FIELDS]]
+def merge_board(board: DataFrame | None, ticks: DataFrame, n: int = BOARD_ROWS) -> DataFrame:
+    """The board after ``ticks``: rows ranked 1..n per pair, newest first."""
+    rows = ticks.select(*_TICK)
+    if board is not None:
+        rows = rows.unionByName(board.select(*_TICK))
+    return latest_n(rows, n, order=_ORDER)
 
-    def close(self) -> None:
-        pass
 
-
-def latest_n_stream(ticks: DataFrame, n: int = BOARD_ROWS) -> DataFrame:
-    """Board updates: for each pair a micro-batch touched, its rows ranked 1..n.
-
-    State is bounded by pairs times n, so no watermark is needed. A tick without
-    a time or sequence counts as the oldest. Run with the RocksDB state provider
-    (``STATE_PROVIDER``).
-    """
-    updates = (
-        ticks.select(
-            "pair",
-            F.coalesce(F.unix_micros("event_time"), F.lit(0)).alias("event_us"),
-            F.coalesce("seq", F.lit(0)).alias("seq"),
-            "close",
-            "volume",
-        )
-        .mapInPandas(_trim(n), _TICK)
-        .groupBy("pair")
-        .transformWithStateInPandas(
-            statefulProcessor=Board(n),
-            outputStructType=_UPDATE,
-            outputMode="Update",
-            timeMode="None",
-        )
-    )
-    event_time = F.timestamp_micros("event_us").alias("event_time")
-    return updates.select("pair", "rank", event_time, "seq", "close", "volume")
-
-
-def start_board(
+def latest_n_stream(
     ticks: DataFrame,
     path: str,
     checkpoint: str,
     n: int = BOARD_ROWS,
     trigger: Mapping[str, object] = DEFAULT_TRIGGER,
 ) -> StreamingQuery:
-    """Keep the board's updates below ``path``, one folder per micro-batch."""
+    """Keep the board of a tick stream below ``path``, one folder per micro-batch.
+
+    A batch reads the folder of the batch before it and replaces its own, so a
+    retry gives the same board. The checkpoint and ``path`` belong together: a
+    new checkpoint needs a new path.
+    """
 
     def write(batch_df: DataFrame, batch: int) -> None:
-        batch_df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        spark = batch_df.sparkSession
+        before = spark.read.schema(BOARD).parquet(_folder(path, batch - 1)) if batch else None
+        merge_board(before, batch_df, n).write.mode("overwrite").parquet(_folder(path, batch))
 
     return (
-        latest_n_stream(ticks, n)
-        .writeStream.foreachBatch(write)
-        .outputMode("update")
+        ticks.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def _folder(path: str, batch: int) -> str:
+    return f"{path}/batch={batch}"
+
+
 def read_board(spark: SparkSession, path: str) -> DataFrame:
-    """The current board: each rank as its pair last emitted it.
+    """The current board.
 
-    A board never shrinks, so every rank once emitted is emitted again.
+    The newest folder may be half written. It holds a whole board and a board
+    never shrinks, so each rank is taken from it or else from the one before.
+    Older folders can be expired by age.
     """
-    updates = spark.read.schema(f"{BOARD}, batch bigint").parquet(path)
-    newest = F.max(F.struct("batch", "event_time", "seq", "close", "volume")).alias("_row")
-    return updates.groupBy("pair", "rank").agg(newest).select("pair", "rank", "_row.*").drop("batch")
+    boards = spark.read.schema(f"{BOARD}, batch bigint").parquet(path)
+    newest = boards.agg(F.max("batch")).first()[0]
+    row = F.max(F.struct("batch", *_ORDER)).alias("_row")
+    return (
+        boards.where(F.col("batch") >= newest - 1)
+        .groupBy("pair", "rank")
+        .agg(row)
+        .select("pair", "rank", "_row.*")
+        .drop("batch")
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pricelake.functions import parse_time
+from pricelake.functions import json_fields, parse_time
 from pricelake.functions.times import ISO_MICROS
 from pricelake.schemas import ROLLING_24H, TICK_JSON
 
@@ -54,37 +54,34 @@ def parse_ticks(messages: DataFrame) -> DataFrame:
     Unknown payload fields are ignored. ``arrived_at`` is the micro-batch's own
     time, which a replay of the same batch sees again.
     """
-    payload = F.from_json("value", TICK_JSON)
-    parsed = messages.withColumn("_tick", payload)
-    close = F.col("_tick.close").try_cast("double")
-    volume = F.col("_tick.volume").try_cast("double")
-    day = F.col("_tick.price_date").try_cast("date")
-    return parsed.select(
-        F.col("value").alias("raw"),
+    fields = messages.select(
+        F.col("value").alias("raw"), "source_time", "source_seq", json_fields("value", TICK_JSON)
+    )
+    close = F.col("close").try_cast("double")
+    volume = F.col("volume").try_cast("double")
+    day = F.col("price_date").try_cast("date")
+    return fields.select(
+        "raw",
         "source_time",
-        F.col("_tick.pair").alias("pair"),
+        "pair",
         day.alias("price_date"),
         close.alias("close"),
         volume.alias("volume"),
         F.lit(ROLLING_24H).alias("volume_kind"),
-        F.coalesce(parse_time(F.col("_tick.event_time")), "source_time").alias("event_time"),
-        F.coalesce("_tick.seq", "source_seq").alias("seq"),
+        F.coalesce(parse_time(F.col("event_time")), "source_time").alias("event_time"),
+        F.coalesce("seq", "source_seq").alias("seq"),
         F.current_timestamp().alias("arrived_at"),
         _reject_reason(day, close, volume).alias("reason"),
     )
 
 
 def _reject_reason(day: Column, close: Column, volume: Column) -> Column:
-    missing = [F.col(f"_tick.{name}").isNull() for name in _PAYLOAD]
-    nothing = missing[0]
-    for one in missing[1:]:
-        nothing = nothing & one
     # A message that is no JSON object parses to a row without any field.
-    reason = F.when(nothing, F.lit("malformed"))
-    for name, absent in zip(_PAYLOAD, missing):
-        reason = reason.when(absent, F.lit(f"missing {name}"))
+    reason = F.when(F.coalesce(*_PAYLOAD).isNull(), F.lit("malformed"))
+    for name in _PAYLOAD:
+        reason = reason.when(F.col(name).isNull(), F.lit(f"missing {name}"))
     return (
-        reason.when(F.col("_tick.pair") == "", F.lit("missing pair"))
+        reason.when(F.col("pair") == "", F.lit("missing pair"))
         .when(day.isNull(), F.lit("bad price_date"))
         .when(close.isNull(), F.lit("bad close"))
         .when(volume.isNull(), F.lit("bad volume"))

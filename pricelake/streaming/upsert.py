@@ -37,10 +37,12 @@ def start_upsert(
     reduced to the ticks that can still win a merge: at most two per pair and
     day, whatever the tick rate.
     """
-    spark = parsed.sparkSession
+    runs: list[str] = []  # known once the query has started
 
     def write(batch_df: DataFrame, batch: int) -> None:
-        run = run_id(spark, checkpoint)
+        if not runs:
+            runs.append(run_id(batch_df.sparkSession, checkpoint))
+        run = runs[0]
         batch_df = batch_df.persist()
         try:
             valid, rejected = split_valid(batch_df)
