@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from pricelake.functions import epoch_millis, epoch_seconds, pair_from_path
 from pricelake.functions.times import TIME_FORMAT, TIMESTAMP_FORMAT
@@ -32,7 +33,10 @@ def expand_time(df: DataFrame, variant: str = "a") -> DataFrame:
     if variant not in ("a", "b"):
         raise ValueError(f"unknown variant {variant!r}")
     others = [name for name in df.columns if name != "time"]
-    timed = df.withColumn("time_ms", epoch_millis(F.col("time"))).withColumn(
+    millis = F.col("time")
+    if not isinstance(df.schema["time"].dataType, LongType):
+        millis = epoch_millis(millis)
+    timed = df.withColumn("time_ms", millis).withColumn(
         "_at", F.timestamp_seconds(epoch_seconds(F.col("time_ms")))
     )
     full = F.date_format("_at", TIMESTAMP_FORMAT)

@@ -40,12 +40,16 @@ def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in names if name in df.columns]
 
 
+def _with_key(batch: DataFrame) -> DataFrame:
+    """Rows that have a pair and a day; the time of day is there when the day is."""
+    return batch.where(F.col("pair").isNotNull() & F.col("price_date").isNotNull())
+
+
 def build_full(batch: DataFrame) -> DataFrame:
     """Minute serving rows: one per pair and second, the newest where keys meet."""
     keys = ["pair", "price_date", "price_time"]
-    keyed = batch.dropna(subset=keys)
     rows = closing_rows(
-        keyed, keys, ["time_ms"], _present(batch, ["seq", "close", "volume", "open", "high", "low"])
+        _with_key(batch), keys, ["time_ms"], _present(batch, ["seq", "close", "volume", "open", "high", "low"])
     )
     key = minute_key(F.col("pair"), F.col("price_date"), F.col("price_time"))
     return rows.withColumn("pair_date_time", key).select(*FULL_COLUMNS)
@@ -57,9 +61,8 @@ def build_daily(batch: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ``volume`` is that last row's volume, not the day's total. ``keep`` names
     order columns to carry along for the serving store.
     """
-    keyed = batch.dropna(subset=["pair", "price_date"])
     rows = closing_rows(
-        keyed, ["pair", "price_date"], ["time_ms"], _present(batch, ["seq", "close", "volume"])
+        _with_key(batch), ["pair", "price_date"], ["time_ms"], _present(batch, ["seq", "close", "volume"])
     )
     return with_day_key(rows).select(*DAILY_COLUMNS, *keep)
 

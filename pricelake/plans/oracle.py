@@ -151,6 +151,13 @@ FROM t""",
         select="SELECT pair, price_date, price_time, full_timestamp, "
         "open, close, high, low, volume, time_ms FROM b",
     ),
+    "catalog_tables": _with(
+        _TICKS,
+        select="""
+SELECT 'kept' AS label, pair, price_date, close, volume, seq FROM t
+WHERE price_date <= DATE '2024-01-15'
+UNION ALL SELECT 'replaced', pair, price_date, close, volume, seq FROM t""",
+    ),
     "lake_daily_close": _with(_TICKS, select=_last("t", _TEXT_ORDER, _DAILY)),
     "audit_counts": """
 SELECT 'batch' AS "table", count(*) AS rows FROM events

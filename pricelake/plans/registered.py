@@ -60,8 +60,15 @@ from pricelake.schemas import (
     RAW_BAR_COLUMNS,
 )
 from pricelake.session import configure, scratch_dir
-from pricelake.sources import audit_counts, export_csv, read_bar_files, read_combined, read_lake
-from pricelake.sources import write_lake
+from pricelake.sources import (
+    audit_counts,
+    export_csv,
+    read_bar_files,
+    read_combined,
+    read_lake,
+    write_lake,
+    write_table,
+)
 from pricelake.streaming import (
     fan_out,
     latest_n_stream,
@@ -217,6 +224,20 @@ def batch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_batch(rows, path, if_not_exists=True).select(*BATCH_A_COLUMNS, "time_ms")
 
 
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table left alone because it exists, and one replaced by a later build."""
+    rows = ticks(spark, sf_dir).select("pair", "price_date", "close", "volume", "seq")
+    early = rows.where(F.col("price_date") <= F.lit("2024-01-15").cast("date"))
+    parts = []
+    for label, if_not_exists in (("kept", True), ("replaced", False)):
+        path = scratch_dir(spark, label)
+        name = path.rsplit("/", 1)[-1].replace("-", "_")
+        write_table(early, name, path=path)
+        stored = write_table(rows, name, if_not_exists=if_not_exists, path=path)
+        parts.append(stored.select(F.lit(label).alias("label"), *rows.columns))
+    return parts[0].unionByName(parts[1])
+
+
 def lake_daily_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "lake")
     write_lake(bars(spark, sf_dir).select(*COMBINED_COLUMNS), path, regroup=True)
@@ -574,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "csv_daily_close": csv_daily_close,
     "csv_quoted": csv_quoted,
     "batch_table": batch_table,
+    "catalog_tables": catalog_tables,
     "lake_daily_close": lake_daily_close,
     "audit_counts": audit,
     "daily_close": daily_close,

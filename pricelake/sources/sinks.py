@@ -38,11 +38,20 @@ def export_csv(df: DataFrame, path: str, single: bool = False) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_table(df: DataFrame, name: str, if_not_exists: bool = False) -> DataFrame:
-    """Managed Parquet table: replaced, or left alone when it already exists."""
+def write_table(
+    df: DataFrame, name: str, if_not_exists: bool = False, path: str | None = None
+) -> DataFrame:
+    """Catalog table in Parquet: replaced, or left alone when it already exists.
+
+    With ``path`` the data lives there, else in the warehouse. ``df`` must not
+    read the table it replaces; build into a new name instead.
+    """
     spark = df.sparkSession
     if not (if_not_exists and spark.catalog.tableExists(name)):
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        writer = df.write.mode("overwrite").format("parquet")
+        if path:
+            writer = writer.option("path", path)
+        writer.saveAsTable(name)
     return spark.table(name)
 
 
