@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.functions import day_key, minute_key
+from pricelake.functions import day_key, epoch_seconds, minute_key
+from pricelake.operators.batch import expand_time
 from pricelake.schemas import CELL_PREFIX, DAILY_COLUMNS, FULL_COLUMNS
 
 # Newest-first order of a row, by mode. Nulls sort lowest: a row from the batch
@@ -45,14 +46,28 @@ def _with_key(batch: DataFrame) -> DataFrame:
     return batch.where(F.col("pair").isNotNull() & F.col("price_date").isNotNull())
 
 
-def build_full(batch: DataFrame) -> DataFrame:
+def seconds_of(batch: DataFrame) -> DataFrame:
+    """Batch rows cut down to what minute serving rows are built from.
+
+    ``_second`` stands for the day and time of day; the texts are derived again
+    after the exchange instead of being sorted by and sent through it.
+    """
+    texts = ["price_date", "price_time", "full_timestamp"]
+    rows = batch.drop(*texts).withColumn("_second", epoch_seconds(F.col("time_ms")))
+    return rows.where(F.col("pair").isNotNull() & F.col("_second").isNotNull())
+
+
+def full_rows(seconds: DataFrame) -> DataFrame:
     """Minute serving rows: one per pair and second, the newest where keys meet."""
-    keys = ["pair", "price_date", "price_time"]
-    rows = closing_rows(
-        _with_key(batch), keys, ["time_ms"], _present(batch, ["seq", "close", "volume", "open", "high", "low"])
-    )
+    tiebreak = _present(seconds, ["seq", "close", "volume", "open", "high", "low"])
+    rows = closing_rows(seconds, ["pair", "_second"], ["time_ms"], tiebreak)
+    timed = expand_time(rows.withColumnRenamed("time_ms", "time"))
     key = minute_key(F.col("pair"), F.col("price_date"), F.col("price_time"))
-    return rows.withColumn("pair_date_time", key).select(*FULL_COLUMNS)
+    return timed.withColumn("pair_date_time", key).select(*FULL_COLUMNS)
+
+
+def build_full(batch: DataFrame) -> DataFrame:
+    return full_rows(seconds_of(batch))
 
 
 def build_daily(batch: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from pricelake.plans.build import (
     build_lake,
     daily_table,
     full_table,
+    read_full,
     write_full,
 )
 from pricelake.plans.store import (
@@ -27,6 +28,7 @@ __all__ = [
     "full_table",
     "read_base",
     "read_delta",
+    "read_full",
     "read_quarantine",
     "write_base",
     "write_full",

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from pricelake.operators.batch import combine, drop_header_rows, expand_time
-from pricelake.operators.serving import build_daily, build_full
+from pricelake.operators.serving import build_daily, full_rows, seconds_of
+from pricelake.schemas import FULL, FULL_COLUMNS
 from pricelake.sources.bars import read_bar_files, read_lake
 from pricelake.sources.sinks import write_lake
 
@@ -53,11 +55,21 @@ def full_table(batch: DataFrame) -> DataFrame:
     reduction above it needs no exchange of its own, and a hot pair is spread
     over as many ranges as its share of the rows asks for.
     """
-    return build_full(batch.repartitionByRange("pair", "price_date", "price_time"))
+    return full_rows(seconds_of(batch).repartitionByRange("pair", "_second"))
+
+
+def storable(df: DataFrame) -> DataFrame:
+    """Rows with a pair to name their folder; no lookup can ask for the others."""
+    return df.where(F.col("pair").isNotNull() & (F.col("pair") != ""))
 
 
 def write_full(batch: DataFrame, path: str) -> None:
-    full_table(batch).write.mode("errorifexists").partitionBy("pair").parquet(path)
+    full_table(storable(batch)).write.mode("errorifexists").partitionBy("pair").parquet(path)
+
+
+def read_full(spark: SparkSession, path: str) -> DataFrame:
+    """The minute serving table as stored; ``pair`` comes from the folder, as text."""
+    return spark.read.schema(FULL).parquet(path).select(*FULL_COLUMNS)
 
 
 def daily_table(batch: DataFrame) -> DataFrame:

@@ -48,6 +48,7 @@ from pricelake.plans import (
     daily_table,
     full_table,
     read_base,
+    read_full,
     read_quarantine,
     write_base,
     write_full,
@@ -299,16 +300,13 @@ def minute_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minute_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The minute table as stored: one day of one pair read by folder and date."""
+    """The minute table as stored: a week of one pair, by folder and key range."""
     path = scratch_dir(spark, "full")
     write_full(batch_rows(bars(spark, sf_dir)), path)
-    stored = spark.read.parquet(path)
+    stored = read_full(spark, path).where("pair = 'purchase'")
     return key_range_scan(
-        stored.where("pair = 'purchase'"),
-        "pair_date_time",
-        "purchase_2024-01-09",
-        "purchase_2024-01-16",
-    ).select(*FULL_COLUMNS)
+        stored, "pair_date_time", "purchase_2024-01-09", "purchase_2024-01-16"
+    )
 
 
 def daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

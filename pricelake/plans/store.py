@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
 from pricelake.operators.serving import latest_by_either_order, latest_by_key, with_day_key
-from pricelake.plans.build import read_or_none
-from pricelake.schemas import DELTA, LAST_BAR, SERVING
+from pricelake.plans.build import read_or_none, storable
+from pricelake.schemas import DELTA, LAST_BAR, REJECTED, SERVING
 
 KEYS = ["pair", "price_date"]
 
@@ -78,11 +78,10 @@ def write_base(df: DataFrame, root: str, folded: dict[str, int] | None = None) -
     head = _manifest_head(spark, root)
     version = head["version"] + 1 if head else 1
     path = f"{root}/base/{version}-{uuid.uuid4().hex}"
-    rows = _as_serving(df).where(
-        F.col("pair").isNotNull() & (F.col("pair") != "") & F.col("price_date").isNotNull()
-    )
+    rows = _as_serving(df).where(F.col("price_date").isNotNull())
     (
-        rows.repartitionByRange(*KEYS)
+        storable(rows)
+        .repartitionByRange(*KEYS)
         .sortWithinPartitions(*KEYS)
         .write.mode("errorifexists")
         .partitionBy("pair")
@@ -111,7 +110,7 @@ def read_delta(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame | None:
-    return read_or_none(lambda: spark.read.parquet(quarantine_path(root)))
+    return read_or_none(lambda: spark.read.schema(REJECTED).parquet(quarantine_path(root)))
 
 
 def _beyond(delta: DataFrame, folded: dict[str, int]) -> DataFrame:

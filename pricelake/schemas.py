@@ -84,7 +84,24 @@ SERVING = _struct(
 # Delta log: the serving row below run=/batch=/price_date= folders.
 DELTA = StructType([*SERVING.fields, StructField("run", StringType(), True)])
 
-REJECTED = _struct(raw=StringType(), reason=StringType(), source_time=TimestampType())
+# Rejected record below run=/batch= folders.
+REJECTED = _struct(
+    raw=StringType(),
+    reason=StringType(),
+    source_time=TimestampType(),
+    run=StringType(),
+    batch=LongType(),
+)
+
+# Row of the minute serving table; the instrument is the partition folder.
+FULL = _struct(
+    pair_date_time=StringType(),
+    price_date=DateType(),
+    price_time=StringType(),
+    full_timestamp=StringType(),
+    **_PRICES,
+    pair=StringType(),
+)
 
 BAR_TIME_MIN_S = -62_135_596_800  # 0001-01-01T00:00:00Z
 BAR_TIME_MAX_S = 253_402_300_799  # 9999-12-31T23:59:59Z

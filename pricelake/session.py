@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -52,12 +53,15 @@ def shared_dir(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="pricelake-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-        return folder
+        return _local_dir(spark.sparkContext.applicationId)
     raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder shared by all executors")
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"pricelake-{application}-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

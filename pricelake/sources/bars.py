@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -43,8 +46,11 @@ def header_layouts(
         F.split("value", ","), lambda name: F.trim(F.replace(name, F.lit('"'), F.lit("")))
     )
     required = F.array(*[F.lit(field.name) for field in schema.fields])
+    # Cheap test first: a line of numbers fails it at the first name.
+    holds_names = reduce(and_, [F.col("value").contains(field.name) for field in schema.fields])
     found = (
-        lines.select(F.col("_metadata.file_path").alias("path"), names.alias("names"))
+        lines.where(holds_names)
+        .select(F.col("_metadata.file_path").alias("path"), names.alias("names"))
         .where(F.size(F.array_except(required, F.col("names"))) == 0)
         .distinct()
         .collect()

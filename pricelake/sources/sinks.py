@@ -18,6 +18,8 @@ def write_lake(df: DataFrame, path: str, regroup: bool = False) -> None:
     """
     if regroup:
         df = df.hint("rebalance", "pair")
+    nameless = F.raise_error(F.lit("a bar with an empty pair has no folder in the lake"))
+    df = df.withColumn("pair", F.when(F.col("pair") == "", nameless).otherwise(F.col("pair")))
     df.write.mode("errorifexists").partitionBy("pair").parquet(path)
 
 

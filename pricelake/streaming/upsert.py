@@ -51,6 +51,7 @@ def start_upsert(
                 winners.drop("batch")
                 .repartition("price_date")
                 .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
                 .partitionBy("price_date")
                 .parquet(f"{delta_path(root)}/run={run}/batch={batch}")
             )
