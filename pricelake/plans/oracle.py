@@ -89,15 +89,18 @@ a AS (
 
 
 _MERGE = f"""
-base AS ({_last("(SELECT * FROM t WHERE price_date <= DATE '2024-01-20')", _NEWEST, "pair, price_date, close, volume, event_time, seq")}
+sides AS (
+  SELECT pair, price_date, close, volume, event_time, seq,
+         (hour(event_time) >= 12) = (price_date <= DATE '2024-01-15') AS in_base
+  FROM t
 ),
-mornings AS (
-  SELECT pair, price_date, close, volume, event_time, seq FROM t
-  WHERE price_date >= DATE '2024-01-16' AND hour(event_time) < 12
+base AS ({_last("(SELECT * FROM sides WHERE in_base)", _NEWEST, "pair, price_date, close, volume, event_time, seq")}
 ),
 both_sides AS (
   SELECT *, 'last_bar' AS volume_kind, 0 AS streamed FROM base
-  UNION ALL SELECT *, 'rolling_24h', 1 FROM mornings
+  UNION ALL
+  SELECT pair, price_date, close, volume, event_time, seq, 'rolling_24h', 1
+  FROM sides WHERE NOT in_base
 )"""
 
 _MERGED = f"{_DAILY}, volume_kind, seq"

@@ -193,8 +193,8 @@ def bar_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "bar-files")
     rows = bars(spark, sf_dir)
     swapped = ["time", "close", "open", "low", "high", "volume"]
-    early = F.col("time") % F.lit(86_400_000) < F.lit(43_200_000)
-    for part, columns in ((rows.where(early), RAW_BAR_COLUMNS), (rows.where(~early), swapped)):
+    morning = F.hour(F.timestamp_millis("time")) < 12
+    for part, columns in ((rows.where(morning), RAW_BAR_COLUMNS), (rows.where(~morning), swapped)):
         part.select(*columns).write.mode("append").option("header", True).csv(folder)
     return read_bar_files(spark, folder, by_name=True).select(*RAW_BAR_COLUMNS)
 
@@ -500,15 +500,18 @@ def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _base_and_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Snapshot of the first 20 days; the mornings of the last 15 streamed on top."""
+    """Every tick, half in the snapshot and half streamed on top of it.
+
+    In the first half of the month the snapshot has the afternoons and is newer,
+    in the second half it has the mornings and is older.
+    """
     root = scratch_dir(spark, "store")
     rows = ticks(spark, sf_dir)
-    base = rows.where(F.col("price_date") <= F.lit("2024-01-20").cast("date"))
-    write_base(build_daily(base, keep=["event_time", "seq"]), root)
-    late = rows.where(
-        (F.col("price_date") >= F.lit("2024-01-16").cast("date")) & (F.hour("event_time") < 12)
-    )
-    _replay(spark, [to_messages(late.drop("time_ms"))], root)
+    afternoon = F.hour("event_time") >= 12
+    first_half = F.col("price_date") <= F.lit("2024-01-15").cast("date")
+    in_base = afternoon == first_half
+    write_base(build_daily(rows.where(in_base), keep=["event_time", "seq"]), root)
+    _replay(spark, [to_messages(rows.where(~in_base).drop("time_ms"))], root)
     return root
 
 
@@ -521,7 +524,7 @@ def merge_arrival_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lookup on the merged view, across the base's last days."""
+    """The lookup on the merged view, from days the snapshot wins to days it loses."""
     view = current_view(spark, _base_and_stream(spark, sf_dir))
     return price_history(view, "purchase", "2024-01-14", "2024-01-24")
 

@@ -57,9 +57,11 @@ def parse_ticks(messages: DataFrame) -> DataFrame:
     fields = messages.select(
         F.col("value").alias("raw"), "source_time", "source_seq", json_fields("value", TICK_JSON)
     )
-    close = F.col("close").try_cast("double")
-    volume = F.col("volume").try_cast("double")
+    close = _finite(F.col("close"))
+    volume = _finite(F.col("volume"))
+    # Only the canonical text: the cast alone would also take "2024" or a time.
     day = F.col("price_date").try_cast("date")
+    day = F.when(day.cast("string") == F.col("price_date"), day)
     return fields.select(
         "raw",
         "source_time",
@@ -75,6 +77,11 @@ def parse_ticks(messages: DataFrame) -> DataFrame:
     )
 
 
+def _finite(text: Column) -> Column:
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
+
+
 def _reject_reason(day: Column, close: Column, volume: Column) -> Column:
     # A message that is no JSON object parses to a row without any field.
     reason = F.when(F.coalesce(*_PAYLOAD).isNull(), F.lit("malformed"))

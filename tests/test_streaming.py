@@ -100,7 +100,10 @@ def test_bad_records_are_quarantined_with_a_reason(spark, folder):
         message(volume=None): "missing volume",
         message(close="n/a"): "bad close",
         message(volume="many"): "bad volume",
+        message(volume="NaN"): "bad volume",
         message(price_date="soon"): "bad price_date",
+        message(price_date="2024-01"): "bad price_date",
+        message(price_date="2024-01-01T10"): "bad price_date",
     }
     put(folder, "m", *good, *bad)
     parsed = parse_ticks(
