@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pricelake.schemas import SHARDS
+
 
 def _joined(*parts: Column) -> Column:
     # concat, not concat_ws: a missing part has to make the whole key missing.
@@ -14,6 +16,11 @@ def _joined(*parts: Column) -> Column:
     return F.concat(*pieces)
 
 
+def shard_of(pair: Column) -> Column:
+    """Number of the folder a pair's serving rows are in."""
+    return F.pmod(F.xxhash64(pair), F.lit(SHARDS)).cast("int")
+
+
 def day_key(pair: Column, price_date: Column) -> Column:
     """``pair_yyyy-MM-dd``; the same key for batch and streamed rows."""
     return _joined(pair, price_date)

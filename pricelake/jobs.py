@@ -16,12 +16,12 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from pricelake.operators import build_daily, format_row, pairs_from_files, price_history
+from pricelake.operators import build_daily, format_row, pairs_from_files
 from pricelake.plans import (
     build_batch,
     build_lake,
     compact,
-    current_view,
+    stored_history,
     write_base,
     write_full,
 )
@@ -93,8 +93,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     elif args.step == "compact":
         compact(spark, args.store)
     elif args.step == "lookup":
-        view = current_view(spark, args.store, args.order)
-        format_row(price_history(view, args.pair, args.start, args.end)).show(SHOWN_ROWS, False)
+        found = stored_history(spark, args.store, args.pair, args.start, args.end, args.order)
+        format_row(found).show(SHOWN_ROWS, False)
     elif args.step == "pairs":
         pairs_from_files(spark, args.files).show(SHOWN_ROWS, False)
 

@@ -57,13 +57,17 @@ def seconds_of(batch: DataFrame) -> DataFrame:
     return rows.where(F.col("pair").isNotNull() & F.col("_second").isNotNull())
 
 
-def full_rows(seconds: DataFrame) -> DataFrame:
-    """Minute serving rows: one per pair and second, the newest where keys meet."""
+def full_rows(seconds: DataFrame, folders: Sequence[str] = ()) -> DataFrame:
+    """Minute serving rows: one per pair and second, the newest where keys meet.
+
+    ``folders`` are columns that depend on the pair only; they go before it in
+    the sort, so that rows come out in the order of their folders.
+    """
     tiebreak = _present(seconds, ["seq", "close", "volume", "open", "high", "low"])
-    rows = closing_rows(seconds, ["pair", "_second"], ["time_ms"], tiebreak)
+    rows = closing_rows(seconds, [*folders, "pair", "_second"], ["time_ms"], tiebreak)
     timed = expand_time(rows.withColumnRenamed("time_ms", "time"))
     key = minute_key(F.col("pair"), F.col("price_date"), F.col("price_time"))
-    return timed.withColumn("pair_date_time", key).select(*FULL_COLUMNS)
+    return timed.withColumn("pair_date_time", key).select(*FULL_COLUMNS, *folders)
 
 
 def build_full(batch: DataFrame) -> DataFrame:

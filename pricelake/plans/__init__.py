@@ -15,6 +15,7 @@ from pricelake.plans.store import (
     read_base,
     read_delta,
     read_quarantine,
+    stored_history,
     write_base,
 )
 
@@ -30,6 +31,7 @@ __all__ = [
     "read_delta",
     "read_full",
     "read_quarantine",
+    "stored_history",
     "write_base",
     "write_full",
 ]

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from pricelake.functions import shard_of
 from pricelake.operators.batch import combine, drop_header_rows, expand_time
 from pricelake.operators.serving import build_daily, full_rows, seconds_of
-from pricelake.schemas import FULL, FULL_COLUMNS
+from pricelake.schemas import FULL, SHARD
 from pricelake.sources.bars import read_bar_files, read_lake
 from pricelake.sources.sinks import write_lake
 
@@ -48,6 +50,10 @@ def build_batch(
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _by_shard(df: DataFrame) -> DataFrame:
+    return df.withColumn("shard", shard_of(F.col("pair")))
+
+
 def full_table(batch: DataFrame) -> DataFrame:
     """Minute serving rows laid out in key order.
 
@@ -58,18 +64,43 @@ def full_table(batch: DataFrame) -> DataFrame:
     return full_rows(seconds_of(batch).repartitionByRange("pair", "_second"))
 
 
-def storable(df: DataFrame) -> DataFrame:
-    """Rows with a pair to name their folder; no lookup can ask for the others."""
-    return df.where(F.col("pair").isNotNull() & (F.col("pair") != ""))
+def write_full(batch: DataFrame, path: str) -> None:
+    """The minute serving table below its shard folders, in key order there."""
+    rows = full_rows(
+        _by_shard(seconds_of(batch)).repartitionByRange("shard", "pair", "_second"), ["shard"]
+    )
+    rows.write.mode("errorifexists").partitionBy("shard").parquet(path)
 
 
-def write_full(batch: DataFrame, path: str) -> None:
-    full_table(storable(batch)).write.mode("errorifexists").partitionBy("pair").parquet(path)
+def write_sharded(df: DataFrame, path: str, order: list[str]) -> None:
+    """Rows below the shard folder of their pair, sorted by ``order``.
+
+    Ranges over the whole order split a hot pair; sorted rows let the Parquet
+    statistics skip the other pairs of a shard.
+    """
+    columns = ["shard", *order]
+    (
+        _by_shard(df)
+        .repartitionByRange(*columns)
+        .sortWithinPartitions(*columns)
+        .write.mode("errorifexists")
+        .partitionBy("shard")
+        .parquet(path)
+    )
+
+
+def read_sharded(
+    spark: SparkSession, path: str, schema: StructType, pair: str | None = None
+) -> DataFrame:
+    """A sharded table, or only the rows of one pair: one folder and its row groups."""
+    stored = spark.read.schema(StructType([*schema.fields, SHARD])).parquet(path)
+    if pair is not None:
+        stored = stored.where((F.col("shard") == shard_of(F.lit(pair))) & (F.col("pair") == pair))
+    return stored.select(*schema.names)
 
 
-def read_full(spark: SparkSession, path: str) -> DataFrame:
-    """The minute serving table as stored; ``pair`` comes from the folder, as text."""
-    return spark.read.schema(FULL).parquet(path).select(*FULL_COLUMNS)
+def read_full(spark: SparkSession, path: str, pair: str | None = None) -> DataFrame:
+    return read_sharded(spark, path, FULL, pair)
 
 
 def daily_table(batch: DataFrame) -> DataFrame:

@@ -50,6 +50,7 @@ from pricelake.plans import (
     read_base,
     read_full,
     read_quarantine,
+    stored_history,
     write_base,
     write_full,
 )
@@ -303,7 +304,7 @@ def minute_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minute table as stored: a week of one pair, by folder and key range."""
     path = scratch_dir(spark, "full")
     write_full(batch_rows(bars(spark, sf_dir)), path)
-    stored = read_full(spark, path).where("pair = 'purchase'")
+    stored = read_full(spark, path, "purchase")
     return key_range_scan(
         stored, "pair_date_time", "purchase_2024-01-09", "purchase_2024-01-16"
     )
@@ -525,8 +526,8 @@ def merge_arrival_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup on the merged view, from days the snapshot wins to days it loses."""
-    view = current_view(spark, _base_and_stream(spark, sf_dir))
-    return price_history(view, "purchase", "2024-01-14", "2024-01-24")
+    root = _base_and_stream(spark, sf_dir)
+    return stored_history(spark, root, "purchase", "2024-01-14", "2024-01-24")
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Layout below ``root``:
 
-    base/<version>-<id>/pair=...            one snapshot per version
+    base/<version>-<id>/shard=...           one snapshot per version
     manifest/                               one JSON row per version, appended
     delta/run=<id>/batch=<n>/price_date=... streamed rows
     quarantine/run=<id>/batch=<n>           rejected records
@@ -14,14 +14,16 @@ readers skip them by folder.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
+from pricelake.operators.lookup import price_history
 from pricelake.operators.serving import latest_by_either_order, latest_by_key, with_day_key
-from pricelake.plans.build import read_or_none, storable
+from pricelake.plans.build import read_or_none, read_sharded, write_sharded
 from pricelake.schemas import DELTA, LAST_BAR, REJECTED, SERVING
 
 KEYS = ["pair", "price_date"]
@@ -70,32 +72,20 @@ def _as_serving(df: DataFrame) -> DataFrame:
 def write_base(df: DataFrame, root: str, folded: dict[str, int] | None = None) -> int:
     """Write ``df`` as the next snapshot and make it current; returns its version.
 
-    Rows are range-partitioned and sorted by key, so one pair's rows are close
-    together and a hot pair spreads over several ranges. Rows without a full
-    key are not stored: no lookup could name them.
+    Rows without a full key are not stored: no lookup could name them.
     """
     spark = df.sparkSession
     head = _manifest_head(spark, root)
     version = head["version"] + 1 if head else 1
     path = f"{root}/base/{version}-{uuid.uuid4().hex}"
-    rows = _as_serving(df).where(F.col("price_date").isNotNull())
-    (
-        storable(rows)
-        .repartitionByRange(*KEYS)
-        .sortWithinPartitions(*KEYS)
-        .write.mode("errorifexists")
-        .partitionBy("pair")
-        .parquet(path)
-    )
+    write_sharded(_as_serving(df).dropna(subset=KEYS), path, KEYS)
     entry = spark.createDataFrame([(version, path, folded or {})], MANIFEST)
     entry.coalesce(1).write.mode("append").json(f"{root}/manifest")
     return version
 
 
-def _snapshot(spark: SparkSession, head: Row | None) -> DataFrame | None:
-    if head is None:
-        return None
-    return spark.read.schema(SERVING).parquet(head["path"])
+def _snapshot(spark: SparkSession, head: Row | None, pair: str | None = None) -> DataFrame | None:
+    return read_sharded(spark, head["path"], SERVING, pair) if head else None
 
 
 def read_base(spark: SparkSession, root: str) -> DataFrame | None:
@@ -129,20 +119,36 @@ def _all_rows(spark: SparkSession, base: DataFrame | None, delta: DataFrame | No
     return rows
 
 
-def current_view(spark: SparkSession, root: str, order: str = "event_time") -> DataFrame:
-    """Base and delta merged, last write wins.
+def current_view(
+    spark: SparkSession, root: str, order: str = "event_time", pair: str | None = None
+) -> DataFrame:
+    """Base and delta merged, last write wins; all pairs or one.
 
-    A filter on pair and dates goes below the merge: the base prunes by its
-    pair folders, the delta by its date folders.
+    A filter on dates goes below the merge: the delta prunes by its folders,
+    the base by its statistics. Naming the pair prunes the base by folder too.
     """
     head = _manifest_head(spark, root)
     delta = read_delta(spark, root)
-    if delta is not None and head is not None:
-        delta = _beyond(delta, head["folded"])
-    rows = _all_rows(spark, _snapshot(spark, head), delta)
+    if delta is not None:
+        delta = _beyond(delta, head["folded"] if head else {})
+        if pair is not None:
+            delta = delta.where(F.col("pair") == pair)
+    rows = _all_rows(spark, _snapshot(spark, head, pair), delta)
     return with_day_key(latest_by_key(rows, KEYS, order))
 
 
+def stored_history(
+    spark: SparkSession,
+    root: str,
+    pair: str,
+    start: str | dt.date,
+    end: str | dt.date,
+    order: str = "event_time",
+) -> DataFrame:
+    """``price_history`` of the store, reading only what can hold the answer."""
+    return price_history(current_view(spark, root, order, pair), pair, start, end)
+
+
 def compact(spark: SparkSession, root: str) -> int:
     """Fold finished delta batches into the next snapshot; returns its version.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -81,6 +82,9 @@ SERVING = _struct(
     batch=LongType(),
 )
 
+# Folder column of both serving tables.
+SHARD = StructField("shard", IntegerType(), True)
+
 # Delta log: the serving row below run=/batch=/price_date= folders.
 DELTA = StructType([*SERVING.fields, StructField("run", StringType(), True)])
 
@@ -93,15 +97,19 @@ REJECTED = _struct(
     batch=LongType(),
 )
 
-# Row of the minute serving table; the instrument is the partition folder.
+# Row of the minute serving table.
 FULL = _struct(
     pair_date_time=StringType(),
+    pair=StringType(),
     price_date=DateType(),
     price_time=StringType(),
     full_timestamp=StringType(),
     **_PRICES,
-    pair=StringType(),
 )
 
+# Serving tables are foldered by a hash of the pair: as many folders as this at
+# most, however many pairs there are, and one of them per lookup.
+SHARDS = 256
+
 BAR_TIME_MIN_S = -62_135_596_800  # 0001-01-01T00:00:00Z
 BAR_TIME_MAX_S = 253_402_300_799  # 9999-12-31T23:59:59Z

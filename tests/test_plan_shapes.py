@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricelake.plans import registered
-from pricelake.plans.store import current_view, write_base
+from pricelake.plans.store import stored_history, write_base
 from pricelake.sources import write_lake
 from pricelake.operators import build_daily, price_history
 from tests.conftest import plan
@@ -63,7 +63,7 @@ def test_lookup_reaches_the_scan(spark):
     assert "EqualTo(event_type,click)" in plan(frame)
 
 
-def test_store_lookup_prunes_base_by_pair_and_delta_by_date(spark, folder):
+def test_store_lookup_prunes_base_by_shard_and_delta_by_date(spark, folder):
     rows = registered.ticks(spark, SF_DIR)
     write_base(build_daily(rows, keep=["event_time", "seq"]), folder)
     delta = rows.select(
@@ -71,10 +71,10 @@ def test_store_lookup_prunes_base_by_pair_and_delta_by_date(spark, folder):
         "seq", F.current_timestamp().alias("arrived_at"),
     )
     delta.write.partitionBy("price_date").parquet(f"{folder}/delta/run=r/batch=0")
-    text = plan(price_history(current_view(spark, folder), "click", "2024-01-03", "2024-01-05"))
+    text = plan(stored_history(spark, folder, "click", "2024-01-03", "2024-01-05"))
     filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)(?:\]|\.\.\.)", text)
     assert len(filters) == 2
-    assert any("pair" in parts and "price_date" in pushed for parts, pushed in filters)
+    assert any("shard" in parts and "IsNotNull(pair" in pushed for parts, pushed in filters)
     assert any("price_date" in parts and "pair" in pushed for parts, pushed in filters)
 
 

@@ -21,7 +21,15 @@ from pricelake.operators import (
     price_history,
     to_cells,
 )
-from pricelake.plans import compact, current_view, read_base, write_base
+from pricelake.plans import (
+    compact,
+    current_view,
+    read_base,
+    read_full,
+    stored_history,
+    write_base,
+    write_full,
+)
 from pricelake.plans.store import _manifest_head
 
 BARS = "pair string, time long, open double, close double, high double, low double, volume double"
@@ -206,25 +214,41 @@ def test_store_without_stream(spark, folder):
     assert current_view(spark, folder).count() == 0
     assert read_base(spark, folder) is None
     odd = spark.createDataFrame(
-        [("007", dt.date(2024, 1, 1), 1.0, 1.0), ("", dt.date(2024, 1, 1), 1.0, 1.0), (None, None, 1.0, 1.0)],
+        [("007", dt.date(2024, 1, 1), 1.0, 1.0), ("a/b=c%", dt.date(2024, 1, 1), 1.0, 1.0), (None, None, 1.0, 1.0)],
         DAILY,
     )
     assert write_base(daily(spark, ("p", "q")).unionByName(odd), folder) == 1
     view = current_view(spark, folder)
-    assert view.count() == 11 and view.where("pair = '007'").count() == 1
+    assert view.count() == 12 and view.where("pair = '007'").count() == 1
     assert {row[0] for row in view.select("volume_kind").distinct().collect()} == {"last_bar"}
     before = rows(view)
     assert compact(spark, folder) == 2
     assert rows(current_view(spark, folder)) == before
+    for pair, count in (("p", 5), ("a/b=c%", 1), ("007", 1), ("nobody", 0)):
+        assert stored_history(spark, folder, pair, "2024-01-01", "2024-01-31").count() == count
+        assert current_view(spark, folder, pair=pair).count() == count
     assert write_base(daily(spark, ("z",), 1), folder) == 3
     assert current_view(spark, folder).count() == 1
     assert _manifest_head(spark, folder)["version"] == 3
+    assert write_base(daily(spark).where("false"), folder) == 4
+    assert current_view(spark, folder).count() == 0
+
+
+def test_minute_table_is_stored_by_shard(spark, folder):
+    items = [(f"p{n}", minute * MINUTE, 1.0, 1.0) for n in range(40) for minute in range(30)]
+    batch = bars(spark, *items, ("p7", 10, 2.0, 1.0))
+    write_full(batch, folder + "/full")
+    stored = read_full(spark, folder + "/full")
+    assert rows(stored) == rows(build_full(batch)) and stored.count() == 1200
+    one = read_full(spark, folder + "/full", "p7")
+    assert one.count() == 30 and one.where("close = 2.0").count() == 1
+    assert "PartitionFilters: [isnotnull(shard" in plan(one)
+    assert read_full(spark, folder + "/full", "nobody").count() == 0
 
 
-def test_lookup_on_the_store_prunes(spark, folder):
-    write_base(daily(spark, ("p", "q"), 20), folder)
-    found = price_history(current_view(spark, folder), "p", "2024-01-03", "2024-01-04")
-    text = plan(found)
-    assert "PartitionFilters: [isnotnull(pair" in text
-    assert "GreaterThanOrEqual(price_date" in text
+def test_store_lookup_equals_the_view(spark, folder):
+    frame = daily(spark, [f"p{n}" for n in range(50)], 20)
+    write_base(frame, folder)
+    found = stored_history(spark, folder, "p7", "2024-01-03", "2024-01-04")
+    assert rows(found) == rows(price_history(current_view(spark, folder), "p7", "2024-01-03", "2024-01-04"))
     assert found.count() == 2
