@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pricelake.schemas import BAR_TIME_MAX_S, BAR_TIME_MIN_S
 
 # Formats of the stored and displayed texts (fixed values).
-TIME_FORMAT = "HH:mm:ss"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_IN_TIMESTAMP = (12, 8)  # where HH:mm:ss is in that text
 DISPLAY_FORMAT = "MMMM d, yyyy 'at' hh:mm:ss a"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from pricelake.functions import epoch_millis, epoch_seconds, pair_from_path
-from pricelake.functions.times import TIME_FORMAT, TIMESTAMP_FORMAT
+from pricelake.functions.times import TIME_IN_TIMESTAMP, TIMESTAMP_FORMAT
 from pricelake.schemas import BATCH_A_COLUMNS, BATCH_B_COLUMNS, COMBINED_COLUMNS
 
 HEADER_PAIR = "pair"  # what a header row read as data holds in its first column
@@ -44,7 +44,7 @@ def expand_time(df: DataFrame, variant: str = "a") -> DataFrame:
         layout = BATCH_A_COLUMNS
         derived = {
             "price_date": F.to_date("_at"),
-            "price_time": F.date_format("_at", TIME_FORMAT),
+            "price_time": F.substring(full, *TIME_IN_TIMESTAMP),
             "full_timestamp": full,
         }
     else:

@@ -92,11 +92,18 @@ def write_sharded(df: DataFrame, path: str, order: list[str]) -> None:
 def read_sharded(
     spark: SparkSession, path: str, schema: StructType, pair: str | None = None
 ) -> DataFrame:
-    """A sharded table, or only the rows of one pair: one folder and its row groups."""
-    stored = spark.read.schema(StructType([*schema.fields, SHARD])).parquet(path)
-    if pair is not None:
-        stored = stored.where((F.col("shard") == shard_of(F.lit(pair))) & (F.col("pair") == pair))
-    return stored.select(*schema.names)
+    """A sharded table, or only the rows of one pair.
+
+    For one pair a single folder is listed and opened, however many there are.
+    """
+    reader = spark.read.schema(StructType([*schema.fields, SHARD])).option("basePath", path)
+    if pair is None:
+        return reader.parquet(path).select(*schema.names)
+    number = spark.sql("SELECT 1").select(shard_of(F.lit(pair))).first()[0]
+    folder = read_or_none(lambda: reader.parquet(f"{path}/shard={number}"))
+    if folder is None:
+        return spark.createDataFrame([], schema)
+    return folder.where(F.col("pair") == pair).select(*schema.names)
 
 
 def read_full(spark: SparkSession, path: str, pair: str | None = None) -> DataFrame:

@@ -71,10 +71,13 @@ def test_store_lookup_prunes_base_by_shard_and_delta_by_date(spark, folder):
         "seq", F.current_timestamp().alias("arrived_at"),
     )
     delta.write.partitionBy("price_date").parquet(f"{folder}/delta/run=r/batch=0")
-    text = plan(stored_history(spark, folder, "click", "2024-01-03", "2024-01-05"))
+    found = stored_history(spark, folder, "click", "2024-01-03", "2024-01-05")
+    text = plan(found)
     filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)(?:\]|\.\.\.)", text)
     assert len(filters) == 2
-    assert any("shard" in parts and "IsNotNull(pair" in pushed for parts, pushed in filters)
+    assert any(parts == "" and "IsNotNull(pair" in pushed for parts, pushed in filters)
+    opened = {file.rsplit("/", 1)[0] for file in found.inputFiles() if "/base/" in file}
+    assert len(opened) == 1 and "/shard=" in opened.pop()
     assert any("price_date" in parts and "pair" in pushed for parts, pushed in filters)
 
 
