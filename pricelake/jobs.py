@@ -1,4 +1,4 @@
-"""The steps as jobs for spark-submit: ``spark-submit -m`` style or ``python -m pricelake.jobs``.
+"""The steps as jobs: ``python -m pricelake.jobs <step> ...``, or this file to spark-submit.
 
     lake    bar files -> partitioned Parquet lake
     batch   lake or combined text -> batch table
@@ -6,7 +6,7 @@
     daily   batch table -> next snapshot of the daily serving store
     stream  queue -> delta log of the store, until stopped
     compact delta log -> next snapshot
-    lookup  pair and dates -> rows on standard output
+    lookup  pair and dates -> rows, printed or written
     pairs   known pairs of a folder of bar files
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.operators import build_daily, format_row, pairs_from_files
 from pricelake.plans import (
@@ -26,10 +26,10 @@ from pricelake.plans import (
     write_full,
 )
 from pricelake.session import DEFAULTS, configure
-from pricelake.sources import read_combined, read_lake
+from pricelake.sources import export_csv, read_combined, read_lake
 from pricelake.streaming import parse_ticks, read_ticks, start_upsert
 
-SHOWN_ROWS = 100_000  # most days any one lookup can ask for, many times over
+SHOWN_ROWS = 1000  # printed rows; the whole result goes to --out
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -59,10 +59,19 @@ def _arguments() -> argparse.ArgumentParser:
     step("compact", "store")
     lookup = step("lookup", "store", "pair", "start", "end")
     lookup.add_argument("--order", choices=("event_time", "arrival"), default="event_time")
-    step("pairs", "files")
+    listing = step("pairs", "files")
+    for sub in (lookup, listing):
+        sub.add_argument("--out", help="write the rows as text below this folder")
     return parser
 
 
+def _give(rows: DataFrame, out: str | None) -> None:
+    if out:
+        export_csv(rows, out)
+    else:
+        rows.show(SHOWN_ROWS, truncate=False)
+
+
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.inbox:
         messages = read_ticks(spark, "text", path=args.inbox)
@@ -94,9 +103,9 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         compact(spark, args.store)
     elif args.step == "lookup":
         found = stored_history(spark, args.store, args.pair, args.start, args.end, args.order)
-        format_row(found).show(SHOWN_ROWS, False)
+        _give(format_row(found), args.out)
     elif args.step == "pairs":
-        pairs_from_files(spark, args.files).show(SHOWN_ROWS, False)
+        _give(pairs_from_files(spark, args.files), args.out)
 
 
 def main() -> None:

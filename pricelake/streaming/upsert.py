@@ -43,7 +43,9 @@ def start_upsert(
         if not runs:
             runs.append(run_id(batch_df.sparkSession, checkpoint))
         run = runs[0]
-        batch_df = batch_df.persist()
+        # Only a rejected record's text is needed again, so only that is cached.
+        raw = F.when(F.col("reason").isNotNull(), F.col("raw"))
+        batch_df = batch_df.withColumn("raw", raw).persist()
         try:
             valid, rejected = split_valid(batch_df)
             winners = latest_by_either_order(valid.withColumn("batch", F.lit(batch)), KEYS)

@@ -43,5 +43,7 @@ def test_files_to_lookup(spark, tmp_path, capsys):
         ["btcusd", "2024-01-04", "7.5", "1.0"],
     ]
     assert "ethusd" in run("pairs", files)
+    run("pairs", files, "--out", tmp_path / "listed")
+    assert spark.read.csv(str(tmp_path / "listed"), header=True).count() == 2
     with pytest.raises(ValueError):
         run("lookup", tmp_path / "store", "btcusd", "2024-1-2", "2024-01-31")

@@ -102,6 +102,12 @@ def test_lake_keeps_pair_names_as_text(spark, folder):
     assert rows(read_lake(spark, folder + "/again")) == rows(lake)
 
 
+def test_a_bar_without_pair_name_cannot_be_stored(spark, folder):
+    rows = spark.createDataFrame([("", 1.0)], "pair string, close double")
+    with pytest.raises(Exception, match="empty pair"):
+        write_lake(rows, folder + "/lake")
+
+
 def test_export_of_one_file_is_bounded(spark, folder, monkeypatch):
     frame = spark.range(100).repartition(4)
     export_csv(frame, folder + "/many")

@@ -5,6 +5,7 @@ from tests.conftest import rows
 from pyspark.sql import functions as F
 
 from pricelake.operators import (
+    latest_by_key,
     latest_n,
     parse_feed,
     select_products,
@@ -17,6 +18,7 @@ from pricelake.plans.store import _manifest_head
 from pricelake.streaming import (
     fan_out,
     latest_n_stream,
+    merge_board,
     parquet_batches,
     parse_ticks,
     queue_batches,
@@ -314,3 +316,40 @@ def test_kafka_is_named_with_its_defaults(spark, monkeypatch):
     assert got.columns == ["value", "source_time", "source_seq"]
     assert seen == {"format": "kafka", "subscribe": "ticks", "startingOffsets": "latest"}
     assert (got.first()["value"], got.first()["source_seq"]) == ("{}", 5)
+
+
+def test_board_merge_does_not_depend_on_how_ticks_are_cut(spark):
+    schema = "pair string, event_time timestamp, seq long, close double, volume double"
+    start = dt.datetime(2024, 1, 1)
+    data = [
+        (f"p{i % 3}", start + dt.timedelta(seconds=i * 7 % 20), i, float(i), 1.0) for i in range(60)
+    ]
+    whole = rows(merge_board(None, spark.createDataFrame(data, schema)))
+    for cut in (1, 5, 17, 40):
+        board = None
+        for part in (data[:cut], data[cut:50], data[50:]):
+            board = merge_board(board, spark.createDataFrame(part, schema))
+        assert rows(board) == whole
+
+
+def test_last_write_wins_as_a_streaming_aggregate(spark, folder, tmp_path):
+    (tmp_path / "in").mkdir()
+    for number in (2, 3, 1):
+        put(folder, f"in/f{number}", message(close=str(number), seq=number), message(pair="x", seq=9))
+    stream = read_ticks(spark, "text", {"maxFilesPerTrigger": "1"}, f"{folder}/in")
+    valid, _ = split_valid(parse_ticks(stream))
+    seen = {}
+
+    def keep(batch_df, batch):
+        seen.update({row["pair"]: row["close"] for row in batch_df.collect()})
+
+    query = (
+        latest_by_key(valid.drop("arrived_at"), ["pair", "price_date"])
+        .writeStream.outputMode("update")
+        .foreachBatch(keep)
+        .option("checkpointLocation", f"{folder}/cp")
+        .trigger(**NOW)
+        .start()
+    )
+    query.awaitTermination()
+    assert seen == {"btcusd": 3.0, "x": 1.5}
