@@ -41,37 +41,29 @@ def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in names if name in df.columns]
 
 
-def _with_key(batch: DataFrame) -> DataFrame:
-    """Rows that have a pair and a day; the time of day is there when the day is."""
-    return batch.where(F.col("pair").isNotNull() & F.col("price_date").isNotNull())
+def latest_seconds(batch: DataFrame) -> DataFrame:
+    """The newest batch row of each pair and second, without its time texts.
 
-
-def seconds_of(batch: DataFrame) -> DataFrame:
-    """Batch rows cut down to what minute serving rows are built from.
-
-    ``_second`` stands for the day and time of day; the texts are derived again
-    after the exchange instead of being sorted by and sent through it.
+    ``_second`` stands for the day and time of day: a number is cheaper to sort
+    by and to send than the texts, which ``with_texts`` derives again.
     """
     texts = ["price_date", "price_time", "full_timestamp"]
     rows = batch.drop(*texts).withColumn("_second", epoch_seconds(F.col("time_ms")))
-    return rows.where(F.col("pair").isNotNull() & F.col("_second").isNotNull())
+    keyed = rows.where(F.col("pair").isNotNull() & F.col("_second").isNotNull())
+    tiebreak = _present(batch, ["seq", "close", "volume", "open", "high", "low"])
+    return closing_rows(keyed, ["pair", "_second"], ["time_ms"], tiebreak)
 
 
-def full_rows(seconds: DataFrame, folders: Sequence[str] = ()) -> DataFrame:
-    """Minute serving rows: one per pair and second, the newest where keys meet.
-
-    ``folders`` are columns that depend on the pair only; they go before it in
-    the sort, so that rows come out in the order of their folders.
-    """
-    tiebreak = _present(seconds, ["seq", "close", "volume", "open", "high", "low"])
-    rows = closing_rows(seconds, [*folders, "pair", "_second"], ["time_ms"], tiebreak)
-    timed = expand_time(rows.withColumnRenamed("time_ms", "time"))
+def with_texts(seconds: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Minute serving rows (and the columns to ``keep``) from ``latest_seconds``."""
+    timed = expand_time(seconds.withColumnRenamed("time_ms", "time"))
     key = minute_key(F.col("pair"), F.col("price_date"), F.col("price_time"))
-    return timed.withColumn("pair_date_time", key).select(*FULL_COLUMNS, *folders)
+    return timed.withColumn("pair_date_time", key).select(*FULL_COLUMNS, *keep)
 
 
 def build_full(batch: DataFrame) -> DataFrame:
-    return full_rows(seconds_of(batch))
+    """Minute serving rows: one per pair and second, the newest where keys meet."""
+    return with_texts(latest_seconds(batch))
 
 
 def build_daily(batch: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -80,8 +72,9 @@ def build_daily(batch: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ``volume`` is that last row's volume, not the day's total. ``keep`` names
     order columns to carry along for the serving store.
     """
+    keyed = batch.where(F.col("pair").isNotNull() & F.col("price_date").isNotNull())
     rows = closing_rows(
-        _with_key(batch), ["pair", "price_date"], ["time_ms"], _present(batch, ["seq", "close", "volume"])
+        keyed, ["pair", "price_date"], ["time_ms"], _present(batch, ["seq", "close", "volume"])
     )
     return with_day_key(rows).select(*DAILY_COLUMNS, *keep)
 

@@ -5,7 +5,6 @@ from pricelake.plans.build import (
     build_batch,
     build_lake,
     daily_table,
-    full_table,
     read_full,
     write_full,
 )
@@ -26,7 +25,6 @@ __all__ = [
     "compact",
     "current_view",
     "daily_table",
-    "full_table",
     "read_base",
     "read_delta",
     "read_full",

@@ -9,7 +9,7 @@ from pyspark.sql.utils import AnalysisException
 
 from pricelake.functions import shard_of
 from pricelake.operators.batch import combine, drop_header_rows, expand_time
-from pricelake.operators.serving import build_daily, full_rows, seconds_of
+from pricelake.operators.serving import build_daily, latest_seconds, with_texts
 from pricelake.schemas import FULL, SHARD
 from pricelake.sources.bars import read_bar_files, read_lake
 from pricelake.sources.sinks import write_lake
@@ -50,43 +50,31 @@ def build_batch(
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def _by_shard(df: DataFrame) -> DataFrame:
-    return df.withColumn("shard", shard_of(F.col("pair")))
+def by_shard(df: DataFrame, *order: str) -> DataFrame:
+    """Rows laid out for their shard folders, sorted by ``order`` within each.
 
-
-def full_table(batch: DataFrame) -> DataFrame:
-    """Minute serving rows laid out in key order.
-
-    The range exchange on the key already brings equal keys together, so the
-    reduction above it needs no exchange of its own, and a hot pair is spread
-    over as many ranges as its share of the rows asks for.
+    Ranges over the whole order split a hot pair; sorted rows let the Parquet
+    statistics skip the other pairs of a shard. Keys are expected to be unique,
+    so reduce first.
     """
-    return full_rows(seconds_of(batch).repartitionByRange("pair", "_second"))
+    columns = ["shard", *order]
+    sharded = df.withColumn("shard", shard_of(F.col("pair")))
+    return sharded.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
-def write_full(batch: DataFrame, path: str) -> None:
-    """The minute serving table below its shard folders, in key order there."""
-    rows = full_rows(
-        _by_shard(seconds_of(batch)).repartitionByRange("shard", "pair", "_second"), ["shard"]
-    )
-    rows.write.mode("errorifexists").partitionBy("shard").parquet(path)
+def write_shards(df: DataFrame, path: str) -> None:
+    df.write.mode("errorifexists").partitionBy("shard").parquet(path)
 
 
-def write_sharded(df: DataFrame, path: str, order: list[str]) -> None:
-    """Rows below the shard folder of their pair, sorted by ``order``.
+def write_full(batch: DataFrame, path: str) -> None:
+    """The minute serving table.
 
-    Ranges over the whole order split a hot pair; sorted rows let the Parquet
-    statistics skip the other pairs of a shard.
+    Reduced by a hash exchange, which limits each key on the map side, and laid
+    out by a range exchange. A range exchange alone would bring equal keys
+    together too, but would gather a much repeated key in one task.
     """
-    columns = ["shard", *order]
-    (
-        _by_shard(df)
-        .repartitionByRange(*columns)
-        .sortWithinPartitions(*columns)
-        .write.mode("errorifexists")
-        .partitionBy("shard")
-        .parquet(path)
-    )
+    rows = by_shard(latest_seconds(batch), "pair", "_second")
+    write_shards(with_texts(rows, ["shard"]), path)
 
 
 def read_sharded(

@@ -21,6 +21,7 @@ from pricelake.functions import (
 from pricelake.functions.times import ISO_MICROS
 from pricelake.operators import (
     build_daily,
+    build_full,
     closing_rows,
     combine,
     drop_header_rows,
@@ -46,7 +47,6 @@ from pricelake.plans import (
     compact,
     current_view,
     daily_table,
-    full_table,
     read_base,
     read_full,
     read_quarantine,
@@ -58,7 +58,6 @@ from pricelake.schemas import (
     BATCH_A_COLUMNS,
     COMBINED_COLUMNS,
     DAILY_COLUMNS,
-    FULL_COLUMNS,
     RAW_BAR_COLUMNS,
 )
 from pricelake.session import configure, scratch_dir
@@ -297,7 +296,7 @@ def daily_close_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minute_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return full_table(batch_rows(bars(spark, sf_dir))).select(*FULL_COLUMNS)
+    return build_full(batch_rows(bars(spark, sf_dir)))
 
 
 def minute_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

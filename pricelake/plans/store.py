@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType, MapType, StringType, StructField, Struct
 
 from pricelake.operators.lookup import price_history
 from pricelake.operators.serving import latest_by_either_order, latest_by_key, with_day_key
-from pricelake.plans.build import read_or_none, read_sharded, write_sharded
+from pricelake.plans.build import by_shard, read_or_none, read_sharded, write_shards
 from pricelake.schemas import DELTA, LAST_BAR, REJECTED, SERVING
 
 KEYS = ["pair", "price_date"]
@@ -78,7 +78,7 @@ def write_base(df: DataFrame, root: str, folded: dict[str, int] | None = None) -
     head = _manifest_head(spark, root)
     version = head["version"] + 1 if head else 1
     path = f"{root}/base/{version}-{uuid.uuid4().hex}"
-    write_sharded(_as_serving(df).dropna(subset=KEYS), path, KEYS)
+    write_shards(by_shard(_as_serving(df).dropna(subset=KEYS), *KEYS), path)
     entry = spark.createDataFrame([(version, path, folded or {})], MANIFEST)
     entry.coalesce(1).write.mode("append").json(f"{root}/manifest")
     return version

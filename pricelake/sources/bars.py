@@ -96,7 +96,10 @@ def read_bar_files(
                 for name in names
             ]
         )
-        parts.append(_bar_reader(spark, layout).csv(files).select(*columns, CORRUPT, origin))
+        # Chosen by metadata, which drops the other files from the listing, not
+        # by path, where names would be taken for patterns.
+        part = _bar_reader(spark, layout).csv(path).where(F.col("_metadata.file_path").isin(files))
+        parts.append(part.select(*columns, CORRUPT, origin))
     if not parts:
         raise ValueError(f"no bar files below {path}")
     frame = parts[0]

@@ -9,6 +9,8 @@ from pricelake.plans import registered
 from pricelake.plans.store import stored_history, write_base
 from pricelake.sources import write_lake
 from pricelake.operators import build_daily, price_history
+from pricelake.operators.serving import latest_seconds, with_texts
+from pricelake.plans.build import batch_rows, by_shard
 from tests.conftest import plan
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -38,8 +40,18 @@ def test_last_write_wins_aggregates_before_the_exchange(spark):
     assert "partial_max" in text.split("Exchange hashpartitioning")[1]
 
 
-def test_minute_table_is_reduced_and_laid_out_by_one_exchange(spark):
-    assert shuffles(plan(registered.minute_serving(spark, SF_DIR))) == ["rangepartitioning"]
+def test_minute_rows_are_limited_before_the_exchange(spark):
+    text = plan(registered.minute_serving(spark, SF_DIR))
+    assert shuffles(text) == ["hashpartitioning"]
+    assert "Partial" in text.split("Exchange hashpartitioning")[1]
+
+
+def test_minute_layout_needs_no_sort_of_its_own_for_the_write(spark):
+    batch = batch_rows(registered.bars(spark, SF_DIR))
+    text = plan(with_texts(by_shard(latest_seconds(batch), "pair", "_second"), ["shard"]))
+    assert shuffles(text) == ["rangepartitioning", "hashpartitioning"]
+    # Texts are derived above both exchanges.
+    assert "date_format" not in text.split("Exchange rangepartitioning")[1]
 
 
 def test_cells_are_regrouped_by_one_exchange(spark):

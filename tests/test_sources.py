@@ -52,6 +52,17 @@ def test_columns_are_matched_by_name(spark, folder):
     assert len(header_layouts(spark, folder)) == 3
 
 
+def test_odd_file_names_can_be_matched_by_name(spark, folder):
+    names = ["a b", "a+b", "a%b", "a%20b", "a[1]", "a{x,y}", "a*?"]
+    for number, name in enumerate(names):
+        header, values = (USUAL, BAR) if number % 2 else ("open,time,close,high,low,volume", "1,1364774820000,2,3,0.5,7")
+        put(folder, name + ".csv", header, values)
+    got = combine(read_bar_files(spark, folder, by_name=True))
+    assert sorted(row["pair"] for row in got.collect()) == sorted(names)
+    assert got.drop("pair").distinct().count() == 1
+    assert [row[0] for row in pairs_from_files(spark, folder).collect()] == sorted(names)
+
+
 def test_another_header_order_is_refused_without_by_name(spark, folder):
     put(folder, "two.csv", "time,close,open,low,high,volume", "1364774820000,2,1,0.5,3,7")
     with pytest.raises(Exception, match="CSV header does not conform"):
