@@ -50,7 +50,9 @@ def latest_seconds(batch: DataFrame) -> DataFrame:
     texts = ["price_date", "price_time", "full_timestamp"]
     rows = batch.drop(*texts).withColumn("_second", epoch_seconds(F.col("time_ms")))
     keyed = rows.where(F.col("pair").isNotNull() & F.col("_second").isNotNull())
-    tiebreak = _present(batch, ["seq", "close", "volume", "open", "high", "low"])
+    tiebreak = _present(
+        batch, ["event_time", "seq", "close", "volume", "open", "high", "low"]
+    )
     return closing_rows(keyed, ["pair", "_second"], ["time_ms"], tiebreak)
 
 
@@ -73,9 +75,8 @@ def build_daily(batch: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     order columns to carry along for the serving store.
     """
     keyed = batch.where(F.col("pair").isNotNull() & F.col("price_date").isNotNull())
-    rows = closing_rows(
-        keyed, ["pair", "price_date"], ["time_ms"], _present(batch, ["seq", "close", "volume"])
-    )
+    tiebreak = _present(batch, ["event_time", "seq", "close", "volume"])
+    rows = closing_rows(keyed, ["pair", "price_date"], ["time_ms"], tiebreak)
     return with_day_key(rows).select(*DAILY_COLUMNS, *keep)
 
 

@@ -69,21 +69,37 @@ def _as_serving(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def write_base(df: DataFrame, root: str, folded: dict[str, int] | None = None) -> int:
-    """Write ``df`` as the next snapshot and make it current; returns its version.
-
-    Rows without a full key are not stored: no lookup could name them.
-    """
-    spark = df.sparkSession
-    head = _manifest_head(spark, root)
+def _write_snapshot(rows: DataFrame, root: str, head: Row | None, folded: dict[str, int]) -> int:
+    spark = rows.sparkSession
     version = head["version"] + 1 if head else 1
     path = f"{root}/base/{version}-{uuid.uuid4().hex}"
-    write_shards(by_shard(_as_serving(df).dropna(subset=KEYS), *KEYS), path)
-    entry = spark.createDataFrame([(version, path, folded or {})], MANIFEST)
+    write_shards(by_shard(rows, *KEYS), path)
+    entry = spark.createDataFrame([(version, path, folded)], MANIFEST)
     entry.coalesce(1).write.mode("append").json(f"{root}/manifest")
     return version
 
 
+def write_base(df: DataFrame, root: str) -> int:
+    """Load batch-built daily rows (unique by key) as the next snapshot.
+
+    They replace the batch-built rows of their keys. Other keys and streamed
+    rows that earlier compactions put into the snapshot stay; which row of a key
+    is current is decided when the view is read. Rows without a full key are not
+    stored: no lookup could name them. Returns the new version.
+    """
+    spark = df.sparkSession
+    head = _manifest_head(spark, root)
+    rows = _as_serving(df).dropna(subset=KEYS)
+    if head is None:
+        return _write_snapshot(rows, root, None, {})
+    stored = _snapshot(spark, head)
+    streamed = F.col("arrived_at").isNotNull()
+    others = stored.where(~streamed).join(rows.select(*KEYS), KEYS, "left_anti")
+    kept = others.select(*SERVING.names).unionByName(stored.where(streamed))
+    merged = latest_by_either_order(rows.unionByName(kept), KEYS)
+    return _write_snapshot(merged, root, head, head["folded"])
+
+
 def _snapshot(spark: SparkSession, head: Row | None, pair: str | None = None) -> DataFrame | None:
     return read_sharded(spark, head["path"], SERVING, pair) if head else None
 
@@ -169,4 +185,4 @@ def compact(spark: SparkSession, root: str) -> int:
         delta = delta.where(F.col("run").isin(list(finished)))
         folded.update({run: max(last, folded.get(run, -1)) for run, last in finished.items()})
     rows = _all_rows(spark, _snapshot(spark, head), delta)
-    return write_base(latest_by_either_order(rows, KEYS), root, folded)
+    return _write_snapshot(latest_by_either_order(rows, KEYS), root, head, folded)

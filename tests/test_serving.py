@@ -227,11 +227,35 @@ def test_store_without_stream(spark, folder):
     for pair, count in (("p", 5), ("a/b=c%", 1), ("007", 1), ("nobody", 0)):
         assert stored_history(spark, folder, pair, "2024-01-01", "2024-01-31").count() == count
         assert current_view(spark, folder, pair=pair).count() == count
-    assert write_base(daily(spark, ("z",), 1), folder) == 3
-    assert current_view(spark, folder).count() == 1
-    assert _manifest_head(spark, folder)["version"] == 3
+    assert _manifest_head(spark, folder)["version"] == 2
+
+
+def test_a_batch_reload_replaces_its_own_keys_only(spark, folder):
+    write_base(daily(spark, ("p", "q"), 3), folder)
+    again = daily(spark, ("p", "z"), 2).withColumn("close", F.col("close") + 100)
+    assert write_base(again, folder) == 2
+    closes = {row["pair_date"]: row["close"] for row in current_view(spark, folder).collect()}
+    assert closes == {
+        "p_2024-01-01": 100.0,
+        "p_2024-01-02": 101.0,
+        "p_2024-01-03": 2.0,
+        "q_2024-01-01": 0.0,
+        "q_2024-01-02": 1.0,
+        "q_2024-01-03": 2.0,
+        "z_2024-01-01": 100.0,
+        "z_2024-01-02": 101.0,
+    }
+    # Lower prices replace as well: it is the load that counts.
+    write_base(daily(spark, ("p",), 1), folder)
+    assert stored_history(spark, folder, "p", "2024-01-01", "2024-01-01").first()["close"] == 0.0
     assert write_base(daily(spark).where("false"), folder) == 4
+    assert current_view(spark, folder).count() == 8
+
+
+def test_an_empty_store_can_be_read(spark, folder):
+    write_base(daily(spark).where("false"), folder)
     assert current_view(spark, folder).count() == 0
+    assert stored_history(spark, folder, "p", "2024-01-01", "2024-01-02").count() == 0
 
 
 def test_minute_table_is_stored_by_shard(spark, folder):

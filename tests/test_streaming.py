@@ -201,6 +201,30 @@ def test_batch_and_stream_meet_under_one_key(spark, folder, tmp_path):
     assert kinds == {1: "last_bar", 2: "rolling_24h", 3: "last_bar", 4: "rolling_24h"}
 
 
+def test_a_batch_reload_keeps_what_was_streamed(spark, folder, tmp_path):
+    (tmp_path / "in").mkdir()
+    root = f"{folder}/store"
+    schema = "pair string, price_date date, close double, volume double, event_time timestamp"
+
+    def load(close, hour):
+        at = dt.datetime(2024, 1, 1, hour)
+        write_base(spark.createDataFrame([("btcusd", at.date(), close, 1.0, at)], schema), root)
+
+    load(1.0, 9)
+    for name, at in (("a", "10:00:00"), ("b", "11:00:00")):
+        put(folder, f"in/{name}", message(close=at[:2], at=at), message(pair="x", at=at, close="5"))
+        run(spark, f"{folder}/in", root, f"{folder}/cp")
+    compact(spark, root)
+    folded = _manifest_head(spark, root)["folded"]
+    load(2.0, 10)
+    assert _manifest_head(spark, root)["folded"] == folded
+    keys = ("btcusd_2024-01-01", "x_2024-01-01")
+    assert closes(current_view(spark, root)) == dict(zip(keys, (11.0, 5.0)))
+    load(3.0, 12)
+    assert closes(current_view(spark, root)) == dict(zip(keys, (3.0, 5.0)))
+    assert closes(current_view(spark, root, "arrival")) == dict(zip(keys, (11.0, 5.0)))
+
+
 def test_compaction_keeps_both_orders(spark, folder, tmp_path):
     (tmp_path / "in").mkdir()
     root = f"{folder}/store"
