@@ -120,7 +120,9 @@ def latest_by_either_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def to_cells(df: DataFrame, key: str, columns: Sequence[str], version: str | None = None) -> DataFrame:
+def to_cells(
+    df: DataFrame, key: str, columns: Sequence[str], version: str | None = None
+) -> DataFrame:
     """Wide rows to (key, column, value[, version]); a null is no cell."""
     kept = [key] + ([version] if version else [])
     texts = df.select(

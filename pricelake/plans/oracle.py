@@ -94,8 +94,13 @@ sides AS (
          (hour(event_time) >= 12) = (price_date <= DATE '2024-01-15') AS in_base
   FROM t
 ),
-base AS ({_last("(SELECT * FROM sides WHERE in_base)", _NEWEST, "pair, price_date, close, volume, event_time, seq")}
-),
+base AS ({
+    _last(
+        "(SELECT * FROM sides WHERE in_base)",
+        _NEWEST,
+        "pair, price_date, close, volume, event_time, seq",
+    )
+}),
 both_sides AS (
   SELECT *, 'last_bar' AS volume_kind, 0 AS streamed FROM base
   UNION ALL
@@ -201,6 +206,14 @@ UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
         _TICKS,
         select=_last("t", _NEWEST, "pair, price_date, close, volume, 'last_bar' AS volume_kind"),
     ),
+    "snapshot_reload": _with(
+        _TICKS,
+        """
+l AS (
+  SELECT *, price_date > DATE '2024-01-15' AND hour(event_time) < 12 AS reloaded FROM t
+)""",
+        select=_last("l", f"reloaded DESC, {_NEWEST}", _DAILY),
+    ),
     "price_range": _with(
         _TICKS,
         _daily_cte,

@@ -315,6 +315,18 @@ def daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_base(spark, root).select("pair", "price_date", "close", "volume", "volume_kind")
 
 
+def snapshot_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch load replaces its own keys, here by older rows, and no others."""
+    root = scratch_dir(spark, "store")
+    rows = ticks(spark, sf_dir)
+    reloaded = (F.col("price_date") > F.lit("2024-01-15").cast("date")) & (
+        F.hour("event_time") < 12
+    )
+    for part in (rows.where(~reloaded), rows.where(reloaded)):
+        write_base(build_daily(part, keep=["event_time", "seq"]), root)
+    return current_view(spark, root).select(*DAILY_COLUMNS)
+
+
 def price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_history(daily(spark, sf_dir), "click", "2024-01-08", "2024-01-14")
 
@@ -563,11 +575,11 @@ def _fan_out(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 def fan_out_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(_fan_out(spark, sf_dir)["backend"])
-    return _numbers(rows).drop("event_time", "batch")
+    return _numbers(rows).drop("event_time", "run", "batch")
 
 
 def fan_out_frontend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numbers(spark.read.parquet(_fan_out(spark, sf_dir)["frontend"])).drop("batch")
+    return _numbers(spark.read.parquet(_fan_out(spark, sf_dir)["frontend"])).drop("run", "batch")
 
 
 def latest_nine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -606,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "minute_serving": minute_serving,
     "minute_snapshot": minute_snapshot,
     "daily_snapshot": daily_snapshot,
+    "snapshot_reload": snapshot_reload,
     "price_range": price_range,
     "price_range_display": price_range_display,
     "key_range_scan": key_range_exclusive,

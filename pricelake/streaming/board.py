@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricelake.operators.latest import BOARD_ROWS, latest_n
+from pricelake.plans.build import read_or_none
 from pricelake.streaming.ticks import DEFAULT_TRIGGER
 
 _TICK = ["pair", "event_time", "seq", "close", "volume"]
@@ -46,12 +47,17 @@ def latest_n_stream(
 
     A batch reads the folder of the batch before it and replaces its own, so a
     retry gives the same board. The checkpoint and ``path`` belong together: a
-    new checkpoint needs a new path.
+    new checkpoint is refused where another one's boards are.
     """
 
     def write(batch_df: DataFrame, batch: int) -> None:
         spark = batch_df.sparkSession
-        before = spark.read.schema(BOARD).parquet(_folder(path, batch - 1)) if batch else None
+        if batch:
+            before = spark.read.schema(BOARD).parquet(_folder(path, batch - 1))
+        elif read_or_none(lambda: spark.read.parquet(_folder(path, 1))) is not None:
+            raise ValueError(f"{path} holds the boards of another checkpoint")
+        else:
+            before = None
         merge_board(before, batch_df, n).write.mode("overwrite").parquet(_folder(path, batch))
 
     return (

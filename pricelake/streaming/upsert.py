@@ -13,15 +13,26 @@ from pricelake.operators.serving import latest_by_either_order
 from pricelake.plans.store import KEYS, delta_path, quarantine_path
 from pricelake.streaming.ticks import DEFAULT_TRIGGER, split_valid, to_messages
 
-BatchWriter = Callable[[DataFrame, int], None]
+# Writes one output's rows of a micro-batch; the text names the batch as a folder.
+BatchWriter = Callable[[DataFrame, str], None]
 
 
-def run_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id Spark gave this checkpoint when its query first started.
+class BatchFolders:
+    """Names the folder of each micro-batch of one checkpoint.
 
-    Batch numbers restart with a new checkpoint, so folders carry this id too.
+    Batch numbers restart with a new checkpoint, so the folder also carries the
+    id Spark gave the checkpoint when its query first started.
     """
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+    def __init__(self, checkpoint: str):
+        self.checkpoint = checkpoint
+        self.run: str | None = None
+
+    def name(self, spark: SparkSession, batch: int) -> str:
+        if self.run is None:
+            metadata = spark.read.text(f"{self.checkpoint}/metadata").first()["value"]
+            self.run = json.loads(metadata)["id"]
+        return f"run={self.run}/batch={batch}"
 
 
 def start_upsert(
@@ -37,12 +48,10 @@ def start_upsert(
     reduced to the ticks that can still win a merge: at most two per pair and
     day, whatever the tick rate.
     """
-    runs: list[str] = []  # known once the query has started
+    folders = BatchFolders(checkpoint)
 
     def write(batch_df: DataFrame, batch: int) -> None:
-        if not runs:
-            runs.append(run_id(batch_df.sparkSession, checkpoint))
-        run = runs[0]
+        folder = folders.name(batch_df.sparkSession, batch)
         # Only a rejected record's text is needed again, so only that is cached.
         raw = F.when(F.col("reason").isNotNull(), F.col("raw"))
         batch_df = batch_df.withColumn("raw", raw).persist()
@@ -55,11 +64,9 @@ def start_upsert(
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
                 .partitionBy("price_date")
-                .parquet(f"{delta_path(root)}/run={run}/batch={batch}")
-            )
-            rejected.write.mode("overwrite").parquet(
-                f"{quarantine_path(root)}/run={run}/batch={batch}"
+                .parquet(f"{delta_path(root)}/{folder}")
             )
+            rejected.write.mode("overwrite").parquet(f"{quarantine_path(root)}/{folder}")
         finally:
             batch_df.unpersist()
 
@@ -72,18 +79,24 @@ def start_upsert(
 
 
 def parquet_batches(path: str) -> BatchWriter:
-    """A fan-out output that keeps each batch in a folder of its own."""
+    """A fan-out output that keeps each batch in a folder of its own.
 
-    def write(df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    A retried batch replaces its folder.
+    """
+
+    def write(df: DataFrame, folder: str) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/{folder}")
 
     return write
 
 
 def queue_batches(options: Mapping[str, str], format: str = "kafka") -> BatchWriter:
-    """A fan-out output that publishes JSON messages keyed by pair."""
+    """A fan-out output that publishes JSON messages keyed by pair.
+
+    A retried batch is published again, which last write wins makes harmless.
+    """
 
-    def write(df: DataFrame, batch: int) -> None:
+    def write(df: DataFrame, folder: str) -> None:
         to_messages(df).write.format(format).options(**options).save()
 
     return write
@@ -99,12 +112,14 @@ def fan_out(
 
     The source is read once per micro-batch, not once per output.
     """
+    folders = BatchFolders(checkpoint)
 
     def write(batch_df: DataFrame, batch: int) -> None:
+        folder = folders.name(batch_df.sparkSession, batch)
         batch_df = batch_df.persist()
         try:
             for project, write_batch in outputs.values():
-                write_batch(project(batch_df), batch)
+                write_batch(project(batch_df), folder)
         finally:
             batch_df.unpersist()
 

@@ -2,6 +2,8 @@ import datetime as dt
 import json
 
 from tests.conftest import rows
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pricelake.operators import (
@@ -313,6 +315,9 @@ def test_stream_board_equals_batch_board(spark, folder, tmp_path):
     want = latest_n(split_valid(parse_ticks(messages))[0]).select(*columns)
     assert rows(board) == rows(want) and board.count() == 35
 
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        latest_n_stream(valid, f"{folder}/board", f"{folder}/cp2", trigger=NOW).awaitTermination()
+
 
 def test_kafka_is_named_with_its_defaults(spark, monkeypatch):
     """The connector is not installed here; only its options can be checked."""
