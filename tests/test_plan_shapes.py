@@ -9,8 +9,9 @@ from pricelake.plans import registered
 from pricelake.plans.store import stored_history, write_base
 from pricelake.sources import write_lake
 from pricelake.operators import build_daily, price_history
-from pricelake.operators.serving import latest_seconds, with_texts
+from pricelake.operators.serving import latest_by_either_order, latest_seconds, with_texts
 from pricelake.plans.build import batch_rows, by_shard
+from pricelake.streaming import merge_board
 from tests.conftest import plan
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,6 +41,20 @@ def test_last_write_wins_aggregates_before_the_exchange(spark):
     assert "partial_max" in text.split("Exchange hashpartitioning")[1]
 
 
+def test_stream_batches_are_reduced_before_the_exchange(spark):
+    rows = registered.ticks(spark, SF_DIR).drop("time_ms")
+    arrived = rows.withColumns({"arrived_at": F.current_timestamp(), "batch": F.lit(1)})
+    text = plan(latest_by_either_order(arrived, ["pair", "price_date"]))
+    assert shuffles(text) == ["hashpartitioning"]
+    assert "partial_max_by" in text.split("Exchange hashpartitioning")[1]
+
+
+def test_board_is_limited_before_the_exchange(spark):
+    rows = registered.ticks(spark, SF_DIR)
+    text = plan(merge_board(merge_board(None, rows), rows))
+    assert all("Partial" in part for part in text.split("Exchange hashpartitioning")[1:])
+
+
 def test_minute_rows_are_limited_before_the_exchange(spark):
     text = plan(registered.minute_serving(spark, SF_DIR))
     assert shuffles(text) == ["hashpartitioning"]
