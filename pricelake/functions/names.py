@@ -21,8 +21,11 @@ def pair_from_path(path: Column) -> Column:
 
 
 def stem_from_path(path: Column) -> Column:
-    """File name without its last extension: ``/x/a.b.csv`` gives ``a.b``."""
-    return F.regexp_replace(_file_name(path), r"(?<=.)\.[^.]*$", "")
+    """File name without its last extension: ``/x/a.b.csv`` gives ``a.b``.
+
+    Dots a name starts with do not begin an extension.
+    """
+    return F.regexp_replace(_file_name(path), r"^(\.*[^.].*)\.[^.]*$", "$1")
 
 
 def pair_from_product(product: Column) -> Column:

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,8 +51,9 @@ def test_names_from_paths(spark, path, pair, stem):
     assert one(spark, path, stem_from_path) == stem
 
 
-def test_a_leading_dot_is_no_extension(spark):
-    assert one(spark, "/x/.csv", stem_from_path) == ".csv"
+@pytest.mark.parametrize("name", [".csv", "..csv", "a..csv", "a.", ".a.csv", "a", "a.b.c"])
+def test_stems_are_those_of_splitext(spark, name):
+    assert one(spark, f"/x/{name}", stem_from_path) == os.path.splitext(name)[0]
 
 
 @pytest.mark.parametrize(
