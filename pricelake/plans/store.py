@@ -93,11 +93,9 @@ def write_base(df: DataFrame, root: str) -> int:
     if head is None:
         return _write_snapshot(rows, root, None, {})
     stored = _snapshot(spark, head)
-    streamed = F.col("arrived_at").isNotNull()
-    others = stored.where(~streamed).join(rows.select(*KEYS), KEYS, "left_anti")
-    kept = others.select(*SERVING.names).unionByName(stored.where(streamed))
-    merged = latest_by_either_order(rows.unionByName(kept), KEYS)
-    return _write_snapshot(merged, root, head, head["folded"])
+    others = stored.where("arrived_at IS NULL").join(rows.select(*KEYS), KEYS, "left_anti")
+    kept = others.select(*SERVING.names).unionByName(stored.where("arrived_at IS NOT NULL"))
+    return _write_snapshot(rows.unionByName(kept), root, head, head["folded"])
 
 
 def _snapshot(spark: SparkSession, head: Row | None, pair: str | None = None) -> DataFrame | None:
@@ -105,8 +103,8 @@ def _snapshot(spark: SparkSession, head: Row | None, pair: str | None = None) ->
 
 
 def read_base(spark: SparkSession, root: str) -> DataFrame | None:
-    """The current snapshot: one row per key, or two where the newest by event
-    time is not the last to arrive."""
+    """The current snapshot. Per key it has at most one batch-built row and the
+    streamed rows that can still be current, see ``compact``."""
     return _snapshot(spark, _manifest_head(spark, root))
 
 
@@ -168,7 +166,9 @@ def stored_history(
 def compact(spark: SparkSession, root: str) -> int:
     """Fold finished delta batches into the next snapshot; returns its version.
 
-    The newest batch of each run may still be written, so it is left to the
+    Of a key's streamed rows the winners of both merge orders are kept; its
+    batch-built row is kept beside them, so that a later batch load can replace
+    it. The newest batch of each run may still be written, so it is left to the
     next call. One compaction at a time; readers and the stream keep going.
     Folders of folded batches can be expired by age afterwards.
     """
@@ -185,4 +185,6 @@ def compact(spark: SparkSession, root: str) -> int:
         delta = delta.where(F.col("run").isin(list(finished)))
         folded.update({run: max(last, folded.get(run, -1)) for run, last in finished.items()})
     rows = _all_rows(spark, _snapshot(spark, head), delta)
-    return _write_snapshot(latest_by_either_order(rows, KEYS), root, head, folded)
+    sided = rows.withColumn("_streamed", F.col("arrived_at").isNotNull())
+    kept = latest_by_either_order(sided, [*KEYS, "_streamed"]).drop("_streamed")
+    return _write_snapshot(kept, root, head, folded)

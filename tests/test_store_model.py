@@ -1,0 +1,95 @@
+"""The store against a plain model, over random loads, deliveries and compactions."""
+
+import datetime as dt
+import json
+import random
+
+import pytest
+
+from pricelake.plans import compact, current_view, stored_history, write_base
+from pricelake.streaming import parse_ticks, read_ticks, start_upsert
+
+PAIRS = ["hot", "hot", "hot", "a", "b"]
+DAY = dt.date(2024, 1, 1)
+LOAD = "pair string, price_date date, close double, volume double, event_time timestamp, seq long"
+
+
+class Model:
+    def __init__(self):
+        self.loaded = {}
+        self.streamed = {}
+        self.deliveries = 0
+
+    def load(self, rows):
+        for row in rows:
+            self.loaded[row[:2]] = row
+
+    def deliver(self, rows):
+        self.deliveries += 1
+        for row in rows:
+            self.streamed.setdefault(row[:2], []).append((self.deliveries, row))
+
+    def view(self, order):
+        current = {}
+        for key in {*self.loaded, *self.streamed}:
+            streamed = self.streamed.get(key, [])
+            if order == "arrival" and streamed:
+                current[key] = max(streamed, key=lambda item: (item[0], item[1][5]))[1]
+            else:
+                rows = [row for _, row in streamed]
+                rows += [self.loaded[key]] if key in self.loaded else []
+                current[key] = max(rows, key=lambda row: (row[4], row[5]))
+        return {key: row[2] for key, row in current.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_store_follows_the_model(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    model, root, inbox = Model(), str(tmp_path / "store"), tmp_path / "in"
+    inbox.mkdir()
+    numbers = iter(range(10_000))
+    start = dt.datetime(2024, 1, 1)
+
+    def tick(pair, day):
+        at = start + dt.timedelta(days=day, seconds=rng.randrange(86_400))
+        number = next(numbers)
+        return (pair, at.date(), float(number), 1.0, at, number)
+
+    def load():
+        keys = {(rng.choice(PAIRS), rng.randrange(3)) for _ in range(5)}
+        rows = [tick(*key) for key in sorted(keys)]
+        model.load(rows)
+        write_base(spark.createDataFrame(rows, LOAD), root)
+
+    def deliver():
+        rows = [tick(rng.choice(PAIRS), rng.randrange(3)) for _ in range(30)]
+        model.deliver(rows)
+        lines = [
+            json.dumps(
+                {
+                    "pair": row[0],
+                    "price_date": str(row[1]),
+                    "close": str(row[2]),
+                    "volume": "1",
+                    "event_time": row[4].isoformat() + "Z",
+                    "seq": row[5],
+                }
+            )
+            for row in rows
+        ]
+        (inbox / f"d{model.deliveries}").write_text("\n".join(lines) + "\n")
+        stream = parse_ticks(read_ticks(spark, "text", path=str(inbox)))
+        start_upsert(stream, root, str(tmp_path / "cp"), {"availableNow": True}).awaitTermination()
+
+    for step in [deliver, *rng.choices([load, deliver, lambda: compact(spark, root)], k=7), load]:
+        step()
+        for order in ("event_time", "arrival"):
+            got = current_view(spark, root, order).collect()
+            assert len(got) == len({row["pair_date"] for row in got})
+            view = {(row["pair"], row["price_date"]): row["close"] for row in got}
+            assert view == model.view(order)
+    found = stored_history(spark, root, "hot", "2024-01-01", "2024-01-03").collect()
+    want = model.view("event_time")
+    assert {("hot", row["price_date"]): row["close"] for row in found} == {
+        key: close for key, close in want.items() if key[0] == "hot"
+    }
