@@ -25,6 +25,11 @@ def read_or_none(read) -> DataFrame | None:
         raise
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    return spark.range(0).select(*columns)
+
+
 def build_lake(spark: SparkSession, bar_files: str, lake: str, by_name: bool = False) -> DataFrame:
     """Bar files to the partitioned lake: one narrow pass, no shuffle."""
     write_lake(combine(read_bar_files(spark, bar_files, by_name=by_name)), lake)
@@ -90,7 +95,7 @@ def read_sharded(
     number = spark.sql("SELECT 1").select(shard_of(F.lit(pair))).first()[0]
     folder = read_or_none(lambda: reader.parquet(f"{path}/shard={number}"))
     if folder is None:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return folder.where(F.col("pair") == pair).select(*schema.names)
 
 

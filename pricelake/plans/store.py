@@ -5,7 +5,7 @@ Layout below ``root``:
     base/<version>-<id>/shard=...           one snapshot per version
     manifest/                               one JSON row per version, appended
     delta/run=<id>/batch=<n>/price_date=... streamed rows
-    quarantine/run=<id>/batch=<n>           rejected records
+    quarantine/run=<id>/batch=<n>/reason=.. rejected records
 
 Nothing that is read is ever overwritten. A snapshot counts once its manifest
 row exists, and that row also names the delta batches the snapshot contains, so
@@ -15,6 +15,7 @@ readers skip them by folder.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql.types import LongType, MapType, StringType, StructField, Struct
 
 from pricelake.operators.lookup import price_history
 from pricelake.operators.serving import latest_by_either_order, latest_by_key, with_day_key
-from pricelake.plans.build import by_shard, read_or_none, read_sharded, write_shards
+from pricelake.plans.build import by_shard, empty, read_or_none, read_sharded, write_shards
 from pricelake.schemas import DELTA, LAST_BAR, REJECTED, SERVING
 
 KEYS = ["pair", "price_date"]
@@ -74,8 +75,9 @@ def _write_snapshot(rows: DataFrame, root: str, head: Row | None, folded: dict[s
     version = head["version"] + 1 if head else 1
     path = f"{root}/base/{version}-{uuid.uuid4().hex}"
     write_shards(by_shard(rows, *KEYS), path)
-    entry = spark.createDataFrame([(version, path, folded)], MANIFEST)
-    entry.coalesce(1).write.mode("append").json(f"{root}/manifest")
+    entry = json.dumps({"version": version, "path": path, "folded": folded})
+    line = spark.sql("SELECT 1").select(F.lit(entry).alias("value"))
+    line.write.mode("append").text(f"{root}/manifest")
     return version
 
 
@@ -126,7 +128,7 @@ def _beyond(delta: DataFrame, folded: dict[str, int]) -> DataFrame:
 def _all_rows(spark: SparkSession, base: DataFrame | None, delta: DataFrame | None) -> DataFrame:
     parts = [part.select(*SERVING.names) for part in (base, delta) if part is not None]
     if not parts:
-        return spark.createDataFrame([], SERVING)
+        return empty(spark, SERVING)
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)

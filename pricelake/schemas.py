@@ -88,7 +88,7 @@ SHARD = StructField("shard", IntegerType(), True)
 # Delta log: the serving row below run=/batch=/price_date= folders.
 DELTA = StructType([*SERVING.fields, StructField("run", StringType(), True)])
 
-# Rejected record below run=/batch= folders.
+# Rejected record below run=/batch=/reason= folders.
 REJECTED = _struct(
     raw=StringType(),
     reason=StringType(),

@@ -35,6 +35,15 @@ class BatchFolders:
         return f"run={self.run}/batch={batch}"
 
 
+def _replace(df: DataFrame, path: str, folders: str) -> None:
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(folders)
+        .parquet(path)
+    )
+
+
 def start_upsert(
     parsed: DataFrame,
     root: str,
@@ -58,15 +67,10 @@ def start_upsert(
         try:
             valid, rejected = split_valid(batch_df)
             winners = latest_by_either_order(valid.withColumn("batch", F.lit(batch)), KEYS)
-            (
-                winners.drop("batch")
-                .repartition("price_date")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy("price_date")
-                .parquet(f"{delta_path(root)}/{folder}")
-            )
-            rejected.write.mode("overwrite").parquet(f"{quarantine_path(root)}/{folder}")
+            by_day = winners.drop("batch").repartition("price_date")
+            _replace(by_day, f"{delta_path(root)}/{folder}", "price_date")
+            # Foldered too: a batch without rejects then leaves no empty file.
+            _replace(rejected, f"{quarantine_path(root)}/{folder}", "reason")
         finally:
             batch_df.unpersist()
 
