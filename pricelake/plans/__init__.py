@@ -6,6 +6,7 @@ from pricelake.plans.build import (
     build_lake,
     daily_table,
     read_full,
+    register_views,
     write_full,
 )
 from pricelake.plans.store import (
@@ -29,6 +30,7 @@ __all__ = [
     "read_delta",
     "read_full",
     "read_quarantine",
+    "register_views",
     "stored_history",
     "write_base",
     "write_full",

@@ -9,7 +9,7 @@ from pyspark.sql.utils import AnalysisException
 
 from pricelake.functions import shard_of
 from pricelake.operators.batch import combine, drop_header_rows, expand_time
-from pricelake.operators.serving import build_daily, latest_seconds, with_texts
+from pricelake.operators.serving import build_daily, build_full, latest_seconds, with_texts
 from pricelake.schemas import FULL, SHARD
 from pricelake.sources.bars import read_bar_files, read_lake
 from pricelake.sources.sinks import write_lake
@@ -103,5 +103,18 @@ def read_full(spark: SparkSession, path: str, pair: str | None = None) -> DataFr
     return read_sharded(spark, path, FULL, pair)
 
 
+def register_views(combined: DataFrame) -> None:
+    """The tables as views for SQL users; a query over them plans like the operators."""
+    batch = batch_rows(combined)
+    views = {
+        "bars": combined,
+        "batch_prices": batch,
+        "minute_prices": build_full(batch),
+        "daily_prices": build_daily(batch),
+    }
+    for name, frame in views.items():
+        frame.createOrReplaceTempView(name)
+
+
 def daily_table(batch: DataFrame) -> DataFrame:
     return build_daily(batch).orderBy("pair", "price_date")

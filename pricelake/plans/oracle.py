@@ -175,6 +175,19 @@ UNION ALL SELECT 'orders', count(*) FROM orders
 UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     "daily_close": _with(_TICKS, select=_last("t", _NEWEST, _DAILY)),
     "daily_close_maxby": _with(_TICKS, select=_last("t", _NEWEST, _DAILY)),
+    "sql_closing_rows": _with(_TICKS, select=_last("t", _TEXT_ORDER, _DAILY)),
+    "sql_counts": _with(
+        _TICKS,
+        _BATCH,
+        select="""
+SELECT 'batch' AS name, count(*) AS rows, min(price_date) AS first, max(price_date) AS last FROM b
+UNION ALL
+SELECT 'minute', count(*), min(price_date), max(price_date)
+FROM (SELECT DISTINCT pair, price_date, price_time FROM b)
+UNION ALL
+SELECT 'daily', count(*), min(price_date), max(price_date)
+FROM (SELECT DISTINCT pair, price_date FROM b)""",
+    ),
     "daily_close_orders": _last(
         """(
     SELECT o_orderpriority AS pair, CAST(o_orderdate AS DATE) AS price_date,

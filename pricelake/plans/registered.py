@@ -50,6 +50,7 @@ from pricelake.plans import (
     read_base,
     read_full,
     read_quarantine,
+    register_views,
     stored_history,
     write_base,
     write_full,
@@ -269,6 +270,39 @@ def daily_close_maxby(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_day_key(latest_by_key(rows, ["pair", "price_date"])).select(*DAILY_COLUMNS)
 
 
+def sql_closing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closing rows as a user writes them in SQL, over the batch view."""
+    register_views(bars(spark, sf_dir).select(*COMBINED_COLUMNS))
+    return spark.sql(
+        """
+        SELECT concat(pair, '_', price_date) AS pair_date, pair, price_date, close, volume
+        FROM (
+          SELECT *, row_number() OVER (
+            PARTITION BY pair, price_date ORDER BY time_ms DESC, close DESC, volume DESC
+          ) AS place
+          FROM batch_prices
+        )
+        WHERE place = 1
+        ORDER BY pair, price_date
+        """
+    )
+
+
+def sql_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts and the span of days of each view, in SQL."""
+    register_views(bars(spark, sf_dir).select(*COMBINED_COLUMNS))
+    return spark.sql(
+        """
+        SELECT 'batch' AS name, count(*) AS rows, min(price_date) AS first, max(price_date) AS last
+        FROM batch_prices
+        UNION ALL
+        SELECT 'minute', count(*), min(price_date), max(price_date) FROM minute_prices
+        UNION ALL
+        SELECT 'daily', count(*), min(price_date), max(price_date) FROM daily_prices
+        """
+    )
+
+
 def daily_close_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.col("o_orderdate").cast("timestamp")
     rows = table(spark, sf_dir, "orders").select(
@@ -613,6 +647,8 @@ QUERIES: dict[str, Query] = {
     "audit_counts": audit,
     "daily_close": daily_close,
     "daily_close_maxby": daily_close_maxby,
+    "sql_closing_rows": sql_closing_rows,
+    "sql_counts": sql_counts,
     "daily_close_orders": daily_close_orders,
     "daily_close_lineitem": daily_close_lineitem,
     "minute_serving": minute_serving,
