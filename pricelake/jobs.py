@@ -4,7 +4,9 @@
     batch   lake or combined text -> batch table
     full    batch table -> minute serving table
     daily   batch table -> next snapshot of the daily serving store
-    stream  queue -> delta log of the store, until stopped
+    feed    feed messages -> back-end ticks (queue or files) and front-end rows
+    stream  queued ticks -> delta log of the store, until stopped
+    board   queued ticks -> newest nine per pair, until stopped
     compact delta log -> next snapshot
     lookup  pair and dates -> rows, printed or written
     pairs   known pairs of a folder of bar files
@@ -15,8 +17,18 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-
-from pricelake.operators import build_daily, format_row, pairs_from_files
+from pyspark.sql.streaming import StreamingQuery
+
+from pricelake.operators import (
+    build_daily,
+    format_row,
+    pairs_from_files,
+    parse_feed,
+    select_products,
+    ticker_only,
+    to_backend,
+    to_frontend,
+)
 from pricelake.plans import (
     build_batch,
     build_lake,
@@ -27,7 +39,16 @@ from pricelake.plans import (
 )
 from pricelake.session import DEFAULTS, configure
 from pricelake.sources import export_csv, read_combined, read_lake
-from pricelake.streaming import parse_ticks, read_ticks, start_upsert
+from pricelake.streaming import (
+    fan_out,
+    latest_n_stream,
+    parquet_batches,
+    parse_ticks,
+    queue_batches,
+    read_ticks,
+    split_valid,
+    start_upsert,
+)
 
 SHOWN_ROWS = 1000  # printed rows; the whole result goes to --out
 
@@ -50,12 +71,15 @@ def _arguments() -> argparse.ArgumentParser:
     batch.add_argument("--if-not-exists", action="store_true")
     step("full", "batch", "table")
     step("daily", "batch", "store")
-    stream = step("stream", "store", "checkpoint")
-    stream.add_argument("--brokers")
-    stream.add_argument("--topic")
-    stream.add_argument("--inbox", help="read text files of this folder instead of a queue")
-    stream.add_argument("--interval", default="30 seconds")
-    stream.add_argument("--once", action="store_true", help="stop when nothing is left to read")
+    feed = step("feed", "outputs", "checkpoint")
+    feed.add_argument("--products", nargs="*", help="product ids to keep; all by default")
+    feed.add_argument("--out-topic", help="publish back-end ticks here instead of to files")
+    for stream in (feed, step("stream", "store", "checkpoint"), step("board", "path", "checkpoint")):
+        stream.add_argument("--brokers")
+        stream.add_argument("--topic")
+        stream.add_argument("--inbox", help="read text files of this folder instead of a queue")
+        stream.add_argument("--interval", default="30 seconds")
+        stream.add_argument("--once", action="store_true", help="stop when nothing is left to read")
     step("compact", "store")
     lookup = step("lookup", "store", "pair", "start", "end")
     lookup.add_argument("--order", choices=("event_time", "arrival"), default="event_time")
@@ -72,14 +96,37 @@ def _give(rows: DataFrame, out: str | None) -> None:
         rows.show(SHOWN_ROWS, truncate=False)
 
 
-def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
+def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.inbox:
-        messages = read_ticks(spark, "text", path=args.inbox)
+        return read_ticks(spark, "text", path=args.inbox)
+    options = {"kafka.bootstrap.servers": args.brokers, "subscribe": args.topic}
+    return read_ticks(spark, "kafka", options)
+
+
+def _feed_outputs(args: argparse.Namespace) -> dict:
+    if args.out_topic:
+        options = {"kafka.bootstrap.servers": args.brokers, "topic": args.out_topic}
+        backend = queue_batches(options)
     else:
-        options = {"kafka.bootstrap.servers": args.brokers, "subscribe": args.topic}
-        messages = read_ticks(spark, "kafka", options)
+        backend = parquet_batches(f"{args.outputs}/backend")
+    return {
+        "backend": (to_backend, backend),
+        "frontend": (to_frontend, parquet_batches(f"{args.outputs}/frontend")),
+    }
+
+
+def _start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     trigger = {"availableNow": True} if args.once else {"processingTime": args.interval}
-    start_upsert(parse_ticks(messages), args.store, args.checkpoint, trigger).awaitTermination()
+    messages = _messages(spark, args)
+    if args.step == "stream":
+        return start_upsert(parse_ticks(messages), args.store, args.checkpoint, trigger)
+    if args.step == "board":
+        valid, _ = split_valid(parse_ticks(messages))
+        return latest_n_stream(valid, args.path, args.checkpoint, trigger=trigger)
+    feed = ticker_only(parse_feed(messages.select("value")))
+    if args.products:
+        feed = select_products(feed, args.products)
+    return fan_out(feed, _feed_outputs(args), args.checkpoint, trigger)
 
 
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
@@ -97,8 +144,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         write_full(spark.read.parquet(args.batch), args.table)
     elif args.step == "daily":
         write_base(build_daily(spark.read.parquet(args.batch), keep=["time_ms"]), args.store)
-    elif args.step == "stream":
-        _stream(spark, args)
+    elif args.step in ("feed", "stream", "board"):
+        _start(spark, args).awaitTermination()
     elif args.step == "compact":
         compact(spark, args.store)
     elif args.step == "lookup":

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from pricelake import jobs
+from pricelake.streaming import read_board
 
 HEADER = "time,open,close,high,low,volume"
 MINUTE = 60_000
@@ -33,6 +34,8 @@ def test_files_to_lookup(spark, tmp_path, capsys):
     run("full", tmp_path / "batch", tmp_path / "full")
     run("daily", tmp_path / "batch", tmp_path / "store")
     run("stream", tmp_path / "store", tmp_path / "cp", "--inbox", inbox, "--once")
+    run("board", tmp_path / "board", tmp_path / "cp2", "--inbox", inbox, "--once")
+    assert read_board(spark, str(tmp_path / "board")).count() == 1
     run("compact", tmp_path / "store")
     assert spark.read.parquet(str(tmp_path / "full")).count() == 2 * 3 * 1440
     out = run("lookup", tmp_path / "store", "btcusd", "2024-01-02", "2024-01-31")
@@ -47,3 +50,31 @@ def test_files_to_lookup(spark, tmp_path, capsys):
     assert spark.read.csv(str(tmp_path / "listed"), header=True).count() == 2
     with pytest.raises(ValueError):
         run("lookup", tmp_path / "store", "btcusd", "2024-1-2", "2024-01-31")
+
+
+def test_feed_to_both_outputs(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    lines = [
+        json.dumps(dict(type="ticker", product_id=product, time="2024-01-05T10:00:00Z", price="1",
+                        volume_24h="2", last_size="3"))
+        for product in ("BTC-USD", "ETH-USD", "DOGE-USD")
+    ]
+    (inbox / "a").write_text("\n".join([*lines, '{"type":"heartbeat"}']) + "\n")
+    argv = ["feed", tmp_path / "out", tmp_path / "cp", "--inbox", inbox, "--once",
+            "--products", "BTC-USD", "ETH-USD"]
+    jobs.run(spark, [str(arg) for arg in argv])
+    for name, pairs in (("backend", {"btcusd", "ethusd"}), ("frontend", {"BTC-USD", "ETH-USD"})):
+        stored = spark.read.parquet(str(tmp_path / "out" / name))
+        assert {row["pair"] for row in stored.collect()} == pairs
+
+
+def test_text_source_and_second_variant(spark, tmp_path):
+    text = tmp_path / "combined"
+    text.mkdir()
+    (text / "part.csv").write_text(f'pair,{HEADER}\n"a,b",{START},1,2,3,0.5,7\n')
+    argv = ["batch", text, tmp_path / "batch", "--text", "--quoted", "--variant", "b"]
+    for extra in ([], ["--if-not-exists"]):
+        jobs.run(spark, [str(arg) for arg in [*argv, *extra]])
+    row = spark.read.parquet(str(tmp_path / "batch")).first()
+    assert (row["pair"], row["time"], row["close"]) == ("a,b", "2024-01-01 00:00:00", 2.0)
