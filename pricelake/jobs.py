@@ -63,7 +63,9 @@ def _arguments() -> argparse.ArgumentParser:
             sub.add_argument(argument)
         return sub
 
-    step("lake", "files", "lake").add_argument("--by-name", action="store_true")
+    lake = step("lake", "files", "lake")
+    lake.add_argument("--by-name", action="store_true")
+    lake.add_argument("--overwrite", action="store_true")
     batch = step("batch", "source", "batch")
     batch.add_argument("--text", action="store_true", help="source is the combined text file")
     batch.add_argument("--quoted", action="store_true")
@@ -133,7 +135,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     configure(spark)
     if args.step == "lake":
-        build_lake(spark, args.files, args.lake, by_name=args.by_name)
+        mode = "overwrite" if args.overwrite else "errorifexists"
+        build_lake(spark, args.files, args.lake, args.by_name, mode)
     elif args.step == "batch":
         if args.text:
             source = read_combined(spark, args.source, quoted=args.quoted)

@@ -30,9 +30,15 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(0).select(*columns)
 
 
-def build_lake(spark: SparkSession, bar_files: str, lake: str, by_name: bool = False) -> DataFrame:
+def build_lake(
+    spark: SparkSession,
+    bar_files: str,
+    lake: str,
+    by_name: bool = False,
+    mode: str = "errorifexists",
+) -> DataFrame:
     """Bar files to the partitioned lake: one narrow pass, no shuffle."""
-    write_lake(combine(read_bar_files(spark, bar_files, by_name=by_name)), lake)
+    write_lake(combine(read_bar_files(spark, bar_files, by_name=by_name)), lake, mode=mode)
     return read_lake(spark, lake)
 
 

@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def write_lake(df: DataFrame, path: str, regroup: bool = False) -> None:
+def write_lake(
+    df: DataFrame, path: str, regroup: bool = False, mode: str = "errorifexists"
+) -> None:
     """Combined bars as Parquet, one folder per instrument.
 
     Bar files hold one instrument each, so their tasks already write few
     folders and no shuffle is needed. ``regroup`` is for mixed input: a
     rebalance by instrument, which AQE splits where an instrument is hot.
+    ``mode`` "overwrite" rebuilds a lake; ``df`` must then not read from it.
     """
     if regroup:
         df = df.hint("rebalance", "pair")
     nameless = F.raise_error(F.lit("a bar with an empty pair has no folder in the lake"))
     df = df.withColumn("pair", F.when(F.col("pair") == "", nameless).otherwise(F.col("pair")))
-    df.write.mode("errorifexists").partitionBy("pair").parquet(path)
+    df.write.mode(mode).partitionBy("pair").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, single: bool = False) -> None:

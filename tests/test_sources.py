@@ -111,6 +111,10 @@ def test_lake_keeps_pair_names_as_text(spark, folder):
     assert [row[0] for row in pairs(lake).collect()] == ["007", "1e5", "a b=c"]
     write_lake(lake, folder + "/again", regroup=True)
     assert rows(read_lake(spark, folder + "/again")) == rows(lake)
+    with pytest.raises(PySparkException):
+        write_lake(lake, folder + "/again")
+    write_lake(lake.where("pair = '007'"), folder + "/again", mode="overwrite")
+    assert read_lake(spark, folder + "/again").count() == 1
 
 
 def test_a_bar_without_pair_name_cannot_be_stored(spark, folder):
