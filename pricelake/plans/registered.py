@@ -271,19 +271,17 @@ def daily_close_maxby(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_closing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The closing rows as a user writes them in SQL, over the batch view."""
+    """Closing rows with the day's range, as a user asks for them in SQL."""
     register_views(bars(spark, sf_dir).select(*COMBINED_COLUMNS))
     return spark.sql(
         """
-        SELECT concat(pair, '_', price_date) AS pair_date, pair, price_date, close, volume
+        SELECT pair, price_date, closing.close, closing.volume, ticks, lowest, highest
         FROM (
-          SELECT *, row_number() OVER (
-            PARTITION BY pair, price_date ORDER BY time_ms DESC, close DESC, volume DESC
-          ) AS place
+          SELECT pair, price_date, max(struct(time_ms, close, volume)) AS closing,
+                 count(*) AS ticks, min(low) AS lowest, max(high) AS highest
           FROM batch_prices
+          GROUP BY pair, price_date
         )
-        WHERE place = 1
-        ORDER BY pair, price_date
         """
     )
 
