@@ -176,17 +176,7 @@ UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     "daily_close": _with(_TICKS, select=_last("t", _NEWEST, _DAILY)),
     "daily_close_maxby": _with(_TICKS, select=_last("t", _NEWEST, _DAILY)),
     "sql_closing_rows": _with(
-        _TICKS,
-        _BATCH,
-        "c AS (" + _last("b", _TEXT_ORDER, "pair, price_date, close, volume") + ")",
-        """
-r AS (
-  SELECT pair, price_date, count(*) AS ticks, min(low) AS lowest, max(high) AS highest
-  FROM b GROUP BY pair, price_date
-)""",
-        select="""
-SELECT c.pair, c.price_date, c.close, c.volume, r.ticks, r.lowest, r.highest
-FROM c JOIN r ON c.pair = r.pair AND c.price_date = r.price_date""",
+        _TICKS, select=_last("t", _TEXT_ORDER, "pair, price_date, close, volume")
     ),
     "sql_counts": _with(
         _TICKS,

@@ -271,14 +271,13 @@ def daily_close_maxby(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_closing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closing rows with the day's range, as a user asks for them in SQL."""
+    """The closing rows as an aggregate in SQL, over the batch view."""
     register_views(bars(spark, sf_dir).select(*COMBINED_COLUMNS))
     return spark.sql(
         """
-        SELECT pair, price_date, closing.close, closing.volume, ticks, lowest, highest
+        SELECT pair, price_date, closing.close, closing.volume
         FROM (
-          SELECT pair, price_date, max(struct(time_ms, close, volume)) AS closing,
-                 count(*) AS ticks, min(low) AS lowest, max(high) AS highest
+          SELECT pair, price_date, max(struct(time_ms, close, volume)) AS closing
           FROM batch_prices
           GROUP BY pair, price_date
         )
