@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -31,17 +31,18 @@ def _bar_reader(spark: SparkSession, layout: StructType):
     )
 
 
+Layout = tuple[str, ...]
+
+
 def header_layouts(
     spark: SparkSession, path: str | list[str], schema: StructType = RAW_BAR
-) -> dict[tuple[str, ...], list[str]]:
-    """Group the files below ``path`` by the column order of their header.
+) -> tuple[Layout, dict[Layout, list[str]]]:
+    """The usual column order of the files below ``path``, and the files with others.
 
-    A header line is one that holds every required column name. The answer has
-    one entry per file, which the driver's own file listing already holds; the
-    lines themselves are searched on the executors.
+    A header line is one that holds every required column name. The lines are
+    searched on the executors; only the exceptional files are named to the driver.
     """
     lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(path)
-    files = set(lines.inputFiles())
     names = F.transform(
         F.split("value", ","), lambda name: F.trim(F.replace(name, F.lit('"'), F.lit("")))
     )
@@ -53,22 +54,26 @@ def header_layouts(
         .select(F.col("_metadata.file_path").alias("path"), names.alias("names"))
         .where(F.size(F.array_except(required, F.col("names"))) == 0)
         .distinct()
-        .collect()
+        .persist()
     )
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in found:
-        layouts.setdefault(tuple(row["names"]), []).append(row["path"])
-    named = [row["path"] for row in found]
-    if len(named) != len(set(named)):
-        raise ValueError("a bar file holds two different header lines")
-    # inputFiles() and _metadata may write the scheme differently (file:/ or
-    # file:///), so files are counted, not matched by name.
-    if len(named) != len(files):
-        raise ValueError(
-            f"{len(files) - len(named)} of {len(files)} bar files have no header "
-            f"with the columns {[field.name for field in schema.fields]}"
-        )
-    return layouts
+    try:
+        counts = found.groupBy("names").agg(F.count(F.lit(1)).alias("files")).collect()
+        if found.groupBy("path").count().where("count > 1").head(1):
+            raise ValueError("a bar file holds two different header lines")
+        files, headed = len(set(lines.inputFiles())), sum(row["files"] for row in counts)
+        if headed < files or not counts:
+            raise ValueError(
+                f"{files - headed} of {files} bar files have no header "
+                f"with the columns {[field.name for field in schema.fields]}"
+            )
+        usual = max(counts, key=lambda row: (row["files"], row["names"]))["names"]
+        odd: dict[Layout, list[str]] = {}
+        usual_names = F.array(*[F.lit(name) for name in usual])
+        for row in found.where(F.col("names") != usual_names).collect():
+            odd.setdefault(tuple(row["names"]), []).append(row["path"])
+    finally:
+        found.unpersist()
+    return tuple(usual), odd
 
 
 def read_bar_files(
@@ -84,27 +89,30 @@ def read_bar_files(
     text-only pass) and each column order is read with its own layout.
     """
     columns = [field.name for field in schema.fields]
-    origin = F.col("_metadata.file_path").alias("path")
-    if not by_name:
-        return _bar_reader(spark, schema).csv(path).select(*columns, CORRUPT, origin)
-
-    parts = []
-    for names, files in header_layouts(spark, path, schema).items():
-        layout = StructType(
-            [
-                schema[name] if name in columns else StructField(name, StringType(), True)
-                for name in names
-            ]
-        )
+    origin = F.col("_metadata.file_path")
+
+    def bars(layout: StructType, chosen: Column | None = None) -> DataFrame:
+        frame = _bar_reader(spark, layout).csv(path)
         # Chosen by metadata, which drops the other files from the listing, not
         # by path, where names would be taken for patterns.
-        part = _bar_reader(spark, layout).csv(path).where(F.col("_metadata.file_path").isin(files))
-        parts.append(part.select(*columns, CORRUPT, origin))
-    if not parts:
-        raise ValueError(f"no bar files below {path}")
-    frame = parts[0]
-    for part in parts[1:]:
-        frame = frame.unionByName(part)
+        if chosen is not None:
+            frame = frame.where(chosen)
+        return frame.select(*columns, CORRUPT, origin.alias("path"))
+
+    if not by_name:
+        return bars(schema)
+
+    def layout_of(names: Layout) -> StructType:
+        text = StringType()
+        return StructType(
+            [schema[name] if name in columns else StructField(name, text) for name in names]
+        )
+
+    usual, odd = header_layouts(spark, path, schema)
+    exceptions = [file for files in odd.values() for file in files]
+    frame = bars(layout_of(usual), ~origin.isin(exceptions) if exceptions else None)
+    for names, files in odd.items():
+        frame = frame.unionByName(bars(layout_of(names), origin.isin(files)))
     return frame
 
 

@@ -49,7 +49,16 @@ def test_columns_are_matched_by_name(spark, folder):
     got = combine(read_bar_files(spark, folder, by_name=True))
     assert rows(got.drop("pair")) == [(1364774820000, 1.0, 2.0, 3.0, 0.5, 7.0)] * 3
     assert sorted(row["pair"] for row in got.collect()) == ["one", "three", "two"]
-    assert len(header_layouts(spark, folder)) == 3
+    put(folder, "four.csv", USUAL, BAR)
+    usual, odd = header_layouts(spark, folder)
+    assert usual == tuple(USUAL.split(","))
+    assert sorted(len(files) for files in odd.values()) == [1, 1]
+
+
+def test_a_file_with_two_headers_is_refused(spark, folder):
+    put(folder, "one.csv", USUAL, BAR, "time,close,open,low,high,volume", BAR)
+    with pytest.raises(ValueError, match="two different header"):
+        read_bar_files(spark, folder, by_name=True)
 
 
 def test_odd_file_names_can_be_matched_by_name(spark, folder):
