@@ -44,14 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import components, partitions, saved
-from pricelake.llm.shingles import WordHashes, binary, mix, shingle_sets
+from pricelake.llm.shingles import Shingler, binary, mix
 
 SKETCH_WORDS = 8  # 64-bit words of the parity sketch that filters candidates
-COMMON_SHARE = 0.001  # a shingle in more texts than this share is left out of the words ...
-COMMON_LEAST = 32  # ... if it is in so many at least
+COMMON_SHARE = 0.0001  # a shingle seen in more texts than this share is left out of the words ...
+COMMON_LEAST = 12  # ... if it is in so many at least
 COMMON_MOST = 1_000_000  # the most frequent ones that are left out; bounds what is broadcast
 WORDS_PER_TASK = 2_000_000
-CHUNK = 2_000_000  # shingles a task handles at a time
+CHUNK = 1_000_000  # shingles a task handles at a time
+COUNTED = 4_000_000  # shingles among which a task looks for frequent ones
 FILTER_WORDS = 1 << 17  # 64-bit words of the filter that picks the sets to verify (1 MB)
 BLOCK = 1024
 
@@ -70,7 +71,7 @@ def bands(largest: int) -> np.ndarray:
 def parts_of_bands(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Largest symmetric difference d of a linked pair of each band, and its m parts."""
     d = 2 * (starts[1:] - 1) // 9
-    m = np.where(d > 0, d + 1 + (d + 10) // 10, 0)  # d = 0 asks for equal sets: one class
+    m = np.where(d > 0, d + 1 + (d + 4) // 4, 0)  # d = 0 asks for equal sets: one class
     return d, m
 
 
@@ -140,14 +141,15 @@ def sketch_words(
     return np.concatenate(keys or [np.zeros(0, _U)]), np.concatenate(owners or [np.zeros(0, np.int64)])
 
 
-def _chunks(batches, cache: WordHashes, columns: int):
+def _chunks(batches, columns: int):
     """Rows' other values and their sets, so many at a time that memory stays bounded."""
     rest, sets, total, seen = [], [], 0, set()
+    shingler = Shingler()
     for batch in batches:
         ids = zip(*(batch.column(k).to_pylist() for k in range(columns - 1)), strict=True)
         ids = list(ids) or [()] * batch.num_rows
         for own, shingles in zip(
-            ids, shingle_sets(binary(batch.column(columns - 1)), cache), strict=True
+            ids, shingler.sets(binary(batch.column(columns - 1))), strict=True
         ):
             key = set_key(shingles)
             rest.append((own, key, key not in seen))
@@ -166,28 +168,44 @@ def ref_of(key: bytes) -> int:
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text, and one for each shingle that several texts of a chunk hold."""
+    """A row for each text, and one for each shingle that several texts of a task hold."""
     schema = pa.schema(PROFILE_ARROW)
-    for rest, sets in _chunks(batches, WordHashes(), 3):
-        fresh = [s for (_, _, new), s in zip(rest, sets, strict=True) if new]
-        flat = np.concatenate(fresh) if fresh else np.zeros(0, _U)
-        values, counts = np.unique(flat, return_counts=True)
-        often = counts >= max(3, len(sets) // 2000)
-        n, k = len(rest), int(often.sum())
-        sketches = [parity_sketch(s) for s in sets]
+    fresh: list[np.ndarray] = []
+
+    def often() -> pa.RecordBatch:
+        flat = np.sort(np.concatenate(fresh))
+        fresh.clear()
+        first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        counts = np.diff(np.r_[first, len(flat)])
+        several = counts > 1
+        k = int(several.sum())
+        columns = [pa.nulls(k, field.type) for field in schema][:-2]
+        columns += [pa.array(flat[first[several]].view(np.int64)), pa.array(counts[several])]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    for rest, sets in _chunks(batches, 3):
+        n = len(rest)
+        sketches = np.concatenate([parity_sketch(x) for x in sets])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([r[0][0] for r in rest] + [None] * k, pa.int64()),
-                pa.array([r[0][1] for r in rest] + [None] * k, pa.int64()),
-                pa.array([len(s) for s in sets] + [None] * k, pa.int64()),
-                pa.array([r[1] for r in rest] + [None] * k, pa.binary()),
-                pa.array([ref_of(r[1]) for r in rest] + [None] * k, pa.int64()),
-                pa.array([x.tolist() for x in sketches] + [None] * k, pa.list_(pa.int64())),
-                pa.array([None] * n + values[often].view(np.int64).tolist(), pa.int64()),
-                pa.array([None] * n + counts[often].tolist(), pa.int64()),
+                pa.array([r[0][0] for r in rest], pa.int64()),
+                pa.array([r[0][1] for r in rest], pa.int64()),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([r[1] for r in rest], pa.binary()),
+                pa.array([ref_of(r[1]) for r in rest], pa.int64()),
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(0, SKETCH_WORDS * n + 1, SKETCH_WORDS), pa.int32()), pa.array(sketches)
+                ),
+                pa.nulls(n, pa.int64()),
+                pa.nulls(n, pa.int64()),
             ],
             schema=schema,
         )
+        fresh += [x for r, x in zip(rest, sets, strict=True) if r[2] and len(x)]
+        if sum(map(len, fresh)) >= COUNTED:
+            yield often()
+    if fresh:
+        yield often()
 
 
 PROFILE = "row long, doc_id long, n long, key binary, ref long, sketch array<long>, shingle long, texts long"
@@ -206,7 +224,7 @@ PROFILE_ARROW = [
 def _sender(common, starts: np.ndarray, ranges: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left_out = common.value
-        for rest, sets in _chunks(batches, WordHashes(), 1):
+        for rest, sets in _chunks(batches, 1):
             chosen = [(r[1], s) for r, s in zip(rest, sets, strict=True) if r[2] and len(s)]
             if not chosen:
                 continue
@@ -250,13 +268,17 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     others[first] = False
     stars = np.unique(np.stack([least[others], ref[others]], 1), axis=0)
     groups = {ref[a : a + s].tobytes() for a, s in zip(first[size > 2], size[size > 2], strict=True)}
-    blocks = [(g[:8], g[i : i + 8 * BLOCK], i) for g in groups for i in range(0, len(g), 8 * BLOCK)]
+    blocks = [
+        (g[:8], g[i : i + 8 * BLOCK], xxhash.xxh3_64_intdigest(g) - 2**63)
+        for g in groups
+        for i in range(0, len(g), 8 * BLOCK)
+    ]
     return pd.DataFrame(
         {
             "a": np.r_[stars[:, 0], np.array([np.frombuffer(x[0], np.int64)[0] for x in blocks], np.int64)],
             "b": pd.array([*stars[:, 1], *[None] * len(blocks)], "Int64"),
             "refs": [None] * len(stars) + [x[1] for x in blocks],
-            "word": [None] * len(stars) + [xxhash.xxh3_128_hexdigest(g) for g in groups for _ in range(0, len(g), 8 * BLOCK)],
+            "word": pd.array([None] * len(stars) + [x[2] for x in blocks], "Int64"),
         }
     )
 
@@ -264,7 +286,7 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
 def _set_rows(filter_words):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = filter_words.value
-        for rest, sets in _chunks(batches, WordHashes(), 1):
+        for rest, sets in _chunks(batches, 1):
             refs = np.array([ref_of(k) for _, k, _ in rest], np.int64)
             hit = _in_filter(wanted, refs)
             keep = [i for i in np.flatnonzero(hit) if rest[i][2] and len(sets[i])]
@@ -318,18 +340,20 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, key_a, key_b, linked) of pairs of refs, from the whole sets."""
-    spark = docs.sparkSession
-    refs = pairs.select(F.col("a").alias("ref")).union(pairs.select("b"))
-    wanted = spark.sparkContext.broadcast(_filter_of(refs))
-    sets = saved(
+def _sets_of(refs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, ref, shingles) of the classes with these refs, read from the texts."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter_of(refs))
+    return saved(
         docs.select("text")
         .mapInArrow(_set_rows(wanted), "key binary, ref long, shingles array<long>")
-        .join(refs.distinct(), "ref", "left_semi")
+        .join(refs, "ref", "left_semi")
         .dropDuplicates(["key"]),
         "sets",
     )
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, key_a, key_b) of the pairs of refs that link, from the whole sets."""
     side = lambda x: sets.select(
         F.col("ref").alias(x), F.col("key").alias(f"key_{x}"), F.col("shingles").alias(f"set_{x}")
     )
@@ -338,62 +362,74 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
         .withColumn("both", both)
-        .select(
-            "a",
-            "b",
-            "key_a",
-            "key_b",
-            (100 * F.col("both") >= 80 * (F.size("set_a") + F.size("set_b") - F.col("both"))).alias("linked"),
-        ),
+        .where(100 * F.col("both") >= 80 * (F.size("set_a") + F.size("set_b") - F.col("both")))
+        .select("a", "b", "key_a", "key_b"),
         "verified",
     )
 
 
-def _cross_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block pair of an opened word that lie in different components."""
-    left, right = pdf[pdf.side == 0], pdf[pdf.side == 1]
-    if pdf.i.iloc[0] == pdf.j.iloc[0]:
-        right = left
-    if left.empty or right.empty:
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-    x, y = (np.array(s.sketch.tolist(), np.int64).view(_U) for s in (left, right))
-    apart = np.zeros((len(x), len(y)), np.int64)
-    for k in range(SKETCH_WORDS):
-        apart += np.bitwise_count(x[:, k, None] ^ y[None, :, k])
-    n, o = left.n.to_numpy()[:, None], right.n.to_numpy()[None]
-    a, b = left.ref.to_numpy()[:, None], right.ref.to_numpy()[None]
-    roots = pd.factorize(pd.concat([left.root, right.root]))[0]
-    other = roots[: len(left), None] != roots[None, len(left) :]
-    i, j = np.nonzero(
-        other & (9 * apart <= n + o) & (4 * np.maximum(n, o) <= 5 * np.minimum(n, o)) & (a != b)
+def _cross_pairs(table: pa.Table) -> pa.Table:
+    """Pairs that may link, of the opened words of one range, in different components."""
+    word, i, j, side, ref, n = (
+        table.column(c).to_numpy() for c in ("word", "i", "j", "side", "ref", "n")
     )
-    a, b = left.ref.to_numpy()[i], right.ref.to_numpy()[j]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-
-def _opened(groups: DataFrame, verified: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs still to verify: of words some of whose sets do not link with the least one."""
-    failed = verified.where("not linked").select("a", "b")
-    member = groups.select("word", "a", F.explode(_longs("refs")).alias("b"))
-    open_words = member.join(failed, ["a", "b"], "left_semi").select("word").distinct()
-    rows = (
-        groups.join(open_words, "word", "left_semi")
-        .select("word", F.explode(_longs("refs")).alias("ref"))
-        .distinct()
-        .join(classes.select("ref", "key", "n", "sketch"), "ref")
+    root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+    sketch = table.column("sketch").combine_chunks().flatten().to_numpy().view(_U)
+    sketch = sketch.reshape(-1, SKETCH_WORDS)
+    order = np.lexsort((side, j, i, word))
+    word, i, j, side, ref, n, root, sketch = (
+        x[order] for x in (word, i, j, side, ref, n, root, sketch)
+    )
+    change = (word[1:] != word[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    first = np.flatnonzero(np.r_[True, change]) if len(word) else np.zeros(0, np.int64)
+    found = [np.zeros((0, 2), np.int64)]
+    for a, b in zip(first, [*first[1:], len(word)], strict=True):
+        if i[a] == j[a]:
+            left = right = slice(a, b)
+        else:
+            cut = a + int(np.searchsorted(side[a:b], 1))
+            left, right = slice(a, cut), slice(cut, b)
+        p, q = n[left][:, None], n[right][None]
+        may = root[left][:, None] != root[right][None]
+        may &= 4 * np.maximum(p, q) <= 5 * np.minimum(p, q)
+        x, y = np.nonzero(may)
+        if left == right:
+            x, y = x[x < y], y[x < y]
+        apart = np.bitwise_count(sketch[left][x] ^ sketch[right][y]).sum(axis=1, dtype=np.int64)
+        near = 9 * apart <= n[left][x] + n[right][y]
+        u, v = ref[left][x[near]], ref[right][y[near]]
+        if len(u):
+            found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs still to verify: of words whose sets lie in several components."""
+    rooted = (
+        classes.select("ref", "key", "n", "sketch")
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("root", F.coalesce("root", "key"))
     )
-    rows = saved(rows, "open")
-    mixed = (
+    rows = groups.select("word", F.explode(_longs("refs")).alias("ref")).join(
+        rooted.select("ref", "root"), "ref"
+    )
+    mixed = saved(
         rows.groupBy("word")
         .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
         .where("lo <> hi")
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        .select("word", "blocks")
+        .select("word", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")),
+        "mixed",
+    )
+    # blocks of large words meet pairwise; side 0 and 1: rows of the first and second block
+    dealt = (
+        groups.join(mixed, "word")
+        .select("word", "blocks", F.explode(_longs("refs")).alias("ref"))
+        .withColumn("own", F.expr("cast(pmod(xxhash64(ref), blocks) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .join(rooted.drop("key"), "ref")
     )
-    dealt = rows.join(mixed, "word").withColumn("own", F.expr("cast(pmod(xxhash64(ref), blocks) as int)"))
-    pairs = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+    pairs = dealt.select(
         "word",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
@@ -403,7 +439,13 @@ def _opened(groups: DataFrame, verified: DataFrame, classes: DataFrame, roots: D
         "sketch",
         "root",
     )
-    return pairs.groupBy("word", "i", "j").applyInPandas(_cross_pairs, "a long, b long").distinct()
+    ranges = partitions(groups.sparkSession, dealt.count(), 100_000)
+    return (
+        pairs.withColumn("range", F.pmod(F.xxhash64("word", "i", "j"), F.lit(ranges)))
+        .groupBy("range")
+        .applyInArrow(_cross_pairs, "a long, b long")
+        .distinct()
+    )
 
 
 def _longs(column: str):
@@ -509,26 +551,24 @@ def _links(spark, docs: DataFrame, profile: DataFrame, classes: DataFrame, total
     met = saved(
         sent.repartition(ranges, "range")
         .groupBy("range")
-        .applyInPandas(_meet, "a long, b long, refs binary, word string"),
+        .applyInPandas(_meet, "a long, b long, refs binary, word long"),
         "met",
     )
-    stars = _plausible(met.where("b is not null").select("a", "b").distinct(), classes)
-    checked = _verified(saved(stars, "stars"), docs)
-    edges = checked.where("linked").select("key_a", "key_b")
-    roots = components(edges, "key_a", "key_b")
-    groups = met.where("b is null").select("word", "a", "refs").distinct()
-    # a star pair that the filters dropped has failed as well
-    failed = (
-        met.where("b is not null")
-        .select("a", "b")
+    stars = saved(_plausible(met.where("b is not null").select("a", "b").distinct(), classes), "stars")
+    groups = met.where("b is null").select("word", "refs")
+    refs = (
+        stars.select(F.col("a").alias("ref"))
+        .union(stars.select("b"))
+        .union(groups.select(F.explode(_longs("refs"))))
         .distinct()
-        .join(checked.where("linked").select("a", "b"), ["a", "b"], "left_anti")
-        .withColumn("linked", F.lit(False))
     )
-    more = saved(_opened(groups, failed, classes, roots), "opened")
+    sets = _sets_of(refs, docs)
+    linked = _verified(stars, sets)
+    roots = saved(components(linked, "key_a", "key_b"), "roots")
+    more = saved(_opened(groups, classes, roots), "opened")
     if more.isEmpty():
         return roots
-    again = _verified(more, docs).where("linked").select("key_a", "key_b")
-    return components(edges.union(again), "key_a", "key_b")
-
-
+    again = _verified(more, sets)
+    if again.isEmpty():
+        return roots
+    return components(linked.union(again), "key_a", "key_b")
