@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 
 from pyspark import cloudpickle
@@ -26,6 +27,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, value):
+    """A broadcast of a value of bounded size whose classes executors need not have."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast):
+    return pickle.loads(broadcast.value)
+
+
 def partitions(spark: SparkSession, units: int, per_task: int) -> int:
     """Tasks for ``units`` of work at ``per_task`` each, not below the session's shuffle width."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -50,7 +50,7 @@ SKETCH_WORDS = 8  # 64-bit words of the parity sketch that filters candidates
 COMMON_SHARE = 0.0001  # a shingle seen in more texts than this share is left out of the words ...
 COMMON_LEAST = 12  # ... if it is in so many at least
 COMMON_MOST = 1_000_000  # the most frequent ones that are left out; bounds what is broadcast
-WORDS_PER_TASK = 2_000_000
+WORDS_PER_TASK = 1_000_000
 CHUNK = 1_000_000  # shingles a task handles at a time
 COUNTED = 4_000_000  # shingles among which a task looks for frequent ones
 FILTER_WORDS = 1 << 17  # 64-bit words of the filter that picks the sets to verify (1 MB)
@@ -424,13 +424,14 @@ def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
     # blocks of large words meet pairwise; side 0 and 1: rows of the first and second block
     dealt = (
         groups.join(mixed, "word")
-        .select("word", "blocks", F.explode(_longs("refs")).alias("ref"))
+        .select("word", "a", "blocks", F.explode(_longs("refs")).alias("ref"))
         .withColumn("own", F.expr("cast(pmod(xxhash64(ref), blocks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .join(rooted.drop("key"), "ref")
     )
     pairs = dealt.select(
         "word",
+        "a",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
@@ -441,7 +442,9 @@ def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
     )
     ranges = partitions(groups.sparkSession, dealt.count(), 100_000)
     return (
-        pairs.withColumn("range", F.pmod(F.xxhash64("word", "i", "j"), F.lit(ranges)))
+        # words of one group of near copies share their least set, so the pairs that they
+        # repeat meet in one task
+        pairs.withColumn("range", F.pmod(F.xxhash64("a", "i", "j"), F.lit(ranges)))
         .groupBy("range")
         .applyInArrow(_cross_pairs, "a long, b long")
         .distinct()
@@ -555,7 +558,7 @@ def _links(spark, docs: DataFrame, profile: DataFrame, classes: DataFrame, total
         "met",
     )
     stars = saved(_plausible(met.where("b is not null").select("a", "b").distinct(), classes), "stars")
-    groups = met.where("b is null").select("word", "refs")
+    groups = met.where("b is null").select("word", "a", "refs")
     refs = (
         stars.select(F.col("a").alias("ref"))
         .union(stars.select("b"))

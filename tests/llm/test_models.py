@@ -1,0 +1,143 @@
+import numpy as np
+import pytest
+
+from pricelake.llm import hashed_text, quality, toxicity
+from pricelake.llm.queries import op3_toxicity, op10_quality
+from tests.llm.conftest import stored
+
+
+def features(texts):
+    cache = hashed_text.Buckets()
+    return [hashed_text.features(t.encode(), cache) for t in texts]
+
+
+def sample(rng, n):
+    """Texts whose second category needs the first one: rude words count in junk only."""
+    texts, labels = [], []
+    for _ in range(n):
+        words = [f"w{rng.integers(0, 300)}" for _ in range(int(rng.integers(5, 60)))]
+        junk, rude = rng.random() < 0.4, rng.random() < 0.5
+        words += ["zap!!"] * junk + ["oaf"] * rude
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append((int(junk), int(junk and rude)))
+    return texts, np.array(labels)
+
+
+def test_minimise_finds_the_minimum():
+    a = np.diag([1.0, 10.0, 100.0])
+    b = np.array([1.0, -2.0, 3.0])
+    x = hashed_text.minimise(lambda x: (0.5 * x @ a @ x - b @ x, a @ x - b), np.zeros(3))
+    assert np.allclose(x, np.linalg.solve(a, b), atol=1e-3)
+
+
+def test_chain_feeds_earlier_categories_to_later_models():
+    rng = np.random.default_rng(1)
+    texts, labels = sample(rng, 1500)
+    held, truth = sample(rng, 600)
+    chain = toxicity.fit_chain(features(texts), labels)
+    p = chain.probabilities(features(held))
+    for k in range(2):
+        assert ((p[k] >= chain.thresholds[k]) == truth[:, k]).mean() > 0.95
+    # the second model has one dense column, and it matters
+    assert len(chain.models[1].weights) - len(chain.models[1].kept) == 2
+    assert chain.models[1].weights[-2] > 0.1
+
+
+def test_thresholds_of_lone_values():
+    chain = toxicity.fit_chain(features(["a b", "c d", "e"]), np.array([[0, 1]] * 3))
+    p = chain.probabilities(features(["a", ""]))
+    assert p[0, 0] < 1e-9 and p[1, 0] > 1 - 1e-9 and (p[:, 1] == 0).all()
+    empty = toxicity.fit_chain([], np.zeros((0, 2), np.int64))
+    assert (empty.probabilities(features(["a b"])) < 0.5).all()
+
+
+def test_best_threshold():
+    p, y = np.array([0.9, 0.8, 0.3, 0.3, 0.1]), np.array([True, True, True, False, False])
+    assert 0.1 < toxicity.best_threshold(p, y) <= 0.3
+    assert toxicity.best_threshold(p, np.zeros(5, bool)) == 1.0
+
+
+def test_ordinal_gradient_and_order():
+    rng = np.random.default_rng(2)
+    texts, labels = sample(rng, 400)
+    grades = 2 - labels[:, 0] - labels[:, 1]
+    model = quality.fit_ordinal(features(texts), grades, 2)
+    assert (np.diff(model.thresholds) > 0).all()
+    tails = model.tails(features(texts))
+    assert (tails[0] >= tails[1]).all()
+    assert (np.round(tails.sum(axis=0)) == grades).mean() > 0.9
+
+
+def test_ordinal_without_some_grades():
+    for grades in ([], [1, 1, 1], [0, 3]):
+        texts = [f"t{i} u" for i in range(len(grades))]
+        model = quality.fit_ordinal(features(texts), np.array(grades, np.int64), 3)
+        assert np.isfinite(model.thresholds).all() and (np.diff(model.thresholds) > 0).all()
+        assert ((model.tails(features(["x"])) >= 0) & (model.tails(features(["x"])) <= 1)).all()
+
+
+def odd_tables(spark, folder):
+    rng = np.random.default_rng(3)
+    texts, labels = sample(rng, 300)
+    rows = [(i, t, "x", 0.5) for i, t in enumerate(texts)]
+    rows += [(None, "oaf", "x", None), (None, None, None, None), (900, "", "", 0.1), rows[0], rows[0], (901, "w1 " * 20000, "", 0.0)]
+    docs = stored(spark, rows, "doc_id long, text string, buckets string, p_toxic double", f"{folder}/d")
+    given = [(i, int(a), int(b)) for i, (a, b) in enumerate(labels)]
+    given += [(None, 1, 1), (5, None, 1), (6, 1, None), given[0], given[0], (12345, 1, 1)]
+    graded = stored(spark, given, "doc_id long, junk int, toxic int", f"{folder}/l")
+    return docs, graded, rows
+
+
+def test_scores_of_odd_rows(spark, folder):
+    docs, labels, rows = odd_tables(spark, folder)
+    chain = toxicity.toxicity_chain(docs, labels, ["junk", "toxic"])
+    got = toxicity.scores(docs, chain, ["junk", "toxic"]).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in rows)
+    assert all(not r["toxic"] and r["p_toxic"] == 0 for r in got if r["doc_id"] == 900)
+    kept = toxicity.without_toxic(docs, chain)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(not r["toxic"] for r in got) < len(rows)
+    assert toxicity.scores(docs.limit(0), chain, ["junk", "toxic"]).count() == 0
+    ratings = labels.selectExpr("doc_id", "junk + toxic as grade")
+    model = quality.quality_model(docs, ratings, 2)
+    graded = quality.grades(docs, model).collect()
+    assert len(graded) == len(rows)
+    assert all(abs(r["expected_grade"] - r["p_at_least_1"] - r["p_at_least_2"]) < 1e-9 for r in graded)
+
+
+def test_without_any_label(spark, folder):
+    docs, labels, rows = odd_tables(spark, folder)
+    chain = toxicity.toxicity_chain(docs, labels.limit(0), ["junk", "toxic"])
+    assert toxicity.without_toxic(docs, chain).count() == len(rows)
+    model = quality.quality_model(docs, labels.limit(0).selectExpr("doc_id", "junk as grade"), 2)
+    assert quality.grades(docs, model).count() == len(rows)
+
+
+@pytest.fixture(scope="module")
+def larger():
+    return "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark, larger):
+    """Models fitted on half of the labels, judged on the other half."""
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    labels = spark.read.parquet(f"{larger}/labels.parquet")
+    train, held = (labels.where(f"pmod(hash(doc_id), 2) = {k}") for k in (0, 1))
+    categories = toxicity.CATEGORIES
+    chain = toxicity.toxicity_chain(docs, toxicity.graded_labels(train), categories)
+    truth = held.select("doc_id", "quality", held["toxic"].alias("was_toxic"))
+    got = toxicity.scores(docs, chain, categories).join(truth, "doc_id").toPandas()
+    hit = (got.toxic & (got.was_toxic == 1)).sum()
+    assert hit >= 0.9 * got.toxic.sum() and hit >= 0.9 * (got.was_toxic == 1).sum()
+    model = quality.quality_model(docs, quality.graded_ratings(train), quality.TOP_GRADE)
+    graded = quality.grades(docs, model).join(truth, "doc_id").toPandas()
+    clean = (graded.quality == 1) & (graded.was_toxic == 0)
+    assert graded.selected[clean].mean() > 0.98
+    assert graded.selected[graded.quality == 0].mean() < 0.05
+
+
+def test_queries(spark, sf_dir):
+    n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert op3_toxicity(spark, sf_dir).count() == n
+    assert op10_quality(spark, sf_dir).count() == n

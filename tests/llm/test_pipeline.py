@@ -1,0 +1,41 @@
+import corpus_pipeline
+from pricelake.llm import pii, toxicity
+from tests.llm import test_line_chunks, test_ngram_join, test_packing
+
+
+def test_stages_one_after_the_other(spark, sf_dir, folder):
+    """Each stage against its brute-force version, on what the stage before returned."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    given = {}
+    for name, stage in corpus_pipeline.STAGES:
+        given[name] = [tuple(r) for r in docs.collect()]
+        out = stage(spark, docs, sf_dir)
+        assert name == "packing" or out.schema.simpleString() == docs.schema.simpleString()
+        out.write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    texts = {name: [r[:2] for r in rows] for name, rows in given.items()}
+
+    labels = toxicity.graded_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    start = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    chain = toxicity.toxicity_chain(start, labels, toxicity.CATEGORIES)
+    toxic = {r["doc_id"] for r in toxicity.scores(start, chain, toxicity.CATEGORIES).where("toxic").collect()}
+    assert toxic and sorted(given["line_dedup"]) == sorted(r for r in given["toxicity"] if r[0] not in toxic)
+
+    cut = test_line_chunks.brute(texts["line_dedup"])
+    assert dict(texts["ngram_jaccard"]) == {d: t for (d, _), t in zip(texts["line_dedup"], cut, strict=True)}
+
+    groups = test_ngram_join.brute(texts["ngram_jaccard"])
+    assert {d for d, _ in texts["pii"]} == {d for d, n, c in groups if n == 0 or c == d}
+
+    anchors = pii.automaton()
+    masked = {d: pii.masked(t, pii.find_spans(t, anchors)) for d, t in texts["pii"]}
+    assert dict(texts["packing"]) == masked and masked != dict(texts["pii"])
+    assert all(r[4] == len(r[1]) for r in given["packing"])
+
+    test_packing.check(docs.collect(), texts["packing"], 1024)
+
+
+def test_run_is_the_stages(spark, sf_dir):
+    got = corpus_pipeline.run(spark, sf_dir)
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert got.count() > 0
