@@ -11,9 +11,11 @@
   share of them that lie in visited leaves reaches ``recall``. A query also goes on
   until its leaves hold ``k`` rows besides itself, so all rows are found where they are
   fewer.
-* Visits are joined with the leaves' rows in blocks on both sides, so neither a large
-  leaf nor a leaf that many queries visit is gathered in one task. Each block returns
-  the best ``k`` of each query.
+* Small neighbouring leaves share a bin of at most ``ROW_BLOCK`` rows; a larger leaf is a
+  bin of several blocks. Visits are joined with the bins' rows in blocks on both sides, so
+  neither a large leaf nor a leaf that many queries visit is gathered in one task, and a
+  query's vector is sent once for each block it meets. Each block compares all its rows
+  and returns the best ``k`` of each query.
 
 Nearness is the cosine in double precision on the original vectors, the same for equal
 vectors wherever they lie; ties go to the smaller vec_id.
@@ -45,7 +47,7 @@ CALIBRATION = 256  # queries that the number of visits is calibrated on
 BRANCH = 16
 LEAF_SAMPLE = 64
 ITERATIONS = 8
-ROW_BLOCK, QUERY_BLOCK = 4096, 1024
+ROW_BLOCK, QUERY_BLOCK = 2048, 1024
 NO_ID = 2**63 - 1  # sorts rows without vec_id last
 
 
@@ -144,19 +146,32 @@ def _assign(trees) -> Callable:
     return run
 
 
-def _visits(trees, least, sizes, rows: int) -> Callable:
+def bins_of(sizes: dict[int, int], block: int) -> dict[int, int]:
+    """The bin of each leaf: leaves in order, together while they hold at most ``block`` rows."""
+    out, current, held = {}, -1, block
+    for leaf in sorted(sizes):
+        if held + sizes[leaf] > block:
+            current, held = current + 1, 0
+        held += sizes[leaf]
+        out[leaf] = current
+    return out
+
+
+def _visits(trees, least, sizes, bins, rows: int) -> Callable:
+    """Adds the bins that each query visits."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by_dim, held = received(trees), received(sizes)
+        by_dim, held, bin_of = received(trees), received(sizes), received(bins)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                some = batch.iloc[at : at + 256]
-                leaves = []
-                for v in some.embedding:
-                    d = len(v)
-                    query = unit(np.array(v)[None])[0]
-                    tree, own = by_dim.get(d), held.get(d, {})
-                    leaves.append(tree.visits(query, least[d], own, rows) if tree else [-1])
-                yield some.assign(leaf=leaves).explode("leaf").astype({"leaf": np.int64})
+            visited = []
+            for v in batch.embedding:
+                d = len(v)
+                tree, own = by_dim.get(d), held.get(d, {})
+                leaves = own
+                if tree:
+                    leaves = tree.visits(unit(np.array(v)[None])[0], least[d], own, rows)
+                visited.append(sorted({bin_of[d][leaf] for leaf in leaves if leaf in own}))
+            yield batch.assign(bins=visited)
 
     return run
 
@@ -176,7 +191,7 @@ def best_of_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataF
             "query_id": queries.vec_id.to_numpy()[i],
             "vec_id": rows.vec_id.to_numpy()[j],
             "row": rows.row.to_numpy()[j],
-            "leaf": rows.leaf.to_numpy()[j],
+            "leaf": rows.leaf.to_numpy()[j],  # which calibration needs
             "score": cosines(x[i], y[j]),
         }
     )
@@ -259,29 +274,33 @@ def nearest(
         indexed.mapInPandas(_all_rows(sent(spark, probes), k), FOUND), k
     )
     least = calibrate(trees, truth.toPandas(), probes, recall)
+    bins = {d: bins_of(own, ROW_BLOCK) for d, own in sizes.items()}
     visits = asking.mapInPandas(
-        _visits(shared_trees, least, sent(spark, sizes), k + 1),
-        "vec_id long, embedding array<double>, row long, leaf long",
+        _visits(shared_trees, least, sent(spark, sizes), sent(spark, bins), k + 1),
+        "vec_id long, embedding array<double>, row long, bins array<long>",
     )
     visits = saved(visits.withColumn("dim", dim), "visits")
-    leaf = ["dim", "leaf"]
-    blocks = lambda n, of: F.ceil(F.coalesce(F.col(n), F.lit(0)) / of).cast("int")
+    key = ["dim", "bin"]
+    # one row for each leaf of the trees, which the sample bounds
+    leaves = [(d, leaf, b) for d, own in bins.items() for leaf, b in own.items()]
+    placed = indexed.withColumn("dim", dim).join(
+        F.broadcast(spark.createDataFrame(leaves, "dim int, leaf long, bin long")), ["dim", "leaf"]
+    )
+    visited = visits.withColumn("bin", F.explode("bins"))
+    blocks = lambda n, of: F.ceil(F.col(n) / of).cast("int")
     layout = (
-        visits.groupBy(*leaf).agg(F.count("*").alias("q"))
-        .join(indexed.groupBy(dim, "leaf").agg(F.count("*").alias("r")), leaf)
-        .select(*leaf, blocks("q", QUERY_BLOCK).alias("q_blocks"), blocks("r", ROW_BLOCK).alias("r_blocks"))
+        visited.groupBy(*key).agg(F.count("*").alias("q"))
+        .join(placed.groupBy(*key).agg(F.count("*").alias("r")), key)
+        .select(*key, blocks("q", QUERY_BLOCK).alias("q_blocks"), blocks("r", ROW_BLOCK).alias("r_blocks"))
     )
     own = lambda n: F.expr(f"cast(pmod(xxhash64(row), {n}) as int)")
     every = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
-    key = [*leaf, "q_block", "r_block"]
-    asked = visits.join(layout, leaf).withColumn("q_block", own("q_blocks")).withColumn("r_block", every("r_blocks"))
-    held = (
-        indexed.withColumn("dim", dim).join(layout, leaf)
-        .withColumn("r_block", own("r_blocks")).withColumn("q_block", every("q_blocks"))
-    )
+    asked = visited.join(layout, key).withColumn("q_block", own("q_blocks")).withColumn("r_block", every("r_blocks"))
+    held = placed.join(layout, key).withColumn("r_block", own("r_blocks")).withColumn("q_block", every("q_blocks"))
+    key += ["q_block", "r_block"]
     found = (
         asked.select(*key, "vec_id", "embedding", "row").groupBy(*key)
-        .cogroup(held.select(*key, "vec_id", "embedding", "row").groupBy(*key))
+        .cogroup(held.select(*key, "vec_id", "embedding", "row", "leaf").groupBy(*key))
         .applyInPandas(_search(k), FOUND)
     )
     return _ranked(found, k).select(
