@@ -22,7 +22,7 @@ import pricelake.llm.common  # noqa: F401  (ships these functions to tasks)
 from pricelake.llm.shingles import binary
 
 BUCKETS = 1 << 18
-TRAIN_ROWS = 12_000  # labelled rows that a model is fitted on at most
+TRAIN_ROWS = 10_000  # labelled rows that a model is fitted on at most
 FEATURES = 6_000  # hashed features that a model keeps at most
 LEAST_STRENGTH = 15  # chi-square that a feature needs; chance gives few of 2^18 buckets so much
 _CACHE = 50_000
@@ -117,12 +117,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, columns: list[str], rows:
     found = texts.join(F.broadcast(some), "doc_id").select("doc_id", *names, "text")
     got = (
         found.mapInArrow(_feature_rows, found.drop("text").schema.simpleString()[7:-1] + ",buckets:binary")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "buckets", *names)
         .limit(rows)
-        .toPandas()
+        .toArrow()
     )
-    sets = [np.frombuffer(b, np.int32) for b in got.buckets]
-    return sets, got[names].to_numpy(np.int64).reshape(len(got), len(columns))
+    y = np.stack([got.column(n).to_numpy() for n in names], 1).astype(np.int64)
+    sets = [np.frombuffer(b.as_buffer(), np.int32) for b in got.column("buckets")]
+    # an order that has nothing to do with where the rows lie
+    keys = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets]
+    order = sorted(range(len(sets)), key=lambda i: (keys[i], y[i].tolist()))
+    return [sets[i] for i in order], y[order].reshape(len(sets), len(columns))
 
 
 class Matrix:
@@ -144,11 +147,14 @@ class Matrix:
 def chosen_features(sets: list[np.ndarray], target: np.ndarray, keep: int = FEATURES) -> np.ndarray:
     """The buckets most associated with the target (by chi-square of presence)."""
     n = max(1, len(sets))
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.int32)
-    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
-    have = np.bincount(flat, minlength=BUCKETS).astype(float)
     centred = target - target.mean() if len(target) else target
-    with_target = np.bincount(flat, centred[row], BUCKETS)
+    have, with_target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at in range(0, len(sets), 1000):  # in parts, to bound what the driver holds
+        part = sets[at : at + 1000]
+        flat = np.concatenate(part)
+        weight = np.repeat(centred[at : at + 1000], [len(s) for s in part])
+        have += np.bincount(flat, minlength=BUCKETS)
+        with_target += np.bincount(flat, weight, BUCKETS)
     spread = have * (1 - have / n) * max(float((centred**2).mean()) if len(target) else 0, 1e-12)
     strength = np.where(have >= 3, with_target**2 / np.maximum(spread, 1e-9), 0)
     best = np.argsort(-strength, kind="stable")[:keep]

@@ -51,8 +51,8 @@ COMMON_SHARE = 0.0001  # a shingle seen in more texts than this share is left ou
 COMMON_LEAST = 12  # ... if it is in so many at least
 COMMON_MOST = 1_000_000  # the most frequent ones that are left out; bounds what is broadcast
 WORDS_PER_TASK = 1_000_000
-CHUNK = 1_000_000  # shingles a task handles at a time
-COUNTED = 4_000_000  # shingles among which a task looks for frequent ones
+CHUNK = 500_000  # shingles a task handles at a time
+COUNTED = 3_000_000  # shingles among which a task looks for frequent ones
 FILTER_WORDS = 1 << 17  # 64-bit words of the filter that picks the sets to verify (1 MB)
 BLOCK = 1024
 
@@ -145,7 +145,7 @@ def _chunks(batches, columns: int):
     """Rows' other values and their sets, so many at a time that memory stays bounded."""
     rest, sets, total, seen = [], [], 0, set()
     shingler = Shingler()
-    for batch in batches:
+    for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
         ids = zip(*(batch.column(k).to_pylist() for k in range(columns - 1)), strict=True)
         ids = list(ids) or [()] * batch.num_rows
         for own, shingles in zip(
