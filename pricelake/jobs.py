@@ -4,12 +4,15 @@
     batch   lake or combined text -> batch table
     full    batch table -> minute serving table
     daily   batch table -> next snapshot of the daily serving store
-    feed    feed messages -> back-end ticks (queue or files) and front-end rows
+    feed    feed messages -> back-end ticks (queue or files), front-end rows, quarantine
     stream  queued ticks -> delta log of the store, until stopped
     board   queued ticks -> newest nine per pair, until stopped
     compact delta log -> next snapshot
-    lookup  pair and dates -> rows, printed or written
+    lookup  pair and dates -> rows
     pairs   known pairs of a folder of bar files
+
+``lookup`` and ``pairs`` write all rows below --out, print the first ones of a --peek,
+or both.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricelake.operators import (
@@ -37,6 +41,7 @@ from pricelake.plans import (
     write_base,
     write_full,
 )
+from pricelake.schemas import CORRUPT
 from pricelake.session import DEFAULTS, configure
 from pricelake.sources import export_csv, read_combined, read_lake
 from pricelake.streaming import (
@@ -50,9 +55,6 @@ from pricelake.streaming import (
     start_upsert,
 )
 
-SHOWN_ROWS = 1000  # printed rows; the whole result goes to --out
-
-
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="pricelake.jobs", description=__doc__)
     steps = parser.add_subparsers(dest="step", required=True)
@@ -65,7 +67,6 @@ def _arguments() -> argparse.ArgumentParser:
 
     lake = step("lake", "files", "lake")
     lake.add_argument("--by-name", action="store_true")
-    lake.add_argument("--overwrite", action="store_true")
     batch = step("batch", "source", "batch")
     batch.add_argument("--text", action="store_true", help="source is the combined text file")
     batch.add_argument("--quoted", action="store_true")
@@ -80,6 +81,10 @@ def _arguments() -> argparse.ArgumentParser:
         stream.add_argument("--brokers")
         stream.add_argument("--topic")
         stream.add_argument("--inbox", help="read text files of this folder instead of a queue")
+        stream.add_argument(
+            "--option", action="append", default=[], metavar="KEY=VALUE",
+            help="queue option, such as maxOffsetsPerTrigger=1000000 to pace a backlog",
+        )
         stream.add_argument("--interval", default="30 seconds")
         stream.add_argument("--once", action="store_true", help="stop when nothing is left to read")
     step("compact", "store")
@@ -87,21 +92,24 @@ def _arguments() -> argparse.ArgumentParser:
     lookup.add_argument("--order", choices=("event_time", "arrival"), default="event_time")
     listing = step("pairs", "files")
     for sub in (lookup, listing):
-        sub.add_argument("--out", help="write the rows as text below this folder")
+        sub.add_argument("--out", help="write all rows as text to this new folder")
+        sub.add_argument("--peek", type=int, help="print so many of the rows")
     return parser
 
 
-def _give(rows: DataFrame, out: str | None) -> None:
-    if out:
-        export_csv(rows, out)
-    else:
-        rows.show(SHOWN_ROWS, truncate=False)
+def _give(rows: DataFrame, args: argparse.Namespace) -> None:
+    if args.out:
+        export_csv(rows, args.out)
+    if args.peek:
+        print(f"The first {args.peek} rows at most:")
+        rows.show(args.peek, truncate=False)
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.inbox:
         return read_ticks(spark, "text", path=args.inbox)
     options = {"kafka.bootstrap.servers": args.brokers, "subscribe": args.topic}
+    options |= dict(pair.split("=", 1) for pair in args.option)
     return read_ticks(spark, "kafka", options)
 
 
@@ -111,9 +119,22 @@ def _feed_outputs(args: argparse.Namespace) -> dict:
         backend = queue_batches(options)
     else:
         backend = parquet_batches(f"{args.outputs}/backend")
+
+    def chosen(feed: DataFrame) -> DataFrame:
+        tickers = ticker_only(feed)
+        return select_products(tickers, args.products) if args.products else tickers
+
+    def malformed(feed: DataFrame) -> DataFrame:
+        """Texts that are no JSON object; messages of other types are none of them."""
+        return feed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))
+
     return {
-        "backend": (to_backend, backend),
-        "frontend": (to_frontend, parquet_batches(f"{args.outputs}/frontend")),
+        "backend": (lambda feed: to_backend(chosen(feed)), backend),
+        "frontend": (
+            lambda feed: to_frontend(chosen(feed)),
+            parquet_batches(f"{args.outputs}/frontend"),
+        ),
+        "quarantine": (malformed, parquet_batches(f"{args.outputs}/quarantine")),
     }
 
 
@@ -125,18 +146,18 @@ def _start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if args.step == "board":
         valid, _ = split_valid(parse_ticks(messages))
         return latest_n_stream(valid, args.path, args.checkpoint, trigger=trigger)
-    feed = ticker_only(parse_feed(messages.select("value")))
-    if args.products:
-        feed = select_products(feed, args.products)
+    feed = parse_feed(messages.select("value"), corrupt=CORRUPT)
     return fan_out(feed, _feed_outputs(args), args.checkpoint, trigger)
 
 
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
-    args = _arguments().parse_args(argv)
+    parser = _arguments()
+    args = parser.parse_args(argv)
+    if args.step in ("lookup", "pairs") and not (args.out or args.peek):
+        parser.error(f"{args.step} needs --out or --peek")
     configure(spark)
     if args.step == "lake":
-        mode = "overwrite" if args.overwrite else "errorifexists"
-        build_lake(spark, args.files, args.lake, args.by_name, mode)
+        build_lake(spark, args.files, args.lake, args.by_name)
     elif args.step == "batch":
         if args.text:
             source = read_combined(spark, args.source, quoted=args.quoted)
@@ -153,9 +174,9 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         compact(spark, args.store)
     elif args.step == "lookup":
         found = stored_history(spark, args.store, args.pair, args.start, args.end, args.order)
-        _give(format_row(found), args.out)
+        _give(format_row(found), args)
     elif args.step == "pairs":
-        _give(pairs_from_files(spark, args.files), args.out)
+        _give(pairs_from_files(spark, args.files), args)
 
 
 def main() -> None:

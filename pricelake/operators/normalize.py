@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pricelake.functions import display_time, json_fields, pair_from_product, parse_time
 from pricelake.schemas import FEED, ROLLING_24H
@@ -13,10 +14,14 @@ from pricelake.schemas import FEED, ROLLING_24H
 TICKER = "ticker"  # the one message type that carries prices (fixed value)
 
 
-def parse_feed(messages: DataFrame, value: str = "value") -> DataFrame:
-    """One column per feed field; a message that is no JSON object is all null."""
+def parse_feed(messages: DataFrame, value: str = "value", corrupt: str | None = None) -> DataFrame:
+    """One column per feed field; a message that is no JSON object is all null.
+
+    With ``corrupt`` a column of that name holds the text of such a message.
+    """
     others = [name for name in messages.columns if name != value]
-    return messages.select(*others, json_fields(value, FEED))
+    schema = StructType([*FEED.fields, StructField(corrupt, StringType())]) if corrupt else FEED
+    return messages.select(*others, json_fields(value, schema, corrupt))
 
 
 def ticker_only(feed: DataFrame) -> DataFrame:

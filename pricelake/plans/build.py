@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 from pricelake.functions import shard_of
 from pricelake.operators.batch import combine, drop_header_rows, expand_time
 from pricelake.operators.serving import build_daily, build_full, latest_seconds, with_texts
-from pricelake.schemas import FULL, SHARD
+from pricelake.schemas import FULL, SHARD_FOLDERS, SHARDS
 from pricelake.sources.bars import read_bar_files, read_lake
 from pricelake.sources.sinks import write_lake
 
@@ -30,15 +30,14 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(0).select(*columns)
 
 
-def build_lake(
-    spark: SparkSession,
-    bar_files: str,
-    lake: str,
-    by_name: bool = False,
-    mode: str = "errorifexists",
-) -> DataFrame:
-    """Bar files to the partitioned lake: one narrow pass, no shuffle."""
-    write_lake(combine(read_bar_files(spark, bar_files, by_name=by_name)), lake, mode=mode)
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the write to ``path`` was committed as a whole."""
+    return read_or_none(lambda: spark.read.text(f"{path}/_SUCCESS")) is not None
+
+
+def build_lake(spark: SparkSession, bar_files: str, lake: str, by_name: bool = False) -> DataFrame:
+    """Bar files to the partitioned lake at a new path: one narrow pass, no shuffle."""
+    write_lake(combine(read_bar_files(spark, bar_files, by_name=by_name)), lake)
     return read_lake(spark, lake)
 
 
@@ -50,13 +49,18 @@ def batch_rows(combined: DataFrame, variant: str = "a") -> DataFrame:
 def build_batch(
     combined: DataFrame, path: str, variant: str = "a", if_not_exists: bool = False
 ) -> DataFrame:
-    """Write the batch table to a new path and return it as stored."""
+    """Write the batch table to a new path and return it as stored.
+
+    ``if_not_exists`` returns a table that is there already, but only a whole one
+    of the same variant: a build that broke off is not taken for a table.
+    """
     spark = combined.sparkSession
-    if if_not_exists:
-        existing = read_or_none(lambda: spark.read.parquet(path))
-        if existing is not None:
-            return existing
     rows = batch_rows(combined, variant)
+    if if_not_exists and is_complete(spark, path):
+        existing = spark.read.parquet(path)
+        if existing.columns != rows.columns:
+            raise ValueError(f"{path} holds {existing.columns}, not {rows.columns}")
+        return existing
     rows.write.mode("errorifexists").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -69,12 +73,13 @@ def by_shard(df: DataFrame, *order: str) -> DataFrame:
     so reduce first.
     """
     columns = ["shard", *order]
-    sharded = df.withColumn("shard", shard_of(F.col("pair")))
+    sharded = df.withColumns({"shards": F.lit(SHARDS), "shard": shard_of(F.col("pair"))})
     return sharded.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
 def write_shards(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").partitionBy("shard").parquet(path)
+    """The number of shards is a folder too, so a reader that expects another one notices."""
+    df.write.mode("errorifexists").partitionBy("shards", "shard").parquet(path)
 
 
 def write_full(batch: DataFrame, path: str) -> None:
@@ -85,7 +90,7 @@ def write_full(batch: DataFrame, path: str) -> None:
     together too, but would gather a much repeated key in one task.
     """
     rows = by_shard(latest_seconds(batch), "pair", "_second")
-    write_shards(with_texts(rows, ["shard"]), path)
+    write_shards(with_texts(rows, ["shards", "shard"]), path)
 
 
 def read_sharded(
@@ -94,13 +99,21 @@ def read_sharded(
     """A sharded table, or only the rows of one pair.
 
     For one pair a single folder is listed and opened, however many there are.
+    A pair without a folder has no rows; a path without such a table is an error.
     """
-    reader = spark.read.schema(StructType([*schema.fields, SHARD])).option("basePath", path)
+    layout = StructType([*schema.fields, *SHARD_FOLDERS])
+    reader = spark.read.schema(layout).option("basePath", path)
     if pair is None:
         return reader.parquet(path).select(*schema.names)
     number = spark.sql("SELECT 1").select(shard_of(F.lit(pair))).first()[0]
-    folder = read_or_none(lambda: reader.parquet(f"{path}/shard={number}"))
+    top = f"{path}/shards={SHARDS}"
+    folder = read_or_none(lambda: reader.parquet(f"{top}/shard={number}"))
     if folder is None:
+        if not is_complete(spark, path):
+            raise ValueError(f"there is no (whole) sharded table at {path}")
+        stored = reader.parquet(path).where(F.col("shards") != SHARDS)
+        if not stored.isEmpty():
+            raise ValueError(f"{path} was not written with {SHARDS} shards")
         return empty(spark, schema)
     return folder.where(F.col("pair") == pair).select(*schema.names)
 

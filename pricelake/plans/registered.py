@@ -232,10 +232,13 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = rows.where(F.col("price_date") <= F.lit("2024-01-15").cast("date"))
     parts = []
     for label, if_not_exists in (("kept", True), ("replaced", False)):
-        path = scratch_dir(spark, label)
-        name = path.rsplit("/", 1)[-1].replace("-", "_")
-        write_table(early, name, path=path)
-        stored = write_table(rows, name, if_not_exists=if_not_exists, path=path)
+        paths = [scratch_dir(spark, label) for _ in range(2)]
+        name = paths[0].rsplit("/", 1)[-1].replace("-", "_")
+        write_table(early, name, paths[0])
+        write_table(rows, name, paths[1], if_not_exists=if_not_exists)
+        folder = spark.table(name).inputFiles()[0].rsplit("/", 1)[0]
+        spark.sql(f"DROP TABLE {name}")  # its rows stay where they were written
+        stored = spark.read.schema(rows.schema).parquet(folder)
         parts.append(stored.select(F.lit(label).alias("label"), *rows.columns))
     return parts[0].unionByName(parts[1])
 

@@ -82,8 +82,8 @@ SERVING = _struct(
     batch=LongType(),
 )
 
-# Folder column of both serving tables.
-SHARD = StructField("shard", IntegerType(), True)
+# Folder columns of both serving tables.
+SHARD_FOLDERS = [StructField(name, IntegerType(), True) for name in ("shards", "shard")]
 
 # Delta log: the serving row below run=/batch=/price_date= folders.
 DELTA = StructType([*SERVING.fields, StructField("run", StringType(), True)])

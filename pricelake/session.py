@@ -63,5 +63,8 @@ def _local_dir(application: str) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no earlier run has used.
+
+    All paths of an application lie in one folder, which can be expired as a whole.
+    """
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

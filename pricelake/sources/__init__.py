@@ -1,12 +1,12 @@
 """Readers and writers of stored bars."""
 
-from pricelake.sources.bars import header_layouts, read_bar_files, read_combined, read_lake
+from pricelake.sources.bars import header_names, read_bar_files, read_combined, read_lake
 from pricelake.sources.sinks import audit_counts, export_csv, write_lake, write_table
 
 __all__ = [
     "audit_counts",
     "export_csv",
-    "header_layouts",
+    "header_names",
     "read_bar_files",
     "read_combined",
     "read_lake",

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pricelake.schemas import COMBINED, CORRUPT, LAKE, RAW_BAR
+from pricelake.session import scratch_dir
 
 CSV_GLOB = "*.csv"  # case-sensitive: x.CSV is not read
 
@@ -31,49 +32,46 @@ def _bar_reader(spark: SparkSession, layout: StructType):
     )
 
 
-Layout = tuple[str, ...]
+def _fields(line: str) -> Column:
+    """The fields of a line of a bar file: numbers and names, which hold no commas."""
+    return F.transform(
+        F.split(line, ","), lambda field: F.trim(F.replace(field, F.lit('"'), F.lit("")))
+    )
 
 
-def header_layouts(
+def header_names(
     spark: SparkSession, path: str | list[str], schema: StructType = RAW_BAR
-) -> tuple[Layout, dict[Layout, list[str]]]:
-    """The usual column order of the files below ``path``, and the files with others.
+) -> DataFrame:
+    """(path, names): the column names of each bar file, in a table of their own.
 
-    A header line is one that holds every required column name. The lines are
-    searched on the executors; only the exceptional files are named to the driver.
+    A header line is one that holds every required column name. Files without one,
+    or with two that differ, are refused; only counts reach the driver.
     """
     lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(path)
-    names = F.transform(
-        F.split("value", ","), lambda name: F.trim(F.replace(name, F.lit('"'), F.lit("")))
-    )
+    origin = F.col("_metadata.file_path").alias("path")
     required = F.array(*[F.lit(field.name) for field in schema.fields])
     # Cheap test first: a line of numbers fails it at the first name.
     holds_names = reduce(and_, [F.col("value").contains(field.name) for field in schema.fields])
     found = (
         lines.where(holds_names)
-        .select(F.col("_metadata.file_path").alias("path"), names.alias("names"))
+        .select(origin, _fields("value").alias("names"))
         .where(F.size(F.array_except(required, F.col("names"))) == 0)
         .distinct()
-        .persist()
     )
-    try:
-        counts = found.groupBy("names").agg(F.count(F.lit(1)).alias("files")).collect()
-        if found.groupBy("path").count().where("count > 1").head(1):
-            raise ValueError("a bar file holds two different header lines")
-        files, headed = len(set(lines.inputFiles())), sum(row["files"] for row in counts)
-        if headed < files or not counts:
-            raise ValueError(
-                f"{files - headed} of {files} bar files have no header "
-                f"with the columns {[field.name for field in schema.fields]}"
-            )
-        usual = max(counts, key=lambda row: (row["files"], row["names"]))["names"]
-        odd: dict[Layout, list[str]] = {}
-        usual_names = F.array(*[F.lit(name) for name in usual])
-        for row in found.where(F.col("names") != usual_names).collect():
-            odd.setdefault(tuple(row["names"]), []).append(row["path"])
-    finally:
-        found.unpersist()
-    return tuple(usual), odd
+    # Written, so that its size is known when it is joined.
+    stored = scratch_dir(spark, "headers")
+    found.write.parquet(stored)
+    found = spark.read.schema(found.schema).parquet(stored)
+    if found.groupBy("path").count().where("count > 1").head(1):
+        raise ValueError("a bar file holds two different header lines")
+    files = lines.select(origin).distinct()
+    headless = files.join(found, "path", "left_anti").count()
+    if headless or not found.head(1):
+        raise ValueError(
+            f"{headless} of {files.count()} bar files have no header "
+            f"with the columns {schema.fieldNames()}"
+        )
+    return found
 
 
 def read_bar_files(
@@ -86,34 +84,33 @@ def read_bar_files(
 
     One pass over the data; a file whose header is not ``schema`` in order
     stops the job. With ``by_name`` the headers are looked up first (a second,
-    text-only pass) and each column order is read with its own layout.
+    text-only pass) and joined to the lines by file, each of which picks its
+    fields by their names. Spark's size check decides how to join.
     """
-    columns = [field.name for field in schema.fields]
-    origin = F.col("_metadata.file_path")
-
-    def bars(layout: StructType, chosen: Column | None = None) -> DataFrame:
-        frame = _bar_reader(spark, layout).csv(path)
-        # Chosen by metadata, which drops the other files from the listing, not
-        # by path, where names would be taken for patterns.
-        if chosen is not None:
-            frame = frame.where(chosen)
-        return frame.select(*columns, CORRUPT, origin.alias("path"))
-
+    origin = F.col("_metadata.file_path").alias("path")
     if not by_name:
-        return bars(schema)
-
-    def layout_of(names: Layout) -> StructType:
-        text = StringType()
-        return StructType(
-            [schema[name] if name in columns else StructField(name, text) for name in names]
-        )
-
-    usual, odd = header_layouts(spark, path, schema)
-    exceptions = [file for files in odd.values() for file in files]
-    frame = bars(layout_of(usual), ~origin.isin(exceptions) if exceptions else None)
-    for names, files in odd.items():
-        frame = frame.unionByName(bars(layout_of(names), origin.isin(files)))
-    return frame
+        columns = schema.fieldNames()
+        return _bar_reader(spark, schema).csv(path).select(*columns, CORRUPT, origin)
+
+    lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(path).select("value", origin)
+    fields = (
+        lines.where("value <> ''")
+        .withColumn("fields", _fields("value"))
+        .join(header_names(spark, path, schema), "path")
+        .where("fields <> names")
+    )
+    text = {
+        field.name: F.get("fields", F.array_position("names", field.name).cast("int") - 1)
+        for field in schema.fields
+    }
+    values = {field.name: text[field.name].try_cast(field.dataType) for field in schema.fields}
+    unreadable = [(text[name] != "") & values[name].isNull() for name in values]
+    corrupt = reduce(or_, unreadable, F.size("fields") != F.size("names"))
+    return fields.select(
+        *[value.alias(name) for name, value in values.items()],
+        F.when(corrupt, F.col("value")).alias(CORRUPT),
+        "path",
+    )
 
 
 def read_combined(

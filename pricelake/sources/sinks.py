@@ -5,58 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A single output file is written by one task, so it is kept to this many rows.
-SINGLE_FILE_ROWS = 1_000_000
-
-
-def write_lake(
-    df: DataFrame, path: str, regroup: bool = False, mode: str = "errorifexists"
-) -> None:
-    """Combined bars as Parquet, one folder per instrument.
+def write_lake(df: DataFrame, path: str, regroup: bool = False) -> None:
+    """Combined bars as Parquet at a new path, one folder per instrument.
 
     Bar files hold one instrument each, so their tasks already write few
     folders and no shuffle is needed. ``regroup`` is for mixed input: a
     rebalance by instrument, which AQE splits where an instrument is hot.
-    ``mode`` "overwrite" rebuilds a lake; ``df`` must then not read from it.
+    A lake is rebuilt at another path, so a failed rebuild costs nothing.
     """
     if regroup:
         df = df.hint("rebalance", "pair")
     nameless = F.raise_error(F.lit("a bar with an empty pair has no folder in the lake"))
     df = df.withColumn("pair", F.when(F.col("pair") == "", nameless).otherwise(F.col("pair")))
-    df.write.mode(mode).partitionBy("pair").parquet(path)
+    df.write.mode("errorifexists").partitionBy("pair").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, single: bool = False) -> None:
-    """Text export with a header per file.
-
-    ``single`` gives exactly one file and is refused beyond SINGLE_FILE_ROWS;
-    larger results stay a folder of parts.
-    """
-    if single:
-        seen = df.limit(SINGLE_FILE_ROWS + 1).count()
-        if seen > SINGLE_FILE_ROWS:
-            raise ValueError(
-                f"more than {SINGLE_FILE_ROWS} rows do not belong in one file; "
-                "export a folder of parts instead"
-            )
-        df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str) -> None:
+    """Text export to a new folder of parts, with a header per file."""
+    df.write.mode("errorifexists").option("header", True).csv(path)
 
 
-def write_table(
-    df: DataFrame, name: str, if_not_exists: bool = False, path: str | None = None
-) -> DataFrame:
-    """Catalog table in Parquet: replaced, or left alone when it already exists.
+def write_table(df: DataFrame, name: str, path: str, if_not_exists: bool = False) -> DataFrame:
+    """Catalog table over Parquet at the new ``path``: replaced, or left alone when it exists.
 
-    With ``path`` the data lives there, else in the warehouse. ``df`` must not
-    read the table it replaces; build into a new name instead.
+    A replaced table's rows are written in full before the name moves to them;
+    the old rows stay where they are until they are expired. ``if_not_exists``
+    leaves the decision to the catalog, so a table created meanwhile is kept.
     """
     spark = df.sparkSession
-    if not (if_not_exists and spark.catalog.tableExists(name)):
-        writer = df.write.mode("overwrite").format("parquet")
-        if path:
-            writer = writer.option("path", path)
-        writer.saveAsTable(name)
+    if if_not_exists:
+        df.write.mode("ignore").format("parquet").option("path", path).saveAsTable(name)
+    else:
+        df.write.mode("errorifexists").parquet(path)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
     return spark.table(name)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pricelake.operators.latest import BOARD_ROWS, latest_n
+from pricelake.operators.latest import BOARD_ROWS, NEWEST_FIRST, latest_n
 from pricelake.plans.build import read_or_none
 from pricelake.streaming.ticks import DEFAULT_TRIGGER
 
@@ -23,9 +23,6 @@ BOARD = (
     "pair string, event_time timestamp, seq bigint, close double, volume double, rank int"
 )
 
-# Ticks without time or sequence count as oldest; price and volume make the
-# order total.
-_ORDER = ["event_time", "seq", "close", "volume"]
 
 
 def merge_board(board: DataFrame | None, ticks: DataFrame, n: int = BOARD_ROWS) -> DataFrame:
@@ -33,7 +30,7 @@ def merge_board(board: DataFrame | None, ticks: DataFrame, n: int = BOARD_ROWS)
     rows = ticks.select(*_TICK)
     if board is not None:
         rows = rows.unionByName(board.select(*_TICK))
-    return latest_n(rows, n, order=_ORDER)
+    return latest_n(rows, n)
 
 
 def latest_n_stream(
@@ -81,7 +78,7 @@ def read_board(spark: SparkSession, path: str) -> DataFrame:
     """
     boards = spark.read.schema(f"{BOARD}, batch bigint").parquet(path)
     newest = boards.agg(F.max("batch")).first()[0]
-    row = F.max(F.struct("batch", *_ORDER)).alias("_row")
+    row = F.max(F.struct("batch", *NEWEST_FIRST)).alias("_row")
     return (
         boards.where(F.col("batch") >= newest - 1)
         .groupBy("pair", "rank")

@@ -67,7 +67,9 @@ def start_upsert(
         try:
             valid, rejected = split_valid(batch_df)
             winners = latest_by_either_order(valid.withColumn("batch", F.lit(batch)), KEYS)
-            by_day = winners.drop("batch").repartition("price_date")
+            # Most ticks are of today: a rebalance keeps a day's files few, and is
+            # split where the day is too large for one task.
+            by_day = winners.drop("batch").hint("rebalance", "price_date")
             _replace(by_day, f"{delta_path(root)}/{folder}", "price_date")
             # Foldered too: a batch without rejects then leaves no empty file.
             _replace(rejected, f"{quarantine_path(root)}/{folder}", "reason")

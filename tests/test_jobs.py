@@ -5,6 +5,7 @@ import json
 import pytest
 
 from pricelake import jobs
+from pricelake.plans import write_base
 from pricelake.streaming import read_board
 
 HEADER = "time,open,close,high,low,volume"
@@ -38,18 +39,31 @@ def test_files_to_lookup(spark, tmp_path, capsys):
     assert read_board(spark, str(tmp_path / "board")).count() == 1
     run("compact", tmp_path / "store")
     assert spark.read.parquet(str(tmp_path / "full")).count() == 2 * 3 * 1440
-    out = run("lookup", tmp_path / "store", "btcusd", "2024-01-02", "2024-01-31")
+    out = run("lookup", tmp_path / "store", "btcusd", "2024-01-02", "2024-01-31", "--peek", "9")
     shown = [[cell.strip() for cell in line.strip("|").split("|")] for line in out.splitlines() if "2024" in line]
     assert shown == [
         ["btcusd", "2024-01-02", str(100.0 + 2 * 1440 - 1), str(2 * 1440 - 1.0)],
         ["btcusd", "2024-01-03", str(100.0 + 3 * 1440 - 1), str(3 * 1440 - 1.0)],
         ["btcusd", "2024-01-04", "7.5", "1.0"],
     ]
-    assert "ethusd" in run("pairs", files)
+    assert "ethusd" in run("pairs", files, "--peek", "5")
     run("pairs", files, "--out", tmp_path / "listed")
     assert spark.read.csv(str(tmp_path / "listed"), header=True).count() == 2
     with pytest.raises(ValueError):
-        run("lookup", tmp_path / "store", "btcusd", "2024-1-2", "2024-01-31")
+        run("lookup", tmp_path / "store", "btcusd", "2024-1-2", "2024-01-31", "--peek", "9")
+    with pytest.raises(SystemExit):
+        run("pairs", files)
+
+
+def test_a_long_lookup_is_written_whole(spark, tmp_path):
+    days = spark.range(1500).selectExpr(
+        "'p' as pair", "date_add(date'2020-01-01', cast(id as int)) as price_date",
+        "cast(id as double) as close", "1.0D as volume",
+    )
+    write_base(days, str(tmp_path / "store"))
+    argv = ["lookup", tmp_path / "store", "p", "2020-01-01", "2030-01-01", "--out", tmp_path / "out"]
+    jobs.run(spark, [str(arg) for arg in argv])
+    assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 1500
 
 
 def test_feed_to_both_outputs(spark, tmp_path):
@@ -60,13 +74,15 @@ def test_feed_to_both_outputs(spark, tmp_path):
                         volume_24h="2", last_size="3"))
         for product in ("BTC-USD", "ETH-USD", "DOGE-USD")
     ]
-    (inbox / "a").write_text("\n".join([*lines, '{"type":"heartbeat"}']) + "\n")
+    (inbox / "a").write_text("\n".join([*lines, '{"type":"heartbeat"}', '{"other": 1}', "{broken", "no json"]) + "\n")
     argv = ["feed", tmp_path / "out", tmp_path / "cp", "--inbox", inbox, "--once",
             "--products", "BTC-USD", "ETH-USD"]
     jobs.run(spark, [str(arg) for arg in argv])
     for name, pairs in (("backend", {"btcusd", "ethusd"}), ("frontend", {"BTC-USD", "ETH-USD"})):
         stored = spark.read.parquet(str(tmp_path / "out" / name))
         assert {row["pair"] for row in stored.collect()} == pairs
+    refused = spark.read.parquet(str(tmp_path / "out" / "quarantine"))
+    assert sorted(row["raw"] for row in refused.collect()) == ["no json", "{broken"]
 
 
 def test_text_source_and_second_variant(spark, tmp_path):

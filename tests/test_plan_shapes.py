@@ -63,7 +63,7 @@ def test_minute_rows_are_limited_before_the_exchange(spark):
 
 def test_minute_layout_needs_no_sort_of_its_own_for_the_write(spark):
     batch = batch_rows(registered.bars(spark, SF_DIR))
-    text = plan(with_texts(by_shard(latest_seconds(batch), "pair", "_second"), ["shard"]))
+    text = plan(with_texts(by_shard(latest_seconds(batch), "pair", "_second"), ["shards", "shard"]))
     assert shuffles(text) == ["rangepartitioning", "hashpartitioning"]
     # Texts are derived above both exchanges.
     assert "date_format" not in text.split("Exchange rangepartitioning")[1]

@@ -5,8 +5,10 @@ import json
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 
-from pricelake.plans import compact, current_view, stored_history, write_base
+from pricelake.plans import build, compact, current_view, store, stored_history, write_base
+from pricelake.schemas import SERVING
 from pricelake.streaming import parse_ticks, read_ticks, start_upsert
 
 PAIRS = ["hot", "hot", "hot", "a", "b"]
@@ -93,3 +95,38 @@ def test_store_follows_the_model(spark, tmp_path, seed):
     assert {("hot", row["price_date"]): row["close"] for row in found} == {
         key: close for key, close in want.items() if key[0] == "hot"
     }
+
+
+def daily(spark, pair, close):
+    return spark.createDataFrame([(pair, dt.date(2024, 1, 1), close, 1.0)], "pair string, price_date date, close double, volume double")
+
+
+def test_the_second_of_two_writers_from_one_head_fails(spark, folder, monkeypatch):
+    """Whichever comes first stays readable; nothing it loaded is lost."""
+    for first, second in (("load", "compact"), ("compact", "load")):
+        root = f"{folder}/{first}"
+        write_base(daily(spark, "a", 1.0), root)
+        head = store._manifest_head(spark, root)
+        steps = {"load": lambda r=root: write_base(daily(spark, "b", 2.0), r), "compact": lambda r=root: compact(spark, r)}
+        assert steps[first]() == 2
+        with monkeypatch.context() as frozen:
+            frozen.setattr(store, "_manifest_head", lambda *_, h=head: h)
+            with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+                steps[second]()
+        found = {row["pair"] for row in current_view(spark, root).collect()}
+        assert found == ({"a", "b"} if first == "load" else {"a"})
+        assert steps[second]() == 3
+        assert {row["pair"] for row in current_view(spark, root).collect()} == {"a", "b"}
+
+
+def test_a_mistyped_root_is_an_error(spark, folder, monkeypatch):
+    with pytest.raises(ValueError, match="no store"):
+        stored_history(spark, folder + "/none", "a", "2024-01-01", "2024-01-02")
+    with pytest.raises(ValueError, match="no .* table"):
+        build.read_sharded(spark, folder + "/none", SERVING, "a")
+    write_base(daily(spark, "a", 1.0), folder)
+    path = store._manifest_head(spark, folder)["path"]
+    assert build.read_sharded(spark, path, SERVING, "nobody").count() == 0
+    monkeypatch.setattr(build, "SHARDS", 128)
+    with pytest.raises(ValueError, match="128 shards"):
+        build.read_sharded(spark, path, SERVING, "a")

@@ -382,3 +382,20 @@ def test_last_write_wins_as_a_streaming_aggregate(spark, folder, tmp_path):
     )
     query.awaitTermination()
     assert seen == {"btcusd": 3.0, "x": 1.5}
+
+
+def test_the_ticks_of_one_day_are_written_by_several_tasks(spark, folder, tmp_path):
+    inbox = tmp_path / "in"
+    spark.range(40_000).selectExpr(
+        "to_json(named_struct('pair', concat('p', id), 'price_date', '2024-01-05', 'close', '1.5', "
+        "'volume', '1', 'event_time', '2024-01-05T01:00:00Z', 'seq', id)) as value"
+    ).write.text(str(inbox))
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advisory, "64k")
+    try:
+        stream = parse_ticks(read_ticks(spark, "text", path=str(inbox)))
+        start_upsert(stream, f"{folder}/store", f"{folder}/cp", NOW).awaitTermination()
+    finally:
+        spark.conf.unset(advisory)
+    delta = read_delta(spark, f"{folder}/store")
+    assert delta.count() == 40_000 and len(delta.inputFiles()) > 1
