@@ -72,3 +72,15 @@ def test_no_python_runs(spark, sf_dir):
 
     text = plan(op2_url_filter(spark, sf_dir))
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_query_against_its_sql(spark, sf_dir):
+    from pricelake.llm.queries import ORACLE, op2_url_filter
+    from tools.compare import connect
+
+    cursor = connect(sf_dir).execute(ORACLE["op2_url_filter"])
+    names = [column[0] for column in cursor.description]
+    got = op2_url_filter(spark, sf_dir)
+    assert got.columns == names
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(cursor.fetchall(), key=str)
+    assert {r["verdict"] for r in got.collect()} == {"allow", "block"}
