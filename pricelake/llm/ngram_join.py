@@ -55,6 +55,7 @@ CHUNK = 500_000  # shingles a task handles at a time
 COUNTED = 3_000_000  # shingles among which a task looks for frequent ones
 FILTER_WORDS = 1 << 17  # 64-bit words of the filter that picks the sets to verify (1 MB)
 BLOCK = 1024
+WORDS_TOGETHER = 64  # opened words of one group that a task takes together
 
 _U = np.uint64
 
@@ -422,9 +423,17 @@ def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
         "mixed",
     )
     # blocks of large words meet pairwise; side 0 and 1: rows of the first and second block
+    opened = groups.join(mixed, "word")
+    parts = (
+        opened.select("a", "word")
+        .distinct()
+        .groupBy("a")
+        .agg(F.ceil(F.count("*") / WORDS_TOGETHER).alias("parts"))
+    )
     dealt = (
-        groups.join(mixed, "word")
-        .select("word", "a", "blocks", F.explode(_longs("refs")).alias("ref"))
+        opened.join(parts, "a")
+        .withColumn("part", F.expr("pmod(xxhash64(word), parts)"))
+        .select("word", "a", "part", "blocks", F.explode(_longs("refs")).alias("ref"))
         .withColumn("own", F.expr("cast(pmod(xxhash64(ref), blocks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .join(rooted.drop("key"), "ref")
@@ -432,6 +441,7 @@ def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
     pairs = dealt.select(
         "word",
         "a",
+        "part",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
@@ -442,9 +452,9 @@ def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
     )
     ranges = partitions(groups.sparkSession, dealt.count(), 100_000)
     return (
-        # words of one group of near copies share their least set, so the pairs that they
-        # repeat meet in one task
-        pairs.withColumn("range", F.pmod(F.xxhash64("a", "i", "j"), F.lit(ranges)))
+        # Words of one group of near copies share their least set, so the pairs that they
+        # repeat meet in one task, a bounded number of words at a time.
+        pairs.withColumn("range", F.pmod(F.xxhash64("a", "part", "i", "j"), F.lit(ranges)))
         .groupBy("range")
         .applyInArrow(_cross_pairs, "a long, b long")
         .distinct()

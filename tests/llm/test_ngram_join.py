@@ -74,6 +74,7 @@ def test_components_are_those_of_brute_force(spark, folder, monkeypatch):
     docs = stored(spark, [(*r, "x", 1, None) for r in rows], SCHEMA, folder)
     for block in (1024, 3):
         monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "WORDS_TOGETHER", block)
         got = ngram_join.jaccard_components(docs).collect()
         have = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str)
         assert have == sorted(brute(rows), key=str)
