@@ -51,7 +51,7 @@ def _address(host: str, path: str) -> Column:
 def _mask(host: str, path: str) -> Column:
     """PROBES bits of a 64-bit block, from another hash than the address."""
     seed = F.xxhash64(F.lit("bits"), host, path)
-    bits = [F.shiftleft(F.lit(1).cast("long"), 0)] * 0
+    bits = []
     for k in range(PROBES):
         place = F.shiftrightunsigned(seed, 6 * k).bitwiseAND(F.lit(63)).cast("int")
         bits.append(F.call_function("shiftleft", F.lit(1).cast("long"), place))
