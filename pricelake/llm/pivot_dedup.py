@@ -3,8 +3,9 @@
 Vectors of one label link when their cosine is at least 0.93.
 
 * Equal vectors of a label form a class, counted before anything is shuffled by vector.
-* A bounded sample of vectors are the pivots. Each class is described by its ordered
-  nearest pivots (the head of its pivot permutation).
+* The pivots of a vector length are a bounded sample of its vectors. Each class is
+  described by its ordered nearest pivots (the head of its pivot permutation). Vectors of
+  a length that few have are all compared.
 * An inverted list holds, for a label and a pivot, the classes that have the pivot in
   their description. Two classes are candidates when they share at least ``shared``
   pivots; the shared pivots of all pairs of a list are counted at once.
@@ -14,6 +15,8 @@ Vectors of one label link when their cosine is at least 0.93.
   returns the number of links of each class and edges that span its linked groups,
   never the pairs: a group of many near copies costs rows in proportion to its size.
 
+Pivots are broadcast, at most MOST_PIVOTS for each length that over WHOLE classes have.
+
 Which candidates the index finds is approximate; ``recall`` of the links against brute
 force is measured in the tests. No pair below the threshold is ever linked.
 
@@ -42,25 +45,30 @@ DESCRIPTION = 8  # nearest pivots that describe a vector
 SHARED = 3  # of them two vectors must have in common
 PIVOTS_PER_ROOT = 2  # pivots for the square root of the number of vectors
 LEAST_PIVOTS, MOST_PIVOTS = 32, 16_384
+WHOLE = 128  # classes of one length that are all compared, without pivots
 BLOCK = 512
 
 
 def _describe(pivots, n: int) -> Callable:
-    """Adds the ordered numbers of the nearest pivots of the same length."""
+    """Adds the ordered numbers of the nearest pivots of the same length; 0 if it has none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             described = np.empty(len(batch), object)
             dims = batch.embedding.map(len).to_numpy()
             for dim in np.unique(dims):
-                numbers, points = pivots.value[int(dim)]
+                points = pivots.value.get(int(dim))
                 rows = np.flatnonzero(dims == dim)
+                if points is None:
+                    for row in rows:
+                        described[row] = np.zeros(1, np.int64)
+                    continue
                 for at in range(0, len(rows), 4096):
                     some = rows[at : at + 4096]
                     near = unit(matrix(batch.embedding.iloc[some])) @ points.T
                     order = np.argsort(-near, axis=1, kind="stable")[:, :n]
                     for row, chosen in zip(some, order, strict=True):
-                        described[row] = numbers[chosen]
+                        described[row] = chosen
             yield batch.assign(pivots=described)
 
     return run
@@ -131,24 +139,26 @@ def near_duplicates(
         "classes",
     )
     classes = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "numbered")
-    n = classes.count()
-    wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, PIVOTS_PER_ROOT * math.isqrt(n)))
-    sample = classes.select("cid", "embedding").orderBy(F.xxhash64("cid"), "cid").limit(wanted)
-    pivots: dict[int, tuple[list, list]] = {}
-    for number, row in enumerate(sample.toLocalIterator()):
-        numbers, points = pivots.setdefault(len(row["embedding"]), ([], []))
-        numbers.append(number)
-        points.append(row["embedding"])
-    points = {d: (np.array(k, np.int64), unit(np.array(v))) for d, (k, v) in pivots.items()}
+    dim = F.size("embedding")
+    many = classes.groupBy(dim.alias("dim")).agg(F.count("*").alias("n")).where(F.col("n") > WHOLE)
+    points = {}
+    for length in many.toLocalIterator():
+        wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, PIVOTS_PER_ROOT * math.isqrt(length["n"])))
+        drawn = (
+            classes.where(dim == length["dim"])
+            .select("cid", "embedding")
+            .orderBy(F.xxhash64("cid"), "cid")
+            .limit(wanted)
+        )
+        points[length["dim"]] = unit(np.array([row["embedding"] for row in drawn.toLocalIterator()]))
     shared_points = spark.sparkContext.broadcast(points)
-    known = F.size("embedding").isin(*points) if points else F.lit(False)
-    described = classes.where(known).mapInPandas(
+    described = classes.mapInPandas(
         _describe(shared_points, description),
         f"label {classes.schema['label'].dataType.simpleString()}, embedding array<double>, "
         "size long, least long, cid long, pivots array<long>",
     )
     listed = saved(
-        described.withColumn("dim", F.size("embedding")).drop("least"), "described"
+        described.withColumn("dim", dim).drop("least"), "described"
     ).withColumn("pivot", F.explode("pivots"))
     key = ["label", "dim", "pivot"]
     lengths = listed.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))

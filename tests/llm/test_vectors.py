@@ -98,6 +98,18 @@ def test_links_at_the_threshold(spark, folder):
     assert sum(have.values()) >= 0.9 * true > 0
 
 
+def test_near_vectors_of_a_rare_length(spark, folder):
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist(), 1, "", 0) for i, v in enumerate(rng.normal(size=(3000, 8)))]
+    for n, length in enumerate((3, 5, 6, 40)):
+        near = rng.normal(size=length) + [[0], [1e-4]]
+        rows += [(9000 + 2 * n + k, v.tolist(), 1, "", 0) for k, v in enumerate(near)]
+    table = stored(spark, rows, SCHEMA, folder)
+    got = {r["vec_id"]: r for r in pivot_dedup.near_duplicates(table).collect()}
+    for i in range(9000, 9008):
+        assert (got[i]["n_links"], got[i]["component_id"]) == (1, i - i % 2)
+
+
 @pytest.mark.parametrize("schema", [SCHEMA])
 def test_empty_tables(spark, folder, schema):
     empty = stored(spark, [], schema, folder)
