@@ -3,9 +3,11 @@
 Vectors of one label link when their cosine is at least 0.93.
 
 * Equal vectors of a label form a class, counted before anything is shuffled by vector.
-* The pivots of a vector length are a bounded sample of its vectors. Each class is
-  described by its ordered nearest pivots (the head of its pivot permutation). Vectors of
-  a length that few have are all compared.
+* The pivots of a vector length are a bounded sample of its vectors, thinned so that no
+  two are closer than ``apart``: a dense group of near copies holds one or a few pivots
+  however large it is, so the places of its members in the order of the pivots outside
+  it describe them. Each class is described by its ordered nearest pivots (the head of
+  its pivot permutation). Vectors of a length that few have are all compared.
 * An inverted list holds, for a label and a pivot, the classes that have the pivot in
   their description. Two classes are candidates when they share at least ``shared``
   pivots; the shared pivots of all pairs of a list are counted at once.
@@ -16,6 +18,8 @@ Vectors of one label link when their cosine is at least 0.93.
   never the pairs: a group of many near copies costs rows in proportion to its size.
 
 Pivots are broadcast, at most MOST_PIVOTS for each length that over WHOLE classes have.
+Where a whole length lies within a few such angles it has few pivots, down to one, and
+ever more of its pairs are compared: no link is lost, the time is quadratic.
 
 Which candidates the index finds is approximate; ``recall`` of the links against brute
 force is measured in the tests. No pair below the threshold is ever linked.
@@ -49,6 +53,28 @@ WHOLE = 128  # classes of one length that are all compared, without pivots
 BLOCK = 512
 
 
+def apart(threshold: float) -> float:
+    """Largest cosine of two pivots: twice the threshold's squared distance."""
+    return 2 * threshold - 1
+
+
+def thinned(points: np.ndarray, most: int, cosine: float) -> np.ndarray:
+    """The first ``most`` unit vectors that no earlier one of them is close to."""
+    kept = points[:0]
+    for at in range(0, len(points), 256):
+        some = points[at : at + 256]
+        some = some[(some @ kept.T < cosine).all(axis=1)]
+        close = some @ some.T >= cosine
+        chosen: list[int] = []
+        for i in range(len(some)):
+            if not close[i, chosen].any():
+                chosen.append(i)
+        kept = np.concatenate([kept, some[chosen]])
+        if len(kept) >= most:
+            break
+    return kept[:most]
+
+
 def _describe(pivots, n: int) -> Callable:
     """Adds the ordered numbers of the nearest pivots of the same length; 0 if it has none."""
 
@@ -148,9 +174,10 @@ def near_duplicates(
             classes.where(dim == length["dim"])
             .select("cid", "embedding")
             .orderBy(F.xxhash64("cid"), "cid")
-            .limit(wanted)
+            .limit(2 * wanted)
         )
-        points[length["dim"]] = unit(np.array([row["embedding"] for row in drawn.toLocalIterator()]))
+        sample = unit(np.array([row["embedding"] for row in drawn.toLocalIterator()]))
+        points[length["dim"]] = thinned(sample, wanted, apart(threshold))
     shared_points = spark.sparkContext.broadcast(points)
     described = classes.mapInPandas(
         _describe(shared_points, description),

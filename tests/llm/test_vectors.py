@@ -98,6 +98,24 @@ def test_links_at_the_threshold(spark, folder):
     assert sum(have.values()) >= 0.9 * true > 0
 
 
+def test_a_dense_group_of_a_third_of_all_rows(spark, folder):
+    """Near, not equal, vectors: nine of ten links are found however the group's noise is."""
+    rng = np.random.default_rng(6)
+    for noise in (0.1, 0.3):
+        group = rng.normal(size=64) + noise * rng.normal(size=(1500, 64))
+        vectors = np.concatenate([group, rng.normal(size=(3000, 64))]).astype(np.float32)
+        rows = [(i, v.tolist(), 1, "", 0) for i, v in enumerate(vectors)]
+        x = vectors.astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        true = (x @ x.T >= pivot_dedup.THRESHOLD).sum(axis=1) - 1
+        docs = stored(spark, rows, SCHEMA, f"{folder}/{noise}")
+        got = {r["vec_id"]: r["n_links"] for r in pivot_dedup.near_duplicates(docs).collect()}
+        assert all(got[i] <= n for i, n in enumerate(true.tolist()))
+        found = sum(got.values()) / true.sum()
+        print(f"noise {noise}: {true.sum()} links, recall {found:.4f}")
+        assert found >= 0.9
+
+
 def test_near_vectors_of_a_rare_length(spark, folder):
     rng = np.random.default_rng(7)
     rows = [(i, v.tolist(), 1, "", 0) for i, v in enumerate(rng.normal(size=(3000, 8)))]
