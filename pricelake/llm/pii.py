@@ -12,7 +12,8 @@ is passed over once. Each kind is read from left to right, without overlaps:
   them, with a right Luhn sum.
 * ``phone``: from a plus sign, an international number of 9 to 15 digits.
 * ``iban``, ``ssn``, ``account``: identifiers that follow their cue word; an IBAN needs a
-  right check number.
+  right check number. Its end is sought among the blanks and the end of the capitals and
+  digits that follow: the length of its country first, then the longest.
 * ``login``: the user part of a URL, from its scheme.
 
 The first four are the base kinds. A base match that fails its check is dropped and not
@@ -56,6 +57,16 @@ _IDENTIFIER = {
     "ssn": re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"),
     "account": re.compile(r"[A-Z]{0,3}[0-9][0-9-]{4,16}[0-9](?![A-Za-z0-9])"),
 }
+_IBAN_LENGTHS = dict(
+    re.findall(
+        r"([A-Z]{2})([0-9]{2})",
+        "AD24AE23AL28AT20AZ28BA20BE16BG22BH22BR29BY28CH21CR22CY28CZ24DE22DK18DO28EE20EG29ES24"
+        "FI18FO18FR27GB22GE22GI23GL18GR27GT28HR21HU28IE22IL23IQ23IS26IT27JO30KW30KZ20LB28LC32"
+        "LI21LT20LU20LV21MC27MD24ME22MK19MR27MT31MU30NL18NO15PK24PL28PS29PT25QA29RO24RS22SA24"
+        "SC31SE24SI19SK24SM27ST25SV28TL23TN24TR26UA29VA22VG24XK20",
+    )
+)
+_LEAST_IBAN = 15
 _USER = re.compile(r"[^\s/?#@]+(?=@)")
 
 
@@ -74,6 +85,15 @@ def iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def iban_end(text: str) -> int:
+    """Where the IBAN that ``text`` begins with ends; 0 if no end has a right check number."""
+    ends = [m.start() for m in re.finditer(r" |$", text)][::-1]
+    length = {end: end - text.count(" ", 0, end) for end in ends}
+    own = int(_IBAN_LENGTHS.get(text[:2], 0))
+    ends.sort(key=lambda end: length[end] != own)
+    return next((end for end in ends if length[end] >= _LEAST_IBAN and iban(text[:end])), 0)
+
+
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for digit in "0123456789":
@@ -130,9 +150,12 @@ def find_spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int
                 spans["login"].append(match.span())
         elif at >= after[anchor]:
             match = _IDENTIFIER[anchor].match(text, _LINK.match(text, at + 1).end())
-            if match and (anchor != "iban" or iban(match[0])):
-                spans[anchor].append(match.span())
-                after[anchor] = match.end()
+            size = len(match[0]) if match else 0
+            if match and anchor == "iban":
+                size = iban_end(match[0])
+            if size:
+                spans[anchor].append((match.start(), match.start() + size))
+                after[anchor] = match.start() + size
     return [(kind, *span) for kind in KINDS for span in spans[kind]]
 
 

@@ -73,6 +73,16 @@ def test_added_kinds():
     assert not [s for s in pii.find_spans(wrong, pii.automaton()) if s[0] == "iban"]
 
 
+def test_text_in_capitals_after_an_iban():
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for number in (plain, spaced, "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"):
+        for rest in (" BIC COBADEFF", " 12 345", " AND MORE WORDS IN CAPITALS, 7", " A", ".", ""):
+            text = f"IBAN {number}{rest}"
+            spans = [s for s in pii.find_spans(text, pii.automaton()) if s[0] == "iban"]
+            assert [text[a:b] for _, a, b in spans] == [number], text
+    assert not [s for s in pii.find_spans("IBAN DE89 3704 0044 0532 0130 01 BIC", pii.automaton()) if s[0] == "iban"]
+
+
 def test_mask_keeps_rows_and_columns(spark, folder):
     rows = [(1, "mail a@b.co now", 15, "x"), (None, None, None, "y"), (2, "", 0, None), (1, "+1 (238) 555-6608!", 18, "x")]
     docs = stored(spark, rows, "doc_id long, text string, n_chars long, spans string", folder)
