@@ -4,9 +4,14 @@ Each document becomes its token ids and an end id. Ids fill windows of 1,024 tok
 
 * A document's full windows are sequences of their own; what is left, less than a
   window, is its tail.
-* Tails are dealt at random into shards of a bounded number of documents. A shard is
-  an inverted index over the token ids of its tails, weighted by BM25 with document
-  frequencies and lengths counted over all tails of the corpus.
+* Tails are dealt by content into shards of a bounded number of documents. ``ROUNDS``
+  times each tail draws one of its ids, the rarer the likelier and alike for all tails
+  (a weighted minimum hash), so tails that share much draw the same id. Each tail is
+  linked to the one that shares most of its rarest ids, among the tails that drew an id
+  with it, if that is at least ``STRONG`` of them. Tails that links join go to one shard,
+  and so do tails of the same first id; groups over a shard's size are split by hash.
+* A shard is an inverted index over the token ids of its tails, weighted by BM25 with
+  document frequencies and lengths counted over all tails of the corpus.
 * The longest unused tail is a seed. Its rarest terms retrieve unused neighbours, best
   first, which greedily fill its window; the last one is cut at the window's end and
   what is left of it stays in the index. Where retrieval finds too few, unused tails
@@ -14,8 +19,9 @@ Each document becomes its token ids and an end id. Ids fill windows of 1,024 tok
 * What remains of a shard after its last full window is cut into sequences whose
   lengths are powers of two, so no sequence needs padding.
 
-A task holds one shard. Only the document frequencies, one number for each id of the
-vocabulary, are broadcast.
+A task holds one shard. Only the document frequencies and the drawing order, a few
+numbers for each id of the vocabulary, are broadcast. Whether two tails that share little
+meet is left to chance; those of one shard are found.
 
 Ids are those of the vocabulary's own library. A byte-level BPE over the same ranks
 gives the same ids several times faster, so it encodes texts of Latin characters and
@@ -34,6 +40,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
@@ -41,12 +48,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pricelake.llm.byte_bpe import portions
-from pricelake.llm.common import saved, text_of
+from pricelake.llm.common import components, saved, text_of
 
 WINDOW = 1024
 END_ID = 0
 SHARD_DOCS = 2048
 QUERY_TERMS = 24
+ROUNDS = 6  # draws of an id by which tails meet
+SKETCH = 24  # rarest shared ids that tails are linked by
+STRONG = 0.125  # of their weight that linked tails share
 K1, B = 1.2, 0.75
 
 PIECES = (
@@ -138,6 +148,127 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _draws(idf: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """For each round and id a number, least for the id that is drawn; infinite if one tail holds it."""
+    u = np.random.default_rng(0).random((ROUNDS, len(idf)))
+    return np.where(df >= 2, -np.log(u) / np.maximum(idf, 1e-9) ** 2, np.inf)
+
+
+def _routes(idf, draws) -> Callable:
+    """Of each tail the ids it draws, and its rarest ids among those that others hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keys, sketches = [], [], []
+            for row, tail in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                terms = np.unique(np.frombuffer(tail, np.uint32))
+                order = draws.value[:, terms]
+                terms, order = terms[np.isfinite(order[0])], order[:, np.isfinite(order[0])]
+                if not len(terms):
+                    continue
+                rows.append(row)
+                keys.append(terms[order.argmin(axis=1)].astype(np.int64))
+                sketches.append(terms[np.argsort(-idf.value[terms], kind="stable")[:SKETCH]].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(rows, pa.int64()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.binary()),
+                ],
+                names=["place", "keys", "sketch"],
+            )
+
+    return run
+
+
+def _links(idf) -> Callable:
+    """Each tail of one bucket with the tail of the same drawn id that shares most of its sketch."""
+
+    def run(bucket: pd.DataFrame) -> pd.DataFrame:
+        bucket = bucket.sort_values("place")  # of equal ones the first is the best
+        place = bucket.place.to_numpy()
+        found: list[pd.DataFrame] = []
+        for rows in bucket.groupby("key").indices.values():
+            if len(rows) < 2:
+                continue
+            sketches = [np.frombuffer(x, np.uint32) for x in bucket.sketch.iloc[rows]]
+            terms, column = np.unique(np.concatenate(sketches), return_inverse=True)
+            member = np.zeros((len(rows), len(terms)), np.float32)
+            member[np.repeat(np.arange(len(rows)), [len(x) for x in sketches]), column] = np.sqrt(idf.value[terms])[column]
+            total = np.sqrt((member * member).sum(axis=1))
+            for at in range(0, len(rows), 512):
+                share = member[at : at + 512] @ member.T / (total[at : at + 512, None] * total + 1e-30)
+                own = np.arange(len(share))
+                share[own, at + own] = 0
+                best = share.argmax(axis=1)
+                near = share[own, best] >= STRONG
+                u, v = place[rows[at + own[near]]], place[rows[best[near]]]
+                found.append(pd.DataFrame({"u": u, "v": v, "share": share[own, best][near]}))
+        return pd.concat(found) if found else pd.DataFrame({"u": [], "v": [], "share": []})
+
+    return run
+
+
+def _dealt(tokens: DataFrame, idf, draws, docs: int, shard_docs: int) -> DataFrame:
+    """``tokens`` with the shard of each tail: linked tails, and tails of one drawn id, meet."""
+    shards = max(1, -(-docs // shard_docs))
+    if shards == 1:
+        return tokens.withColumn("shard", F.lit(0).cast("long"))
+    routes = saved(
+        tokens.select("place", "tail").mapInArrow(
+            _routes(idf, draws), "place long, keys array<long>, sketch binary"
+        ),
+        "routes",
+    )
+    drawn = routes.select("place", "sketch", F.posexplode("keys").alias("round", "key"))
+    # ids drawn by more tails than a shard holds are cut into parts
+    many = drawn.groupBy("round", "key").agg(F.count("*").alias("n"))
+    parts = many.select("round", "key", F.ceil(F.col("n") / shard_docs).cast("long").alias("parts"))
+    part = F.pmod(F.xxhash64("place"), F.col("parts"))
+    bucket = F.pmod(F.xxhash64("round", "key", part), F.lit(ROUNDS * shards))
+    links = (
+        drawn.join(parts, ["round", "key"])
+        .withColumn("bucket", bucket)
+        .groupBy("bucket")
+        .applyInPandas(_by_round(_links(idf)), "u long, v long, share float")
+    )
+    # a link for each tail: with all of them chains would join most of the corpus
+    best = links.groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v"))
+    roots = components(best, "u", "v").withColumnsRenamed({"node": "place"})
+    first = routes.select("place", F.col("keys")[0].alias("key"))
+    grouped = saved(
+        first.join(roots, "place", "left").withColumn("root", F.coalesce("root", "place")), "grouped"
+    )
+    # a group goes where its root's first id goes
+    own = grouped.where("root = place").select("root", F.col("key").alias("home"))
+    sizes = grouped.groupBy("root").agg(F.count("*").alias("size")).join(own, "root")
+    homes = sizes.groupBy("home").agg(F.sum("size").alias("n"))
+    cut = lambda n: F.ceil(F.col(n) * 2 / shard_docs).cast("long")
+    of_group = sizes.join(homes, "home").select(
+        "root",
+        F.xxhash64("home", F.pmod(F.xxhash64("root"), cut("n"))).alias("to"),
+        F.ceil(F.col("size") / shard_docs).cast("long").alias("pieces"),
+    )
+    to = grouped.join(of_group, "root").select(
+        "place",
+        F.when(F.col("pieces") == 1, F.col("to"))
+        .otherwise(F.xxhash64("to", "root", F.pmod(F.xxhash64("place"), F.col("pieces"))))
+        .alias("to"),
+    )
+    return (
+        tokens.join(to, "place", "left")
+        .withColumn("shard", F.pmod(F.coalesce("to", F.xxhash64("place")), F.lit(shards)))
+        .drop("to")
+    )
+
+
+def _by_round(links: Callable) -> Callable:
+    def run(bucket: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([links(x) for _, x in bucket.groupby("round")])
+
+    return run
+
+
 class Index:
     """BM25 inverted index over the tails of one shard."""
 
@@ -151,7 +282,7 @@ class Index:
         self.weight = idf[term] * tf * (K1 + 1) / norm
         self.doc = doc
         terms, first = np.unique(term, return_index=True)
-        self.span = dict(zip(terms.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(doc)], strict=True), strict=True))
+        self.span = dict(zip(terms.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(doc)][: len(first)], strict=True), strict=True))
         # of each tail its terms, rarest first
         order = np.lexsort((term, -idf[term], doc))
         cuts = np.searchsorted(doc[order], np.arange(len(tails) + 1))
@@ -273,7 +404,7 @@ def pack(
         rows.mapInArrow(
             _tokenize(vocabulary, pattern, window),
             "doc_id long, doc_tokens long, sums array<long>, tail binary",
-        ),
+        ).withColumn("place", F.monotonically_increasing_id()),
         "tokens",
     )
     size = F.length("tail") / 4
@@ -287,11 +418,11 @@ def pack(
     )
     df = np.zeros(int(counts.term.max()) + 1 if len(counts) else 1)
     df[counts.term.to_numpy(np.int64)] = counts.tails
-    idf = spark.sparkContext.broadcast(np.log1p((total["docs"] - df + 0.5) / (df + 0.5)))
-    shards = max(1, -(-total["docs"] // shard_docs))
-    place = F.monotonically_increasing_id()
+    weights = np.log1p((total["docs"] - df + 0.5) / (df + 0.5))
+    idf = spark.sparkContext.broadcast(weights)
+    draws = spark.sparkContext.broadcast(_draws(weights, df))
     return (
-        tokens.withColumn("shard", F.pmod(F.xxhash64(place), F.lit(shards)))
+        _dealt(tokens, idf, draws, total["docs"], shard_docs)
         .groupBy("shard")
         .applyInArrow(_pack_shard(idf, total["mean"] or 1.0, window), PIECES)
     )

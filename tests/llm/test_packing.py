@@ -72,6 +72,11 @@ def test_fast_ids_are_the_librarys(spark, sf_dir):
         assert encode(text or "").tolist() == ids.tolist()
 
 
+def test_a_shard_of_empty_tails_only():
+    index = packing.Index([np.zeros(0, np.uint32)] * 2, np.ones(5), 1.0)
+    assert list(packing.pack_tails(np.array([0, 0]), index, 16)) == []
+
+
 def test_neighbours_share_rare_terms():
     tails = [np.array(x, np.uint32) for x in ([1, 2, 3], [9, 9, 4], [1, 2, 7], [5, 6, 8], [3, 3, 3])]
     index = packing.Index(tails, np.array([0, 5, 5, 1, 1, 1, 1, 1, 1, 1.0]), 3.0)
@@ -80,6 +85,30 @@ def test_neighbours_share_rare_terms():
     assert sequences[0] == [(0, 0, 3), (2, 0, 3)]
 
 
+def test_planted_neighbours_meet_in_a_corpus_of_many_shards(spark, folder):
+    """Pairs that share half of their words meet nearly as often in 24 shards as in one."""
+    rng = np.random.default_rng(3)
+    vocabulary = Tokenizer.from_file(PATH).get_vocab()
+    words = sorted(w[1:] for w in vocabulary if w[0] == "Ġ" and w[1:].isascii() and w[1:].isalpha() and len(w) > 5)
+    rows = []
+    for pair in range(600):
+        common = rng.choice(words, 220)
+        for k in range(2):
+            text = rng.permutation([*common, *rng.choice(words, 220)])
+            rows.append((pair * 2 + k, " ".join(text)))
+    docs = stored(spark, rows, "doc_id long, text string", folder)
+    met = {}
+    for shard_docs in (50, 2048):
+        got = packing.pack(docs, PATH, tokenizers.PATTERN, 1024, shard_docs).collect()
+        check(got, rows, 1024)
+        windows = defaultdict(set)
+        for p in got:
+            windows[p["doc_id"]].add(p["sequence_id"])
+        met[shard_docs] = sum(bool(windows[2 * i] & windows[2 * i + 1]) for i in range(600)) / 600
+    print(f"planted pairs in one window: {met}")
+    assert met[50] >= 0.85 * met[2048] > 0.6
+
+
 def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     check(op6_packing(spark, sf_dir).collect(), [tuple(d) for d in docs], 1024)
