@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.llm import (
+    best_fit,
     byte_bpe,
     kmeans_tree,
     line_chunks,
@@ -79,6 +80,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grades(docs, quality.quality_model(docs, ratings, quality.TOP_GRADE))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality": op10_quality,
+    "op12_best_fit": op12_best_fit,
 }
 
 ORACLE: dict[str, str] = {"op2_url_filter": url_filter.ORACLE}
