@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.llm import (
+    alignment,
     best_fit,
     byte_bpe,
     kmeans_tree,
@@ -86,6 +87,15 @@ def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -98,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality": op10_quality,
     "op12_best_fit": op12_best_fit,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = {"op2_url_filter": url_filter.ORACLE}
