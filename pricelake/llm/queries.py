@@ -11,6 +11,7 @@ from pricelake.llm import (
     alignment,
     best_fit,
     byte_bpe,
+    collocations,
     kmeans_tree,
     line_chunks,
     ngram_join,
@@ -81,6 +82,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grades(docs, quality.quality_model(docs, ratings, quality.TOP_GRADE))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -107,8 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_best_fit": op12_best_fit,
     "op13_alignment": op13_alignment,
 }
 
-ORACLE: dict[str, str] = {"op2_url_filter": url_filter.ORACLE}
+ORACLE: dict[str, str] = {
+    "op2_url_filter": url_filter.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+}
