@@ -53,12 +53,13 @@ COUNTED_AT_ONCE = 4_000_000  # pairs a task counts before it passes the counts o
 
 TOTALS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 ALIGNED = f"row long, doc_id long, {TOTALS}, pairs binary, times binary"
-OPEN = "a binary, a_ends binary, b binary, b_ends binary"
-_NAMES = ("a", "a_ends", "b", "b_ends")
+_NAMES = ("a", "a_from", "b", "b_from")
 _HEAD, _TAIL = ([f"{side}_{name}" for name in _NAMES] for side in ("head", "tail"))
+OPEN = "a binary, a_from long, b binary, b_from long"
 FRAGMENT = (
-    f"row long, at long, cut boolean, {' binary, '.join([*_HEAD, *_TAIL])} binary, "
-    "n_a long, n_b long, n_groups long, groups binary, pairs binary, times binary"
+    "row long, at long, cut boolean, "
+    + ", ".join(f"{side}_{x}" for side in ("head", "tail") for x in OPEN.split(", "))
+    + ", n_a long, n_b long, n_groups long, groups binary, pairs binary, times binary"
 )
 _BREAK = re.compile(r"(?<=\S)\x20")
 
@@ -109,12 +110,29 @@ def _ends(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return at + low, marks[at]
 
 
+class Lengths(NamedTuple):
+    """The number of bytes of each token of A and of B, by id."""
+
+    a: np.ndarray
+    b: np.ndarray
+
+    @property
+    def sizes(self) -> tuple[int, int]:
+        return len(self.a), len(self.b)
+
+
+def pair_kind(a_size: int, b_size: int) -> type:
+    """A pair is a_id * b_size + b_id."""
+    return np.uint32 if a_size * b_size <= 1 << 32 else np.uint64
+
+
 class Aligner:
-    """Groups and fragments of tokens whose ids are below ``a_size`` and ``b_size``."""
+    """Groups and fragments of tokens of two tokenizers."""
 
-    def __init__(self, a_size: int, b_size: int) -> None:
-        self.b_size = b_size
-        self.kind = np.uint32 if a_size * b_size <= 1 << 32 else np.uint64
+    def __init__(self, lengths: Lengths) -> None:
+        self.lengths = lengths
+        a_size, b_size = lengths.sizes
+        self.b_size, self.kind = b_size, pair_kind(a_size, b_size)
         width = len(str(max(a_size, b_size) - 1))
         decimals = np.array([b"%d" % i for i in range(max(a_size, b_size))], f"S{width}")
         self.decimals = decimals.view(np.uint8).reshape(-1, width)
@@ -122,6 +140,20 @@ class Aligner:
         self.no_tokens = Tokens(*nothing, *nothing)
         self.no_groups = Groups(0, 0, 0, b"", np.zeros(0, self.kind), np.zeros(0, np.uint32))
 
+    def tokens(self, a: np.ndarray, b: np.ndarray, a_from: int = 0, b_from: int = 0) -> Tokens:
+        """Neighbouring tokens; the first of each side begins at a byte offset."""
+        a_ends = np.cumsum(self.lengths.a[a], dtype=np.int64) + a_from
+        return Tokens(a, a_ends, b, np.cumsum(self.lengths.b[b], dtype=np.int64) + b_from)
+
+    def raw(self, t: Tokens) -> tuple[bytes, int, bytes, int]:
+        """The ids of neighbouring tokens as bytes, and where the first of each side begins."""
+        a_from = int(t.a_ends[0] - self.lengths.a[t.a[0]]) if len(t.a) else 0
+        b_from = int(t.b_ends[0] - self.lengths.b[t.b[0]]) if len(t.b) else 0
+        return t.a.tobytes(), a_from, t.b.tobytes(), b_from
+
+    def read(self, a: bytes, a_from: int, b: bytes, b_from: int) -> Tokens:
+        return self.tokens(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), a_from, b_from)
+
     def _text(self, tokens: Tokens, kinds: np.ndarray, group: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3`` of the ids in order."""
         of_a, of_b, last = (kinds & 1) > 0, kinds > 1, kinds == 3
@@ -214,23 +246,22 @@ class Encoders:
         for raw, rank in self.encode_a.tokens.items():
             self.bytes_a[rank] = raw
         self.bytes_b = [self._piece(i) for i in range(self.model.get_piece_size())]
-        self.lengths_a = np.array([len(x) for x in self.bytes_a])
-        self.lengths_b = np.array([len(x) for x in self.bytes_b])
+        lengths = (np.array([len(x) for x in raw], np.int32) for raw in (self.bytes_a, self.bytes_b))
+        self.lengths = Lengths(*lengths)
         self.space = self.model.piece_to_id("▁")
-        self.aligner = Aligner(len(self.bytes_a), len(self.bytes_b))
 
     def _piece(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def __call__(self, text: str) -> Tokens | None:
-        """The tokens of a text that begins with a space; None if they join to other bytes."""
-        a = self.encode_a(text)
-        b = np.asarray(self.model.encode(text[1:]) if len(text) > 1 else [self.space], np.uint32)
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of a text that begins with a space; None if they join to other bytes."""
+        a = self.encode_a.ids(text)
+        b = self.model.encode(text[1:]) if len(text) > 1 else [self.space]
         raw = text.encode()
         if raw != b"".join([self.bytes_a[i] for i in a]) or raw != b"".join([self.bytes_b[i] for i in b]):
             return None
-        return Tokens(a, np.cumsum(self.lengths_a[a]), b, np.cumsum(self.lengths_b[b]))
+        return np.array(a, np.uint32), np.array(b, np.uint32)
 
 
 def parts_of(text: str, chunk: int) -> list[str]:
@@ -263,14 +294,14 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def _align_short(tools) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoders(*received(tools))
-        aligner = encode.aligner
+        aligner = Aligner(encode.lengths)
         for batch in batches:
             rows, docs, texts = (c.to_pylist() for c in batch.columns)
             for part in portions(texts):
                 out = []
                 for row, doc, text in zip(rows[part], docs[part], texts[part], strict=True):
-                    tokens = encode(" " + text) if text else None
-                    groups = aligner.closed(tokens) if tokens else aligner.no_groups
+                    ids = encode(" " + text) if text else None
+                    groups = aligner.closed(aligner.tokens(*ids)) if ids else aligner.no_groups
                     out.append((row, doc, *_totals(groups)))
                 yield _batch(out, ALIGNED)
 
@@ -292,16 +323,7 @@ def _part(chunk: int) -> Callable:
     return run
 
 
-ENCODED = f"row long, doc_id long, place long, same boolean, size long, {OPEN}"
-
-
-def _raw(tokens: Tokens) -> tuple[bytes, ...]:
-    return tuple(x.tobytes() for x in tokens)
-
-
-def _tokens(raw) -> Tokens:
-    kinds = np.uint32, np.int64, np.uint32, np.int64
-    return Tokens(*(np.frombuffer(x, kind) for x, kind in zip(raw, kinds, strict=True)))
+ENCODED = "row long, doc_id long, place long, same boolean, size long, a binary, b binary"
 
 
 def _encode_parts(tools) -> Callable:
@@ -312,84 +334,103 @@ def _encode_parts(tools) -> Callable:
             for part in portions(columns[3]):
                 out = []
                 for row, doc, place, text in zip(*(c[part] for c in columns), strict=True):
-                    tokens = encode(text)
-                    found = _raw(tokens or encode.aligner.no_tokens)
-                    out.append((row, doc, place, tokens is not None, len(text.encode()), *found))
+                    ids = encode(text)
+                    raw = [x.tobytes() for x in ids] if ids else [b"", b""]
+                    out.append((row, doc, place, ids is not None, len(text.encode()), *raw))
                 yield _batch(out, ENCODED)
 
     return run
 
 
-def _deal(size: int) -> Callable:
-    """Tokens of (row, place, base, tokens) by the byte range in which they end."""
-    schema = f"row long, at long, place long, {OPEN}"
+DEALT = f"row long, at long, place long, {OPEN}"
+
+
+def _deal(lengths, size: int) -> Callable:
+    """Tokens of (row, place, base, a, b) by the byte range in which they end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = Aligner(received(lengths))
         for batch in batches:
             out = []
-            for row, place, base, *raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                t = _tokens(raw)
-                t = Tokens(t.a, t.a_ends + base, t.b, t.b_ends + base)
+            for row, place, base, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                t = aligner.read(a, base, b, base)
                 ranges = range(base // size, int(t.a_ends[-1] - 1) // size + 1)
                 edges = [k * size for k in ranges] + [(ranges[-1] + 1) * size]
-                a, b = (np.searchsorted(ends, edges, "right") for ends in (t.a_ends, t.b_ends))
+                x, y = (np.searchsorted(ends, edges, "right") for ends in (t.a_ends, t.b_ends))
                 for i, k in enumerate(ranges):
-                    x, y = slice(a[i], a[i + 1]), slice(b[i], b[i + 1])
-                    out.append((row, k, place, *_raw(Tokens(t.a[x], t.a_ends[x], t.b[y], t.b_ends[y]))))
+                    of_a, of_b = slice(x[i], x[i + 1]), slice(y[i], y[i + 1])
+                    some = Tokens(t.a[of_a], t.a_ends[of_a], t.b[of_b], t.b_ends[of_b])
+                    out.append((row, k, place, *aligner.raw(some)))
                 if len(out) > 256:
-                    yield _batch(out, schema)
+                    yield _batch(out, DEALT)
                     out = []
             if out:
-                yield _batch(out, schema)
+                yield _batch(out, DEALT)
 
     return run
 
 
-def _row(row: int, at: int, f: Fragment) -> pd.DataFrame:
+def _row(aligner: Aligner, row: int, at: int, f: Fragment) -> pd.DataFrame:
     g = f.groups
-    numbers = g.n_a, g.n_b, g.n_groups
-    made = row, at, f.cut, *_raw(f.head), *_raw(f.tail), *numbers, g.text, g.pairs.tobytes(), g.times.tobytes()
+    sides = *aligner.raw(f.head), *aligner.raw(f.tail)
+    made = row, at, f.cut, *sides, *g[:4], g.pairs.tobytes(), g.times.tobytes()
     return pd.DataFrame([made], columns=[x.split()[0] for x in FRAGMENT.split(", ")])
 
 
-def _read(r, kind: type) -> Fragment:
-    head, tail = (_tokens([getattr(r, n) for n in names]) for names in (_HEAD, _TAIL))
-    pairs, times = np.frombuffer(r.pairs, kind), np.frombuffer(r.times, np.uint32)
+def _read(r, aligner: Aligner) -> Fragment:
+    head, tail = (aligner.read(*(getattr(r, n) for n in names)) for names in (_HEAD, _TAIL))
+    pairs, times = np.frombuffer(r.pairs, aligner.kind), np.frombuffer(r.times, np.uint32)
     return Fragment(r.cut, head, Groups(r.n_a, r.n_b, r.n_groups, r.groups, pairs, times), tail)
 
 
-def _fragments(sizes: tuple[int, int]) -> Callable:
+def _once(lengths) -> Callable[[], Aligner]:
+    """The task's aligner, made when first asked for."""
+    made: list[Aligner] = []
+
+    def aligner() -> Aligner:
+        if not made:
+            made.append(Aligner(received(lengths)))
+        return made[0]
+
+    return aligner
+
+
+def _fragments(lengths) -> Callable:
+    aligner = _once(lengths)
+
     def run(key: tuple, dealt: pd.DataFrame) -> pd.DataFrame:
         dealt = dealt.sort_values("place")
-        tokens = joined([_tokens(raw) for raw in zip(*(dealt[n] for n in _NAMES), strict=True)])
-        return _row(*key, Aligner(*sizes).fragment(tokens))
+        tokens = joined([aligner().read(*raw) for raw in zip(*(dealt[n] for n in _NAMES), strict=True)])
+        return _row(aligner(), *key, aligner().fragment(tokens))
 
     return run
 
 
-def _compose(sizes: tuple[int, int]) -> Callable:
+def _compose(lengths) -> Callable:
+    aligner = _once(lengths)
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        aligner = Aligner(*sizes)
-        rows = rows.sort_values("at")
-        return _row(*key, aligner.composed([_read(r, aligner.kind) for r in rows.itertuples()]))
+        fragments = [_read(r, aligner()) for r in rows.sort_values("at").itertuples()]
+        return _row(aligner(), *key, aligner().composed(fragments))
 
     return run
 
 
-def _finish(sizes: tuple[int, int]) -> Callable:
-    schema = f"row long, {TOTALS}, pairs binary, times binary"
+WHOLE = f"row long, {TOTALS}, pairs binary, times binary"
+
 
+def _finish(lengths) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        aligner = Aligner(*sizes)
+        aligner = Aligner(received(lengths))
         for batch in batches:
             for r in batch.itertuples():
-                found = (r.row, *_totals(aligner.whole(_read(r, aligner.kind))))
-                yield _batch([found], schema).to_pandas()
+                found = (r.row, *_totals(aligner.whole(_read(r, aligner))))
+                yield _batch([found], WHOLE).to_pandas()
 
     return run
 
 
-def _align_long(texts: DataFrame, tools, sizes: tuple[int, int], chunk: int, size: int, arity: int) -> DataFrame:
+def _align_long(texts: DataFrame, tools, lengths, chunk: int, size: int, arity: int) -> DataFrame:
     """ALIGNED of texts of more than ``chunk`` characters."""
     parts = texts.mapInArrow(_part(chunk), PARTS)
     encoded = saved(
@@ -405,22 +446,22 @@ def _align_long(texts: DataFrame, tools, sizes: tuple[int, int], chunk: int, siz
         F.min("same").over(of_row).alias("same"),
     )
     dealt = (
-        encoded.select("row", "place", *_NAMES)
+        encoded.select("row", "place", "a", "b")
         .join(bases.where("same").drop("same"), ["row", "place"])
-        .select("row", "place", "base", *_NAMES)
-        .mapInArrow(_deal(size), f"row long, at long, place long, {OPEN}")
+        .select("row", "place", "base", "a", "b")
+        .mapInArrow(_deal(lengths, size), DEALT)
     )
     longest = encoded.groupBy("row").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0] or 0
-    found = dealt.groupBy("row", "at").applyInPandas(_fragments(sizes), FRAGMENT)
+    found = dealt.groupBy("row", "at").applyInPandas(_fragments(lengths), FRAGMENT)
     ranges = -(-longest // size)
     while ranges > 1:
         found = (
             found.withColumn("to", F.floor(F.col("at") / arity))
             .groupBy("row", "to")
-            .applyInPandas(_compose(sizes), FRAGMENT)
+            .applyInPandas(_compose(lengths), FRAGMENT)
         )
         ranges = -(-ranges // arity)
-    whole = found.mapInPandas(_finish(sizes), f"row long, {TOTALS}, pairs binary, times binary")
+    whole = found.mapInPandas(_finish(lengths), WHOLE)
     numbers = [F.coalesce(n, F.lit(0)).alias(n) for n in ("n_a", "n_b", "n_groups", "n_links")]
     rest = [F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256")]
     rest += [F.coalesce(n, F.lit(b"")).alias(n) for n in ("pairs", "times")]
@@ -458,7 +499,7 @@ def _count(kind: type) -> Callable:
 
 def pair_counts(aligned: DataFrame, sizes: tuple[int, int]) -> DataFrame:
     """(pair, n, best): documents that hold a pair; best if no pair of its A id has more."""
-    kind = Aligner(*sizes).kind
+    kind = pair_kind(*sizes)
     counts = (
         aligned.select("pairs")
         .mapInArrow(_count(kind), "pair long, n long")
@@ -523,8 +564,9 @@ def align(
     with open(model_path, "rb") as file:
         tools = read_vocabulary(vocabulary_path), pattern, file.read()
     encoders = Encoders(*tools)
-    sizes = len(encoders.bytes_a), len(encoders.bytes_b)
-    kind = encoders.aligner.kind
+    lengths = sent(spark, encoders.lengths)
+    sizes = encoders.lengths.sizes
+    kind = pair_kind(*sizes)
     if any(re.search("[^▁]▁", encoders.model.id_to_piece(i)) for i in range(sizes[1])):
         raise ValueError("pieces that hold a space after another character can't be cut at spaces")
     tools = sent(spark, tools)
@@ -534,7 +576,7 @@ def align(
         text_of().alias("text"),
     )
     short = rows.where(F.length("text") <= chunk).mapInArrow(_align_short(tools), ALIGNED)
-    long = _align_long(rows.where(F.length("text") > chunk), tools, sizes, chunk, size, arity)
+    long = _align_long(rows.where(F.length("text") > chunk), tools, lengths, chunk, size, arity)
     aligned = saved(short.union(long), "aligned")
     counts = saved(pair_counts(aligned, sizes), "counts")
     totals = [x.split()[0] for x in TOTALS.split(", ")]

@@ -69,10 +69,13 @@ class ByteLevelBpe:
             "vocabulary", pat_str=pattern, mergeable_ranks=self.tokens, special_tokens={}
         )
 
-    def __call__(self, text: str) -> np.ndarray:
+    def ids(self, text: str) -> list[int]:
         if _ALL_KNOWN.fullmatch(text):
-            return np.asarray(self.merges.encode_ordinary(text), np.uint32)
-        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+            return self.merges.encode_ordinary(text)
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def __call__(self, text: str) -> np.ndarray:
+        return np.asarray(self.ids(text), np.uint32)
 
 
 class WordBpe:

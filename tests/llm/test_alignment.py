@@ -9,7 +9,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from pricelake.llm import alignment
-from pricelake.llm.alignment import Aligner, Tokens
+from pricelake.llm.alignment import Aligner, Lengths, Tokens
 from pricelake.llm.queries import op13_alignment
 from tests.llm.conftest import stored
 
@@ -111,7 +111,7 @@ def odd_texts():
 
 def test_any_tree_of_ranges_gives_the_same():
     rng = np.random.default_rng(2)
-    aligner = Aligner(50, 40)
+    aligner = Aligner(Lengths(np.ones(50, np.int32), np.ones(40, np.int32)))
     for _ in range(60):
         n = int(rng.integers(1, 120))
         ends = [np.union1d(np.flatnonzero(rng.random(n) < p) + 1, [n]) for p in rng.choice([0.05, 0.3, 0.9], 2)]
