@@ -1,23 +1,35 @@
 """Line dedup by content-defined chunks (operator 5).
 
-* A text is split into lines, each line is hashed, and a rolling hash over the last
-  ``WINDOW`` line hashes decides where a chunk ends: after every line whose rolling hash
-  is divisible by ``MEAN_LINES``. A boundary depends on the lines just before it only, so
-  lines put in or taken out further up shift nothing: a passage that several texts hold is
-  cut alike in all of them.
-* Chunks of two lines and more are counted by a 128-bit hash over all texts, on the map
-  side first, so no text is shuffled to count.
-* Chunks whose hash repeats are compared byte by byte: they are grouped by their whole
-  text. The first occurrence, by doc_id and then place, stays; all others are removed.
-* Removed places are gathered for each row and cut out of its text.
-
-A chunk that a third of all texts hold costs one row a task in the counts and in the
-search for the first one; its occurrences are joined, and adaptive execution splits that.
+* A text is split into units that join to it byte by byte: lines, each with the blank ones
+  that follow; of a line of more than ``LONG`` characters its sentences, and of a sentence
+  that long its clauses. Units are compared without white space around them.
+* Units are hashed, and a rolling hash over two neighbouring unit hashes decides where a
+  chunk begins: where it is divisible by ``MEAN``. A chunk ends with the unit at which the
+  next one begins, so it has two units at least, and chunks overlap by one. What begins a
+  chunk depends on its own first two units only, so a passage that several texts hold is
+  cut alike in all of them, whatever stands around it.
+* With ``MEAN`` = 1 every unit but a text's last begins a chunk. Larger values make fewer
+  chunks, but miss passages that hold fewer than two beginnings (figures in the README).
+* Chunks are counted by hash over all texts, on the map side first. Texts of chunks whose
+  hash repeats are compared byte by byte: they are grouped by their whole text. The first
+  occurrence, by doc_id and then place, stays; the units of all others are removed.
+
+The first text with a unit keeps it: whatever is removed is still there earlier. Two short
+sentences of one line are no passage: a chunk that is all in one line has ``LEAST``
+characters or more. A chunk that a third of all texts hold costs one row a task in the
+counts and in the search for the first one; its occurrences are joined, and adaptive
+execution splits that.
+
+With ``spare`` a text is left whole if that share of its chunks repeats in one other text:
+a copy of a document is for an operator that compares documents, which a cut copy would
+pass.
 
 Only DataFrame functions run here. Defined results: NULL text stays NULL, empty text
-stays empty. Rows are told apart by place, so of rows that repeat one keeps its chunks.
-Rows without doc_id come last. Lines end at ``\\n``; the rest of a text is unchanged, and
-a text may become empty. All rows and columns stay; n_chars, where there, follows the text.
+stays empty; a text may become empty. A text of one unit stays. Rows are told apart by
+place, so of rows that repeat one keeps its chunks; rows without doc_id come last. Texts of
+any length are split whole. Where what is removed ended a line, its end stays if the line
+had other units. All rows and columns stay, whatever their names, and n_chars,
+where there, follows the text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,9 +41,15 @@ from pyspark.sql import functions as F
 
 from pricelake.llm.common import saved
 
-WINDOW = 2
-MEAN_LINES = 2
-LEAST_LINES = 2
+MEAN = 1
+LONG = 240
+LEAST = 50
+
+# Places to split at: before a line that is not blank, after a sentence, after a clause.
+_LINES = r"(?<=\n)(?=[^\S\n]*\S)"
+_SENTENCES = r"(?<=[.!?]\s)(?=\S)"
+_CLAUSES = r"(?<=[,;:]\s)(?=\S)"
+_WHITE = " \t\n\r\x0b\x0c"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,102 +57,150 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def chunk_starts(lines: Column, window: int, mean: int) -> Column:
-    """Places of the lines that begin a chunk."""
+def _split_long(texts: Column, *patterns: str) -> Column:
+    """Texts of more than LONG characters split by the first pattern, what is still long by the next."""
+    if not patterns:
+        return texts
 
-    def starts(hashes: Column) -> Column:
-        def ends(i: Column) -> Column:
-            last = [
-                F.coalesce(F.get(hashes, i - k), F.lit(0).cast("long")) for k in range(window - 1, -1, -1)
-            ]
-            return F.pmod(F.xxhash64(*last), F.lit(mean).cast("long")) == 0
+    def parts(text: Column) -> Column:
+        return F.when(
+            F.length(text) > LONG, _split_long(F.split(text, patterns[0]), *patterns[1:])
+        ).otherwise(F.array(text))
 
-        return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | ends(i - 1))
+    return F.flatten(F.transform(texts, parts))
 
-    return let(F.transform(lines, lambda line: F.xxhash64(line)), starts)
 
+def units_of(text: Column) -> Column:
+    return _split_long(F.split(text, _LINES), _SENTENCES, _CLAUSES)
 
-def _with_chunks(text: str, window: int, mean: int, body: Callable) -> Column:
-    """``body(lines, starts, end)`` of a text, where ``end(p)`` is the end of chunk ``p``."""
 
-    def of_lines(lines: Column) -> Column:
-        def of_starts(starts: Column) -> Column:
-            return body(lines, starts, lambda p: F.coalesce(F.get(starts, p + 1), F.size(lines)))
+def _bare(unit: Column) -> Column:
+    return F.trim(unit, F.lit(_WHITE))
 
-        return let(chunk_starts(lines, window, mean), of_starts)
 
-    return let(F.split(text, "\n"), of_lines)
+def chunks_of(docs: DataFrame, mean: int) -> DataFrame:
+    """(row, doc_id, from, to, hash) of every chunk: its first and last unit and its hash."""
 
+    def of_units(units: Column) -> Column:
+        hashes = F.transform(units, lambda u: F.xxhash64(_bare(u)))
+        return let(hashes, lambda h: of_hashes(units, h))
 
-def chunks_of(docs: DataFrame, window: int, mean: int, least: int) -> DataFrame:
-    """(row, doc_id, place, chunk): every chunk of ``least`` lines or more."""
+    def of_hashes(units: Column, hashes: Column) -> Column:
+        last = F.size(units) - 1
+        rolling = lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1))
+        begins = F.filter(F.sequence(F.lit(0), last), lambda i: (i < last) & (F.pmod(rolling(i), F.lit(mean)) == 0))
+        return let(begins, lambda b: of_begins(units, hashes, last, b))
 
-    def body(lines: Column, starts: Column, end: Callable) -> Column:
-        whole = F.transform(
-            starts,
-            lambda s, p: F.struct(
-                p.alias("place"),
-                (end(p) - s).alias("lines"),
-                F.array_join(F.slice(lines, s + 1, end(p) - s), "\n").alias("chunk"),
-            ),
-        )
-        return F.filter(whole, lambda c: c["lines"] >= least)
+    def of_begins(units: Column, hashes: Column, last: Column, begins: Column) -> Column:
+        def chunk(begin: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(begins, k + 1), last)
+            size = end - begin + 1
+            lines = F.exists(F.slice(units, begin + 1, size - 1), lambda u: u.endswith("\n"))
+            length = F.aggregate(
+                F.slice(units, begin + 1, size), F.lit(0), lambda n, u: n + F.length(_bare(u))
+            )
+            return F.struct(
+                begin.alias("from"),
+                end.alias("to"),
+                F.xxhash64(F.slice(hashes, begin + 1, size)).alias("hash"),
+                ((F.length(_bare(F.get(units, begin))) > 0) & (lines | (length >= LEAST))).alias("counts"),
+            )
+
+        return F.filter(F.transform(begins, chunk), lambda c: c["counts"])
 
-    return docs.select(
-        "row", "doc_id", F.explode(_with_chunks("text", window, mean, body)).alias("c")
-    ).select("row", "doc_id", "c.place", "c.chunk")
+    return docs.select("row", "doc_id", F.explode(let(units_of(F.col("text")), of_units)).alias("c")).select(
+        "row", "doc_id", "c.from", "c.to", "c.hash"
+    )
 
 
-def repeated_places(
-    docs: DataFrame, window: int = WINDOW, mean: int = MEAN_LINES, least: int = LEAST_LINES
-) -> DataFrame:
-    """(row, places): the chunks of each row of (row, doc_id, text) that an earlier text holds."""
-    chunks = chunks_of(docs, window, mean, least).withColumns(
-        {"h1": F.xxhash64("chunk"), "h2": F.xxhash64(F.lit(1), "chunk")}
+def repeated_chunks(docs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(row, from, to, source): the chunks of (row, doc_id, text) that an earlier row, ``source``, holds."""
+    often = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    places = (
+        chunks.join(often, "hash", "left_semi")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("from", "to", "hash")).alias("places"))
     )
-    often = (
-        chunks.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+
+    def texts(units: Column) -> Column:
+        return F.transform(
+            "places",
+            lambda p: F.struct(
+                p["from"].alias("from"),
+                p["to"].alias("to"),
+                p["hash"].alias("hash"),
+                F.array_join(
+                    F.transform(F.slice(units, p["from"] + 1, p["to"] - p["from"] + 1), _bare), "\n"
+                ).alias("chunk"),
+            ),
+        )
+
+    again = saved(
+        docs.join(places, "row")
+        .select("row", "doc_id", F.explode(let(units_of(F.col("text")), texts)).alias("c"))
+        .select("row", "doc_id", "c.*"),
+        "repeated",
     )
-    again = saved(chunks.join(often, ["h1", "h2"], "left_semi"), "repeated")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "place")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "from")
     # the whole text is part of the key: equal hashes alone remove nothing
-    first = again.groupBy("h1", "h2", "chunk").agg(F.min(order).alias("first"))
-    later = again.join(first, ["h1", "h2", "chunk"]).where(
-        (F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
+    first = again.groupBy("hash", "chunk").agg(F.min(order).alias("first"))
+    return (
+        again.join(first, ["hash", "chunk"])
+        .where((F.col("row") != F.col("first.row")) | (F.col("from") != F.col("first.from")))
+        .select("row", "from", "to", F.col("first.row").alias("source"))
     )
-    return later.groupBy("row").agg(F.collect_set("place").alias("places"))
 
 
-def _without(places: Column, window: int, mean: int) -> Column:
-    """The text without the chunks at ``places``."""
+def _copies(later: DataFrame, chunks: DataFrame, share: float) -> DataFrame:
+    """(row) of which ``share`` of the chunks repeats in one other row."""
+    most = (
+        later.where("source <> row")
+        .groupBy("row", "source")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("row")
+        .agg(F.max("n").alias("n"))
+    )
+    sizes = chunks.groupBy("row").agg(F.count(F.lit(1)).alias("all"))
+    return most.join(sizes, "row").where(F.col("n") >= F.lit(share) * F.col("all")).select("row")
 
-    def body(lines: Column, starts: Column, end: Callable) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(starts) - 1), places)
-        start = lambda p: F.get(starts, p)
-        return F.array_join(
-            F.transform(
-                kept, lambda p: F.array_join(F.slice(lines, start(p) + 1, end(p) - start(p)), "\n")
-            ),
-            "\n",
-        )
 
-    return _with_chunks("text", window, mean, body)
+def _without(units: Column, gone: Column) -> Column:
+    """The text of units without those at the places ``gone``."""
 
+    def joined(kept: Column) -> Column:
+        def unit(at: Column, k: Column) -> Column:
+            here, then = F.get(units, at), F.get(kept, k + 1)
+            ended = F.exists(F.slice(units, at + 2, then - at - 1), lambda u: u.endswith("\n"))
+            return F.when(~here.endswith("\n") & ended, F.concat(here, F.lit("\n"))).otherwise(here)
 
-def dedup_lines(
-    docs: DataFrame, window: int = WINDOW, mean: int = MEAN_LINES, least: int = LEAST_LINES
-) -> DataFrame:
-    """``docs`` without chunks of lines that an earlier text holds. Must be a table on disk."""
+        return F.array_join(F.transform(kept, unit), "")
+
+    return let(F.array_except(F.sequence(F.lit(0), F.size(units) - 1), gone), joined)
+
+
+def dedup_lines(docs: DataFrame, mean: int = MEAN, spare: float | None = None) -> DataFrame:
+    """``docs`` without chunks that an earlier text holds. Must be a table on disk."""
     row = "_".join(["row", *docs.columns])  # clashes with none of them
-    gone = f"{row}_places"
+    gone = f"{row}_gone"
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     keyed = numbered.where("text is not null").select(
         F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
-    places = repeated_places(keyed, window, mean, least).toDF(row, gone)
+    chunks = saved(chunks_of(keyed, mean), "chunks")
+    later = repeated_chunks(keyed, chunks)
+    if spare is not None:
+        later = saved(later, "later")
+        later = later.join(_copies(later, chunks, spare), "row", "left_anti")
+    units = (
+        later.select("row", F.explode(F.sequence("from", "to")).alias("unit"))
+        .groupBy("row")
+        .agg(F.collect_set("unit").alias("units"))
+        .toDF(row, gone)
+    )
     same = F.col(gone).isNull()
-    changed = numbered.join(places, row, "left").withColumn(
-        "text", F.when(same, F.col("text")).otherwise(_without(F.col(gone), window, mean))
+    kept = let(units_of(F.col("text")), lambda u: _without(u, F.col(gone)))
+    changed = numbered.join(units, row, "left").withColumn(
+        "text", F.when(same, F.col("text")).otherwise(kept)
     )
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)

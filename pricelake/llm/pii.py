@@ -94,6 +94,11 @@ def iban_end(text: str) -> int:
     return next((end for end in ends if length[end] >= _LEAST_IBAN and iban(text[:end])), 0)
 
 
+def _octet(digits: str) -> bool:
+    digits = digits.lstrip("0")  # of which there may be thousands
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for digit in "0123456789":
@@ -119,7 +124,7 @@ def find_spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int
                 match = _IP.match(text, at)
                 if match:
                     after["ip"] = match.end()
-                    if all(len(n.lstrip("0")) <= 3 and int(n) <= 255 for n in match[0].split(".")):
+                    if all(_octet(n) for n in match[0].split(".")):
                         spans["ip"].append(match.span())
                 else:
                     after["ip"] = _DIGITS.match(text, at).end()

@@ -63,6 +63,21 @@ def test_long_runs_are_read_once():
     assert time.process_time() - begin < 20
 
 
+def test_very_long_digit_runs(spark, folder):
+    for place in range(4):
+        for digits in ("0" * 5000, "0" * 5000 + "7", "9" * 5000, "1" + "0" * 5000):
+            parts = ["1", "2", "3", "4"]
+            parts[place] = digits
+            text = f"x {'.'.join(parts)} y +{digits} z {digits}"
+            want = [("ip", 2, 2 + len(".".join(parts)))] if digits.lstrip("0") in ("", "7") else []
+            assert [s for s in base(text) if s[0] == "ip"] == want
+    rows = [(i, f"1.2.3.{d * 5000} a@{d * 5000}.{d} +{d * 5000}", 0) for i, d in enumerate("019")]
+    docs = stored(spark, rows, "doc_id long, text string, n_chars long", folder)
+    texts = {r["doc_id"]: r["text"] for r in pii.mask(docs).collect()}
+    assert texts[0].startswith("<IP> <EMAIL>") and texts[1].startswith("1.2.3.1")
+    assert pii.detect(docs).count() == 3
+
+
 def test_added_kinds():
     text = "IBAN: DE89 3704 0044 0532 0130 00, ssn 078-05-1120, account no. 12345678, https://joe:pw@host.org/x"
     found = {(k, text[a:b]) for k, a, b in pii.find_spans(text, pii.automaton())}
