@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from pricelake.functions import epoch_millis, epoch_seconds, pair_from_path
 from pricelake.functions.times import TIME_IN_TIMESTAMP, TIMESTAMP_FORMAT
-from pricelake.schemas import BATCH_A_COLUMNS, BATCH_B_COLUMNS, COMBINED_COLUMNS
+from pricelake.schemas import BATCH_A_COLUMNS, BATCH_B_COLUMNS, COMBINED_COLUMNS, CORRUPT
 
 HEADER_PAIR = "pair"  # what a header row read as data holds in its first column
 
@@ -23,6 +23,25 @@ def drop_header_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("pair") != HEADER_PAIR)
 
 
+REASONS = ("header row", "unreadable line", "missing pair", "missing time", "bad time")
+
+
+def reject_reason() -> Column:
+    """One of REASONS for a combined line that is no bar, else null.
+
+    A time is bad if its text is no number or names no year from 1 to 9999.
+    """
+    header, unreadable, no_pair, no_time, bad_time = REASONS
+    time = F.col("time")
+    return (
+        F.when(F.col("pair") == HEADER_PAIR, header)
+        .when(F.col(CORRUPT).isNotNull(), unreadable)
+        .when(F.coalesce(F.trim("pair"), F.lit("")) == "", no_pair)
+        .when(F.coalesce(F.trim(time), F.lit("")) == "", no_time)
+        .when(epoch_seconds(epoch_millis(time)).isNull(), bad_time)
+    )
+
+
 def expand_time(df: DataFrame, variant: str = "a") -> DataFrame:
     """Replace epoch-millisecond ``time`` by readable date and time columns.
 

@@ -118,6 +118,87 @@ SELECT pair, CAST(rank AS INTEGER) AS rank, seq, close, volume FROM (
 
 _COMBINED = "time_ms AS time, close + 1 AS open, close, close + 2 AS high, close - 1 AS low, volume"
 
+_STORAGE = {
+    "batch_rejects": _with(
+        _TICKS,
+        """
+x AS (
+  SELECT *, CAST(time_ms AS VARCHAR) AS ms, CAST(CAST(round(close * 100) AS BIGINT) AS VARCHAR) AS cents,
+         hour(event_time) < 12 AS early
+  FROM t
+),
+l AS (
+  SELECT *, CASE
+    WHEN pair = 'error' AND early THEN concat(pair, ',', ms, 'x,', seq, ',', cents, ',1,2,3')
+    WHEN pair = 'error' THEN concat(pair, ',99999999999999999,', seq, ',', cents, ',1,2,3')
+    WHEN pair = 'signup' AND early THEN concat(',', ms, ',', seq, ',', cents, ',1,2,3')
+    WHEN pair = 'signup' THEN concat(pair, ',,', seq, ',', cents, ',1,2,3')
+    WHEN pair = 'view' AND early THEN concat(pair, ',', ms, ',', seq, ',n/a,1,2,3')
+    WHEN pair = 'view' THEN concat(pair, ',', ms, ',', seq, ',', cents, ',1,2')
+    ELSE concat(pair, ',', ms, ',', seq, ',', cents, ',1,2,3') END AS line,
+    CASE
+    WHEN pair = 'error' THEN 'bad time'
+    WHEN pair = 'signup' AND early THEN 'missing pair'
+    WHEN pair = 'signup' THEN 'missing time'
+    WHEN pair = 'view' THEN 'unreadable line'
+    ELSE 'accepted' END AS outcome
+  FROM x
+)""",
+        select="""
+SELECT outcome, line AS raw, NULL::VARCHAR AS pair, NULL::VARCHAR AS full_timestamp,
+       NULL::BIGINT AS open, NULL::BIGINT AS close
+FROM l WHERE outcome <> 'accepted'
+UNION ALL
+SELECT outcome, NULL, pair, strftime(event_time, '%Y-%m-%d %H:%M:%S'), seq, CAST(cents AS BIGINT)
+FROM l WHERE outcome = 'accepted'
+UNION ALL
+SELECT 'header row', 'pair,time,open,close,high,low,volume', NULL, NULL, NULL, NULL""",
+    ),
+    "stored_key_range": _with(
+        _TICKS,
+        _MERGE,
+        "v AS (" + _last("both_sides", f"{_NEWEST}, streamed DESC", _DAILY) + ")",
+        select="SELECT * FROM v WHERE pair_date >= 'click_2024-01-25' "
+        "AND pair_date < 'purchase_2024-01-10'",
+    ),
+    "daily_close_bucketed": _with(_TICKS, select=_last("t", _TEXT_ORDER, _DAILY)),
+    "lake_product_list": _with(
+        _TICKS,
+        select=f"""
+SELECT pair, {_COMBINED} FROM t
+WHERE pair IN (SELECT pair FROM t GROUP BY pair HAVING count(*) < (SELECT count(*) / 5 FROM t))""",
+    ),
+    "stored_counts": _with(
+        _TICKS,
+        select="""
+SELECT pair, count(*) AS rows, count(volume) AS volumes,
+       min(time_ms) AS first_ms, max(time_ms) AS last_ms, min(close) AS least, max(close) AS most
+FROM t GROUP BY pair""",
+    ),
+}
+
+_LIVE = {
+    "board_arrival": _with(
+        _TICKS,
+        _arrival((2, 4, 1, 3)),
+        select="""
+SELECT product_id, CAST(rank AS INTEGER) AS rank, seq AS sequence, shown_at, price, last_size FROM (
+  SELECT concat(upper(pair), '-USD-X') AS product_id, seq,
+         strftime(event_time, '%B %-d, %Y at %I:%M:%S %p') AS shown_at,
+         close AS price, volume + 1 AS last_size,
+         row_number() OVER (PARTITION BY pair ORDER BY delivery DESC, seq DESC) AS rank
+  FROM a WHERE pair <> 'error'
+) WHERE rank <= 9""",
+    ),
+    "stream_expired": _with(
+        _TICKS, _arrival((4, 2, 3, 1)), select=_last("a", "delivery DESC, seq DESC", _STREAMED)
+    ),
+    "queue_round_trip": _with(
+        _TICKS, _arrival((2, 1, 4, 3)), select=_last("a", "delivery DESC, seq DESC", _STREAMED)
+    ),
+    "stream_paced": _with(_TICKS, select=_last("t", _NEWEST, _STREAMED)),
+}
+
 ORACLE: dict[str, str] = {
     "batch_expand_a": _with(
         _TICKS,
@@ -341,4 +422,6 @@ SELECT concat(head, ',"close":"n/a","volume":"1"}'), 'bad close' FROM h WHERE pa
     "fan_out_frontend": _with(_TICKS, _FEED, select=_FRONTEND),
     "latest_n": _with(_TICKS, select=_LATEST),
     "latest_n_stream": _with(_TICKS, select=_LATEST),
+    **_STORAGE,
+    **_LIVE,
 }

@@ -18,7 +18,6 @@ from pricelake.functions import (
     pair_from_product,
     stem_from_path,
 )
-from pricelake.functions.times import ISO_MICROS
 from pricelake.operators import (
     build_daily,
     build_full,
@@ -55,19 +54,32 @@ from pricelake.plans import (
     write_base,
     write_full,
 )
+from pricelake.plans import registered_live, registered_storage
+from pricelake.plans.given import (
+    ALL_AVAILABLE,
+    bars,
+    daily,
+    deliver,
+    feed_messages,
+    quarters,
+    replay,
+    table,
+    ticks,
+)
 from pricelake.schemas import (
     BATCH_A_COLUMNS,
     COMBINED_COLUMNS,
     DAILY_COLUMNS,
     RAW_BAR_COLUMNS,
 )
-from pricelake.session import configure, scratch_dir
+from pricelake.session import scratch_dir
 from pricelake.sources import (
     audit_counts,
     export_csv,
     read_bar_files,
     read_combined,
     read_lake,
+    table_location,
     write_lake,
     write_table,
 )
@@ -77,54 +89,15 @@ from pricelake.streaming import (
     parquet_batches,
     parse_ticks,
     read_board,
-    read_ticks,
     split_valid,
-    start_upsert,
     to_messages,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ALL_AVAILABLE = {"availableNow": True}
 PRODUCTS = ["CLICK-USD-X", "VIEW-USD-X"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as ticks: pair, time, price, volume and a unique sequence."""
-    at = F.col("ts").cast("timestamp")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("pair"),
-        F.unix_millis(at).alias("time_ms"),
-        at.alias("event_time"),
-        F.to_date(at).alias("price_date"),
-        F.col("value").alias("close"),
-        F.get_json_object("props", "$.k").cast("double").alias("volume"),
-        F.col("event_id").alias("seq"),
-    )
-
-
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks as combined seven-column bars (time still epoch milliseconds)."""
-    return ticks(spark, sf_dir).select(
-        "pair",
-        F.col("time_ms").alias("time"),
-        (F.col("close") + 1).alias("open"),
-        "close",
-        (F.col("close") + 2).alias("high"),
-        (F.col("close") - 1).alias("low"),
-        "volume",
-        "seq",
-    )
-
-
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_daily(ticks(spark, sf_dir))
-
-
 # -- batch -------------------------------------------------------------------
 
 
@@ -236,7 +209,7 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         name = paths[0].rsplit("/", 1)[-1].replace("-", "_")
         write_table(early, name, paths[0])
         write_table(rows, name, paths[1], if_not_exists=if_not_exists)
-        folder = spark.table(name).inputFiles()[0].rsplit("/", 1)[0]
+        folder = table_location(spark, name)
         spark.sql(f"DROP TABLE {name}")  # its rows stay where they were written
         stored = spark.read.schema(rows.schema).parquet(folder)
         parts.append(stored.select(F.lit(label).alias("label"), *rows.columns))
@@ -413,21 +386,6 @@ def cells_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- feed and messages -------------------------------------------------------
 
 
-def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live-feed JSON: errors are messages of another type."""
-    kind = F.when(F.col("pair") == "error", "error").otherwise("ticker")
-    message = F.struct(
-        kind.alias("type"),
-        F.concat(F.upper("pair"), F.lit("-USD-X")).alias("product_id"),
-        F.col("seq").alias("sequence"),
-        F.date_format("event_time", ISO_MICROS).alias("time"),
-        F.col("close").cast("string").alias("price"),
-        F.col("volume").cast("string").alias("volume_24h"),
-        (F.col("volume") + 1).cast("string").alias("last_size"),
-    )
-    return ticks(spark, sf_dir).select(F.to_json(message).alias("value"))
-
-
 def _numbers(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {name: F.col(name).try_cast("double") for name in ("close", "volume")}
@@ -485,93 +443,40 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams -----------------------------------------------------------------
 
 
-def _deliver(spark: SparkSession, deliveries: list[DataFrame], start) -> None:
-    """Put each delivery into an inbox folder and run the stream on what is new.
-
-    The stream stops after each delivery and resumes from its checkpoint.
-    """
-    inbox = scratch_dir(spark, "inbox")
-    checkpoint = scratch_dir(spark, "checkpoint")
-    for messages in deliveries:
-        messages.select("value").write.mode("append").text(inbox)
-        stream = read_ticks(spark, format="text", path=inbox)
-        start(stream, checkpoint).awaitTermination()
-
-
-def _replay(spark: SparkSession, deliveries: list[DataFrame], root: str) -> None:
-    _deliver(
-        spark,
-        deliveries,
-        lambda stream, checkpoint: start_upsert(
-            parse_ticks(stream), root, checkpoint, ALL_AVAILABLE
-        ),
-    )
-
-
-def _quarters(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> list[DataFrame]:
-    """Messages by quarter of the day, in the given order of delivery.
-
-    Every pair and day has ticks in each quarter, so the order matters.
-    """
-    quarter = F.floor(F.hour("event_time") / 6) + 1
-    rows = ticks(spark, sf_dir).drop("time_ms")
-    return [to_messages(rows.where(quarter == number)) for number in order]
-
-
-def _view(spark: SparkSession, root: str, order: str = "event_time") -> DataFrame:
-    return current_view(spark, root, order).select(*DAILY_COLUMNS, "volume_kind", "seq")
-
-
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "store")
-    _replay(spark, _quarters(spark, sf_dir, (3, 1, 4, 2)), root)
-    return _view(spark, root)
+    replay(spark, quarters(spark, sf_dir, (3, 1, 4, 2)), root)
+    return registered_live.view(spark, root)
 
 
 def stream_upsert_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "store")
-    _replay(spark, _quarters(spark, sf_dir, (3, 1, 4, 2)), root)
-    return _view(spark, root, "arrival")
+    replay(spark, quarters(spark, sf_dir, (3, 1, 4, 2)), root)
+    return registered_live.view(spark, root, "arrival")
 
 
 def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compaction between two deliveries and after the last one changes nothing."""
     root = scratch_dir(spark, "store")
-    first, second, *rest = _quarters(spark, sf_dir, (4, 2, 3, 1))
-    _replay(spark, [first, second], root)
+    first, second, *rest = quarters(spark, sf_dir, (4, 2, 3, 1))
+    replay(spark, [first, second], root)
     compact(spark, root)
-    _replay(spark, rest, root)
+    replay(spark, rest, root)
     compact(spark, root)
-    return _view(spark, root, "arrival")
-
-
-def _base_and_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Every tick, half in the snapshot and half streamed on top of it.
-
-    In the first half of the month the snapshot has the afternoons and is newer,
-    in the second half it has the mornings and is older.
-    """
-    root = scratch_dir(spark, "store")
-    rows = ticks(spark, sf_dir)
-    afternoon = F.hour("event_time") >= 12
-    first_half = F.col("price_date") <= F.lit("2024-01-15").cast("date")
-    in_base = afternoon == first_half
-    write_base(build_daily(rows.where(in_base), keep=["event_time", "seq"]), root)
-    _replay(spark, [to_messages(rows.where(~in_base).drop("time_ms"))], root)
-    return root
+    return registered_live.view(spark, root, "arrival")
 
 
 def merge_current_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, _base_and_stream(spark, sf_dir))
+    return registered_live.view(spark, registered_storage.base_and_stream(spark, sf_dir))
 
 
 def merge_arrival_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, _base_and_stream(spark, sf_dir), "arrival")
+    return registered_live.view(spark, registered_storage.base_and_stream(spark, sf_dir), "arrival")
 
 
 def merged_price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup on the merged view, from days the snapshot wins to days it loses."""
-    root = _base_and_stream(spark, sf_dir)
+    root = registered_storage.base_and_stream(spark, sf_dir)
     return stored_history(spark, root, "purchase", "2024-01-14", "2024-01-24")
 
 
@@ -587,7 +492,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(dated, F.lit(',"close":"1","volume":"1","extra":true}')))
     )
     root = scratch_dir(spark, "store")
-    _replay(spark, [ticks(spark, sf_dir).select(message.alias("value"))], root)
+    replay(spark, [ticks(spark, sf_dir).select(message.alias("value"))], root)
     return read_quarantine(spark, root).select("raw", "reason")
 
 
@@ -597,7 +502,7 @@ def _fan_out(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         "backend": (to_backend, parquet_batches(paths["backend"])),
         "frontend": (to_frontend, parquet_batches(paths["frontend"])),
     }
-    _deliver(
+    deliver(
         spark,
         [feed_messages(spark, sf_dir)],
         lambda stream, checkpoint: fan_out(
@@ -627,7 +532,7 @@ def latest_nine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         valid, _ = split_valid(parse_ticks(stream))
         return latest_n_stream(valid, path, checkpoint, trigger=ALL_AVAILABLE)
 
-    _deliver(spark, _quarters(spark, sf_dir, (2, 4, 1, 3)), start)
+    deliver(spark, quarters(spark, sf_dir, (2, 4, 1, 3)), start)
     return read_board(spark, path).select("pair", "rank", "seq", "close", "volume")
 
 
@@ -679,4 +584,6 @@ QUERIES: dict[str, Query] = {
     "fan_out_frontend": fan_out_frontend,
     "latest_n": latest_nine,
     "latest_n_stream": latest_nine_stream,
+    **registered_storage.QUERIES,
+    **registered_live.QUERIES,
 }

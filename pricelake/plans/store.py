@@ -21,12 +21,12 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, MapType, StringType, StructField, StructType
 
-from pricelake.operators.lookup import price_history
+from pricelake.operators.lookup import key_range_scan, price_history
 from pricelake.operators.serving import latest_by_either_order, latest_by_key, with_day_key
 from pricelake.plans.build import by_shard, empty, read_or_none, read_sharded, write_shards
-from pricelake.schemas import DELTA, LAST_BAR, REJECTED, SERVING
+from pricelake.schemas import DELTA, LAST_BAR, REJECTED, SERVING, SNAPSHOT
 
 KEYS = ["pair", "price_date"]
 
@@ -36,6 +36,8 @@ MANIFEST = StructType(
         StructField("path", StringType()),
         # run -> last batch of that run the snapshot contains
         StructField("folded", MapType(StringType(), LongType())),
+        # whether the snapshot stores its text key
+        StructField("keyed", BooleanType()),
     ]
 )
 
@@ -48,14 +50,17 @@ def quarantine_path(root: str) -> str:
     return f"{root}/quarantine"
 
 
-def _manifest_head(spark: SparkSession, root: str) -> Row | None:
+def newest_heads(spark: SparkSession, root: str) -> list[Row]:
+    """The newest manifest row and the one before it, as far as there are any."""
     log = read_or_none(lambda: spark.read.schema(MANIFEST).json(f"{root}/manifest"))
-    if log is None:
-        return None
-    newest = log.orderBy(F.desc("version")).limit(2).collect()
+    newest = log.orderBy(F.desc("version")).limit(2).collect() if log is not None else []
     if len(newest) == 2 and newest[0]["version"] == newest[1]["version"]:
         raise RuntimeError(f"two writers made version {newest[0]['version']} of {root} at once")
-    return newest[0] if newest else None
+    return newest
+
+
+def _manifest_head(spark: SparkSession, root: str) -> Row | None:
+    return next(iter(newest_heads(spark, root)), None)
 
 
 def _as_serving(df: DataFrame) -> DataFrame:
@@ -78,8 +83,9 @@ def _write_snapshot(rows: DataFrame, root: str, head: Row | None, folded: dict[s
     spark = rows.sparkSession
     version = head["version"] + 1 if head else 1
     path = f"{root}/base/{version}-{uuid.uuid4().hex}"
-    write_shards(by_shard(rows, *KEYS), path)
-    entry = json.dumps({"version": version, "path": path, "folded": folded})
+    keyed = with_day_key(rows).select(*SNAPSHOT.names)
+    write_shards(by_shard(keyed, "pair_date"), path)
+    entry = json.dumps({"version": version, "path": path, "folded": folded, "keyed": True})
     line = spark.sql("SELECT 1").select(F.lit(entry).alias("value"))
     # Fails where another writer has made this version since the head was read.
     line.write.mode("errorifexists").text(f"{root}/manifest/v={version}")
@@ -183,6 +189,36 @@ def stored_history(
     return price_history(current_view(spark, root, order, pair), pair, start, end)
 
 
+def stored_key_range(
+    spark: SparkSession, root: str, start: str, stop: str, order: str = "event_time"
+) -> DataFrame:
+    """Current rows with ``start <= pair_date < stop`` in binary text order, by key.
+
+    The snapshot stores the key and is sorted by it, so the range goes to the Parquet scan,
+    where statistics skip files, row groups and pages. The key names pair and day, so the
+    range holds for all rows of a key alike and goes below the merge on both sides.
+    """
+    head = _manifest_head(spark, root)
+    base = None
+    if head is not None:
+        layout = SNAPSHOT if head["keyed"] else SERVING
+        base = read_sharded(spark, head["path"], layout)
+        if not head["keyed"]:  # written before keys were stored
+            base = with_day_key(base)
+        base = _between(base, start, stop)
+    delta = read_delta(spark, root)
+    if delta is not None:
+        delta = _between(with_day_key(_beyond(delta, head["folded"] if head else {})), start, stop)
+    elif head is None:
+        raise ValueError(f"there is no store at {root}")
+    rows = _all_rows(spark, base, delta)
+    return key_range_scan(with_day_key(latest_by_key(rows, KEYS, order)), "pair_date", start, stop)
+
+
+def _between(df: DataFrame, start: str, stop: str) -> DataFrame:
+    return df.where((F.col("pair_date") >= start) & (F.col("pair_date") < stop))
+
+
 def compact(spark: SparkSession, root: str) -> int:
     """Fold finished delta batches into the next snapshot; returns its version.
 
@@ -190,7 +226,7 @@ def compact(spark: SparkSession, root: str) -> int:
     batch-built row is kept beside them, so that a later batch load can replace
     it. The newest batch of each run may still be written, so it is left to the
     next call. One compaction at a time; readers and the stream keep going.
-    Folders of folded batches can be expired by age afterwards.
+    ``retention.expire`` removes what is folded.
     """
     head = _manifest_head(spark, root)
     folded = dict(head["folded"]) if head else {}
@@ -198,6 +234,8 @@ def compact(spark: SparkSession, root: str) -> int:
     if delta is not None:
         newest = delta.groupBy("run").agg(F.max("batch").alias("batch")).collect()
         finished = {row["run"]: row["batch"] - 1 for row in newest}
+        # A run without folders has nothing left that could be read again.
+        folded = {run: last for run, last in folded.items() if run in finished}
         delta = _beyond(delta, folded)
         # A run that appeared after the count is not in ``finished``.
         delta = delta.where(F.col("batch") <= _last_batch(finished)) if finished else None

@@ -44,6 +44,13 @@ RAW_BAR = _struct(time=LongType(), **_PRICES)
 # Time stays text here so that a header row read as data is still recognisable.
 COMBINED = _struct(pair=StringType(), time=StringType(), **_PRICES)
 
+# Row of the batch table, as text.
+BATCH = (
+    "pair string, price_date date, price_time string, full_timestamp string, "
+    + ", ".join(f"{name} double" for name in PRICE_COLUMNS)
+    + ", time_ms bigint"
+)
+
 # The lake keeps the instrument as the partition folder.
 LAKE = _struct(time=LongType(), **_PRICES, pair=StringType())
 
@@ -82,6 +89,9 @@ SERVING = _struct(
     batch=LongType(),
 )
 
+# A snapshot also stores its text key, by which it is sorted.
+SNAPSHOT = StructType([*SERVING.fields, StructField("pair_date", StringType(), True)])
+
 # Folder columns of both serving tables.
 SHARD_FOLDERS = [StructField(name, IntegerType(), True) for name in ("shards", "shard")]
 

@@ -137,6 +137,20 @@ def read_combined(
     return reader.csv(path)
 
 
+def read_combined_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The combined text file with each line as it stands (``raw``).
+
+    A line with a bad number, or with more or fewer fields than there are columns, is
+    also in the corrupt-record column. Header lines are read as data; blank lines are
+    none. Each line is parsed once.
+    """
+    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _with_corrupt(COMBINED))
+    options = {"sep": ",", "mode": "PERMISSIVE", "quote": "", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = F.inline(F.array(F.from_csv("value", layout, options)))
+    return lines.select(F.col("value").alias("raw"), parsed)
+
+
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """The Parquet lake; ``pair`` comes from the partition folder, as text."""
     return spark.read.schema(LAKE).parquet(path)

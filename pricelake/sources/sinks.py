@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def write_lake(df: DataFrame, path: str, regroup: bool = False) -> None:
     """Combined bars as Parquet at a new path, one folder per instrument.
 
@@ -28,20 +29,39 @@ def export_csv(df: DataFrame, path: str) -> None:
 def write_table(df: DataFrame, name: str, path: str, if_not_exists: bool = False) -> DataFrame:
     """Catalog table over Parquet at the new ``path``: replaced, or left alone when it exists.
 
-    A replaced table's rows are written in full before the name moves to them;
-    the old rows stay where they are until they are expired. ``if_not_exists``
-    leaves the decision to the catalog, so a table created meanwhile is kept.
+    A replaced table's rows are written in full before the name moves to them, in one
+    step of the catalog: a reader finds the old rows or the new ones. The old rows stay
+    where they are until they are expired. Rows of another layout are refused, as a name
+    cannot move to them in one step. ``if_not_exists`` leaves the decision to the catalog,
+    so a table created meanwhile is kept.
     """
     spark = df.sparkSession
     if if_not_exists:
         df.write.mode("ignore").format("parquet").option("path", path).saveAsTable(name)
+        return spark.table(name)
+    exists = spark.catalog.tableExists(name)
+    if exists and _layout(spark.table(name)) != _layout(df):
+        raise ValueError(f"{name} holds {_layout(spark.table(name))}, not {_layout(df)}")
+    df.write.mode("errorifexists").parquet(path)
+    if exists:
+        quoted = path.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
+        spark.catalog.refreshTable(name)
     else:
-        df.write.mode("errorifexists").parquet(path)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
     return spark.table(name)
 
 
+def _layout(df: DataFrame) -> str:
+    return df.schema.simpleString()
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder a catalog table's rows are in."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def audit_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """Row count of each named frame, as one job."""
     counts = [

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pricelake.files import children, delete
 from pricelake.operators.latest import BOARD_ROWS, NEWEST_FIRST, latest_n
-from pricelake.plans.build import read_or_none
+from pricelake.streaming.runs import BatchFolders
 from pricelake.streaming.ticks import DEFAULT_TRIGGER
 
 _TICK = ["pair", "event_time", "seq", "close", "volume"]
@@ -46,16 +47,18 @@ def latest_n_stream(
     retry gives the same board. The checkpoint and ``path`` belong together: a
     new checkpoint is refused where another one's boards are.
     """
+    folders = BatchFolders(checkpoint)
 
     def write(batch_df: DataFrame, batch: int) -> None:
         spark = batch_df.sparkSession
-        if batch:
-            before = spark.read.schema(BOARD).parquet(_folder(path, batch - 1))
-        elif read_or_none(lambda: spark.read.parquet(_folder(path, 1))) is not None:
+        folder = folders.name(spark, batch)
+        own = folder.split("/")[0]
+        if any(name.startswith("run=") and name != own for name, _ in children(spark, path)):
             raise ValueError(f"{path} holds the boards of another checkpoint")
-        else:
-            before = None
-        merge_board(before, batch_df, n).write.mode("overwrite").parquet(_folder(path, batch))
+        before = None
+        if batch:
+            before = spark.read.schema(BOARD).parquet(f"{path}/{folders.name(spark, batch - 1)}")
+        merge_board(before, batch_df, n).write.mode("overwrite").parquet(f"{path}/{folder}")
 
     return (
         ticks.writeStream.foreachBatch(write)
@@ -65,8 +68,16 @@ def latest_n_stream(
     )
 
 
-def _folder(path: str, batch: int) -> str:
-    return f"{path}/batch={batch}"
+def _batches(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(batch, folder) of every board, newest first."""
+    found = [
+        (int(name.removeprefix("batch=")), f"{path}/{run}/{name}")
+        for run, _ in children(spark, path)
+        if run.startswith("run=")
+        for name, _ in children(spark, f"{path}/{run}")
+        if name.startswith("batch=")
+    ]
+    return sorted(found, reverse=True)
 
 
 def read_board(spark: SparkSession, path: str) -> DataFrame:
@@ -74,15 +85,27 @@ def read_board(spark: SparkSession, path: str) -> DataFrame:
 
     The newest folder may be half written. It holds a whole board and a board
     never shrinks, so each rank is taken from it or else from the one before.
-    Older folders can be expired by age.
+    Other folders are not opened; ``expire_boards`` removes them.
     """
-    boards = spark.read.schema(f"{BOARD}, batch bigint").parquet(path)
-    newest = boards.agg(F.max("batch")).first()[0]
+    newest = [folder for _, folder in _batches(spark, path)[:2]]
+    if not newest:
+        raise ValueError(f"there is no board at {path}")
+    boards = (
+        spark.read.schema(f"{BOARD}, batch bigint").option("basePath", path).parquet(*newest)
+    )
     row = F.max(F.struct("batch", *NEWEST_FIRST)).alias("_row")
     return (
-        boards.where(F.col("batch") >= newest - 1)
-        .groupBy("pair", "rank")
-        .agg(row)
-        .select("pair", "rank", "_row.*")
-        .drop("batch")
+        boards.groupBy("pair", "rank").agg(row).select("pair", "rank", "_row.*").drop("batch")
     )
+
+
+def expire_boards(spark: SparkSession, path: str, keep: int = 100) -> int:
+    """Delete all boards but the newest ``keep`` (two at least); returns how many went.
+
+    A reader opens the two that were newest when it began, so ``keep`` is the number
+    of micro-batches that a read may take.
+    """
+    old = _batches(spark, path)[max(2, keep) :]
+    for _, folder in old:
+        delete(spark, folder)
+    return len(old)

@@ -15,6 +15,7 @@ from pricelake.schemas import ROLLING_24H, TICK_JSON
 # The reference interval is 2 s; a longer one writes fewer, larger files.
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 
+MESSAGE = "key string, value string"
 _PAYLOAD = ["pair", "price_date", "close", "volume"]  # the required fields
 
 
@@ -28,7 +29,10 @@ def read_ticks(
 
     Kafka gives the record's timestamp and offset. Its offsets order one pair's
     ticks only where the topic is keyed by pair, as ``write_ticks`` does. Files
-    (format "text", one message per line) give their modification time.
+    (format "text", one message per line) give their modification time, and so do
+    the files that ``write_ticks`` publishes as "parquet": those are read by the
+    sink's commit log, so what a broken-off batch left behind is not seen.
+    ``maxFilesPerTrigger`` (files) and ``maxOffsetsPerTrigger`` (Kafka) pace a backlog.
     The first start begins at the latest offset, a restart at the checkpoint.
     """
     options = dict(options or {})
@@ -40,8 +44,10 @@ def read_ticks(
             F.col("timestamp").alias("source_time"),
             F.col("offset").alias("source_seq"),
         )
-    records = spark.readStream.format(format).options(**options).load(path)
-    return records.select(
+    reader = spark.readStream.format(format).options(**options)
+    if format == "parquet":
+        reader = reader.schema(MESSAGE)
+    return reader.load(path).select(
         "value",
         F.col("_metadata.file_modification_time").alias("source_time"),
         F.lit(None).cast("bigint").alias("source_seq"),
@@ -117,7 +123,10 @@ def write_ticks(
 ) -> StreamingQuery:
     """Publish a tick stream, one JSON message per tick.
 
-    Kafka takes key and value; a text sink has room for the value only.
+    Kafka and "parquet" take key and value; a text sink has room for the value only.
+    File sinks commit each micro-batch in a log, and readers of the folder go by it:
+    each tick is published once, however often a batch is retried. Kafka may get a
+    retried batch twice, which last write wins makes harmless.
     """
     messages = to_messages(ticks)
     if format == "text":
@@ -130,3 +139,16 @@ def write_ticks(
         .trigger(**trigger)
         .start()
     )
+
+
+def drain(query: StreamingQuery) -> list[tuple[int, int]]:
+    """Let a timed query read what there is, stop it, and tell its (batch, rows) so far.
+
+    For queries under a processing-time trigger, which would otherwise run on. Spark
+    keeps the progress of the newest hundred batches.
+    """
+    try:
+        query.processAllAvailable()
+        return [(p.batchId, p.numInputRows) for p in query.recentProgress]
+    finally:
+        query.stop()

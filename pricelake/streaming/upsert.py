@@ -2,39 +2,21 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricelake.operators.serving import latest_by_either_order
 from pricelake.plans.store import KEYS, delta_path, quarantine_path
+from pricelake.streaming.runs import BatchFolders
 from pricelake.streaming.ticks import DEFAULT_TRIGGER, split_valid, to_messages
 
 # Writes one output's rows of a micro-batch; the text names the batch as a folder.
 BatchWriter = Callable[[DataFrame, str], None]
 
 
-class BatchFolders:
-    """Names the folder of each micro-batch of one checkpoint.
-
-    Batch numbers restart with a new checkpoint, so the folder also carries the
-    id Spark gave the checkpoint when its query first started.
-    """
-
-    def __init__(self, checkpoint: str):
-        self.checkpoint = checkpoint
-        self.run: str | None = None
-
-    def name(self, spark: SparkSession, batch: int) -> str:
-        if self.run is None:
-            metadata = spark.read.text(f"{self.checkpoint}/metadata").first()["value"]
-            self.run = json.loads(metadata)["id"]
-        return f"run={self.run}/batch={batch}"
-
-
 def _replace(df: DataFrame, path: str, folders: str) -> None:
     (
         df.write.mode("overwrite")
@@ -49,15 +31,17 @@ def start_upsert(
     root: str,
     checkpoint: str,
     trigger: Mapping[str, object] = DEFAULT_TRIGGER,
+    run: str | None = None,
 ) -> StreamingQuery:
     """Append the parsed ticks to the store's delta log and quarantine the rest.
 
     Each micro-batch owns its folder and replaces it when it is retried, so a
     lost executor or a restart adds nothing twice. Before writing, a batch is
     reduced to the ticks that can still win a merge: at most two per pair and
-    day, whatever the tick rate.
+    day, whatever the tick rate. Folders are named by ``run``, which belongs to
+    this checkpoint alone; by default a name is made and kept in the checkpoint.
     """
-    folders = BatchFolders(checkpoint)
+    folders = BatchFolders(checkpoint, run)
 
     def write(batch_df: DataFrame, batch: int) -> None:
         folder = folders.name(batch_df.sparkSession, batch)

@@ -1,0 +1,234 @@
+"""Keyed boards, expiry, the queue's stand-in and paced triggers."""
+
+import datetime as dt
+import json
+import os
+import shutil
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from pricelake.files import children
+from pricelake.operators import parse_feed, ticker_only
+from pricelake.plans import compact, current_view, expire, read_base, read_quarantine, write_base
+from pricelake.plans.store import newest_heads
+from pricelake.streaming import (
+    arrival_board_stream,
+    board_rows,
+    drain,
+    expire_boards,
+    fold_arrival_board,
+    latest_n_stream,
+    parse_ticks,
+    read_arrival_board,
+    read_board,
+    read_ticks,
+    split_valid,
+    start_upsert,
+    write_ticks,
+)
+from tests.conftest import rows
+from tests.test_streaming import closes, message, put, run
+
+NOW = {"availableNow": True}
+
+
+def ticker(product="BTC-USD", sequence=1, at="12:00:00", price="1", size="2", **more):
+    body = dict(type="ticker", product_id=product, sequence=sequence, price=price, last_size=size)
+    return json.dumps({**body, "time": f"2024-01-01T{at}Z", **more})
+
+
+def arrive(spark, inbox, path, checkpoint, n=3):
+    feed = ticker_only(parse_feed(read_ticks(spark, "text", path=str(inbox))))
+    arrival_board_stream(board_rows(feed), path, checkpoint, n, NOW).awaitTermination()
+
+
+def shown(spark, path):
+    found = {}
+    for r in sorted(read_arrival_board(spark, path).collect(), key=lambda r: (r["product_id"], r["rank"])):
+        found.setdefault(r["product_id"], []).append((r["rank"], r["sequence"], r["price"]))
+    return found
+
+
+def test_the_board_follows_arrival_over_restarts(spark, folder, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    path, checkpoint = f"{folder}/board", f"{folder}/cp"
+    put(inbox, "1", *(ticker(sequence=i, at="20:00:00") for i in range(50, 90)), ticker("ETH-USD", 7))
+    arrive(spark, inbox, path, checkpoint)
+    assert shown(spark, path) == {"BTC-USD": [(1, 89, "1"), (2, 88, "1"), (3, 87, "1")], "ETH-USD": [(1, 7, "1")]}
+    # older by time and by sequence, but it arrives later
+    put(inbox, "2", ticker(sequence=5, at="01:00:00", price="9"), ticker(sequence=None, at="02:00:00", price="8"))
+    arrive(spark, inbox, path, checkpoint)
+    assert shown(spark, path)["BTC-USD"] == [(1, 5, "9"), (2, -1, "8"), (3, 89, "1")]
+    assert shown(spark, path)["ETH-USD"] == [(1, 7, "1")]
+    row = read_arrival_board(spark, path).where("sequence = 5").first()
+    assert (row["shown_at"], row["last_size"]) == ("January 1, 2024 at 01:00:00 AM", "2")
+    # folding keeps the board, and the next arrivals go on top
+    assert fold_arrival_board(spark, path) == 0
+    before = shown(spark, path)
+    put(inbox, "3", ticker("ETH-USD", 1, price="3"), ticker(product=None, sequence=4))
+    arrive(spark, inbox, path, checkpoint)
+    assert fold_arrival_board(spark, path) == 1 and fold_arrival_board(spark, path) == 1
+    after = shown(spark, path)
+    assert after == {**before, "ETH-USD": [(1, 1, "3"), (2, 7, "1")]}
+    put(inbox, "4", ticker("NEW-USD", 2), ticker("NEW-USD", 2, price=None))
+    arrive(spark, inbox, path, checkpoint)
+    fold_arrival_board(spark, path)
+    run_folder = next(name for name, _ in children(spark, path) if name.startswith("run="))
+    left = {name for name, _ in children(spark, f"{path}/{run_folder}")}
+    assert left == {"batch=2", "batch=3"} and shown(spark, path)["NEW-USD"] == [(1, 2, "1"), (2, 2, None)]
+
+
+def test_a_retried_batch_of_arrivals_counts_once(spark, folder, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    path, checkpoint = f"{folder}/board", f"{folder}/cp"
+    for k in range(2):
+        put(inbox, str(k), ticker(sequence=k))
+        arrive(spark, inbox, path, checkpoint)
+    want = shown(spark, path)
+    for name in os.listdir(f"{checkpoint}/commits"):
+        if name.strip(".").split(".")[0] == "1":  # as if the last batch had broken off
+            os.remove(f"{checkpoint}/commits/{name}")
+    arrive(spark, inbox, path, checkpoint)
+    assert shown(spark, path) == want == {"BTC-USD": [(1, 1, "1"), (2, 0, "1")]}
+
+
+def test_a_board_of_one_batch_is_not_overwritten(spark, folder, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    path = f"{folder}/board"
+
+    def board(checkpoint):
+        valid, _ = split_valid(parse_ticks(read_ticks(spark, "text", path=str(inbox))))
+        latest_n_stream(valid, path, checkpoint, trigger=NOW).awaitTermination()
+
+    put(inbox, "1", *(message(seq=i, at=f"12:00:{i:02d}") for i in range(20)))
+    board(f"{folder}/cp")
+    want = rows(read_board(spark, path))
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        board(f"{folder}/cp2")
+    assert rows(read_board(spark, path)) == want and len(want) == 9
+    for k in range(4):
+        put(inbox, f"more{k}", message(seq=100 + k, at="13:00:00"))
+        board(f"{folder}/cp")
+    want = rows(read_board(spark, path))
+    assert expire_boards(spark, path, keep=3) == 2 and rows(read_board(spark, path)) == want
+    with pytest.raises(ValueError, match="no board"):
+        read_board(spark, f"{folder}/none")
+
+
+def folders(spark, path):
+    return sorted(name for name, _ in children(spark, path))
+
+
+def test_expiry_removes_what_two_heads_do_not_need(spark, folder, tmp_path):
+    inbox, root, checkpoint = tmp_path / "in", f"{folder}/store", f"{folder}/cp"
+    inbox.mkdir()
+    assert expire(spark, root) == {"base": 0, "manifest": 0, "delta": 0, "quarantine": 0}
+    for k in range(6):
+        put(inbox, str(k), message(close=str(k), seq=k, at=f"12:00:0{k}"), "{bad")
+        run(spark, str(inbox), root, checkpoint)
+        if k in (1, 3, 4):
+            compact(spark, root)
+    heads = newest_heads(spark, root)
+    assert [h["version"] for h in heads] == [3, 2]
+    os.makedirs(f"{root}/base/2-lost")  # of a writer that lost its version
+    os.makedirs(f"{root}/base/4-being-written")
+    want = closes(current_view(spark, root)), closes(current_view(spark, root, "arrival"))
+    older = read_base(spark, root)
+    quarantined = read_quarantine(spark, root).count()
+    gone = expire(spark, root)
+    assert gone == {"base": 2, "manifest": 1, "delta": 3, "quarantine": 0}
+    assert expire(spark, root) == {"base": 0, "manifest": 0, "delta": 0, "quarantine": 0}
+    assert folders(spark, f"{root}/manifest") == ["v=2", "v=3"]
+    kept = {h["path"].rsplit("/", 1)[-1] for h in heads}
+    assert set(folders(spark, f"{root}/base")) == {*kept, "4-being-written"}
+    name = folders(spark, f"{root}/delta")[0]
+    # the newest head has folded batches 0 to 3, the one before it 0 to 2
+    assert folders(spark, f"{root}/delta/{name}") == ["batch=3", "batch=4", "batch=5"]
+    assert (closes(current_view(spark, root)), closes(current_view(spark, root, "arrival"))) == want
+    assert older.count() == 1  # a reader that began before goes on
+    # the stream goes on, and so do compaction and batch loads
+    put(inbox, "9", message(close="9", seq=9, at="12:00:09"))
+    run(spark, str(inbox), root, checkpoint)
+    shutil.rmtree(f"{root}/base/4-being-written")
+    compact(spark, root)
+    assert closes(current_view(spark, root)) == {"btcusd_2024-01-01": 9.0}
+    assert read_quarantine(spark, root).count() == quarantined
+    later = dt.datetime.now(dt.UTC) + dt.timedelta(hours=1)
+    assert expire(spark, root, rejected_before=later)["quarantine"] >= 6
+    assert not folders(spark, f"{root}/quarantine/{name}")
+
+
+def test_a_finished_run_leaves_no_trace_in_the_manifest(spark, folder, tmp_path):
+    inbox, root = tmp_path / "in", f"{folder}/store"
+    inbox.mkdir()
+    for k in range(2):
+        put(inbox, str(k), message(close=str(k), seq=k))
+        run(spark, str(inbox), root, f"{folder}/cp")
+    compact(spark, root)
+    name = folders(spark, f"{root}/delta")[0]
+    assert set(newest_heads(spark, root)[0]["folded"]) == {name.removeprefix("run=")}
+    shutil.rmtree(f"{root}/delta/{name}/batch=1")  # the run is over, and all its batches are gone
+    compact(spark, root)
+    expire(spark, root)
+    assert not folders(spark, f"{root}/delta")
+    compact(spark, root)
+    assert newest_heads(spark, root)[0]["folded"] == {}
+    assert closes(current_view(spark, root)) == {"btcusd_2024-01-01": 0.0}
+
+
+def test_expiry_of_batch_loads_only(spark, folder):
+    rows_ = spark.sql("SELECT 'a' AS pair, DATE '2024-01-01' AS price_date, 1.0D AS close, 1.0D AS volume, 1L AS seq")
+    for _ in range(4):
+        write_base(rows_, folder)
+    assert expire(spark, folder)["base"] == 2
+    assert current_view(spark, folder).count() == 1 and write_base(rows_, folder) == 5
+
+
+def published(spark, inbox, queue, checkpoint):
+    valid = parse_ticks(read_ticks(spark, "text", path=str(inbox))).where("reason IS NULL")
+    ticks = valid.select("pair", "price_date", "close", "volume", "event_time", "seq")
+    write_ticks(ticks, "parquet", {"path": queue}, checkpoint, NOW).awaitTermination()
+
+
+def test_the_queue_gives_each_tick_once(spark, folder, tmp_path):
+    inbox, queue, checkpoint = tmp_path / "in", f"{folder}/queue", f"{folder}/cp"
+    inbox.mkdir()
+    for k in range(2):
+        put(inbox, str(k), *(message(seq=10 * k + i) for i in range(5)))
+        published(spark, inbox, queue, checkpoint)
+    # what a broken-off batch wrote is in the folder but not in the log
+    stray = next(f for f in os.listdir(queue) if f.endswith(".parquet"))
+    shutil.copy(f"{queue}/{stray}", f"{queue}/part-99999-stray.snappy.parquet")
+    for name in os.listdir(f"{checkpoint}/commits"):
+        if name.strip(".").split(".")[0] == "1":
+            os.remove(f"{checkpoint}/commits/{name}")
+    published(spark, inbox, queue, checkpoint)  # the batch is run again
+    assert spark.read.parquet(queue).count() == 10
+    messages = read_ticks(spark, "parquet", path=queue)
+    start_upsert(parse_ticks(messages), f"{folder}/store", f"{folder}/cp2", NOW).awaitTermination()
+    view = current_view(spark, f"{folder}/store").first()
+    assert (view["seq"], view["close"]) == (14, 1.5)
+    assert read_quarantine(spark, f"{folder}/store").count() == 0
+
+
+def test_a_backlog_is_read_at_its_pace(spark, folder, tmp_path):
+    inbox, root, checkpoint = tmp_path / "in", f"{folder}/store", f"{folder}/cp"
+    inbox.mkdir()
+    progress = []
+    for k in range(2):
+        for i in range(5):
+            put(inbox, f"{k}{i}", message(seq=10 * k + i, close=str(i)))
+        messages = read_ticks(spark, "text", {"maxFilesPerTrigger": "2"}, str(inbox))
+        timed = start_upsert(parse_ticks(messages), root, checkpoint, {"processingTime": "50 milliseconds"})
+        progress.append(drain(timed))
+        assert not timed.isActive
+    for some in progress:
+        counts = [n for _, n in some if n]
+        assert max(counts) <= 2 and sum(counts) == 5 and len(counts) >= 3
+    batches = [{b for b, n in some if n} for some in progress]
+    assert not batches[0] & batches[1]  # the second start goes on where the first ended
+    assert current_view(spark, root).first()["seq"] == 14
