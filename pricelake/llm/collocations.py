@@ -45,10 +45,12 @@ from pricelake.llm.common import received, saved, sent, text_of
 LONGEST = 5
 LEAST = 100
 TOP = 2000
+TASKS_A_CORE = 4
 MEAN = 32  # words between two triggers
 TRIGGER = LONGEST - 1  # words a trigger looks at, and the most that chunks overlap by
 FILTER_BITS = 1 << 26
 TEXT_AT_ONCE = 4_000_000
+HELD_AT_ONCE = 3_000_000  # counts a task holds
 UNKNOWN = "und"
 
 CHUNKS = "lang string, own int, chunk string"
@@ -193,6 +195,27 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         yield Block(held)
 
 
+def _summed(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task with ``n`` summed by ``keys``; what is held is bounded."""
+    held, rows = [], 0
+
+    def total() -> pa.Table:
+        table = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return table.rename_columns([*keys, "n"])
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows > HELD_AT_ONCE:
+            held = total().to_batches()
+            rows = sum(x.num_rows for x in held)
+            if rows > HELD_AT_ONCE // 2:
+                yield from held
+                held, rows = [], 0
+    if held:
+        yield from total().to_batches(max_chunksize=100_000)
+
+
 def _bit(hash_: np.ndarray, bits: int) -> pa.Array:
     return pa.array((hash_ % np.uint64(bits)).astype(np.int64))
 
@@ -200,7 +223,7 @@ def _bit(hash_: np.ndarray, bits: int) -> pa.Array:
 def _words(bits: int) -> Callable:
     """(lang, bit, phrase, n) of single words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
             at = np.flatnonzero(block.own & block.real)
             _, first, n, _ = counted(block.lang[at] * np.int64(len(block.distinct)) + block.word[at], block.times[at])
@@ -215,7 +238,7 @@ def _words(bits: int) -> Callable:
                 names=["lang", "bit", "phrase", "n"],
             )
 
-    return run
+    return lambda batches: _summed(counts(batches), ["lang", "bit", "phrase"])
 
 
 def _pair_hashes(block: Block, words) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +252,7 @@ def _pair_hashes(block: Block, words) -> tuple[np.ndarray, np.ndarray]:
 def _pairs(words) -> Callable:
     """(hash, n) of two neighbouring frequent words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_ = received(words)
         for block in _blocks(batches):
             at, pair = _pair_hashes(block, words_)
@@ -237,13 +260,13 @@ def _pairs(words) -> Callable:
             keys, _, n, _ = counted(pair[own], block.times[at[own]])
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
-    return run
+    return lambda batches: _summed(counts(batches), ["hash"])
 
 
 def _phrases(words, pairs, longest: int) -> Callable:
     """(lang, words, phrase, n) of phrases whose neighbouring words are frequent together."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_, pairs_ = received(words), received(pairs)
         for block in _blocks(batches):
             n = len(block.word)
@@ -271,7 +294,7 @@ def _phrases(words, pairs, longest: int) -> Callable:
                     names=["lang", "words", "phrase", "n"],
                 )
 
-    return run
+    return lambda batches: _summed(counts(batches), ["lang", "words", "phrase"])
 
 
 def bitset(bits: DataFrame, size: int) -> np.ndarray:
@@ -300,6 +323,8 @@ def frequencies(
         .agg(F.count(F.lit(1)).alias("times")),
         "chunks",
     ).select("lang", "own", "times", "chunk")
+    # the fewer tasks there are, the more counts meet before they are exchanged
+    chunks = chunks.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
     words = saved(
         chunks.mapInArrow(_words(bits), "lang string, bit long, phrase string, n long")
         .groupBy("lang", "bit", "phrase")
