@@ -78,6 +78,20 @@ class ByteLevelBpe:
         return np.asarray(self.ids(text), np.uint32)
 
 
+def gathered(
+    flat: np.ndarray, begin: np.ndarray, length: np.ndarray, parts: pa.Array, offsets: pa.Array
+) -> list[np.ndarray]:
+    """The ids of each text: those of its parts, one after the other."""
+    part = parts.to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = length[part]
+    ends = np.cumsum(lengths)
+    place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[part] - (ends - lengths), lengths)
+    ids = flat[place]
+    first = offsets.to_numpy()
+    cuts = np.concatenate([[0], ends])[first - first[0]]
+    return [ids[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 class WordBpe:
     """Ids of texts by a lower-case vocabulary that drops white space and marks word ends.
 
@@ -113,14 +127,7 @@ class WordBpe:
         # the ids of one word after the other, each followed by that of the line's end
         stop = np.flatnonzero(ids == self.newline)
         begin = np.concatenate([[0], stop + 1])[: len(stop)]
-        word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        lengths = (stop - begin)[word]
-        ends = np.cumsum(lengths)
-        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[word] - (ends - lengths), lengths)
-        flat = ids[place]
-        offsets = split.offsets.to_numpy()
-        cuts = np.concatenate([[0], ends])[offsets - offsets[0]]
-        out = [flat[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+        out = gathered(ids, begin, stop - begin, coded.indices, split.offsets)
         for i in np.flatnonzero(~known.to_numpy(zero_copy_only=False)):
             whole = self.library.encode(texts[i].as_py(), add_special_tokens=False).ids
             out[i] = np.asarray(whole, np.uint32)

@@ -42,8 +42,11 @@ def test_bytes_give_what_the_library_gives():
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True
     encode = ByteLevelBpe(read_vocabulary(path), tokenizers.PATTERN)
-    for text in odd_texts():
-        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    rng = random.Random(8)
+    parts = ["12", " 7", "a", " b", "\n", "  ", ".", ",", "'s", "²", "é", " ", "\t", "!?", "...", "0"]
+    texts = odd_texts() + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    for text in texts:
+        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
 def test_parts_of_a_long_text(library):

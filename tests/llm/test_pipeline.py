@@ -21,7 +21,7 @@ def test_stages_one_after_the_other(spark, sf_dir, folder):
     toxic = {r["doc_id"] for r in toxicity.scores(start, chain, toxicity.CATEGORIES).where("toxic").collect()}
     assert toxic and sorted(given["line_dedup"]) == sorted(r for r in given["toxicity"] if r[0] not in toxic)
 
-    cut = test_line_chunks.brute(texts["line_dedup"])
+    cut = test_line_chunks.brute(texts["line_dedup"], spare=corpus_pipeline.COPY)
     assert dict(texts["ngram_jaccard"]) == {d: t for (d, _), t in zip(texts["line_dedup"], cut, strict=True)}
 
     groups = test_ngram_join.brute(texts["ngram_jaccard"])
