@@ -15,8 +15,8 @@
   occurrence, by doc_id and then place, stays; the units of all others are removed.
 
 The first text with a unit keeps it: whatever is removed is still there earlier. Two short
-sentences of one line are no passage: a chunk that is all in one line has ``LEAST``
-characters or more. A chunk that a third of all texts hold costs one row a task in the
+sentences of one line are no passage: a chunk whose first unit does not end its line has
+``LEAST`` characters or more in its first and last unit. A chunk that a third of all texts hold costs one row a task in the
 counts and in the search for the first one; its occurrences are joined, and adaptive
 execution splits that.
 
@@ -79,7 +79,7 @@ def _bare(unit: Column) -> Column:
 
 
 def chunks_of(docs: DataFrame, mean: int) -> DataFrame:
-    """(row, doc_id, from, to, hash) of every chunk: its first and last unit and its hash."""
+    """(row, from, to, hash) of every chunk: its first and last unit and its hash."""
 
     def of_units(units: Column) -> Column:
         hashes = F.transform(units, lambda u: F.xxhash64(_bare(u)))
@@ -88,28 +88,31 @@ def chunks_of(docs: DataFrame, mean: int) -> DataFrame:
     def of_hashes(units: Column, hashes: Column) -> Column:
         last = F.size(units) - 1
         rolling = lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1))
-        begins = F.filter(F.sequence(F.lit(0), last), lambda i: (i < last) & (F.pmod(rolling(i), F.lit(mean)) == 0))
+        begins = F.sequence(F.lit(0), last - 1)
+        if mean > 1:
+            begins = F.filter(begins, lambda i: F.pmod(rolling(i), F.lit(mean)) == 0)
+        begins = F.when(last > 0, begins).otherwise(F.array().cast("array<int>"))
         return let(begins, lambda b: of_begins(units, hashes, last, b))
 
     def of_begins(units: Column, hashes: Column, last: Column, begins: Column) -> Column:
+        def end(begin: Column, k: Column) -> Column:
+            return begin + 1 if mean == 1 else F.coalesce(F.get(begins, k + 1), last)
+
         def chunk(begin: Column, k: Column) -> Column:
-            end = F.coalesce(F.get(begins, k + 1), last)
-            size = end - begin + 1
-            lines = F.exists(F.slice(units, begin + 1, size - 1), lambda u: u.endswith("\n"))
-            length = F.aggregate(
-                F.slice(units, begin + 1, size), F.lit(0), lambda n, u: n + F.length(_bare(u))
-            )
-            return F.struct(
-                begin.alias("from"),
-                end.alias("to"),
-                F.xxhash64(F.slice(hashes, begin + 1, size)).alias("hash"),
-                ((F.length(_bare(F.get(units, begin))) > 0) & (lines | (length >= LEAST))).alias("counts"),
-            )
+            to = end(begin, k)
+            if mean == 1:
+                hash_ = F.xxhash64(F.get(hashes, begin), F.get(hashes, to))
+            else:
+                hash_ = F.xxhash64(F.slice(hashes, begin + 1, to - begin + 1))
+            first = F.get(units, begin)
+            long = F.length(first) + F.length(F.get(units, to)) >= LEAST
+            counts = (F.get(hashes, begin) != F.xxhash64(F.lit(""))) & (first.endswith("\n") | long)
+            return F.struct(begin.alias("from"), to.alias("to"), hash_.alias("hash"), counts.alias("counts"))
 
         return F.filter(F.transform(begins, chunk), lambda c: c["counts"])
 
-    return docs.select("row", "doc_id", F.explode(let(units_of(F.col("text")), of_units)).alias("c")).select(
-        "row", "doc_id", "c.from", "c.to", "c.hash"
+    return docs.select("row", F.explode(let(units_of(F.col("text")), of_units)).alias("c")).select(
+        "row", "c.from", "c.to", "c.hash"
     )
 
 

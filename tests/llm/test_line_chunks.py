@@ -55,8 +55,8 @@ def chunks(text, mean=line_chunks.MEAN):
     out = []
     for begin, end in zip(begins, [*begins[1:], len(parts) - 1][: len(begins)], strict=True):
         some = bare[begin : end + 1]
-        lines = any(u.endswith("\n") for u in parts[begin:end])
-        if some[0] and (lines or sum(map(len, some)) >= line_chunks.LEAST):
+        long = len(parts[begin]) + len(parts[end]) >= line_chunks.LEAST
+        if some[0] and (parts[begin].endswith("\n") or long):
             out.append((begin, end, "\n".join(some)))
     return out
 
