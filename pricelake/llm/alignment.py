@@ -239,7 +239,7 @@ class Encoders:
     """Both tokenizers, with the bytes of their tokens."""
 
     def __init__(self, vocabulary: str, pattern: str, model: bytes) -> None:
-        self.encode_a = ByteLevelBpe(vocabulary, pattern)
+        self.encode_a = ByteLevelBpe(vocabulary, pattern, plain=True)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = max(self.encode_a.tokens.values()) + 1
         self.bytes_a = [b""] * size

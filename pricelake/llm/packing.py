@@ -3,301 +3,376 @@
 Each document becomes its token ids and an end id. Ids fill windows of 1,024 tokens:
 
 * A document's full windows are sequences of their own; what is left, less than a
-  window, is its tail.
-* Tails are dealt by content into shards of a bounded number of documents. ``ROUNDS``
-  times each tail draws one of its ids, the rarer the likelier and alike for all tails
-  (a weighted minimum hash), so tails that share much draw the same id. Each tail is
-  linked to the one that shares most of its rarest ids, among the tails that drew an id
-  with it, if that is at least ``STRONG`` of them. Tails that links join go to one shard,
-  and so do tails of the same first id; groups over a shard's size are split by hash.
-* A shard is an inverted index over the token ids of its tails, weighted by BM25 with
-  document frequencies and lengths counted over all tails of the corpus.
-* The longest unused tail is a seed. Its rarest terms retrieve unused neighbours, best
-  first, which greedily fill its window; the last one is cut at the window's end and
-  what is left of it stays in the index. Where retrieval finds too few, unused tails
-  follow by length.
+  window, is its tail. The terms of a document are its different ids, those of its full
+  windows too, with their frequencies.
+* Documents are dealt by content into shards of at most ``SHARD_DOCS`` documents.
+  ``ROUNDS`` times each document draws one of its terms, the rarer the likelier and alike
+  for all (a weighted minimum hash), so documents that share much draw the same term.
+  Those that drew a term in the same round form a bucket; the bucket of a term that very
+  many drew is parted by what its documents drew in the next rounds. A document goes where
+  the other one is that shares most of its ``SKETCH`` rarest terms, of all it met.
+* A shard is an inverted index over the terms of its documents, weighted by BM25 with
+  document frequencies and lengths counted over the corpus.
+* The document with the longest tail that is not used up is a seed. All its terms retrieve unused
+  neighbours, best first (equal scores by place), which greedily fill its window; the last
+  one is cut at the window's end and what is left of it stays in the index. Where retrieval
+  finds too few, unused tails follow by length (equal lengths by place).
 * What remains of a shard after its last full window is cut into sequences whose
   lengths are powers of two, so no sequence needs padding.
 
-A task holds one shard. Only the document frequencies and the drawing order, a few
-numbers for each id of the vocabulary, are broadcast. Whether two tails that share little
-meet is left to chance; those of one shard are found.
+A task holds one shard, or one bucket of documents that drew the same term. Only numbers
+for each id of the vocabulary are broadcast. Whether two documents that share little meet
+is left to chance; those of one shard are found.
 
-Ids are those of the vocabulary's own library. A byte-level BPE over the same ranks
-gives the same ids several times faster, so it encodes texts of Latin characters and
-common punctuation; any other text, or one that holds a special token, goes to the
-library itself.
+Ids are those of the vocabulary's own library, see ``pretokens``.
 
 Defined results: NULL text is empty and packs its end id only. Every row is packed,
-also repeated ones and those without doc_id; other columns are ignored.
+also repeated ones and those without doc_id. Texts of any length are encoded whole, and all
+their terms are indexed. Other columns are ignored, whatever their names. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from pricelake.llm.byte_bpe import portions
-from pricelake.llm.common import components, saved, text_of
+from pricelake.llm.common import partitions, saved, text_of
+from pricelake.llm.pretokens import ByteLevelBpe, read_vocabulary
 
 WINDOW = 1024
 END_ID = 0
-SHARD_DOCS = 2048
-QUERY_TERMS = 24
-ROUNDS = 6  # draws of an id by which tails meet
-SKETCH = 24  # rarest shared ids that tails are linked by
-STRONG = 0.125  # of their weight that linked tails share
+SHARD_DOCS = 512
+ROUNDS = 6  # draws of a term by which documents meet
+SKETCH = 32  # rarest terms by which a document chooses among those it met
+BUCKET = 256  # documents of a bucket that are compared with each other
 K1, B = 1.2, 0.75
+DENSE = 8  # terms that one in so many documents of a shard holds are kept as whole rows
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long"
 )
-_FAST = re.compile(r"[\x00-\x7f¡-ɏ‐-‧€]*")
+_TOKENS = "doc_id long, doc_tokens long, sums array<long>, tail binary, terms binary, times binary"
 
 
-def read_vocabulary(path: str) -> str:
-    with open(path, encoding="utf-8") as file:
-        return file.read()
+def id_kind(size: int) -> type:
+    """What ids of a vocabulary are kept as."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """The printable character that byte-level vocabularies write for each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of a document, whose end id is none, and how often each occurs."""
+    return np.unique(ids[:-1], return_counts=True)
 
 
-class Encoder:
-    """Ids of whole texts as the library gives them without special tokens added."""
+def kept_times(times: np.ndarray) -> bytes:
+    return times.astype(np.uint16 if times.max(initial=0) < 1 << 16 else np.uint32).tobytes()
 
-    def __init__(self, vocabulary: str, pattern: str) -> None:
-        self.library = Tokenizer.from_str(vocabulary)
-        spec = json.loads(vocabulary)
-        special = {t["content"] for t in spec["added_tokens"]}
-        self.special = tuple(special)
-        alphabet = _byte_alphabet()
-        ranks = {
-            bytes(alphabet[c] for c in token): rank
-            for token, rank in spec["model"]["vocab"].items()
-            if token not in special
-        }
-        self.fast = tiktoken.Encoding(
-            "vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
-        )
 
-    def __call__(self, text: str) -> np.ndarray:
-        if _FAST.fullmatch(text) and not any(s in text for s in self.special):
-            ids = self.fast.encode_ordinary(text)
-        else:
-            ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.asarray([*ids, END_ID], np.uint32)
+def read_times(raw: bytes, terms: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * terms else np.uint32)
 
 
 def _tokenize(vocabulary, pattern: str, window: int) -> Callable:
-    """Each document's length, the checksums of its full windows, and its tail's ids."""
+    """Each document's length, the checksums of its full windows, its tail's ids, its terms.
+
+    A document without full windows has its terms in its tail, so only their ids are kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(vocabulary.value, pattern)
+        encode = ByteLevelBpe(vocabulary.value, pattern)
+        kind = id_kind(encode.size)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
             for part in portions(texts):
-                ids = [encode(text) for text in texts[part]]
+                ids = [np.array([*encode.ids(text), END_ID], "<u4") for text in texts[part]]
                 full = [len(x) // window * window for x in ids]
                 sums = [
                     [zlib.crc32(x[a : a + window]) for a in range(0, n, window)]
                     for x, n in zip(ids, full, strict=True)
                 ]
-                tails = [x[n:].tobytes() for x, n in zip(ids, full, strict=True)]
+                terms = [counted(x) for x in ids]
+                times = [kept_times(t) if n else b"" for (_, t), n in zip(terms, full, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         doc_ids.slice(part.start, part.stop - part.start),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array(sums, pa.list_(pa.int64())),
-                        pa.array(tails, pa.binary()),
+                        pa.array([x[n:].astype(kind).tobytes() for x, n in zip(ids, full, strict=True)], pa.binary()),
+                        pa.array([t.astype(kind).tobytes() for t, _ in terms], pa.binary()),
+                        pa.array(times, pa.binary()),
                     ],
-                    names=["doc_id", "doc_tokens", "sums", "tail"],
+                    names=[x.split()[0] for x in _TOKENS.split(", ")],
                 )
 
     return run
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many tails of this task each id occurs."""
-    counts = np.zeros(0, np.int64)
-    for batch in batches:
-        for tail in batch.column(0).to_pylist():
-            terms = np.unique(np.frombuffer(tail, np.uint32))
-            if len(terms):
-                if terms[-1] >= len(counts):
-                    counts = np.pad(counts, (0, int(terms[-1]) + 1 - len(counts)))
-                counts[terms] += 1
-    terms = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(terms, pa.int64()), pa.array(counts[terms], pa.int64())], names=["term", "tails"]
-    )
+def _frequencies(kind: type) -> Callable:
+    """In how many documents of this task each term occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(0, np.int64)
+        for batch in batches:
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+            if len(found) > len(counts):
+                counts = np.pad(counts, (0, len(found) - len(counts)))
+            counts[: len(found)] += found
+        terms = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(terms, pa.int64()), pa.array(counts[terms], pa.int64())], names=["term", "docs"]
+        )
+
+    return run
+
+
+def _ids(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint32)
 
 
 def _draws(idf: np.ndarray, df: np.ndarray) -> np.ndarray:
-    """For each round and id a number, least for the id that is drawn; infinite if one tail holds it."""
+    """For each round and term a number, least for the one that is drawn; infinite if one document holds it."""
     u = np.random.default_rng(0).random((ROUNDS, len(idf)))
-    return np.where(df >= 2, -np.log(u) / np.maximum(idf, 1e-9) ** 2, np.inf)
+    return np.where(df >= 2, -np.log(u) / np.maximum(idf, 1e-9) ** 2, np.inf).astype(np.float32)
+
 
+_ROUTES = "place long, drawn binary, sketch binary"
 
-def _routes(idf, draws) -> Callable:
-    """Of each tail the ids it draws, and its rarest ids among those that others hold."""
+
+def _routes(idf, draws, kind: type) -> Callable:
+    """Of each document the terms it draws, and its rarest terms among those that others hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keys, sketches = [], [], []
-            for row, tail in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                terms = np.unique(np.frombuffer(tail, np.uint32))
+            out = []
+            for place, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                terms = np.frombuffer(raw, kind).astype(np.uint32)
                 order = draws.value[:, terms]
-                terms, order = terms[np.isfinite(order[0])], order[:, np.isfinite(order[0])]
-                if not len(terms):
-                    continue
-                rows.append(row)
-                keys.append(terms[order.argmin(axis=1)].astype(np.int64))
-                sketches.append(terms[np.argsort(-idf.value[terms], kind="stable")[:SKETCH]].tobytes())
+                shared = np.isfinite(order[0])
+                terms, order = terms[shared], order[:, shared]
+                if len(terms):
+                    rare = np.sort(np.argsort(-idf.value[terms], kind="stable")[:SKETCH])
+                    out.append((place, terms[order.argmin(axis=1)].tobytes(), terms[rare].tobytes()))
+            columns = zip(*out, strict=True) if out else [[], [], []]
+            kinds = (pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(sketches, pa.binary()),
-                ],
-                names=["place", "keys", "sketch"],
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
+                names=["place", "drawn", "sketch"],
             )
 
     return run
 
 
-def _links(idf) -> Callable:
-    """Each tail of one bucket with the tail of the same drawn id that shares most of its sketch."""
-
-    def run(bucket: pd.DataFrame) -> pd.DataFrame:
-        bucket = bucket.sort_values("place")  # of equal ones the first is the best
-        place = bucket.place.to_numpy()
-        found: list[pd.DataFrame] = []
-        for rows in bucket.groupby("key").indices.values():
-            if len(rows) < 2:
+def _drawn_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(round * 2**32 + term, n): how many documents of this task drew a term in a round."""
+    keys = [np.zeros(0, np.int64)]
+    for batch in batches:
+        drawn = [_ids(x) for x in batch.column(0).to_pylist()]
+        if drawn:
+            every = np.concatenate(drawn).astype(np.int64).reshape(-1, ROUNDS)
+            keys.append((every + (np.arange(ROUNDS) << 32)).ravel())
+    key, n = np.unique(np.concatenate(keys), return_counts=True)
+    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
+
+
+def _mixed(*parts: np.ndarray) -> np.ndarray:
+    x = np.full(len(parts[0]), 7, np.uint64)
+    for part in parts:
+        x = (x ^ part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+    return x
+
+
+def _buckets(often) -> Callable:
+    """(bucket, place, sketch) of each document for each round.
+
+    A term that more than a bucket's documents drew is parted by the next round's draw, one
+    that very many drew by two more, and so that the documents of one bucket fit a task
+    whatever they drew, by place.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = often.value
+        for batch in batches:
+            place = batch.column(0).to_numpy()
+            if not len(place):
                 continue
-            sketches = [np.frombuffer(x, np.uint32) for x in bucket.sketch.iloc[rows]]
-            terms, column = np.unique(np.concatenate(sketches), return_inverse=True)
-            member = np.zeros((len(rows), len(terms)), np.float32)
-            member[np.repeat(np.arange(len(rows)), [len(x) for x in sketches]), column] = np.sqrt(idf.value[terms])[column]
-            total = np.sqrt((member * member).sum(axis=1))
-            for at in range(0, len(rows), 512):
-                share = member[at : at + 512] @ member.T / (total[at : at + 512, None] * total + 1e-30)
-                own = np.arange(len(share))
-                share[own, at + own] = 0
-                best = share.argmax(axis=1)
-                near = share[own, best] >= STRONG
-                u, v = place[rows[at + own[near]]], place[rows[best[near]]]
-                found.append(pd.DataFrame({"u": u, "v": v, "share": share[own, best][near]}))
-        return pd.concat(found) if found else pd.DataFrame({"u": [], "v": [], "share": []})
+            drawn = np.stack([_ids(x) for x in batch.column(1).to_pylist()]).astype(np.int64)
+            for k in range(ROUNDS):
+                key = drawn[:, k] + (k << 32)
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                n = np.where(keys[at] == key, counts[at], 0) if len(keys) else np.zeros(len(key), np.int64)
+                parts = [np.full(len(key), k), drawn[:, k]]
+                for more, least in ((1, BUCKET), (2, 16 * BUCKET)):
+                    parts.append(np.where(n > least, drawn[:, (k + more) % ROUNDS] + 1, 0))
+                room = np.maximum(1, n // (64 * BUCKET))
+                parts.append((_mixed(place) % room.astype(np.uint64)).astype(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_mixed(*parts).view(np.int64)), batch.column(0), batch.column(2)],
+                    names=["bucket", "place", "sketch"],
+                )
 
     return run
 
 
-def _dealt(tokens: DataFrame, idf, draws, docs: int, shard_docs: int) -> DataFrame:
-    """``tokens`` with the shard of each tail: linked tails, and tails of one drawn id, meet."""
-    shards = max(1, -(-docs // shard_docs))
-    if shards == 1:
-        return tokens.withColumn("shard", F.lit(0).cast("long"))
-    routes = saved(
-        tokens.select("place", "tail").mapInArrow(
-            _routes(idf, draws), "place long, keys array<long>, sketch binary"
-        ),
-        "routes",
+def _shares(sketches: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """How much of their terms' weight each two of the documents share, at most 1."""
+    n = len(sketches)
+    owner = np.repeat(np.arange(n), [len(x) for x in sketches])
+    terms = np.concatenate(sketches)
+    order = np.argsort(terms, kind="stable")
+    terms, owner = terms[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+    size = np.diff(np.append(first, len(terms)))
+    # of each term's documents each one with all
+    left = np.repeat(owner, np.repeat(size, size))
+    begin, width = np.repeat(first, size), np.repeat(size, size)
+    last = np.cumsum(width)
+    right = owner[np.arange(last[-1]) + np.repeat(begin - (last - width), width)]
+    weight = np.repeat(np.repeat(idf[terms[first]], size), width)
+    shared = np.bincount(left * n + right, weight, n * n).reshape(n, n)
+    total = np.sqrt(np.diag(shared))
+    return shared / np.maximum(total[:, None] * total, 1e-30)
+
+
+def _links(idf) -> Callable:
+    """Each document of a bucket with the share of the one of that bucket that it shares most with."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        # of a bucket that is larger those compared are neighbours by their rarest terms
+        rows = rows.sort_values(["bucket", "sketch", "place"])
+        place, sketch, bucket = (rows[c].to_numpy() for c in ("place", "sketch", "bucket"))
+        edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        share = np.zeros(len(rows))
+        part = np.zeros(len(rows), np.int64)
+        for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(rows)], strict=True):
+            for at in range(a, z, BUCKET):
+                end = min(at + BUCKET, z)
+                if end - at > 1:
+                    own = _shares([_ids(x) for x in sketch[at:end]], idf.value)
+                    np.fill_diagonal(own, 0)
+                    share[at:end] = own.max(axis=1)
+                    part[at:end] = at - a
+        near = share > 0
+        home = _mixed(bucket[near].view(np.uint64), part[near]).view(np.int64)
+        return pd.DataFrame({"place": place[near], "share": share[near], "home": home})
+
+    return run
+
+
+def _shards(tokens: DataFrame, idf, draws, docs: int, shard_docs: int, kind: type) -> DataFrame:
+    """(place, shard): documents go where they share most, and shards are filled by size."""
+    spark = tokens.sparkSession
+    routes = saved(tokens.select("place", "terms").mapInArrow(_routes(idf, draws, kind), _ROUTES), "routes")
+    # a row for each term and round, of which the vocabulary bounds the number
+    drawn = (
+        routes.select("drawn")
+        .mapInArrow(_drawn_by, "key long, n long")
+        .groupBy("key")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") > BUCKET)
+        .orderBy("key")
+        .toPandas()
     )
-    drawn = routes.select("place", "sketch", F.posexplode("keys").alias("round", "key"))
-    # ids drawn by more tails than a shard holds are cut into parts
-    many = drawn.groupBy("round", "key").agg(F.count("*").alias("n"))
-    parts = many.select("round", "key", F.ceil(F.col("n") / shard_docs).cast("long").alias("parts"))
-    part = F.pmod(F.xxhash64("place"), F.col("parts"))
-    bucket = F.pmod(F.xxhash64("round", "key", part), F.lit(ROUNDS * shards))
+    often = spark.sparkContext.broadcast((drawn.key.to_numpy(np.int64), drawn.n.to_numpy(np.int64)))
+    tasks = partitions(spark, docs * ROUNDS, 64 * BUCKET)
     links = (
-        drawn.join(parts, ["round", "key"])
-        .withColumn("bucket", bucket)
-        .groupBy("bucket")
-        .applyInPandas(_by_round(_links(idf)), "u long, v long, share float")
+        routes.mapInArrow(_buckets(often), "bucket long, place long, sketch binary")
+        .withColumn("task", F.pmod("bucket", F.lit(tasks)))
+        .repartition(tasks, "task")
+        .groupBy("task")
+        .applyInPandas(_links(idf), "place long, share double, home long")
     )
-    # a link for each tail: with all of them chains would join most of the corpus
-    best = links.groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v"))
-    roots = components(best, "u", "v").withColumnsRenamed({"node": "place"})
-    first = routes.select("place", F.col("keys")[0].alias("key"))
-    grouped = saved(
-        first.join(roots, "place", "left").withColumn("root", F.coalesce("root", "place")), "grouped"
+    # equal shares meet in the same buckets: both documents choose the same of them
+    best = links.groupBy("place").agg(F.max(F.struct("share", "home"))["home"].alias("home"))
+    homes = tokens.select("place").join(best, "place", "left")
+    return _filled(saved(homes, "homes"), docs, shard_docs)
+
+
+def _filled(homes: DataFrame, docs: int, shard_docs: int) -> DataFrame:
+    """(place, shard) of (place, home), a home being NULL where nothing was met.
+
+    Homes are filled into shards of at most ``shard_docs`` documents one after the other. A
+    home of more than a quarter of a shard gets shards of its own, in parts.
+    """
+    large = max(1, shard_docs // 4)
+    homes = homes.withColumn("home", F.coalesce("home", F.xxhash64("place")))
+    sizes = homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"))
+    lots = -(-docs // (32 * shard_docs))
+    before = Window.partitionBy("lot").orderBy("home").rowsBetween(Window.unboundedPreceding, -1)
+    small = (
+        sizes.where(F.col("size") <= large)
+        .withColumn("lot", F.pmod(F.xxhash64("home"), F.lit(lots)))
+        .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+        # what begins in a shard ends in it
+        .withColumn("shard", F.xxhash64("lot", F.floor(F.col("before") / (shard_docs - large + 1))))
+        .select("home", "shard", F.lit(1).cast("long").alias("parts"))
     )
-    # a group goes where its root's first id goes
-    own = grouped.where("root = place").select("root", F.col("key").alias("home"))
-    sizes = grouped.groupBy("root").agg(F.count("*").alias("size")).join(own, "root")
-    homes = sizes.groupBy("home").agg(F.sum("size").alias("n"))
-    cut = lambda n: F.ceil(F.col(n) * 2 / shard_docs).cast("long")
-    of_group = sizes.join(homes, "home").select(
-        "root",
-        F.xxhash64("home", F.pmod(F.xxhash64("root"), cut("n"))).alias("to"),
-        F.ceil(F.col("size") / shard_docs).cast("long").alias("pieces"),
+    big = sizes.where(F.col("size") > large).select(
+        "home",
+        F.xxhash64(F.lit("own"), "home").alias("shard"),
+        F.ceil(F.col("size") / (0.75 * shard_docs)).cast("long").alias("parts"),
     )
-    to = grouped.join(of_group, "root").select(
+    part = F.pmod(F.xxhash64("place"), F.col("parts"))
+    return homes.join(small.union(big), "home").select(
         "place",
-        F.when(F.col("pieces") == 1, F.col("to"))
-        .otherwise(F.xxhash64("to", "root", F.pmod(F.xxhash64("place"), F.col("pieces"))))
-        .alias("to"),
-    )
-    return (
-        tokens.join(to, "place", "left")
-        .withColumn("shard", F.pmod(F.coalesce("to", F.xxhash64("place")), F.lit(shards)))
-        .drop("to")
+        F.when(F.col("parts") == 1, F.col("shard")).otherwise(F.xxhash64("shard", part)).alias("shard"),
     )
 
 
-def _by_round(links: Callable) -> Callable:
-    def run(bucket: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([links(x) for _, x in bucket.groupby("round")])
-
-    return run
-
-
 class Index:
-    """BM25 inverted index over the tails of one shard."""
-
-    def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
-        sizes = np.array([len(t) for t in tails])
-        owner = np.repeat(np.arange(len(tails)), sizes)
-        flat = np.concatenate(tails).astype(np.int64) if len(owner) else np.zeros(0, np.int64)
-        both, tf = np.unique(flat * len(tails) + owner, return_counts=True)
-        term, doc = both // max(1, len(tails)), both % max(1, len(tails))
-        norm = tf + K1 * (1 - B + B * sizes[doc] / mean)
-        self.weight = idf[term] * tf * (K1 + 1) / norm
-        self.doc = doc
-        terms, first = np.unique(term, return_index=True)
-        self.span = dict(zip(terms.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(doc)][: len(first)], strict=True), strict=True))
-        # of each tail its terms, rarest first
-        order = np.lexsort((term, -idf[term], doc))
-        cuts = np.searchsorted(doc[order], np.arange(len(tails) + 1))
-        self.terms = [term[order[a : min(b, a + QUERY_TERMS)]].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        self.n = len(tails)
+    """BM25 inverted index over the terms of the documents of one shard."""
+
+    def __init__(
+        self, terms: list[np.ndarray], times: list[np.ndarray], idf: np.ndarray, mean: float
+    ) -> None:
+        self.n = n = len(terms)
+        owner = np.repeat(np.arange(n), [len(t) for t in terms])
+        flat = np.concatenate(terms).astype(np.int64)
+        tf = np.concatenate(times).astype(np.float64)
+        lengths = np.array([int(t.sum()) for t in times], np.float64)
+        order = np.argsort(flat, kind="stable")
+        term, self.doc = flat[order], owner[order]
+        tf, norm = tf[order], K1 * (1 - B + B * lengths / mean)
+        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
+        self.ids, self.first, size = np.unique(term, return_index=True, return_counts=True)
+        # a term of one document retrieves nothing but itself
+        self.size = np.where(size > 1, size, 0)
+        # common terms as whole rows, which are added up faster
+        dense = np.flatnonzero(size * DENSE > n)
+        self.row = np.full(len(self.ids), -1)
+        self.row[dense] = np.arange(len(dense))
+        self.rows = np.zeros((len(dense), n))
+        posting = self.row[np.repeat(np.arange(len(self.ids)), size)]
+        common = posting >= 0
+        self.rows[posting[common], self.doc[common]] = self.weight[common]
+        self.size[dense] = 0
+        cuts = np.cumsum([len(t) for t in terms])
+        place = np.searchsorted(self.ids, flat)
+        self.terms = np.split(place, cuts[:-1])
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document for all terms of the seed that two documents hold."""
+        terms = self.terms[seed]
+        size = self.size[terms]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[terms] - (ends - size), size)
+        sparse = np.bincount(self.doc[at], self.weight[at], self.n)
+        row = self.row[terms]
+        return sparse + self.rows[row[row >= 0]].sum(axis=0)
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Tails that share a query term with the seed, best first, ties by place."""
-        spans = [self.span[t] for t in self.terms[seed]]
-        if not spans:
-            return np.zeros(0, np.int64)
-        docs = np.concatenate([self.doc[a:b] for a, b in spans])
-        weights = np.concatenate([self.weight[a:b] for a, b in spans])
-        score = np.bincount(docs, weights, self.n)
-        found = np.flatnonzero(score)
+        """The documents that share a term with the seed, best first, ties by place; the seed too."""
+        score = self.scores(seed)
+        found = np.flatnonzero(score > 0)
         return found[np.argsort(-score[found], kind="stable")]
 
 
@@ -320,7 +395,10 @@ def pack_tails(sizes: np.ndarray, index: Index, window: int) -> Iterator[list[tu
         sequence, room = [], window
         rest = used < sizes
         found = index.neighbours(seed)
-        turn = iter((seed, *found[rest[found]].tolist()))
+        found = found[rest[found] & (found != seed)]
+        # of the best ones as many as fill the window
+        enough = np.searchsorted(np.cumsum((sizes - used)[found]), window - sizes[seed] + used[seed]) + 1
+        turn = iter((seed, *found[:enough].tolist()))
         follow = at
         while room:
             doc = next(turn, None)
@@ -352,39 +430,72 @@ def pack_tails(sizes: np.ndarray, index: Index, window: int) -> Iterator[list[tu
         yield part
 
 
-def _pack_shard(idf, mean: float, window: int) -> Callable:
+def _pack_shard(idf, mean: float, window: int, kind: type) -> Callable:
     def run(shard: pa.Table) -> pa.Table:
-        doc_ids = shard.column("doc_id").to_pylist()
-        tokens = shard.column("doc_tokens").to_pylist()
-        sums = shard.column("sums").to_pylist()
-        tails = [np.frombuffer(t, np.uint32) for t in shard.column("tail").to_pylist()]
-        base = shard.column("shard")[0].as_py() << 32
-        out: list[list] = [[] for _ in range(7)]
-
-        def piece(*values) -> None:
-            for column, value in zip(out, values, strict=True):
-                column.append(value)
-
-        sequence = base
-        for doc_id, n, windows in zip(doc_ids, tokens, sums, strict=True):
-            for k, crc in enumerate(windows):
-                piece(doc_id, k * window, window, crc, n, sequence, 0)
-                sequence += 1
+        shard = shard.sort_by("place")
+        doc_ids, tokens, places = (
+            shard.column(c).to_pylist() for c in ("doc_id", "doc_tokens", "place")
+        )
+        tails = [np.frombuffer(x, kind).astype("<u4") for x in shard.column("tail").to_pylist()]
+        terms, times = [], []
+        for tail, n, raw, often in zip(
+            tails, tokens, shard.column("terms").to_pylist(), shard.column("times").to_pylist(), strict=True
+        ):
+            if n < window:
+                own, count = counted(tail)
+            else:
+                own = np.frombuffer(raw, kind)
+                count = read_times(often, len(own))
+            terms.append(own)
+            times.append(count)
         sizes = np.array([len(t) for t in tails])
-        for parts in pack_tails(sizes, Index(tails, idf.value, mean), window):
-            offset = 0
+        index = Index(terms, times, idf.value, mean)
+        out: list[list] = [[] for _ in range(7)]
+        for parts in pack_tails(sizes, index, window):
+            # a sequence is told apart by what it begins with
+            doc, start, _ = parts[0]
+            sequence, offset = sequence_of(places[doc], start, window), 0
             for doc, start, length in parts:
-                crc = zlib.crc32(np.ascontiguousarray(tails[doc][start : start + length]))
+                crc = zlib.crc32(tails[doc][start : start + length])
                 before = tokens[doc] - len(tails[doc]) + start
-                piece(doc_ids[doc], before, length, crc, tokens[doc], sequence, offset)
+                values = doc_ids[doc], before, length, crc, tokens[doc], sequence, offset
+                for column, value in zip(out, values, strict=True):
+                    column.append(value)
                 offset += length
-            sequence += 1
         names = [x.split()[0] for x in PIECES.split(", ")]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, out, strict=True)})
 
     return run
 
 
+ROWS_BITS, PLACE_BITS = 33, 22  # bits of a row's number in its partition: Spark's, and what is enough
+
+
+def sequence_of(place: int, start: int, window: int) -> int:
+    """A number of its own for the sequence that begins at ``start`` of the tail at ``place``."""
+    partition, row = place >> ROWS_BITS, place & ((1 << ROWS_BITS) - 1)
+    if row >> PLACE_BITS:
+        raise ValueError(f"more than {1 << PLACE_BITS} documents in a partition")
+    return ((partition << PLACE_BITS) + row) * window + start
+
+
+def _full_windows(tokens: DataFrame, window: int) -> DataFrame:
+    """Pieces of the full windows: sequences of their own, numbered downwards from -1."""
+    rows = F.lit(1 << ROWS_BITS)
+    compact = F.floor(F.col("place") / rows) * (1 << PLACE_BITS) + F.col("place") % rows
+    return tokens.select(
+        "doc_id", "doc_tokens", compact.alias("place"), F.posexplode("sums").alias("k", "crc")
+    ).select(
+        "doc_id",
+        (F.col("k").cast("long") * window).alias("start"),
+        F.lit(window).cast("long").alias("length"),
+        F.col("crc").alias("ids_crc32"),
+        "doc_tokens",
+        (-1 - F.col("place") * (1 << 19) - F.col("k")).alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
+    )
+
+
 def pack(
     docs: DataFrame,
     vocabulary_path: str,
@@ -401,28 +512,35 @@ def pack(
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     tokens = saved(
-        rows.mapInArrow(
-            _tokenize(vocabulary, pattern, window),
-            "doc_id long, doc_tokens long, sums array<long>, tail binary",
-        ).withColumn("place", F.monotonically_increasing_id()),
+        rows.mapInArrow(_tokenize(vocabulary, pattern, window), _TOKENS).withColumn(
+            "place", F.monotonically_increasing_id()
+        ),
         "tokens",
     )
-    size = F.length("tail") / 4
-    total = tokens.agg(F.count("*").alias("docs"), F.avg(F.when(size > 0, size)).alias("mean")).first()
+    kind = id_kind(ByteLevelBpe(vocabulary.value, pattern).size)
+    total = tokens.agg(F.count("*").alias("docs"), F.avg("doc_tokens").alias("mean")).first()
     counts = (
-        tokens.select("tail")
-        .mapInArrow(_frequencies, "term long, tails long")
+        tokens.select("terms")
+        .mapInArrow(_frequencies(kind), "term long, docs long")
         .groupBy("term")
-        .agg(F.sum("tails").alias("tails"))
+        .agg(F.sum("docs").alias("docs"))
         .toPandas()
     )
     df = np.zeros(int(counts.term.max()) + 1 if len(counts) else 1)
-    df[counts.term.to_numpy(np.int64)] = counts.tails
+    df[counts.term.to_numpy(np.int64)] = counts.docs
     weights = np.log1p((total["docs"] - df + 0.5) / (df + 0.5))
     idf = spark.sparkContext.broadcast(weights)
-    draws = spark.sparkContext.broadcast(_draws(weights, df))
-    return (
-        _dealt(tokens, idf, draws, total["docs"], shard_docs)
+    # of a document without full windows only the tail is needed again
+    terms = F.when(F.col("doc_tokens") >= window, F.col("terms")).otherwise(F.lit(b"")).alias("terms")
+    tails = tokens.where(F.length("tail") > 0).select("doc_id", "doc_tokens", "place", "tail", terms, "times")
+    if total["docs"] <= shard_docs:
+        dealt = tails.withColumn("shard", F.lit(0).cast("long"))
+    else:
+        draws = spark.sparkContext.broadcast(_draws(weights, df))
+        dealt = tails.join(_shards(tokens, idf, draws, total["docs"], shard_docs, kind), "place")
+    packed = (
+        dealt.repartition(partitions(spark, total["docs"], 4 * shard_docs), "shard")
         .groupBy("shard")
-        .applyInArrow(_pack_shard(idf, total["mean"] or 1.0, window), PIECES)
+        .applyInArrow(_pack_shard(idf, total["mean"] or 1.0, window, kind), PIECES)
     )
+    return _full_windows(tokens, window).union(packed)

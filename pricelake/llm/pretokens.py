@@ -1,12 +1,12 @@
-"""Ids of whole texts, as the vocabulary's own library gives them without special tokens.
+"""Ids of whole texts, as the vocabulary's own library gives them without adding special tokens.
 
 ``ByteLevelBpe`` merges by the ranks of a byte-level vocabulary, which gives the library's
 ids several times faster. ``WordBpe`` looks whole words up: a column of texts is split at
 white space, each different word is merged once and its ids are put in all its places.
 
 Both do so for texts whose characters have classes known here (Latin letters and common
-punctuation); any other text goes to the library whole. Strings of special tokens in a
-text are plain text.
+punctuation); any other text goes to the library whole, and so does one that holds the
+string of a special token, unless such strings are to be ``plain`` text.
 """
 
 from __future__ import annotations
@@ -46,31 +46,33 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def _library(vocabulary: str) -> Tokenizer:
+def _library(vocabulary: str, plain: bool) -> tuple[Tokenizer, dict, tuple[str, ...]]:
+    """The library, the vocabulary as it is written, and the strings of its special tokens."""
     library = Tokenizer.from_str(vocabulary)
-    library.encode_special_tokens = True
-    return library
+    library.encode_special_tokens = plain
+    spec = json.loads(vocabulary)
+    return library, spec, tuple(t["content"] for t in spec["added_tokens"])
 
 
 class ByteLevelBpe:
     """Ids of a text by a byte-level vocabulary whose ids are in the order of its merges."""
 
-    def __init__(self, vocabulary: str, pattern: str) -> None:
-        self.library = _library(vocabulary)
-        spec = json.loads(vocabulary)
-        special = {t["content"] for t in spec["added_tokens"]}
+    def __init__(self, vocabulary: str, pattern: str, plain: bool = False) -> None:
+        self.library, spec, special = _library(vocabulary, plain)
+        self.special = () if plain else special
         alphabet = byte_alphabet()
         self.tokens = {
             bytes(alphabet[c] for c in token): rank
             for token, rank in spec["model"]["vocab"].items()
             if token not in special
         }
+        self.size = max(spec["model"]["vocab"].values()) + 1
         self.merges = tiktoken.Encoding(
             "vocabulary", pat_str=pattern, mergeable_ranks=self.tokens, special_tokens={}
         )
 
     def ids(self, text: str) -> list[int]:
-        if _ALL_KNOWN.fullmatch(text):
+        if _ALL_KNOWN.fullmatch(text) and not any(s in text for s in self.special):
             return self.merges.encode_ordinary(text)
         return self.library.encode(text, add_special_tokens=False).ids
 
@@ -99,10 +101,9 @@ class WordBpe:
     merge of every word is that of its last byte with the mark.
     """
 
-    def __init__(self, vocabulary: str) -> None:
-        self.library = _library(vocabulary)
-        spec = json.loads(vocabulary)
-        special = {t["content"] for t in spec["added_tokens"]}
+    def __init__(self, vocabulary: str, plain: bool = False) -> None:
+        self.library, spec, special = _library(vocabulary, plain)
+        self.special = () if plain else special
         alphabet, mark = byte_alphabet(), spec["model"]["end_of_word_suffix"]
         ranks = {}
         for token, rank in spec["model"]["vocab"].items():
@@ -116,7 +117,10 @@ class WordBpe:
 
     def __call__(self, texts: pa.StringArray) -> list[np.ndarray]:
         """The ids of each text of a column without NULLs."""
-        known = pc.invert(pc.match_substring_regex(texts, _UNKNOWN))
+        other = pc.match_substring_regex(texts, _UNKNOWN)
+        for string in self.special:
+            other = pc.or_(other, pc.match_substring(texts, string))
+        known = pc.invert(other)
         lower = pc.utf8_lower(pc.if_else(known, texts, ""))
         # a boundary anyway: with the punctuation apart more words are met again
         split = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, _WORD_END, r"\1 \2"))

@@ -19,9 +19,7 @@ SCHEMA = "doc_id long, text string, piece string, place double, length binary"
 
 @pytest.fixture(scope="module")
 def library():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def odd_texts():
@@ -31,17 +29,21 @@ def odd_texts():
     return [*made, "", " ", "\n", "a", "<|endoftext|> <|startoftext|>", "don't 's 'tis we'll", "x" * 3000]
 
 
-def test_words_give_what_the_library_gives(library):
+@pytest.mark.parametrize("plain", [False, True])
+def test_words_give_what_the_library_gives(plain):
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = plain
     texts = odd_texts()
-    got = WordBpe(read_vocabulary(PATH))(pa.array(texts))
+    got = WordBpe(read_vocabulary(PATH), plain)(pa.array(texts))
     assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_bytes_give_what_the_library_gives():
+@pytest.mark.parametrize("plain", [False, True])
+def test_bytes_give_what_the_library_gives(plain):
     path = tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
-    encode = ByteLevelBpe(read_vocabulary(path), tokenizers.PATTERN)
+    library.encode_special_tokens = plain
+    encode = ByteLevelBpe(read_vocabulary(path), tokenizers.PATTERN, plain)
     rng = random.Random(8)
     parts = ["12", " 7", "a", " b", "\n", "  ", ".", ",", "'s", "²", "é", " ", "\t", "!?", "...", "0"]
     texts = odd_texts() + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
@@ -121,7 +123,7 @@ def check_pieces(rows, docs, library, window):
 
 
 def test_odd_rows(spark, folder, library):
-    texts = [None, "", " ", "one two", "one two", "wörld " * 900, "a b c d e " * 200, "日本 語"]
+    texts = [None, "", " ", "one two", "a <|endoftext|> b", "wörld " * 900, "a b c d e " * 200, "日本 語"]
     rows = [(i if i % 3 else None, t, "x", 1.5, b"y") for i, t in enumerate(texts * 6)]
     docs = stored(spark, [*rows, rows[4], rows[4]], SCHEMA, folder)
     got = best_fit.pack(docs, PATH, 64, 8, 10).collect()

@@ -1,11 +1,13 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from pricelake.llm import packing
+from pricelake.llm.pretokens import ByteLevelBpe, read_vocabulary
 from pricelake.llm.queries import op6_packing
 from tests.llm.conftest import stored
 
@@ -50,11 +52,19 @@ def check(pieces, rows, window):
         assert at <= window and at & (at - 1) == 0
 
 
+def test_copies_beyond_a_shard(spark, folder):
+    """A third of all documents alike: they part into shards, and none is lost."""
+    rows = [(i, "the same words in every copy of this text") for i in range(400)]
+    rows += [(1000 + i, f"words of text number {i} and no other {i * i}") for i in range(800)]
+    docs = stored(spark, rows, "doc_id long, text string", folder)
+    check(packing.pack(docs, PATH, tokenizers.PATTERN, 64, 50).collect(), rows, 64)
+
+
 def test_pieces_of_odd_texts(spark, folder):
     texts = [None, "", " ", "short", "<|endoftext|> in a text", "日本語 🙂", "naïve", "word " * 3000, "x" * 5000]
     rows = list(enumerate(texts)) + [(7, "word " * 3000), (None, "no id"), (None, None)] + [(99, "again and again")] * 40
     docs = stored(spark, [(d, t, 5) for d, t in rows], "doc_id long, text string, shard int", folder)
-    for window, shard in ((1024, 2048), (16, 7)):
+    for window, shard in ((1024, 512), (16, 7)):
         got = packing.pack(docs, PATH, tokenizers.PATTERN, window, shard).collect()
         check(got, rows, window)
 
@@ -64,25 +74,96 @@ def test_empty_table(spark, folder):
     assert packing.pack(docs, PATH, tokenizers.PATTERN).count() == 0
 
 
-def test_fast_ids_are_the_librarys(spark, sf_dir):
+def test_ids_are_the_librarys(spark, sf_dir):
     texts = [r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
-    encode = packing.Encoder(packing.read_vocabulary(PATH), tokenizers.PATTERN)
+    encode = ByteLevelBpe(read_vocabulary(PATH), tokenizers.PATTERN)
     odd = ["\x85\xa0 \x1c\x1f", "a\x0bb", "²³¹ ¼", "ª º µ", "ǅ ǆ", "tab\t\tx", "'S 'LL can't"]
     for text, ids in zip([*texts, *odd], library([*texts, *odd]), strict=True):
-        assert encode(text or "").tolist() == ids.tolist()
-
-
-def test_a_shard_of_empty_tails_only():
-    index = packing.Index([np.zeros(0, np.uint32)] * 2, np.ones(5), 1.0)
+        assert [*encode(text or "").tolist(), 0] == ids.tolist()
+
+
+def plain_bm25(docs, idf, mean):
+    """Scores of each document for all terms of each other one that two documents hold."""
+    holders = Counter(t for d in docs for t in set(d))
+    out = np.zeros((len(docs), len(docs)))
+    for i, seed in enumerate(docs):
+        for j, doc in enumerate(docs):
+            for t in set(seed):
+                tf = doc.count(t)
+                if tf and holders[t] > 1:
+                    norm = packing.K1 * (1 - packing.B + packing.B * len(doc) / mean)
+                    out[i, j] += idf[t] * tf * (packing.K1 + 1) / (tf + norm)
+    return out
+
+
+@pytest.mark.parametrize("vocabulary", [6, 40, 400])
+def test_index_against_plain_bm25(vocabulary):
+    rng = np.random.default_rng(vocabulary)
+    docs = [rng.integers(0, vocabulary, rng.integers(0, 60)).tolist() for _ in range(45)] + [[]]
+    idf = rng.random(vocabulary) + 0.1
+    mean = float(np.mean([len(d) for d in docs]))
+    own = [packing.counted(np.array([*d, 0], np.uint32)) for d in docs]
+    index = packing.Index([t for t, _ in own], [n for _, n in own], idf, mean)
+    want = plain_bm25(docs, idf, mean)
+    for i in range(len(docs)):
+        assert np.allclose(index.scores(i), want[i])
+        found = index.neighbours(i).tolist()
+        assert set(found) == set(np.flatnonzero(want[i] > 0).tolist())
+        assert all(want[i][a] >= want[i][b] - 1e-9 for a, b in zip(found, found[1:], strict=False))
+
+
+def test_windows_take_the_best_unused_neighbours():
+    """Against a search among all documents for every seed."""
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 300, rng.integers(1, 16)).tolist() for _ in range(120)]
+    own = [packing.counted(np.array([*d, 0], np.uint32)) for d in docs]
+    idf = rng.random(300) + 0.1
+    index = packing.Index([t for t, _ in own], [n for _, n in own], idf, 8.0)
+    scores = plain_bm25(docs, idf, 8.0)
+    sizes = np.array([len(d) for d in docs])
+    left = sizes.copy()
+    for parts in packing.pack_tails(sizes, index, 32):
+        if sum(n for *_, n in parts) < 32:
+            break
+        seed = parts[0][0]
+        assert seed == min(np.flatnonzero(left), key=lambda d: (-sizes[d], d)) and parts[0][2] == left[seed]
+        others = [d for d in range(len(docs)) if d != seed and left[d] and scores[seed][d] > 0]
+        others.sort(key=lambda d: (-round(scores[seed][d], 9), d))
+        taken = [d for d, *_ in parts[1:]]
+        assert taken[: len(others)] == others[: len(taken)]
+        for d, _, n in parts:
+            left[d] -= n
+    else:
+        raise AssertionError("there is a rest")
+
+
+def test_a_shard_of_empty_documents_only():
+    nothing = packing.counted(np.zeros(1, np.uint32))
+    index = packing.Index([nothing[0]] * 2, [nothing[1]] * 2, np.ones(5), 1.0)
+    assert index.neighbours(0).tolist() == []
     assert list(packing.pack_tails(np.array([0, 0]), index, 16)) == []
-
-
-def test_neighbours_share_rare_terms():
-    tails = [np.array(x, np.uint32) for x in ([1, 2, 3], [9, 9, 4], [1, 2, 7], [5, 6, 8], [3, 3, 3])]
-    index = packing.Index(tails, np.array([0, 5, 5, 1, 1, 1, 1, 1, 1, 1.0]), 3.0)
-    assert index.neighbours(0).tolist() == [0, 2, 4]
-    sequences = list(packing.pack_tails(np.array([3, 3, 3, 3, 3]), index, 6))
-    assert sequences[0] == [(0, 0, 3), (2, 0, 3)]
+    assert list(packing.pack_tails(np.array([1, 1]), index, 16)) == [[(0, 0, 1), (1, 0, 1)]]
+
+
+def test_counts_of_long_documents_survive():
+    for times in ([1, 2, 3], [70_000, 1], []):
+        raw = packing.kept_times(np.array(times, np.int64))
+        assert packing.read_times(raw, len(times)).tolist() == times
+
+
+@pytest.mark.parametrize("sizes", [[1] * 500, [7] * 90, [400, 3, 3], [40, 41, 39, 1000, 10, 9]])
+def test_shards_are_filled_and_bounded(spark, sizes):
+    rows = [(place, home) for home, n in enumerate(sizes) for place in range(home * 10_000, home * 10_000 + n)]
+    homes = spark.createDataFrame([(p, None if len(sizes) == 500 else h) for p, h in rows], "place long, home long")
+    got = packing._filled(homes, len(rows), 40).collect()
+    filled = Counter(r["shard"] for r in got)
+    assert sorted(r["place"] for r in got) == [p for p, _ in rows]
+    assert max(filled.values()) <= 1.1 * 40
+    assert len(filled) <= 2 * -(-len(rows) // 40) + len(sizes) // 4 + 1
+    whole = {}
+    for r in got:
+        if sizes[r["place"] // 10_000] <= 10:
+            assert whole.setdefault(r["place"] // 10_000, r["shard"]) == r["shard"]
 
 
 def test_planted_neighbours_meet_in_a_corpus_of_many_shards(spark, folder):
