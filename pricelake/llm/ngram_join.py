@@ -405,24 +405,36 @@ def _cross_pairs(table: pa.Table) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs still to verify: of words whose sets lie in several components."""
-    rooted = (
-        classes.select("ref", "key", "n", "sketch")
-        .join(roots.withColumnRenamed("node", "key"), "key", "left")
-        .withColumn("root", F.coalesce("root", "key"))
-    )
+def _dealt(groups: DataFrame, rooted: DataFrame) -> DataFrame:
+    """(word, a, part, i, j, side, ref, n, sketch, root): the sets of mixed words by pairs of blocks.
+
+    Only pairs of different components are looked for. So the sets of a word's largest
+    component are dealt to the blocks of its other sets, and those to all blocks: a few
+    outsiders of a large group cost rows in proportion to the group. ``side`` tells rows of
+    the first block of a pair from those of the second.
+    """
     rows = groups.select("word", F.explode(_longs("refs")).alias("ref")).join(
         rooted.select("ref", "root"), "ref"
     )
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     mixed = saved(
-        rows.groupBy("word")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
-        .where("lo <> hi")
-        .select("word", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")),
+        rows.groupBy("word", "root")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("word")
+        .agg(
+            F.sum("size").alias("all"),
+            F.max(F.struct("size", "root")).alias("main"),
+            F.count(F.lit(1)).alias("roots"),
+        )
+        .where("roots > 1")
+        .select(
+            "word",
+            F.col("main.root").alias("main"),
+            blocks(F.col("all") - F.col("main.size")).alias("outer"),
+            blocks(F.col("main.size")).alias("inner"),
+        ),
         "mixed",
     )
-    # blocks of large words meet pairwise; side 0 and 1: rows of the first and second block
     opened = groups.join(mixed, "word")
     parts = (
         opened.select("a", "word")
@@ -430,27 +442,42 @@ def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
         .groupBy("a")
         .agg(F.ceil(F.count("*") / WORDS_TOGETHER).alias("parts"))
     )
-    dealt = (
+    return (
         opened.join(parts, "a")
         .withColumn("part", F.expr("pmod(xxhash64(word), parts)"))
-        .select("word", "a", "part", "blocks", F.explode(_longs("refs")).alias("ref"))
-        .withColumn("own", F.expr("cast(pmod(xxhash64(ref), blocks) as int)"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select("word", "a", "part", "main", "outer", "inner", F.explode(_longs("refs")).alias("ref"))
         .join(rooted.drop("key"), "ref")
+        # blocks of outsiders come first
+        .withColumn("inside", F.col("root") == F.col("main"))
+        .withColumn(
+            "own",
+            F.expr("cast(if(inside, outer + pmod(xxhash64(ref), inner), pmod(xxhash64(ref), outer)) as int)"),
+        )
+        .withColumn("other", F.explode(F.expr("sequence(0, outer + if(inside, 0, inner) - 1)")))
+        .select(
+            "word",
+            "a",
+            "part",
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            (F.col("own") > F.col("other")).cast("int").alias("side"),
+            "ref",
+            "n",
+            "sketch",
+            "root",
+        )
     )
-    pairs = dealt.select(
-        "word",
-        "a",
-        "part",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "ref",
-        "n",
-        "sketch",
-        "root",
+
+
+def _opened(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs still to verify: of words whose sets lie in several components."""
+    rooted = (
+        classes.select("ref", "key", "n", "sketch")
+        .join(roots.withColumnRenamed("node", "key"), "key", "left")
+        .withColumn("root", F.coalesce("root", "key"))
     )
-    ranges = partitions(groups.sparkSession, dealt.count(), 100_000)
+    pairs = saved(_dealt(groups, rooted), "dealt")
+    ranges = partitions(groups.sparkSession, pairs.count(), 100_000)
     return (
         # Words of one group of near copies share their least set, so the pairs that they
         # repeat meet in one task, a bounded number of words at a time.

@@ -129,6 +129,28 @@ def test_linked_sets_agree_on_a_word():
             assert set(keys[owner == 0]) & set(keys[owner == 1])
 
 
+def test_outsiders_of_a_large_group_cost_in_proportion(spark, monkeypatch):
+    """A word of 4,000 sets of one component and 20 others: no block pair inside the component."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    near, far = range(4000), range(4000, 4020)
+    refs = np.array([*near, *far], "<i8").tobytes()
+    groups = spark.createDataFrame([(7, 0, refs), (8, 1, np.array([0, 5, 9], "<i8").tobytes())], "word long, a long, refs binary")
+    rows = [(r, str(r).encode(), 9, [0] * 8, b"0" if r < 4000 else str(r).encode()) for r in [*near, *far]]
+    rooted = spark.createDataFrame(rows, "ref long, key binary, n long, sketch array<long>, root binary")
+    dealt = ngram_join._dealt(groups, rooted).collect()
+    assert {r["word"] for r in dealt} == {7}
+    # 4,000 sets to the one block of outsiders, 20 outsiders to 1 + 63 blocks
+    assert len(dealt) == 4000 + 20 * 64
+    met = set()
+    by_pair = {}
+    for r in dealt:
+        by_pair.setdefault((r["i"], r["j"]), ([], []))[r["side"]].append(r["ref"])
+    for (i, j), (left, right) in by_pair.items():
+        met |= {frozenset((a, b)) for a in left for b in (left if i == j else right) if a != b}
+    want = {frozenset((a, b)) for a in far for b in [*near, *far] if a != b}
+    assert want <= met
+
+
 def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in op9_ngram_jaccard(spark, sf_dir).collect()}
