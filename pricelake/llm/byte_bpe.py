@@ -17,7 +17,8 @@ Texts of one chunk are encoded where they are read, without an exchange. Decodin
 concatenates the raw bytes of the ids.
 
 Defined results: NULL text is encoded as empty, which gives no ids. Every row gives one
-row, also repeated ones and those without doc_id; other columns are ignored.
+row, also repeated ones and those without doc_id. Texts of any length are encoded whole.
+Other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

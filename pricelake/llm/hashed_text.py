@@ -100,7 +100,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, columns: list[str], rows:
     """Buckets and labels of at most ``rows`` labelled documents, chosen by a hash of doc_id.
 
     Only whole label rows count (no NULL among ``columns``). Where a doc_id has several
-    texts or label rows, each pair is a row.
+    texts or label rows, each pair is a row; if that makes more than ``rows``, those first
+    by the hashes of doc_id and text count, in whatever order tasks end.
     """
     names = [f"label_{i}" for i in range(len(columns))]
     some = (
@@ -117,6 +118,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, columns: list[str], rows:
     found = texts.join(F.broadcast(some), "doc_id").select("doc_id", *names, "text")
     got = (
         found.mapInArrow(_feature_rows, found.drop("text").schema.simpleString()[7:-1] + ",buckets:binary")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", *names, F.xxhash64("buckets"), "buckets")
         .limit(rows)
         .toArrow()
     )

@@ -23,7 +23,8 @@ vectors wherever they lie; ties go to the smaller vec_id.
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite
 components take no part. Vectors of different lengths are not compared. Each query row
 excludes itself only, so a repeated row is a neighbour of its copies. Rows without
-vec_id are candidates (last among ties) and never queries. Other columns are ignored.
+vec_id are candidates (last among ties) and never queries. Other columns are ignored,
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -29,7 +29,8 @@ verification, never a result. Sets are told apart by 128 bits of hash, shingles
 
 Defined results: NULL or blank text has no shingles, links with nothing and is its own
 component. Rows of equal text link, also under one doc_id. A NULL doc_id takes part; a
-component's id is its least doc_id that is not NULL. Other columns are ignored.
+component's id is its least doc_id that is not NULL. Texts of any length are read whole.
+Other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

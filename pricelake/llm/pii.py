@@ -20,7 +20,10 @@ The first four are the base kinds. A base match that fails its check is dropped
 read again from a later start. Spans are places of code points, end exclusive.
 
 Defined results: NULL text is empty and holds nothing. Every row gives one row, also
-repeated ones and those without doc_id.
+repeated ones and those without doc_id. Texts are searched whole, and runs of digits or
+other characters of any length are read once. Spans that overlap are masked as one, by
+the kind that comes first in KINDS where they begin together. Finding ignores other
+columns, masking passes them unchanged; an empty table gives no rows.
 """
 
 from __future__ import annotations

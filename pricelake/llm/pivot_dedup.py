@@ -28,7 +28,7 @@ Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite
 components, and those without label, link with nothing; so do vectors of different
 lengths. Every row gives one row, also repeated ones. A NULL vec_id takes part; a
 component's id is its least vec_id that is not NULL, and a row without vec_id is never
-``kept``. Other columns are ignored.
+``kept``. Other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

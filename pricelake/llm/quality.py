@@ -11,7 +11,9 @@ where it is read, without an exchange.
 Defined results: NULL text is scored as empty. Every row gives one row, also repeated
 ones and those without doc_id. Ratings that are NULL are left out. A grade that no
 rating has gets a threshold as its neighbours allow; without any rating each tail
-probability is one half.
+probability is one half. Equal probabilities are decided alike; texts of any length are
+scored whole. Other columns are ignored, whatever their names; an empty table gives no
+rows.
 """
 
 from __future__ import annotations

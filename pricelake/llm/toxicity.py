@@ -14,6 +14,9 @@ Defined results: text that is NULL or has no words has probability 0 and is not
 gives one row, also repeated ones and those without doc_id. Labels with NULL are left
 out; without any labelled text, or where a category has one value only, its probability
 is the share of that value (0 without labels), which is decided as false unless it is 1.
+Equal probabilities are decided alike; texts of any length are scored whole. Scoring
+ignores other columns, filtering passes them unchanged, whatever their names; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ subdomains, where the URL's path starts with the rule's; of several the longest
 Defined results: a URL that is NULL or has no ``://`` has empty host and path. Where no
 rule fits, the verdict is ``default``. Every row of ``pages`` gives one row. Rules with
 NULL host, path or verdict are ignored; of rules with the same key the least verdict
-counts.
+counts. Repeated rows are judged alike, URLs of any length whole. Other columns are
+ignored, whatever their names; an empty table gives no rows, and without rules every
+verdict is ``default``.
 """
 
 from __future__ import annotations

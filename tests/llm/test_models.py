@@ -106,6 +106,62 @@ def test_scores_of_odd_rows(spark, folder):
     assert all(abs(r["expected_grade"] - r["p_at_least_1"] - r["p_at_least_2"]) < 1e-9 for r in graded)
 
 
+def plain_probability(model, present, dense):
+    """One text through one linear model, feature by feature."""
+    weight = dict(zip(model.kept.tolist(), model.weights.tolist(), strict=False))
+    margin = sum(weight.get(b, 0.0) for b in present) + model.weights[-1]
+    margin += sum(x * w for x, w in zip(dense, model.weights[len(model.kept) : -1], strict=True))
+    return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
+
+
+def test_scores_against_a_plain_scorer(spark, folder):
+    rng = np.random.default_rng(6)
+    texts, labels = sample(rng, 400)
+    sets = features(texts)
+    chain = toxicity.fit_chain(sets, labels)
+    model = quality.fit_ordinal(sets, labels.sum(axis=1), 2)
+    new = sample(rng, 60)[0] + ["", "zap!! " * 5000]
+    docs = stored(spark, list(enumerate(new)), "doc_id long, text string", folder)
+    got = {r["doc_id"]: r for r in toxicity.scores(docs, chain, ["junk", "rude"]).collect()}
+    graded = {r["doc_id"]: r for r in quality.grades(docs, model).collect()}
+    for i, present in enumerate(features(new)):
+        present, dense = present.tolist(), []
+        for name, part, least in zip(("junk", "rude"), chain.models, chain.thresholds, strict=True):
+            p = plain_probability(part, present, dense) if present else 0.0
+            assert got[i][f"p_{name}"] == pytest.approx(p, abs=1e-4)
+            dense.append(np.log(np.clip(p, 1e-4, 1 - 1e-4) / (1 - np.clip(p, 1e-4, 1 - 1e-4))))
+        assert got[i]["rude"] == (got[i]["p_rude"] >= least)
+        weight = dict(zip(model.kept.tolist(), model.weights.tolist(), strict=True))
+        margin = sum(weight.get(b, 0.0) for b in present)
+        tails = [1 / (1 + np.exp(-np.clip(margin - t, -40, 40))) for t in model.thresholds]
+        assert [graded[i]["p_at_least_1"], graded[i]["p_at_least_2"]] == pytest.approx(tails, abs=1e-4)
+        assert graded[i]["expected_grade"] == pytest.approx(sum(tails), abs=1e-4)
+        assert graded[i]["selected"] == (graded[i]["p_at_least_2"] >= quality.LEAST)
+
+
+def test_empty_tables(spark, folder):
+    docs = stored(spark, [], "doc_id long, text string, toxic int, p_toxic double", folder)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    chain = toxicity.toxicity_chain(docs, toxicity.graded_labels(labels), toxicity.CATEGORIES)
+    assert toxicity.scores(docs, chain, toxicity.CATEGORIES).count() == 0
+    assert toxicity.without_toxic(docs, chain).count() == 0
+    model = quality.quality_model(docs, quality.graded_ratings(labels), quality.TOP_GRADE)
+    assert quality.grades(docs, model).count() == 0
+
+
+def test_a_sample_does_not_depend_on_the_order_of_tasks(spark, folder):
+    """doc_ids with several texts make more rows than are asked for; which ones count is fixed."""
+    rows = [(i % 40, f"text {i} of a document {i * i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, bad int")
+    samples = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "text")
+        sets, y = hashed_text.training_rows(docs, labels, ["bad"], 30)
+        samples.append(([s.tobytes() for s in sets], y.tolist()))
+        assert len(sets) == 30
+    assert samples[0] == samples[1]
+
+
 def test_without_any_label(spark, folder):
     docs, labels, rows = odd_tables(spark, folder)
     chain = toxicity.toxicity_chain(docs, labels.limit(0), ["junk", "toxic"])

@@ -39,3 +39,11 @@ def test_run_is_the_stages(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert got.count() > 0
+
+
+def test_stages_of_an_empty_table(spark, sf_dir, folder):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.limit(0).write.parquet(f"{folder}/none")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, spark.read.schema(docs.schema).parquet(f"{folder}/none"), sf_dir)
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)

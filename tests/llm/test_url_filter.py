@@ -84,3 +84,8 @@ def test_query_against_its_sql(spark, sf_dir):
     assert got.columns == names
     assert sorted(map(tuple, got.collect()), key=str) == sorted(cursor.fetchall(), key=str)
     assert {r["verdict"] for r in got.collect()} == {"allow", "block"}
+
+
+def test_empty_table(spark, folder):
+    pages = stored(spark, [], "page_id long, url string, html string, verdict string", folder)
+    assert url_filter.judge(pages, frame(spark, url_filter.RULES)).count() == 0
