@@ -197,6 +197,7 @@ SELECT product_id, CAST(rank AS INTEGER) AS rank, seq AS sequence, shown_at, pri
         _TICKS, _arrival((2, 1, 4, 3)), select=_last("a", "delivery DESC, seq DESC", _STREAMED)
     ),
     "stream_paced": _with(_TICKS, select=_last("t", _NEWEST, _STREAMED)),
+    "stream_latest_state": _with(_TICKS, select=_last("t", _NEWEST, _STREAMED)),
 }
 
 ORACLE: dict[str, str] = {

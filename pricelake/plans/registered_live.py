@@ -20,6 +20,8 @@ from pricelake.streaming import (
     parse_ticks,
     read_arrival_board,
     read_ticks,
+    split_valid,
+    start_latest_state,
     start_upsert,
     to_messages,
     write_ticks,
@@ -100,9 +102,22 @@ def stream_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, root)
 
 
+def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest tick of each pair and day kept in state over four deliveries and restarts."""
+    root = scratch_dir(spark, "store")
+
+    def start(stream: DataFrame, checkpoint: str):
+        valid, _ = split_valid(parse_ticks(stream))
+        return start_latest_state(valid, root, checkpoint, ALL_AVAILABLE)
+
+    deliver(spark, quarters(spark, sf_dir, (3, 1, 4, 2)), start)
+    return view(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "board_arrival": board_arrival,
     "stream_expired": stream_expired,
     "queue_round_trip": queue_round_trip,
     "stream_paced": stream_paced,
+    "stream_latest_state": stream_latest_state,
 }

@@ -12,6 +12,7 @@ from pricelake.streaming.keyed_board import (
     fold_arrival_board,
     read_arrival_board,
 )
+from pricelake.streaming.latest_state import start_latest_state
 from pricelake.streaming.ticks import (
     drain,
     parse_ticks,
@@ -38,6 +39,7 @@ __all__ = [
     "read_board",
     "read_ticks",
     "split_valid",
+    "start_latest_state",
     "start_upsert",
     "to_messages",
     "write_ticks",

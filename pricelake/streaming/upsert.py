@@ -17,7 +17,8 @@ from pricelake.streaming.ticks import DEFAULT_TRIGGER, split_valid, to_messages
 BatchWriter = Callable[[DataFrame, str], None]
 
 
-def _replace(df: DataFrame, path: str, folders: str) -> None:
+def replace_batch(df: DataFrame, path: str, folders: str) -> None:
+    """Write a micro-batch to its own folder, whatever an earlier attempt left there."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -54,9 +55,9 @@ def start_upsert(
             # Most ticks are of today: a rebalance keeps a day's files few, and is
             # split where the day is too large for one task.
             by_day = winners.drop("batch").hint("rebalance", "price_date")
-            _replace(by_day, f"{delta_path(root)}/{folder}", "price_date")
+            replace_batch(by_day, f"{delta_path(root)}/{folder}", "price_date")
             # Foldered too: a batch without rejects then leaves no empty file.
-            _replace(rejected, f"{quarantine_path(root)}/{folder}", "reason")
+            replace_batch(rejected, f"{quarantine_path(root)}/{folder}", "reason")
         finally:
             batch_df.unpersist()
 

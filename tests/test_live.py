@@ -10,7 +10,15 @@ from pyspark.errors import StreamingQueryException
 
 from pricelake.files import children
 from pricelake.operators import parse_feed, ticker_only
-from pricelake.plans import compact, current_view, expire, read_base, read_quarantine, write_base
+from pricelake.plans import (
+    compact,
+    current_view,
+    expire,
+    read_base,
+    read_delta,
+    read_quarantine,
+    write_base,
+)
 from pricelake.plans.store import newest_heads
 from pricelake.streaming import (
     arrival_board_stream,
@@ -24,6 +32,7 @@ from pricelake.streaming import (
     read_board,
     read_ticks,
     split_valid,
+    start_latest_state,
     start_upsert,
     write_ticks,
 )
@@ -188,6 +197,52 @@ def test_expiry_of_batch_loads_only(spark, folder):
     assert current_view(spark, folder).count() == 1 and write_base(rows_, folder) == 5
 
 
+def latest(spark, inbox, root, checkpoint, **more):
+    valid, _ = split_valid(parse_ticks(read_ticks(spark, "text", path=str(inbox))))
+    query = start_latest_state(valid, root, checkpoint, NOW, **more)
+    query.awaitTermination()
+    return [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators][-1]
+
+
+def logged(spark, root):
+    return sorted((r["batch"], r["pair"], r["close"]) for r in read_delta(spark, root).collect())
+
+
+def test_state_lets_only_changes_into_the_log(spark, folder, tmp_path):
+    inbox, root, checkpoint = tmp_path / "in", f"{folder}/store", f"{folder}/cp"
+    inbox.mkdir()
+    put(inbox, "1", *(message(seq=i, close=str(i), at=f"12:00:{i:02d}") for i in range(30)), message("eth", close="5"))
+    latest(spark, inbox, root, checkpoint)
+    assert logged(spark, root) == [(0, "btcusd", 29.0), (0, "eth", 5.0)]
+    # older, equal and newer ticks: only the newer one is written
+    put(inbox, "2", message(seq=1, close="1", at="11:00:00"), message("eth", close="5"), message("eth", close="6", seq=1))
+    latest(spark, inbox, root, checkpoint)
+    assert [row for row in logged(spark, root) if row[0]] == [(1, "eth", 6.0)]
+    put(inbox, "3", message("new", seq=None, close="2"), message("new", seq=0, close="1"))
+    latest(spark, inbox, root, checkpoint)
+    assert closes(current_view(spark, root)) == {
+        "btcusd_2024-01-01": 29.0, "eth_2024-01-01": 6.0, "new_2024-01-01": 1.0,
+    }
+    compact(spark, root)
+    assert closes(current_view(spark, root))["eth_2024-01-01"] == 6.0
+
+
+def test_a_tick_after_its_state_went_is_not_lost(spark, folder, tmp_path):
+    inbox, root, checkpoint = tmp_path / "in", f"{folder}/store", f"{folder}/cp"
+    inbox.mkdir()
+    days = [f"2024-01-{day:02d}" for day in range(1, 9)]
+    put(inbox, "1", *(message(seq=5, close=str(i), day=day) for i, day in enumerate(days)))
+    first = latest(spark, inbox, root, checkpoint, days=2)
+    assert len(logged(spark, root)) == 8
+    # the state of the first six days is gone: an old tick of one goes to the log and loses there
+    put(inbox, "2", message(seq=1, close="50", day=days[0], at="01:00:00"), message(seq=9, close="60", day=days[1]))
+    put(inbox, "3", message(seq=1, close="70", day=days[7], at="01:00:00"))
+    assert latest(spark, inbox, root, checkpoint, days=2) == first <= 2
+    assert [row for row in logged(spark, root) if row[0]] == [(1, "btcusd", 50.0), (1, "btcusd", 60.0)]
+    want = {f"btcusd_{day}": float(i) for i, day in enumerate(days)}
+    assert closes(current_view(spark, root)) == {**want, f"btcusd_{days[1]}": 60.0}
+
+
 def published(spark, inbox, queue, checkpoint):
     valid = parse_ticks(read_ticks(spark, "text", path=str(inbox))).where("reason IS NULL")
     ticks = valid.select("pair", "price_date", "close", "volume", "event_time", "seq")
