@@ -8,6 +8,7 @@
     stream  queued ticks -> delta log of the store, until stopped
     board   queued ticks -> newest nine per pair, until stopped
     compact delta log -> next snapshot
+    expire  snapshots, delta batches and old quarantine that nothing reads any more
     lookup  pair and dates -> rows
     pairs   known pairs of a folder of bar files
 
@@ -18,6 +19,7 @@ or both.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +37,20 @@ from pricelake.operators import (
 )
 from pricelake.plans import (
     build_batch,
+    build_batch_with_rejects,
     build_lake,
     compact,
+    expire,
     stored_history,
     write_base,
     write_full,
 )
 from pricelake.schemas import CORRUPT
 from pricelake.session import DEFAULTS, configure
-from pricelake.sources import export_csv, read_combined, read_lake
+from pricelake.sources import export_csv, read_combined, read_combined_lines, read_lake
 from pricelake.streaming import (
+    arrival_board_stream,
+    board_rows,
     fan_out,
     latest_n_stream,
     parquet_batches,
@@ -72,6 +78,10 @@ def _arguments() -> argparse.ArgumentParser:
     batch.add_argument("--quoted", action="store_true")
     batch.add_argument("--variant", choices=("a", "b"), default="a")
     batch.add_argument("--if-not-exists", action="store_true")
+    batch.add_argument(
+        "--rejects", action="store_true",
+        help="plain text source: write bars and rejected lines below the new path, and tell how many",
+    )
     step("full", "batch", "table")
     step("daily", "batch", "store")
     feed = step("feed", "outputs", "checkpoint")
@@ -87,7 +97,12 @@ def _arguments() -> argparse.ArgumentParser:
         )
         stream.add_argument("--interval", default="30 seconds")
         stream.add_argument("--once", action="store_true", help="stop when nothing is left to read")
+    steps.choices["board"].add_argument(
+        "--arrival", action="store_true", help="feed messages, newest arrival first"
+    )
     step("compact", "store")
+    expiry = step("expire", "store")
+    expiry.add_argument("--rejects-older-than", type=float, metavar="DAYS")
     lookup = step("lookup", "store", "pair", "start", "end")
     lookup.add_argument("--order", choices=("event_time", "arrival"), default="event_time")
     listing = step("pairs", "files")
@@ -143,6 +158,9 @@ def _start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     messages = _messages(spark, args)
     if args.step == "stream":
         return start_upsert(parse_ticks(messages), args.store, args.checkpoint, trigger)
+    if args.step == "board" and args.arrival:
+        rows = board_rows(ticker_only(parse_feed(messages.select("value"))))
+        return arrival_board_stream(rows, args.path, args.checkpoint, trigger=trigger)
     if args.step == "board":
         valid, _ = split_valid(parse_ticks(messages))
         return latest_n_stream(valid, args.path, args.checkpoint, trigger=trigger)
@@ -158,6 +176,10 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     configure(spark)
     if args.step == "lake":
         build_lake(spark, args.files, args.lake, args.by_name)
+    elif args.step == "batch" and args.rejects:
+        if args.quoted or args.if_not_exists or args.variant != "a":
+            parser.error("--rejects reads plain text and writes variant a to a new path")
+        print(build_batch_with_rejects(read_combined_lines(spark, args.source), args.batch))
     elif args.step == "batch":
         if args.text:
             source = read_combined(spark, args.source, quoted=args.quoted)
@@ -172,6 +194,10 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         _start(spark, args).awaitTermination()
     elif args.step == "compact":
         compact(spark, args.store)
+    elif args.step == "expire":
+        days = args.rejects_older_than
+        limit = dt.datetime.now(dt.UTC) - dt.timedelta(days=days) if days is not None else None
+        print(expire(spark, args.store, limit))
     elif args.step == "lookup":
         found = stored_history(spark, args.store, args.pair, args.start, args.end, args.order)
         _give(format_row(found), args)

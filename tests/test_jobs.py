@@ -5,8 +5,8 @@ import json
 import pytest
 
 from pricelake import jobs
-from pricelake.plans import write_base
-from pricelake.streaming import read_board
+from pricelake.plans import read_accepted, write_base
+from pricelake.streaming import read_arrival_board, read_board
 
 HEADER = "time,open,close,high,low,volume"
 MINUTE = 60_000
@@ -94,3 +94,26 @@ def test_text_source_and_second_variant(spark, tmp_path):
         jobs.run(spark, [str(arg) for arg in [*argv, *extra]])
     row = spark.read.parquet(str(tmp_path / "batch")).first()
     assert (row["pair"], row["time"], row["close"]) == ("a,b", "2024-01-01 00:00:00", 2.0)
+
+
+def test_rejects_expiry_and_arrivals(spark, tmp_path, capsys):
+    def run(*argv):
+        jobs.run(spark, [str(arg) for arg in argv])
+        return capsys.readouterr().out
+
+    text, inbox = tmp_path / "bars.csv", tmp_path / "in"
+    inbox.mkdir()
+    text.write_text(f"pair,{HEADER}\nbtc,{START},1,2,3,4,5\nbtc,never,1,2,3,4,5\n")
+    out = run("batch", text, tmp_path / "batch", "--rejects")
+    assert "read=3, accepted=1" in out and "'bad time': 1" in out
+    assert read_accepted(spark, str(tmp_path / "batch")).count() == 1
+    with pytest.raises(SystemExit):
+        run("batch", text, tmp_path / "other", "--rejects", "--quoted")
+    days = spark.sql("SELECT 'p' AS pair, DATE '2024-01-01' AS price_date, 1.0D AS close, 1.0D AS volume")
+    for _ in range(3):
+        write_base(days, str(tmp_path / "store"))
+    assert "'base': 1" in run("expire", tmp_path / "store", "--rejects-older-than", "1")
+    tick = dict(type="ticker", product_id="BTC-USD", time="2024-01-05T10:00:00Z", price="1", last_size="3", sequence=1)
+    (inbox / "a").write_text(json.dumps(tick) + "\n")
+    run("board", tmp_path / "board", tmp_path / "cp", "--inbox", inbox, "--once", "--arrival")
+    assert read_arrival_board(spark, str(tmp_path / "board")).first()["price"] == "1"
