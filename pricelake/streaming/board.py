@@ -51,10 +51,7 @@ def latest_n_stream(
 
     def write(batch_df: DataFrame, batch: int) -> None:
         spark = batch_df.sparkSession
-        folder = folders.name(spark, batch)
-        own = folder.split("/")[0]
-        if any(name.startswith("run=") and name != own for name, _ in children(spark, path)):
-            raise ValueError(f"{path} holds the boards of another checkpoint")
+        folder = folders.only(spark, path, batch)
         before = None
         if batch:
             before = spark.read.schema(BOARD).parquet(f"{path}/{folders.name(spark, batch - 1)}")

@@ -119,14 +119,16 @@ def arrival_board_stream(
 ) -> StreamingQuery:
     """Keep the boards of ``board_rows`` below ``path``, one folder of changes per micro-batch.
 
-    A retried micro-batch finds the state as it was before it and replaces its folder.
+    A retried micro-batch finds the state as it was before it and replaces its folder. The
+    checkpoint and ``path`` belong together: a new checkpoint is refused where another
+    one's boards are.
     """
     spark = rows.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     folders = BatchFolders(checkpoint)
 
     def write(changes: DataFrame, batch: int) -> None:
-        folder = folders.name(changes.sparkSession, batch)
+        folder = folders.only(changes.sparkSession, path, batch)
         changes.write.mode("overwrite").parquet(f"{path}/{folder}")
 
     boards = (

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from pricelake.files import children
 from pricelake.plans.build import read_or_none
 
 
@@ -37,3 +38,11 @@ class BatchFolders:
         if self.run is None:
             self.run = run_name(spark, self.checkpoint)
         return f"run={self.run}/batch={batch}"
+
+    def only(self, spark: SparkSession, path: str, batch: int) -> str:
+        """The same, where ``path`` belongs to one checkpoint; another one's folders are an error."""
+        folder = self.name(spark, batch)
+        own = folder.split("/")[0]
+        if any(name.startswith("run=") and name != own for name, _ in children(spark, path)):
+            raise ValueError(f"{path} holds the boards of another checkpoint")
+        return folder

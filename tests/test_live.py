@@ -102,6 +102,9 @@ def test_a_retried_batch_of_arrivals_counts_once(spark, folder, tmp_path):
             os.remove(f"{checkpoint}/commits/{name}")
     arrive(spark, inbox, path, checkpoint)
     assert shown(spark, path) == want == {"BTC-USD": [(1, 1, "1"), (2, 0, "1")]}
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        arrive(spark, inbox, path, f"{folder}/cp2")
+    assert shown(spark, path) == want
 
 
 def test_a_board_of_one_batch_is_not_overwritten(spark, folder, tmp_path):
