@@ -35,6 +35,7 @@ gives no rows.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -51,8 +52,9 @@ WINDOW = 1024
 END_ID = 0
 SHARD_DOCS = 512
 ROUNDS = 6  # draws of a term by which documents meet
-SKETCH = 32  # rarest terms by which a document chooses among those it met
-BUCKET = 256  # documents of a bucket that are compared with each other
+SKETCH = 24  # rarest terms by which a document chooses among those it met
+BUCKET = 128  # documents of a bucket that are compared with each other
+AT_ONCE = 4096  # documents of buckets that a task compares at once
 K1, B = 1.2, 0.75
 DENSE = 8  # terms that one in so many documents of a shard holds are kept as whole rows
 
@@ -70,7 +72,9 @@ def id_kind(size: int) -> type:
 
 def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The terms of a document, whose end id is none, and how often each occurs."""
-    return np.unique(ids[:-1], return_counts=True)
+    terms = np.sort(ids[:-1], kind="stable")  # 16-bit numbers are sorted by radix
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(terms), 1), bool), terms[1:] != terms[:-1]]))
+    return terms[first], np.diff(np.append(first, len(terms)))
 
 
 def kept_times(times: np.ndarray) -> bytes:
@@ -81,6 +85,11 @@ def read_times(raw: bytes, terms: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint16 if len(raw) == 2 * terms else np.uint32)
 
 
+def _with_end(ids: list[int]) -> np.ndarray:
+    ids.append(END_ID)
+    return np.frombuffer(array("I", ids), np.uint32)
+
+
 def _tokenize(vocabulary, pattern: str, window: int) -> Callable:
     """Each document's length, the checksums of its full windows, its tail's ids, its terms.
 
@@ -93,13 +102,13 @@ def _tokenize(vocabulary, pattern: str, window: int) -> Callable:
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
             for part in portions(texts):
-                ids = [np.array([*encode.ids(text), END_ID], "<u4") for text in texts[part]]
+                ids = [_with_end(encode.ids(text)) for text in texts[part]]
                 full = [len(x) // window * window for x in ids]
                 sums = [
                     [zlib.crc32(x[a : a + window]) for a in range(0, n, window)]
                     for x, n in zip(ids, full, strict=True)
                 ]
-                terms = [counted(x) for x in ids]
+                terms = [counted(x.astype(kind)) for x in ids]
                 times = [kept_times(t) if n else b"" for (_, t), n in zip(terms, full, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -107,7 +116,7 @@ def _tokenize(vocabulary, pattern: str, window: int) -> Callable:
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array(sums, pa.list_(pa.int64())),
                         pa.array([x[n:].astype(kind).tobytes() for x, n in zip(ids, full, strict=True)], pa.binary()),
-                        pa.array([t.astype(kind).tobytes() for t, _ in terms], pa.binary()),
+                        pa.array([t.tobytes() for t, _ in terms], pa.binary()),
                         pa.array(times, pa.binary()),
                     ],
                     names=[x.split()[0] for x in _TOKENS.split(", ")],
@@ -223,24 +232,35 @@ def _buckets(often) -> Callable:
     return run
 
 
-def _shares(sketches: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
-    """How much of their terms' weight each two of the documents share, at most 1."""
-    n = len(sketches)
-    owner = np.repeat(np.arange(n), [len(x) for x in sketches])
-    terms = np.concatenate(sketches)
-    order = np.argsort(terms, kind="stable")
-    terms, owner = terms[order], owner[order]
-    first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
-    size = np.diff(np.append(first, len(terms)))
-    # of each term's documents each one with all
-    left = np.repeat(owner, np.repeat(size, size))
+def best_shares(chunk: np.ndarray, sketches: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """How much of its terms' weight each document shares with the best other one of its chunk.
+
+    Chunks, of at most ``BUCKET`` documents each, follow one another.
+    """
+    n = len(chunk)
+    sizes = np.array([len(x) for x in sketches])
+    owner = np.repeat(np.arange(n), sizes)
+    number = np.cumsum(np.concatenate([[0], chunk[1:] != chunk[:-1]]))
+    start = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))[number]
+    terms = np.concatenate(sketches).astype(np.int64)
+    key = number[owner] * len(idf) + terms
+    order = np.argsort(key, kind="stable")
+    key, owner = key[order], owner[order]
+    # of each term's documents in a chunk each one with all
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
+    size = np.diff(np.append(first, len(key)))
     begin, width = np.repeat(first, size), np.repeat(size, size)
     last = np.cumsum(width)
-    right = owner[np.arange(last[-1]) + np.repeat(begin - (last - width), width)]
-    weight = np.repeat(np.repeat(idf[terms[first]], size), width)
-    shared = np.bincount(left * n + right, weight, n * n).reshape(n, n)
-    total = np.sqrt(np.diag(shared))
-    return shared / np.maximum(total[:, None] * total, 1e-30)
+    total = int(last[-1]) if len(last) else 0
+    right = owner[np.arange(total) + np.repeat(begin - (last - width), width)]
+    left = np.repeat(owner, width)
+    weight = np.repeat(idf[terms[order]], width)
+    place = np.arange(n) - start
+    shared = np.bincount(left * BUCKET + place[right], weight, n * BUCKET).reshape(n, BUCKET)
+    own = np.sqrt(shared[np.arange(n), place])
+    shared[np.arange(n), place] = 0
+    others = own[np.minimum(start[:, None] + np.arange(BUCKET), n - 1)]
+    return (shared / np.maximum(own[:, None] * others, 1e-30)).max(axis=1)
 
 
 def _links(idf) -> Callable:
@@ -250,17 +270,18 @@ def _links(idf) -> Callable:
         # of a bucket that is larger those compared are neighbours by their rarest terms
         rows = rows.sort_values(["bucket", "sketch", "place"])
         place, sketch, bucket = (rows[c].to_numpy() for c in ("place", "sketch", "bucket"))
-        edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        share = np.zeros(len(rows))
-        part = np.zeros(len(rows), np.int64)
-        for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(rows)], strict=True):
-            for at in range(a, z, BUCKET):
-                end = min(at + BUCKET, z)
-                if end - at > 1:
-                    own = _shares([_ids(x) for x in sketch[at:end]], idf.value)
-                    np.fill_diagonal(own, 0)
-                    share[at:end] = own.max(axis=1)
-                    part[at:end] = at - a
+        n = len(rows)
+        first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+        inside = np.arange(n) - np.flatnonzero(first)[np.cumsum(first) - 1]
+        part = inside // BUCKET
+        chunk = np.cumsum(inside % BUCKET == 0)
+        share = np.zeros(n)
+        at = 0
+        while at < n:  # whole chunks, a bounded number of them at a time
+            end = n if n - at <= AT_ONCE else int(np.searchsorted(chunk, chunk[at + AT_ONCE]))
+            some = slice(at, end)
+            share[some] = best_shares(chunk[some], [_ids(x) for x in sketch[some]], idf.value)
+            at = end
         near = share > 0
         home = _mixed(bucket[near].view(np.uint64), part[near]).view(np.int64)
         return pd.DataFrame({"place": place[near], "share": share[near], "home": home})
@@ -283,7 +304,7 @@ def _shards(tokens: DataFrame, idf, draws, docs: int, shard_docs: int, kind: typ
         .toPandas()
     )
     often = spark.sparkContext.broadcast((drawn.key.to_numpy(np.int64), drawn.n.to_numpy(np.int64)))
-    tasks = partitions(spark, docs * ROUNDS, 64 * BUCKET)
+    tasks = partitions(spark, docs * ROUNDS, 256 * BUCKET)
     links = (
         routes.mapInArrow(_buckets(often), "bucket long, place long, sketch binary")
         .withColumn("task", F.pmod("bucket", F.lit(tasks)))
@@ -336,27 +357,31 @@ class Index:
     ) -> None:
         self.n = n = len(terms)
         owner = np.repeat(np.arange(n), [len(t) for t in terms])
-        flat = np.concatenate(terms).astype(np.int64)
+        flat = np.concatenate(terms)
         tf = np.concatenate(times).astype(np.float64)
         lengths = np.array([int(t.sum()) for t in times], np.float64)
         order = np.argsort(flat, kind="stable")
         term, self.doc = flat[order], owner[order]
         tf, norm = tf[order], K1 * (1 - B + B * lengths / mean)
         self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.ids, self.first, size = np.unique(term, return_index=True, return_counts=True)
+        change = np.concatenate([np.ones(min(len(term), 1), bool), term[1:] != term[:-1]])
+        self.first = np.flatnonzero(change)
+        size = np.diff(np.append(self.first, len(term)))
         # a term of one document retrieves nothing but itself
         self.size = np.where(size > 1, size, 0)
         # common terms as whole rows, which are added up faster
         dense = np.flatnonzero(size * DENSE > n)
-        self.row = np.full(len(self.ids), -1)
+        self.row = np.full(len(size), -1)
         self.row[dense] = np.arange(len(dense))
         self.rows = np.zeros((len(dense), n))
-        posting = self.row[np.repeat(np.arange(len(self.ids)), size)]
+        number = np.cumsum(change) - 1  # of each posting's term
+        posting = self.row[number]
         common = posting >= 0
         self.rows[posting[common], self.doc[common]] = self.weight[common]
         self.size[dense] = 0
         cuts = np.cumsum([len(t) for t in terms])
-        place = np.searchsorted(self.ids, flat)
+        place = np.empty(len(flat), np.int64)
+        place[order] = number
         self.terms = np.split(place, cuts[:-1])
 
     def scores(self, seed: int) -> np.ndarray:
@@ -442,7 +467,7 @@ def _pack_shard(idf, mean: float, window: int, kind: type) -> Callable:
             tails, tokens, shard.column("terms").to_pylist(), shard.column("times").to_pylist(), strict=True
         ):
             if n < window:
-                own, count = counted(tail)
+                own, count = counted(tail.astype(kind))
             else:
                 own = np.frombuffer(raw, kind)
                 count = read_times(often, len(own))

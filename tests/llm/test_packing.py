@@ -1,7 +1,9 @@
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -145,6 +147,31 @@ def test_a_shard_of_empty_documents_only():
     assert list(packing.pack_tails(np.array([1, 1]), index, 16)) == [[(0, 0, 1), (1, 0, 1)]]
 
 
+@pytest.mark.parametrize("at_once", [4096, 128])
+def test_links_against_comparing_each_two(monkeypatch, at_once):
+    monkeypatch.setattr(packing, "AT_ONCE", at_once)
+    rng = np.random.default_rng(at_once)
+    idf = rng.random(60) + 0.1
+    buckets = np.repeat([5, 9, 11, 12], [1, 40, 300, 3])
+    sketches = [np.unique(rng.integers(0, 60, rng.integers(1, 9))).astype(np.uint32) for _ in buckets]
+    rows = pd.DataFrame({"bucket": buckets, "place": np.arange(len(buckets)), "sketch": [x.tobytes() for x in sketches]})
+    got = packing._links(SimpleNamespace(value=idf))(rows.sample(frac=1, random_state=1)).set_index("place")
+    met = {}
+    for bucket, some in rows.sort_values(["bucket", "sketch", "place"]).groupby("bucket"):
+        for at in range(0, len(some), packing.BUCKET):
+            chunk = some.place.iloc[at : at + packing.BUCKET].tolist()
+            for u in chunk:
+                weight = lambda x: idf[list(x)].sum()
+                best = max(
+                    (weight(set(sketches[u]) & set(sketches[v])) / np.sqrt(weight(sketches[u]) * weight(sketches[v]))
+                     for v in chunk if v != u), default=0,
+                )
+                assert got.share.get(u, 0.0) == pytest.approx(best)
+                met.setdefault((bucket, at), set()).update([got.home.get(u)] if best else [])
+    homes = [x for some in met.values() for x in some]
+    assert all(len(some) <= 1 for some in met.values()) and len(homes) == len(set(homes))
+
+
 def test_counts_of_long_documents_survive():
     for times in ([1, 2, 3], [70_000, 1], []):
         raw = packing.kept_times(np.array(times, np.int64))
