@@ -42,12 +42,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm.byte_bpe import portions
-from pricelake.llm.common import received, saved, sent, text_of
+from pricelake.llm.common import partitions, received, saved, sent, text_of
 from pricelake.llm.pretokens import ByteLevelBpe, read_vocabulary
 
 CHUNK = 32_768
 RANGE = 16_384
 ARITY = 8
+RANGES_A_TASK = 512
 MOST_SENT = 2_000_000
 COUNTED_AT_ONCE = 4_000_000  # pairs a task counts before it passes the counts on
 
@@ -451,12 +452,20 @@ def _align_long(texts: DataFrame, tools, lengths, chunk: int, size: int, arity:
         .select("row", "place", "base", "a", "b")
         .mapInArrow(_deal(lengths, size), DEALT)
     )
-    longest = encoded.groupBy("row").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0] or 0
-    found = dealt.groupBy("row", "at").applyInPandas(_fragments(lengths), FRAGMENT)
-    ranges = -(-longest // size)
+    sizes = encoded.groupBy("row").agg(F.sum("size").alias("n"))
+    sums = sizes.agg(F.max("n").alias("most"), F.sum(F.ceil(F.col("n") / size)).alias("ranges")).first()
+    tasks = partitions(texts.sparkSession, int(sums["ranges"] or 0), RANGES_A_TASK)
+    found = (
+        dealt.repartition(tasks, "row", "at")
+        .groupBy("row", "at")
+        .applyInPandas(_fragments(lengths), FRAGMENT)
+    )
+    ranges = -(-int(sums["most"] or 0) // size)
     while ranges > 1:
+        # the fragments that are composed hold as much text as before
         found = (
             found.withColumn("to", F.floor(F.col("at") / arity))
+            .repartition(tasks, "row", "to")
             .groupBy("row", "to")
             .applyInPandas(_compose(lengths), FRAGMENT)
         )
