@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,9 @@ _ALL_KNOWN = re.compile(f"[{_KNOWN}]*")
 _UNKNOWN = f"[^{_KNOWN}]"
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ"
 _NUMBER = "0-9²³¹¼½¾"
+_RUNS = r"|\s+(?!\S)|\s+"  # how a byte-level pattern ends: runs of white space but for their last
+_OTHER_SPACE = "\t\x0b\x0c\r"
+_SPACES = ("  ", " \n", "\n ", "\n\n")
 _WORD_LEVEL = (
     rf"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\t-\r\x20{_LETTER}{_NUMBER}]+)"
 )
@@ -46,19 +50,30 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def _library(vocabulary: str, plain: bool) -> tuple[Tokenizer, dict, tuple[str, ...]]:
-    """The library, the vocabulary as it is written, and the strings of its special tokens."""
-    library = Tokenizer.from_str(vocabulary)
-    library.encode_special_tokens = plain
-    spec = json.loads(vocabulary)
-    return library, spec, tuple(t["content"] for t in spec["added_tokens"])
+class _Own:
+    """A vocabulary and its own library, which is loaded when a text first needs it."""
+
+    def __init__(self, vocabulary: str, plain: bool) -> None:
+        self.vocabulary, self.plain = vocabulary, plain
+        self.spec = json.loads(vocabulary)
+        self.special = tuple(t["content"] for t in self.spec["added_tokens"])
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        library = Tokenizer.from_str(self.vocabulary)
+        library.encode_special_tokens = self.plain
+        return library
+
+    def ids(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
 
 
 class ByteLevelBpe:
     """Ids of a text by a byte-level vocabulary whose ids are in the order of its merges."""
 
     def __init__(self, vocabulary: str, pattern: str, plain: bool = False) -> None:
-        self.library, spec, special = _library(vocabulary, plain)
+        self.own = _Own(vocabulary, plain)
+        spec, special = self.own.spec, self.own.special
         self.special = () if plain else special
         alphabet = byte_alphabet()
         self.tokens = {
@@ -67,14 +82,21 @@ class ByteLevelBpe:
             if token not in special
         }
         self.size = max(spec["model"]["vocab"].values()) + 1
-        self.merges = tiktoken.Encoding(
+        self.merges = self._by(pattern)
+        # texts without runs of white space need no look-ahead, which a regex is slow at
+        single = pattern.removesuffix(_RUNS) + r"|\s"
+        self.quick = self._by(single) if pattern.endswith(_RUNS) else self.merges
+
+    def _by(self, pattern: str) -> tiktoken.Encoding:
+        return tiktoken.Encoding(
             "vocabulary", pat_str=pattern, mergeable_ranks=self.tokens, special_tokens={}
         )
 
     def ids(self, text: str) -> list[int]:
         if _ALL_KNOWN.fullmatch(text) and not any(s in text for s in self.special):
-            return self.merges.encode_ordinary(text)
-        return self.library.encode(text, add_special_tokens=False).ids
+            runs = any(s in text for s in _OTHER_SPACE) or any(s in text for s in _SPACES)
+            return (self.merges if runs else self.quick).encode_ordinary(text)
+        return self.own.ids(text)
 
     def __call__(self, text: str) -> np.ndarray:
         return np.asarray(self.ids(text), np.uint32)
@@ -102,7 +124,8 @@ class WordBpe:
     """
 
     def __init__(self, vocabulary: str, plain: bool = False) -> None:
-        self.library, spec, special = _library(vocabulary, plain)
+        self.own = _Own(vocabulary, plain)
+        spec, special = self.own.spec, self.own.special
         self.special = () if plain else special
         alphabet, mark = byte_alphabet(), spec["model"]["end_of_word_suffix"]
         ranks = {}
@@ -133,6 +156,5 @@ class WordBpe:
         begin = np.concatenate([[0], stop + 1])[: len(stop)]
         out = gathered(ids, begin, stop - begin, coded.indices, split.offsets)
         for i in np.flatnonzero(~known.to_numpy(zero_copy_only=False)):
-            whole = self.library.encode(texts[i].as_py(), add_special_tokens=False).ids
-            out[i] = np.asarray(whole, np.uint32)
+            out[i] = np.asarray(self.own.ids(texts[i].as_py()), np.uint32)
         return out
