@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import components, saved
-from pricelake.llm.vectors import doubles, matrix, unit, usable
+from pricelake.llm.vectors import cosines, doubles, matrix, unit, usable
 
 THRESHOLD = 0.93
 DESCRIPTION = 8  # nearest pivots that describe a vector
@@ -51,6 +51,7 @@ PIVOTS_PER_ROOT = 2  # pivots for the square root of the number of vectors
 LEAST_PIVOTS, MOST_PIVOTS = 32, 16_384
 WHOLE = 128  # classes of one length that are all compared, without pivots
 BLOCK = 512
+ROUNDING = 1e-9  # more than a product of unit vectors can be off
 
 
 def apart(threshold: float) -> float:
@@ -122,7 +123,8 @@ def _verify(threshold: float, shared: int) -> Callable:
         pivot = key[2]
         i = np.flatnonzero(pdf.side.to_numpy() != 1)
         j = np.flatnonzero(pdf.side.to_numpy() != 0)
-        vectors = unit(matrix(pdf.embedding))
+        whole = matrix(pdf.embedding)
+        vectors = unit(whole)
         numbers, flat = np.unique(np.concatenate(pdf.pivots.to_list()), return_inverse=True)
         member = np.zeros((len(pdf), len(numbers)), np.float32)
         member[np.repeat(np.arange(len(pdf)), pdf.pivots.map(len)), flat] = 1
@@ -131,7 +133,12 @@ def _verify(threshold: float, shared: int) -> Callable:
         earlier = member[:, numbers < pivot]
         candidate = (common >= min(shared, pdf.pivots.map(len).min())) & (earlier[i] @ earlier[j].T == 0)
         candidate &= i[:, None] != j[None] if key[3] != key[4] else i[:, None] < j[None]
-        linked = candidate & (vectors[i] @ vectors[j].T >= threshold)
+        product = vectors[i] @ vectors[j].T
+        linked = candidate & (product >= threshold)
+        # products depend on the block's shape in their last digits: such pairs one by one
+        x, y = np.nonzero(candidate & (np.abs(product - threshold) < ROUNDING))
+        if len(x):
+            linked[x, y] = cosines(whole[i[x]], whole[j[y]]) >= threshold
         near = np.zeros((len(pdf), len(pdf)), bool)
         near[np.ix_(i, j)] = linked
         size = pdf["size"].to_numpy()

@@ -98,6 +98,27 @@ def test_links_at_the_threshold(spark, folder):
     assert sum(have.values()) >= 0.9 * true > 0
 
 
+def test_pairs_within_rounding_of_the_threshold(spark, folder):
+    """Cosines that differ from 0.93 in the last digits only link alike in blocks of any shape."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for pair in range(60):
+        v, u = rng.normal(size=(2, 24))
+        v /= np.linalg.norm(v)
+        u -= (u @ v) * v
+        w = 0.93 * v + math.sqrt(1 - 0.93**2) * u / np.linalg.norm(u)
+        scale = 10.0 ** rng.integers(-3, 4, 2)
+        rows += [(2 * pair, (v * scale[0]).tolist(), pair), (2 * pair + 1, (w * scale[1]).tolist(), pair)]
+    docs = stored(spark, rows, "vec_id long, embedding array<double>, label int", folder)
+    want = {}
+    for (a, v, _), (b, w, _) in zip(rows[::2], rows[1::2], strict=True):
+        want[a] = want[b] = int(cosine(v, w) >= 0.93)
+    assert 10 < sum(want.values()) < 110
+    for block in (512, 3):
+        got = pivot_dedup.near_duplicates(docs, block=block).collect()
+        assert {r["vec_id"]: r["n_links"] for r in got} == want
+
+
 def test_a_dense_group_of_a_third_of_all_rows(spark, folder):
     """Near, not equal, vectors: nine of ten links are found however the group's noise is."""
     rng = np.random.default_rng(6)
