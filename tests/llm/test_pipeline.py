@@ -1,6 +1,7 @@
 import corpus_pipeline
-from pricelake.llm import pii, toxicity
+from pricelake.llm import line_chunks, pii, toxicity
 from tests.llm import test_line_chunks, test_ngram_join, test_packing
+from tests.llm.conftest import stored
 
 
 def test_stages_one_after_the_other(spark, sf_dir, folder):
@@ -35,6 +36,18 @@ def test_stages_one_after_the_other(spark, sf_dir, folder):
     test_packing.check(docs.collect(), texts["packing"], 1024)
 
 
+def test_line_dedup_cuts_copies_too(spark, sf_dir, folder):
+    """Of a copy, a near copy and a text half of which another one holds, only own lines stay."""
+    shared = [f"line {i} of a text that others hold in part or whole\n" for i in range(8)]
+    own = [f"line {i} that no other text holds, of some words\n" for i in range(8)]
+    texts = [shared, shared, [*own[:1], *shared[:7]], [*own[1:5], *shared[:4]], own[5:]]
+    docs = stored(spark, [(i, "".join(t)) for i, t in enumerate(texts)], "doc_id long, text string", folder)
+    got = dict(corpus_pipeline.dedup_lines(spark, docs, sf_dir).collect())
+    want = [shared, [], own[:1], own[1:5], own[5:]]
+    assert got == {i: "".join(t) for i, t in enumerate(want)}
+    assert got == dict(line_chunks.dedup_lines(docs).collect())
+
+
 def test_run_is_the_stages(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
