@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import pickle
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the query that wrote them ends, not with the driver's next GC."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts lineage, survives lost executors."""
+    """``df`` written to the shared folder and read again: cuts lineage, survives lost executors.
+
+    What was shuffled for it is not needed afterwards and leaves the disk at once.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -119,10 +119,11 @@ def chunks_of(docs: DataFrame, mean: int) -> DataFrame:
 def repeated_chunks(docs: DataFrame, chunks: DataFrame) -> DataFrame:
     """(row, from, to, source): the chunks of (row, doc_id, text) that an earlier row, ``source``, holds."""
     often = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    places = (
+    places = saved(
         chunks.join(often, "hash", "left_semi")
         .groupBy("row")
-        .agg(F.collect_list(F.struct("from", "to", "hash")).alias("places"))
+        .agg(F.collect_list(F.struct("from", "to", "hash")).alias("places")),
+        "places",
     )
 
     def texts(units: Column) -> Column:
@@ -194,11 +195,12 @@ def dedup_lines(docs: DataFrame, mean: int = MEAN, spare: float | None = None) -
     if spare is not None:
         later = saved(later, "later")
         later = later.join(_copies(later, chunks, spare), "row", "left_anti")
-    units = (
+    units = saved(
         later.select("row", F.explode(F.sequence("from", "to")).alias("unit"))
         .groupBy("row")
         .agg(F.collect_set("unit").alias("units"))
-        .toDF(row, gone)
+        .toDF(row, gone),
+        "units",
     )
     same = F.col(gone).isNull()
     kept = let(units_of(F.col("text")), lambda u: _without(u, F.col(gone)))

@@ -8,7 +8,7 @@ import xxhash
 from pricelake.llm import line_chunks
 from pricelake.llm.queries import op5_line_dedup
 from tests.conftest import plan
-from tests.llm.conftest import stored
+from tests.llm.conftest import left_on_disk, shuffled, stored
 
 SCHEMA = "doc_id long, text string, n_chars int, row long, places array<int>"
 WHITE = " \t\n\r\x0b\x0c"
@@ -171,6 +171,16 @@ def test_empty_table_and_no_python(spark, folder):
     assert got.count() == 0 and "Python" not in plan(got) and "Arrow" not in plan(got)
 
 
+def test_only_the_last_join_shuffles_when_the_result_is_read(spark, folder):
+    """What is shuffled on the way leaves the disk before the texts are shuffled again."""
+    docs = stored(spark, [(i, t, 0, 0, []) for i, t in enumerate(texts())], SCHEMA, folder)
+    before = shuffled(spark)
+    got = line_chunks.dedup_lines(docs)
+    assert not left_on_disk(spark, before)
+    assert plan(got).count("Exchange") <= 2
+    assert got.count() == docs.count()
+
+
 def test_query(spark, sf_dir):
     docs = [tuple(r)[:2] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     want = {d: t for (d, _), t in zip(docs, brute(docs), strict=True)}
