@@ -3,10 +3,13 @@ import re
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from pricelake.llm import ngram_join
+from pricelake.llm.common import saved
 from pricelake.llm.queries import op9_ngram_jaccard
 from pricelake.llm.shingles import Shingler
-from tests.llm.conftest import stored
+from tests.llm.conftest import left_on_disk, shuffled, stored
 
 SCHEMA = "doc_id long, text string, row string, key int, ref string"
 
@@ -96,6 +99,17 @@ def test_one_of_each_group_stays(spark, folder):
     }
 
 
+def test_shuffles_of_a_saved_table_leave_the_disk(spark):
+    """The join saves a table after each of its many shuffles."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(spark), spark.conf.get(setting)
+    pairs = spark.range(5000).select((F.col("id") % 999).alias("a"), "id").groupBy("a").agg(F.max("id").alias("b"))
+    table = saved(pairs, "pairs")
+    assert not left_on_disk(spark, before)
+    assert table.count() == 999 and saved(table.union(pairs), "both").count() == 1998
+    assert spark.conf.get(setting) == was
+
+
 def test_empty_table(spark, folder):
     docs = stored(spark, [], SCHEMA, folder)
     assert ngram_join.jaccard_components(docs).count() == 0
