@@ -35,7 +35,6 @@ gives no rows.
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -72,9 +71,26 @@ def id_kind(size: int) -> type:
 
 def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The terms of a document, whose end id is none, and how often each occurs."""
-    terms = np.sort(ids[:-1], kind="stable")  # 16-bit numbers are sorted by radix
-    first = np.flatnonzero(np.concatenate([np.ones(min(len(terms), 1), bool), terms[1:] != terms[:-1]]))
-    return terms[first], np.diff(np.append(first, len(terms)))
+    terms, times = counted_each([ids])
+    return terms[0], times[0]
+
+
+def counted_each(docs: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The terms of each document, and how often each of them occurs in it."""
+    if not docs:
+        return [], []
+    terms = [np.sort(x[:-1], kind="stable") for x in docs]  # 16-bit numbers are sorted by radix
+    ends = np.cumsum([len(x) for x in terms])
+    terms = np.concatenate(terms)
+    begin = np.concatenate([[0], ends[:-1]])
+    new = np.ones(len(terms), bool)
+    np.not_equal(terms[1:], terms[:-1], out=new[1:])
+    new[begin[begin < ends]] = True
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(terms)))
+    terms, cuts = terms[first], np.searchsorted(first, np.append(begin, len(new))).tolist()
+    own = [slice(a, z) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [terms[x] for x in own], [times[x] for x in own]
 
 
 def kept_times(times: np.ndarray) -> bytes:
@@ -85,11 +101,6 @@ def read_times(raw: bytes, terms: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint16 if len(raw) == 2 * terms else np.uint32)
 
 
-def _with_end(ids: list[int]) -> np.ndarray:
-    ids.append(END_ID)
-    return np.frombuffer(array("I", ids), np.uint32)
-
-
 def _tokenize(vocabulary, pattern: str, window: int) -> Callable:
     """Each document's length, the checksums of its full windows, its tail's ids, its terms.
 
@@ -98,25 +109,26 @@ def _tokenize(vocabulary, pattern: str, window: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = ByteLevelBpe(vocabulary.value, pattern)
-        kind = id_kind(encode.size)
+        kind, end = id_kind(encode.size), np.array([END_ID], np.uint32)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
             for part in portions(texts):
-                ids = [_with_end(encode.ids(text)) for text in texts[part]]
+                ids = [np.concatenate([encode(text), end]) for text in texts[part]]
                 full = [len(x) // window * window for x in ids]
                 sums = [
                     [zlib.crc32(x[a : a + window]) for a in range(0, n, window)]
                     for x, n in zip(ids, full, strict=True)
                 ]
-                terms = [counted(x.astype(kind)) for x in ids]
-                times = [kept_times(t) if n else b"" for (_, t), n in zip(terms, full, strict=True)]
+                kept = [x.astype(kind) for x in ids]
+                terms, times = counted_each(kept)
+                times = [kept_times(t) if n else b"" for t, n in zip(times, full, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         doc_ids.slice(part.start, part.stop - part.start),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array(sums, pa.list_(pa.int64())),
-                        pa.array([x[n:].astype(kind).tobytes() for x, n in zip(ids, full, strict=True)], pa.binary()),
-                        pa.array([t.tobytes() for t, _ in terms], pa.binary()),
+                        pa.array([x[n:].tobytes() for x, n in zip(kept, full, strict=True)], pa.binary()),
+                        pa.array([t.tobytes() for t in terms], pa.binary()),
                         pa.array(times, pa.binary()),
                     ],
                     names=[x.split()[0] for x in _TOKENS.split(", ")],
@@ -160,16 +172,22 @@ def _routes(idf, draws, kind: type) -> Callable:
     """Of each document the terms it draws, and its rarest terms among those that others hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = draws.value
+        shared = np.isfinite(order[0])
+        rarest = np.argsort(-idf.value, kind="stable").astype(np.uint32)
+        rank = np.empty_like(rarest)
+        rank[rarest] = np.arange(len(rarest), dtype=np.uint32)
         for batch in batches:
             out = []
             for place, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 terms = np.frombuffer(raw, kind).astype(np.uint32)
-                order = draws.value[:, terms]
-                shared = np.isfinite(order[0])
-                terms, order = terms[shared], order[:, shared]
+                terms = terms[shared[terms]]
                 if len(terms):
-                    rare = np.sort(np.argsort(-idf.value[terms], kind="stable")[:SKETCH])
-                    out.append((place, terms[order.argmin(axis=1)].tobytes(), terms[rare].tobytes()))
+                    drawn = terms[order.take(terms, axis=1).argmin(axis=1)]
+                    rare = rank[terms]
+                    if len(rare) > SKETCH:
+                        rare = np.partition(rare, SKETCH)[:SKETCH]
+                    out.append((place, drawn.tobytes(), np.sort(rarest[rare]).tobytes()))
             columns = zip(*out, strict=True) if out else [[], [], []]
             kinds = (pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -232,17 +250,16 @@ def _buckets(often) -> Callable:
     return run
 
 
-def best_shares(chunk: np.ndarray, sketches: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+def best_shares(chunk: np.ndarray, sketches: list[bytes], idf: np.ndarray) -> np.ndarray:
     """How much of its terms' weight each document shares with the best other one of its chunk.
 
     Chunks, of at most ``BUCKET`` documents each, follow one another.
     """
     n = len(chunk)
-    sizes = np.array([len(x) for x in sketches])
-    owner = np.repeat(np.arange(n), sizes)
+    terms = _ids(b"".join(sketches)).astype(np.int64)
+    owner = np.repeat(np.arange(n), [len(x) // 4 for x in sketches])
     number = np.cumsum(np.concatenate([[0], chunk[1:] != chunk[:-1]]))
     start = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))[number]
-    terms = np.concatenate(sketches).astype(np.int64)
     key = number[owner] * len(idf) + terms
     order = np.argsort(key, kind="stable")
     key, owner = key[order], owner[order]
@@ -267,12 +284,18 @@ def _links(idf) -> Callable:
     """Each document of a bucket with the share of the one of that bucket that it shares most with."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        # of a bucket that is larger those compared are neighbours by their rarest terms
-        rows = rows.sort_values(["bucket", "sketch", "place"])
         place, sketch, bucket = (rows[c].to_numpy() for c in ("place", "sketch", "bucket"))
         n = len(rows)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
         first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
-        inside = np.arange(n) - np.flatnonzero(first)[np.cumsum(first) - 1]
+        begin = np.flatnonzero(first)
+        inside = np.arange(n) - begin[np.cumsum(first) - 1]
+        # of a bucket that is larger those compared are neighbours by their rarest terms
+        for a, size in zip(begin, np.diff(np.append(begin, n)), strict=True):
+            if size > BUCKET:
+                order[a : a + size] = sorted(order[a : a + size], key=lambda x: (sketch[x], place[x]))
+        place, sketch = place[order], sketch[order]
         part = inside // BUCKET
         chunk = np.cumsum(inside % BUCKET == 0)
         share = np.zeros(n)
@@ -280,7 +303,7 @@ def _links(idf) -> Callable:
         while at < n:  # whole chunks, a bounded number of them at a time
             end = n if n - at <= AT_ONCE else int(np.searchsorted(chunk, chunk[at + AT_ONCE]))
             some = slice(at, end)
-            share[some] = best_shares(chunk[some], [_ids(x) for x in sketch[some]], idf.value)
+            share[some] = best_shares(chunk[some], sketch[some].tolist(), idf.value)
             at = end
         near = share > 0
         home = _mixed(bucket[near].view(np.uint64), part[near]).view(np.int64)
@@ -394,10 +417,10 @@ class Index:
         row = self.row[terms]
         return sparse + self.rows[row[row >= 0]].sum(axis=0)
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """The documents that share a term with the seed, best first, ties by place; the seed too."""
+    def neighbours(self, seed: int, among: np.ndarray | bool = True) -> np.ndarray:
+        """Those documents that share a term with the seed, best first, ties by place; the seed too."""
         score = self.scores(seed)
-        found = np.flatnonzero(score > 0)
+        found = np.flatnonzero((score > 0) & among)
         return found[np.argsort(-score[found], kind="stable")]
 
 
@@ -418,9 +441,8 @@ def pack_tails(sizes: np.ndarray, index: Index, window: int) -> Iterator[list[tu
             break
         seed = longest[at]
         sequence, room = [], window
-        rest = used < sizes
-        found = index.neighbours(seed)
-        found = found[rest[found] & (found != seed)]
+        found = index.neighbours(seed, used < sizes)
+        found = found[found != seed]
         # of the best ones as many as fill the window
         enough = np.searchsorted(np.cumsum((sizes - used)[found]), window - sizes[seed] + used[seed]) + 1
         turn = iter((seed, *found[:enough].tolist()))
@@ -462,17 +484,12 @@ def _pack_shard(idf, mean: float, window: int, kind: type) -> Callable:
             shard.column(c).to_pylist() for c in ("doc_id", "doc_tokens", "place")
         )
         tails = [np.frombuffer(x, kind).astype("<u4") for x in shard.column("tail").to_pylist()]
-        terms, times = [], []
-        for tail, n, raw, often in zip(
-            tails, tokens, shard.column("terms").to_pylist(), shard.column("times").to_pylist(), strict=True
-        ):
-            if n < window:
-                own, count = counted(tail.astype(kind))
-            else:
-                own = np.frombuffer(raw, kind)
-                count = read_times(often, len(own))
-            terms.append(own)
-            times.append(count)
+        raws, often = (shard.column(c).to_pylist() for c in ("terms", "times"))
+        terms, times = counted_each([np.frombuffer(x, kind) for x in shard.column("tail").to_pylist()])
+        for doc, n in enumerate(tokens):
+            if n >= window:
+                terms[doc] = np.frombuffer(raws[doc], kind)
+                times[doc] = read_times(often[doc], len(terms[doc]))
         sizes = np.array([len(t) for t in tails])
         index = Index(terms, times, idf.value, mean)
         out: list[list] = [[] for _ in range(7)]

@@ -75,31 +75,48 @@ class ByteLevelBpe:
         self.own = _Own(vocabulary, plain)
         spec, special = self.own.spec, self.own.special
         self.special = () if plain else special
-        alphabet = byte_alphabet()
+        self.pattern = pattern
+        alphabet = str.maketrans({c: chr(b) for c, b in byte_alphabet().items()})
         self.tokens = {
-            bytes(alphabet[c] for c in token): rank
+            token.translate(alphabet).encode("latin-1"): rank
             for token, rank in spec["model"]["vocab"].items()
             if token not in special
         }
         self.size = max(spec["model"]["vocab"].values()) + 1
-        self.merges = self._by(pattern)
-        # texts without runs of white space need no look-ahead, which a regex is slow at
-        single = pattern.removesuffix(_RUNS) + r"|\s"
-        self.quick = self._by(single) if pattern.endswith(_RUNS) else self.merges
 
     def _by(self, pattern: str) -> tiktoken.Encoding:
+        # without any special token ``encode_to_numpy`` stops at every character; NUL is not known
         return tiktoken.Encoding(
-            "vocabulary", pat_str=pattern, mergeable_ranks=self.tokens, special_tokens={}
+            "vocabulary", pat_str=pattern, mergeable_ranks=self.tokens, special_tokens={"\0": self.size}
         )
 
+    @cached_property
+    def merges(self) -> tiktoken.Encoding:
+        return self._by(self.pattern)
+
+    @cached_property
+    def quick(self) -> tiktoken.Encoding:
+        """Texts without runs of white space need no look-ahead, which a regex is slow at."""
+        if not self.pattern.endswith(_RUNS):
+            return self.merges
+        return self._by(self.pattern.removesuffix(_RUNS) + r"|\s")
+
+    def _merging(self, text: str) -> tiktoken.Encoding | None:
+        """What merges the text here, None if the library is to encode it."""
+        if not _ALL_KNOWN.fullmatch(text) or any(s in text for s in self.special):
+            return None
+        runs = any(s in text for s in _OTHER_SPACE) or any(s in text for s in _SPACES)
+        return self.merges if runs else self.quick
+
     def ids(self, text: str) -> list[int]:
-        if _ALL_KNOWN.fullmatch(text) and not any(s in text for s in self.special):
-            runs = any(s in text for s in _OTHER_SPACE) or any(s in text for s in _SPACES)
-            return (self.merges if runs else self.quick).encode_ordinary(text)
-        return self.own.ids(text)
+        merging = self._merging(text)
+        return merging.encode_ordinary(text) if merging else self.own.ids(text)
 
     def __call__(self, text: str) -> np.ndarray:
-        return np.asarray(self.ids(text), np.uint32)
+        merging = self._merging(text)
+        if merging:  # without a Python number for each id
+            return merging.encode_to_numpy(text, disallowed_special=())
+        return np.asarray(self.own.ids(text), np.uint32)
 
 
 def gathered(

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 import public_tokenizers as tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -84,6 +85,52 @@ def test_ids_are_the_librarys(spark, sf_dir):
         assert [*encode(text or "").tolist(), 0] == ids.tolist()
 
 
+def test_tokenising_makes_no_python_numbers_and_no_pattern_it_does_not_need(monkeypatch):
+    encode = ByteLevelBpe(read_vocabulary(PATH), tokenizers.PATTERN)
+    monkeypatch.setattr(encode, "ids", None)
+    plain = ["", " ", "plain text, it's 2 lines\nand naïve ", "x" * 3000]
+    for text, ids in zip(plain, library(plain), strict=True):
+        assert [*encode(text).tolist(), 0] == ids.tolist()
+    assert "merges" not in vars(encode) and "library" not in vars(encode.own)
+    odd = ["runs  of \t spaces \n\n", "a NUL \0 inside", "<|endoftext|> in a text", "\0", "日本語 🙂"]
+    for text, ids in zip(odd, library(odd), strict=True):
+        assert [*encode(text).tolist(), 0] == ids.tolist()
+
+
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32])
+def test_terms_of_many_documents_at_once(kind):
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 9, n).tolist() for n in (0, 5, 0, 0, 40, 1, 1, 0)] + [[3], [3, 3], [4]]
+    terms, times = packing.counted_each([np.array([*d, 0], kind) for d in docs] + [np.zeros(0, kind)])
+    for doc, own, often in zip([*docs, []], terms, times, strict=True):
+        assert own.dtype == kind and dict(zip(own.tolist(), often.tolist(), strict=True)) == Counter(doc)
+        assert own.tolist() == sorted(set(doc))
+    assert packing.counted_each([]) == ([], [])
+
+
+def test_routes_against_sorting_each_document():
+    """Drawn: the least number of each round; sketch: the rarest terms, equal ones by id."""
+    rng = np.random.default_rng(6)
+    df = rng.integers(1, 6, 300)  # many equally rare
+    idf = np.log1p(50 / df)
+    draws = packing._draws(idf, df)
+    docs = [np.sort(rng.choice(300, n, replace=False)) for n in (0, 1, 20, 24, 25, 26, 200, 300)]
+    batch = pa.record_batch(
+        [pa.array(range(len(docs)), pa.int64()), pa.array([d.astype(np.uint16).tobytes() for d in docs])],
+        names=["place", "terms"],
+    )
+    run = packing._routes(SimpleNamespace(value=idf), SimpleNamespace(value=draws), np.uint16)
+    got = {r["place"]: r for out in run(iter([batch])) for r in out.to_pylist()}
+    for place, doc in enumerate(docs):
+        shared = [t for t in doc.tolist() if df[t] > 1]
+        assert (place in got) == bool(shared)
+        if shared:
+            rarest = sorted(shared, key=lambda t: (-idf[t], t))[: packing.SKETCH]
+            assert packing._ids(got[place]["sketch"]).tolist() == sorted(rarest)
+            drawn = [min(shared, key=lambda t: draws[k, t]) for k in range(packing.ROUNDS)]
+            assert packing._ids(got[place]["drawn"]).tolist() == drawn
+
+
 def plain_bm25(docs, idf, mean):
     """Scores of each document for all terms of each other one that two documents hold."""
     holders = Counter(t for d in docs for t in set(d))
