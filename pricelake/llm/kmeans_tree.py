@@ -30,6 +30,7 @@ whatever their names; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -246,6 +247,24 @@ def calibrate(trees: dict[int, Tree], truth: pd.DataFrame, queries: pd.DataFrame
     return least
 
 
+def first_by_hash(rows: DataFrame, n: int) -> pd.DataFrame:
+    """The ``n`` rows whose ``row`` comes first by its hash; all of them where there are fewer.
+
+    Each task would send its own first ``n``. So rows are cut off first at a hash that little
+    more than ``n`` of all rows lie below, and later at higher ones if fewer lie there.
+    """
+    order = F.xxhash64("row")
+    total = rows.count()
+    wanted = n + 8 * math.isqrt(n) + 16
+    while True:
+        below = -(2**63) + 2**64 * wanted // max(total, 1)
+        least = rows if wanted >= total else rows.where(order < F.lit(below))
+        out = least.orderBy(order, "row").limit(n).toPandas()
+        if len(out) == min(n, total):
+            return out
+        wanted *= 2
+
+
 def nearest(
     rows: DataFrame, is_query: str, k: int = K, recall: float = RECALL, sample: int = SAMPLE
 ) -> DataFrame:
@@ -261,8 +280,7 @@ def nearest(
         "embedding",
     )
     valid = saved(valid.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    some = lambda df, n: df.orderBy(F.xxhash64("row"), "row").limit(n).toPandas()
-    trees = fit(some(valid.select("row", "embedding"), sample))
+    trees = fit(first_by_hash(valid.select("row", "embedding"), sample))
     shared_trees = sent(spark, trees)
     columns = "asks boolean, vec_id long, embedding array<double>, row long, leaf long"
     indexed = saved(valid.mapInPandas(_assign(shared_trees), columns), "indexed")
@@ -270,7 +288,7 @@ def nearest(
     counts = indexed.groupBy(dim, "leaf").agg(F.count("*").alias("n")).toPandas()  # nodes of the trees
     sizes = {int(d): dict(zip(g.leaf.tolist(), g.n.tolist(), strict=True)) for d, g in counts.groupby("dim")}
     asking = indexed.where("asks").drop("asks", "leaf")
-    probes = some(asking, CALIBRATION)
+    probes = first_by_hash(asking, CALIBRATION)
     truth = _ranked(
         indexed.mapInPandas(_all_rows(sent(spark, probes), k), FOUND), k
     )

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pricelake.llm import kmeans_tree, pivot_dedup
 from pricelake.llm.queries import op1_embedding_near_dedup, op7_nearest
@@ -215,6 +216,41 @@ def test_fewer_rows_than_asked_for(spark, folder):
     assert got[0][0][0] == -cosine([1, 0], [1, 1])
 
 
+def test_the_sample_reaches_the_driver_once_not_once_a_task(spark, folder):
+    """With 12 files of 600 vectors each, the first 500 of every file would be 3 MB."""
+    rng = np.random.default_rng(13)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(7200, 64)))]
+    path = f"{folder}/table"
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(12).write.parquet(path)
+    settings = {"spark.sql.files.openCostInBytes": "128m", "spark.sql.autoBroadcastJoinThreshold": "256k"}  # a task a file
+    live, limit = spark.sparkContext._jsc.sc().conf(), "spark.driver.maxResultSize"
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        live.set(limit, "1500k")
+        got = by_query(kmeans_tree.nearest(spark.read.parquet(path), "vec_id < 40", sample=500).collect())
+    finally:
+        live.remove(limit)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {i: brute_nearest(rows, i) for i in range(40)}
+    assert set(got) == set(want)
+    assert recall(got, want) >= 0.9
+
+
+def test_first_by_hash_takes_the_same_rows_as_a_sort(spark):
+    numbers = spark.range(5000).select(F.col("id").alias("row")).repartition(7)
+    for n in (1, 30, 4990, 5000, 9000):
+        want = [r["row"] for r in numbers.orderBy(F.xxhash64("row"), "row").limit(n).collect()]
+        assert kmeans_tree.first_by_hash(numbers, n).row.tolist() == want
+    # row numbers that repeat, all of them above any cut: it goes up until enough are there
+    last = numbers.orderBy(F.xxhash64("row").desc()).limit(1).first()["row"]
+    same = spark.range(900).select(F.lit(last).alias("row"))
+    assert kmeans_tree.first_by_hash(same, 30).row.tolist() == [last] * 30
+    assert kmeans_tree.first_by_hash(same.where("row is null"), 30).empty
+
+
 def test_op1_query_against_brute_force(spark, sf_dir):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     links = brute_links(rows)
