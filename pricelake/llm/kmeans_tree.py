@@ -11,11 +11,14 @@
   share of them that lie in visited leaves reaches ``recall``. A query also goes on
   until its leaves hold ``k`` rows besides itself, so all rows are found where they are
   fewer.
-* Small neighbouring leaves share a bin of at most ``ROW_BLOCK`` rows; a larger leaf is a
-  bin of several blocks. Visits are joined with the bins' rows in blocks on both sides, so
-  neither a large leaf nor a leaf that many queries visit is gathered in one task, and a
-  query's vector is sent once for each block it meets. Each block compares all its rows
-  and returns the best ``k`` of each query.
+* Small neighbouring leaves share a bin of at most ``ROW_BLOCK`` rows, and a query visits
+  whole bins. For the search, neighbouring bins make up a part; a bin larger than a part is
+  dealt to several. Each row goes to one part, each query once to every part in which it
+  visits a bin, with a bit for each bin. A part holds as many rows as there are queries, so
+  queries sent outweigh rows only where a part's memory (``PART``) or the least number of
+  tasks limits it. A task holds one part's rows and lets the queries stream past.
+* Blocks of queries and bins are compared in single precision; what may be among the best
+  ``k`` within the rounding of that is compared again in double precision.
 
 Nearness is the cosine in double precision on the original vectors, the same for equal
 vectors wherever they lie; ties go to the smaller vec_id.
@@ -36,8 +39,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from pricelake.llm.common import received, saved, sent
 from pricelake.llm.vectors import cosines, doubles, matrix, unit, usable
@@ -49,7 +55,10 @@ CALIBRATION = 256  # queries that the number of visits is calibrated on
 BRANCH = 16
 LEAF_SAMPLE = 64
 ITERATIONS = 8
-ROW_BLOCK, QUERY_BLOCK = 2048, 1024
+ROW_BLOCK, QUERY_BLOCK = 2048, 2048
+TILE, PIECES, PIECE = 512, 8, 256  # queries and pieces that are compared at once, rows of a piece
+PART = 2**24  # components of the rows that a task holds
+UNIT_BLOCK = 2**20  # components that are scaled or compared in double precision at once
 NO_ID = 2**63 - 1  # sorts rows without vec_id last
 
 
@@ -97,15 +106,55 @@ class Tree:
                 for similarity, child in zip(near.tolist(), self.children[node].tolist(), strict=True):
                     heapq.heappush(queue, (-similarity, child))
 
-    def visits(self, query: np.ndarray, least: int, sizes: dict[int, int], rows: int) -> list[int]:
-        """The first ``least`` leaves, and further ones until they hold ``rows`` rows."""
-        out, held = [], 0
-        for leaf in self.walk(query):
-            if len(out) >= least and held >= rows:
-                break
-            out.append(leaf)
-            held += sizes.get(leaf, 0)
-        return out
+    def leaves(self) -> np.ndarray:
+        return np.array([n for n, below in enumerate(self.children) if not len(below)], np.int64)
+
+    def paths(self) -> tuple[np.ndarray, np.ndarray]:
+        """All centres, and for each leaf the numbers of those on its way, root first, -1 behind the last."""
+        ways, centres, todo = {}, [np.zeros((0, self.centres[0].shape[1]))], [(0, [])]
+        below = 0
+        while todo:
+            node, way = todo.pop()
+            if not len(self.children[node]):
+                ways[node] = way
+            centres.append(self.centres[node])
+            for i, child in enumerate(self.children[node].tolist()):
+                todo.append((child, [*way, below + i]))
+            below += len(self.children[node])
+        out = np.full((len(ways), max(1, *map(len, ways.values())) if len(ways) > 1 else 1), -1, np.int64)
+        for i, leaf in enumerate(sorted(ways)):
+            out[i, : len(ways[leaf])] = ways[leaf]
+        return np.concatenate(centres), out
+
+
+def first_in_walk(near: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` leaves of the walk of each query, as a mask.
+
+    ``near``: similarities of the centres on each leaf's way (queries x leaves x depth, infinite
+    behind the last). A node comes out of the queue when no better one is left, so leaves come
+    out by the least similarity on their way; those that share it lie below the node that has it
+    and come out by the least one further down, and so on.
+    """
+    least = near.min(axis=2)
+    leaves = least.shape[1]
+    if n >= leaves:
+        return np.ones(least.shape, bool)
+    last = np.partition(least, leaves - n, axis=1)[:, leaves - n, None]
+    out = least > last
+    level = least == last
+    missing = n - out.sum(axis=1)
+    whole = level.sum(axis=1) == missing
+    out[whole] |= level[whole]
+    for q in np.flatnonzero(~whole):
+        among = np.flatnonzero(level[q])
+        way, keys = near[q, among], []
+        depth = np.arange(way.shape[1])
+        for _ in depth:
+            keys.append(-way.min(axis=1))
+            lowest = depth[-1] - way[:, ::-1].argmin(axis=1)
+            way = np.where(depth <= lowest[:, None], np.inf, way)
+        out[q, among[np.lexsort(keys[::-1])[: missing[q]]]] = True
+    return out
 
 
 def kmeans(points: np.ndarray, k: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -129,21 +178,35 @@ def fit(sample: pd.DataFrame) -> dict[int, Tree]:
     return trees
 
 
-def _by_dim(batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
-    dims = batch.embedding.map(len).to_numpy()
+def _by_dim(vectors: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, places and matrix of the vectors of each length."""
+    dims = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
     for dim in np.unique(dims):
-        yield int(dim), np.flatnonzero(dims == dim)
+        rows = np.flatnonzero(dims == dim)
+        own = vectors if len(rows) == len(dims) else vectors.take(pa.array(rows))
+        yield int(dim), rows, own.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), dim)
+
+
+def _leaf_of(trees: dict[int, Tree], dim: int, x: np.ndarray) -> np.ndarray:
+    """-1 for vectors of a length that the sample does not hold."""
+    return trees[dim].leaf_of(unit(x.astype(np.float64))) if dim in trees else np.full(len(x), -1, np.int64)
 
 
-def _assign(trees) -> Callable:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+LEAVES = "dim int, leaf long, n long, asking long"
+
+
+def _leaves(trees) -> Callable:
+    """Rows and queries of each leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(trees)
         for batch in batches:
-            leaf = np.full(len(batch), -1, np.int64)
-            for dim, rows in _by_dim(batch):
-                if dim in own:
-                    leaf[rows] = own[dim].leaf_of(unit(matrix(batch.embedding.iloc[rows])))
-            yield batch.assign(leaf=leaf)
+            asks = batch["asks"].to_numpy(zero_copy_only=False)
+            for dim, rows, x in _by_dim(batch["embedding"]):
+                leaf, at = np.unique(_leaf_of(own, dim, x), return_inverse=True)
+                n, asking = np.bincount(at), np.bincount(at, weights=asks[rows]).astype(np.int64)
+                columns = [np.full(len(leaf), dim, np.int32), leaf, n, asking]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["dim", "leaf", "n", "asking"])
 
     return run
 
@@ -159,70 +222,267 @@ def bins_of(sizes: dict[int, int], block: int) -> dict[int, int]:
     return out
 
 
-def _visits(trees, least, sizes, bins, rows: int) -> Callable:
-    """Adds the bins that each query visits."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by_dim, held, bin_of = received(trees), received(sizes), received(bins)
-        for batch in batches:
-            visited = []
-            for v in batch.embedding:
-                d = len(v)
-                tree, own = by_dim.get(d), held.get(d, {})
-                leaves = own
-                if tree:
-                    leaves = tree.visits(unit(np.array(v)[None])[0], least[d], own, rows)
-                visited.append(sorted({bin_of[d][leaf] for leaf in leaves if leaf in own}))
-            yield batch.assign(bins=visited)
+@dataclass
+class Layout:
+    """Where rows and queries of one vector length go."""
+
+    leaves: np.ndarray  # sorted; those that hold rows
+    sizes: np.ndarray  # their rows
+    bins: np.ndarray  # their bins
+    first: np.ndarray  # of each bin: its first part, the number of its parts, its place in them
+    parts: np.ndarray
+    place: np.ndarray
+    spans: list[tuple[int, int, int]]  # number, first bin and the bin behind the last of each part
+    least: int  # leaves that a query visits
+
+
+def layout_of(sizes: dict[int, int], least: int, part_rows: int, number: int) -> Layout:
+    """Parts are numbered from ``number`` on."""
+    leaves = np.array(sorted(sizes), np.int64)
+    bin_of = bins_of(sizes, ROW_BLOCK)
+    bins = np.array([bin_of[leaf] for leaf in leaves.tolist()])
+    rows = np.array([sizes[leaf] for leaf in leaves.tolist()])
+    held = np.bincount(bins, weights=rows).astype(np.int64).tolist()
+    first, parts, place, spans, room = [], [], [], [], 0
+    for b, n in enumerate(held):
+        if n > room:
+            parts.append(max(1, -(-n // part_rows)))
+            first.append(number)
+            spans += [(number + i, b, b + 1) for i in range(parts[-1])]
+            number += parts[-1]
+            room = part_rows - n if parts[-1] == 1 else 0
+            place.append(0)
+        else:
+            room -= n
+            parts.append(1)
+            first.append(spans[-1][0])
+            place.append(b - spans[-1][1])
+            spans[-1] = (*spans[-1][:2], b + 1)
+    return Layout(leaves, rows, bins, np.array(first), np.array(parts), np.array(place), spans, least)
+
+
+def _bins_visited(tree: Tree | None, layout: Layout, x: np.ndarray, rows: int) -> np.ndarray:
+    """Queries x bins: the first ``least`` leaves, and further ones until they hold ``rows`` rows."""
+    out = np.zeros((len(x), int(layout.bins[-1]) + 1), bool)
+    if tree is None:
+        return ~out
+    x = unit(x.astype(np.float64))
+    centres, ways = tree.paths()
+    at = np.searchsorted(tree.leaves(), layout.leaves)
+    for lo in range(0, len(x), 64):
+        near = np.concatenate([x[lo : lo + 64] @ centres.T, np.full((len(x[lo : lo + 64]), 1), np.inf)], axis=1)[:, ways]
+        n = layout.least
+        left = np.arange(len(near))
+        while len(left):  # nearly always once
+            visited = first_in_walk(near[left], n)[:, at]
+            enough = (visited @ layout.sizes >= rows) | (n >= len(ways))
+            q, leaf = np.nonzero(visited[enough])
+            out[lo + left[enough][q], layout.bins[leaf]] = True
+            left, n = left[~enough], n + 1
+    return out
 
-    return run
 
+def _placed(trees, layouts, k: int, schema: pa.Schema) -> Callable:
+    """Each row for its part, each query for the parts in which it visits a bin."""
 
-def best_of_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The best k rows of the block for each query; both hold vectors of one length."""
-    x, y = matrix(queries.embedding), matrix(rows.embedding)
-    near = unit(x) @ unit(y).T
-    own = queries.row.to_numpy()[:, None] == rows.row.to_numpy()[None]
-    near[own] = -np.inf
-    n = min(k, near.shape[1])
-    cut = np.partition(near, -n, axis=1)[:, -n] - 1e-9  # no true one of the best k is below
-    i, j = np.nonzero((near >= np.maximum(cut, -2)[:, None]) & ~own)
-    out = pd.DataFrame(
-        {
-            "query": queries.row.to_numpy()[i],
-            "query_id": queries.vec_id.to_numpy()[i],
-            "vec_id": rows.vec_id.to_numpy()[j],
-            "row": rows.row.to_numpy()[j],
-            "leaf": rows.leaf.to_numpy()[j],  # which calibration needs
-            "score": cosines(x[i], y[j]),
-        }
-    )
-    out = out.sort_values(["query", "score", "vec_id", "row"], ascending=[True, False, True, True])
-    return out.groupby("query", sort=False).head(k)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_dim, own = received(trees), received(layouts)
 
+        def out(batch, rows, part, kind, place, bits):
+            some = batch.take(pa.array(rows))
+            n = len(rows)
+            columns = [
+                pa.array(np.broadcast_to(part, n).astype(np.int64)),
+                pa.array(np.full(n, kind, np.int32)),
+                pa.array(np.broadcast_to(place, n).astype(np.int32)),
+                pa.nulls(n, pa.binary()) if bits is None else pa.array([b.tobytes() for b in bits], pa.binary()),
+                *(some[c] for c in ("vec_id", "row", "embedding")),
+            ]
+            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-FOUND = "query long, query_id long, vec_id long, row long, leaf long, score double"
+        for batch in batches:
+            asks = batch["asks"].to_numpy(zero_copy_only=False)
+            row = batch["row"].to_numpy()
+            for dim, rows, x in _by_dim(batch["embedding"]):
+                if dim not in own:  # nobody asks
+                    continue
+                layout = own[dim]
+                at = np.searchsorted(layout.leaves, _leaf_of(by_dim, dim, x)).clip(max=len(layout.leaves) - 1)
+                b = layout.bins[at]
+                mixed = (row[rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                part = layout.first[b] + (mixed % layout.parts[b].astype(np.uint64)).astype(np.int64)
+                yield out(batch, rows, part, 0, layout.place[b], None)
+                asking = np.flatnonzero(asks[rows])
+                if not len(asking):
+                    continue
+                visited = _bins_visited(by_dim.get(dim), layout, x[asking], k + 1)
+                for number, lo, hi in layout.spans:
+                    there = visited[:, lo:hi].any(axis=1)
+                    if there.any():
+                        yield out(batch, rows[asking[there]], number, 1, -1, np.packbits(visited[there, lo:hi], axis=1))
 
+    return run
 
-def _all_rows(queries, k: int) -> Callable:
-    """The best k of each batch for the calibration queries."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        probes = received(queries)
+def _in_blocks(function: Callable, x: np.ndarray) -> np.ndarray:
+    """``function`` of the rows of ``x`` in double precision, for some of them at once."""
+    step = max(1, UNIT_BLOCK // x.shape[1])
+    return np.concatenate([function(x[i : i + step].astype(np.float64)) for i in range(0, len(x), step)])
+
+
+def distinct(x: np.ndarray, bins: np.ndarray, vec_id: np.ndarray, row: np.ndarray, k: int) -> np.ndarray:
+    """Places of the rows by bin, of equal vectors in a bin the first k + 1 only: the others are never among the best k."""
+    words = np.ascontiguousarray(x).view(np.uint32)
+    odd = np.random.default_rng(1).integers(0, 2**63, words.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    key = np.einsum("ij,j->i", words, odd)
+    order = np.lexsort((row, vec_id, key, bins))
+    again = (bins[order][1:] == bins[order][:-1]) & (key[order][1:] == key[order][:-1])
+    step = max(1, UNIT_BLOCK // words.shape[1])
+    same = np.flatnonzero(again)
+    for i in range(0, len(same), step):
+        at = same[i : i + step]
+        again[at] = (words[order[at]] == words[order[at + 1]]).all(axis=1)
+    number = np.arange(len(order))
+    start = np.maximum.accumulate(np.where(np.concatenate([[False], again]), 0, number))
+    return order[number - start <= k]
+
+
+class Block:
+    """Rows of one vector length, by bin, for which queries find the best."""
+
+    def __init__(self, x: np.ndarray, bins: np.ndarray, vec_id: np.ndarray, row: np.ndarray, k: int):
+        kept = distinct(x, bins, vec_id, row, k)
+        self.k, self.x, self.vec_id, self.row, self.kept = k, x[kept], vec_id[kept], row[kept], kept
+        self.unit = _in_blocks(lambda y: unit(y).astype(np.float32), self.x)
+        bins = bins[kept]
+        starts = np.searchsorted(bins, np.arange(bins[-1] + 2))
+        pieces = [np.arange(lo, hi, PIECE) for lo, hi in zip(starts[:-1], starts[1:], strict=True)]
+        self.pieces = np.concatenate([*pieces, [len(kept)]])  # where each begins; none holds rows of two bins
+        self.bins = np.searchsorted(self.pieces, starts)  # the first piece of each bin
+        # twice what a product of two such vectors may be off by
+        self.margin = np.float32((x.shape[1] + 4) * 2.0**-23)
+        self.room = np.empty(0, np.float32)
+
+    def highest(self, queries: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """The largest product of each query with the rows of each piece from ``lo`` to ``hi``."""
+        start, end = self.pieces[lo], self.pieces[hi]
+        n = len(queries) * (end - start)
+        if len(self.room) < n:
+            self.room = np.empty(n, np.float32)
+        near = np.matmul(self.unit[start:end], queries.T, out=self.room[:n].reshape(-1, len(queries)))
+        whole = (end - start) // PIECE
+        out = near[: whole * PIECE].reshape(whole, PIECE, len(queries)).max(axis=1)
+        return out if whole == hi - lo else np.concatenate([out, near[None, whole * PIECE :].max(axis=1)])
+
+    def best(self, x: np.ndarray, row: np.ndarray, visited: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, place and score of the best k rows for each query in the bins it visits.
+
+        A query's k + 1 best pieces hold as many rows, itself perhaps among them, so none of its
+        best k is below the least of their largest products. Few pieces have rows above that.
+        """
+        queries = unit(x.astype(np.float64)).astype(np.float32)
+        top = np.full((len(self.pieces) - 1, len(x)), -np.inf, np.float32)
+        for b in range(min(len(self.bins) - 1, visited.shape[1])):
+            lo, hi = self.bins[b : b + 2].tolist()
+            asking = np.flatnonzero(visited[:, b]) if lo < hi else ()
+            for a in range(0, len(asking), TILE):
+                some = asking[a : a + TILE]
+                for c in range(lo, hi, PIECES):
+                    d = min(c + PIECES, hi)
+                    top[c:d, some] = self.highest(queries[some], c, d)
+        cut = np.full(len(x), -np.inf, np.float32)
+        if len(top) > self.k:
+            cut = np.partition(top.T, len(top) - self.k - 1, axis=1)[:, len(top) - self.k - 1] - self.margin
+        piece, query = np.nonzero((top >= cut) & ~np.isneginf(top))
+        found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        new, held = [], 0
+        change = np.flatnonzero(np.diff(piece, prepend=-1)).tolist()
+        for lo, hi in zip(change, [*change[1:], len(piece)], strict=True):
+            start, end = self.pieces[piece[lo] : piece[lo] + 2].tolist()
+            asking = query[lo:hi]
+            near = queries[asking] @ self.unit[start:end].T
+            i, j = np.divmod(np.flatnonzero(near >= cut[asking, None]), end - start)
+            new.append((asking[i], j + start))
+            held += len(i)
+            if held > UNIT_BLOCK:
+                found, new, held = self.better(x, row, found, new), [], 0
+        return self.better(x, row, found, new)
+
+    def better(self, x, row, found, new) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        i, j = (np.concatenate([pair[a] for pair in new] or [found[0][:0]]) for a in (0, 1))
+        other = row[i] != self.row[j]
+        i, j = i[other], j[other]
+        step = max(1, UNIT_BLOCK // x.shape[1])
+        score = [
+            cosines(x[i[a : a + step]].astype(np.float64), self.x[j[a : a + step]].astype(np.float64))
+            for a in range(0, len(i), step)
+        ]
+        i, j, score = (np.concatenate([a, *b]) for a, b in zip(found, ([i], [j], score), strict=True))
+        order = np.lexsort((self.row[j], self.vec_id[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        number = np.arange(len(i))
+        start = np.maximum.accumulate(np.where(np.concatenate([[True], i[1:] != i[:-1]]), number, 0)) if len(i) else number
+        best = number - start < self.k
+        return i[best], j[best], score[best]
+
+
+FOUND = "query long, query_id long, vec_id long, row long, score double"
+
+
+def _found(query, query_id, block: Block, i, j, score, **more) -> pa.RecordBatch:
+    columns = {"query": query[i], "query_id": query_id[i], "vec_id": block.vec_id[j], "row": block.row[j], "score": score}
+    return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in (columns | more).items()})
+
+
+def _all_rows(trees, queries, k: int) -> Callable:
+    """The best k of each batch for the calibration queries, with their leaves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, probes = received(trees), received(queries)
         for batch in batches:
-            for dim, rows in _by_dim(batch):
+            vec_id, row = batch["vec_id"].to_numpy(), batch["row"].to_numpy()
+            for dim, rows, x in _by_dim(batch["embedding"]):
                 same = probes[probes.embedding.map(len) == dim]
                 if len(same):
-                    yield best_of_block(same, batch.iloc[rows], k)
+                    block = Block(x, np.zeros(len(x), np.int64), vec_id[rows], row[rows], k)
+                    ids = same.row.to_numpy()
+                    i, j, score = block.best(matrix(same.embedding), ids, np.ones((len(same), 1), bool))
+                    leaf = _leaf_of(own, dim, block.x[j])
+                    yield _found(ids, same.vec_id.to_numpy(), block, i, j, score, leaf=leaf)
 
     return run
 
 
 def _search(k: int) -> Callable:
-    def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or rows.empty:
-            return pd.DataFrame({c.split()[0]: [] for c in FOUND.split(", ")})
-        return best_of_block(queries, rows, k)
+    """The best k rows of each part for each of its queries; rows come before queries."""
+
+    def block_of(held: list[pa.RecordBatch]) -> Block:
+        table = pa.Table.from_batches(held).combine_chunks()
+        [(_, _, x)] = _by_dim(table["embedding"].chunk(0))
+        return Block(x, *(table[c].to_numpy() for c in ("bin", "vec_id", "row")), k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, block = None, [], None
+        for batch in batches:
+            part, kind = batch["part"].to_numpy(), batch["kind"].to_numpy()
+            change = np.flatnonzero((part[1:] != part[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for lo, hi in zip([0, *change.tolist()], [*change.tolist(), len(part)], strict=True):
+                if lo == hi:
+                    continue
+                if part[lo] != current:
+                    current, held, block = part[lo], [], None
+                if kind[lo] == 0:
+                    held.append(batch.slice(lo, hi - lo))
+                    continue
+                if held:
+                    block, held = block_of(held), []
+                for a in range(lo, hi, QUERY_BLOCK) if block else ():
+                    asked = batch.slice(a, min(QUERY_BLOCK, hi - a))
+                    [(_, _, x)] = _by_dim(asked["embedding"])
+                    bits = np.frombuffer(b"".join(asked["bits"].to_pylist()), np.uint8).reshape(len(x), -1)
+                    query = asked["row"].to_numpy()
+                    i, j, score = block.best(x, query, np.unpackbits(bits, axis=1).astype(bool))
+                    yield _found(query, asked["vec_id"].to_numpy(), block, i, j, score)
 
     return run
 
@@ -274,54 +534,37 @@ def nearest(
     """
     spark = rows.sparkSession
     no_id = F.lit(NO_ID)
-    valid = doubles(rows.where(usable())).select(
+    some = rows.where(usable())
+    kind = "float" if isinstance(rows.schema["embedding"].dataType.elementType, FloatType) else "double"
+    valid = (some if kind == "float" else doubles(some)).select(
         F.coalesce(F.expr(f"vec_id is not null and ({is_query})"), F.lit(False)).alias("asks"),
         F.coalesce(F.col("vec_id").cast("long"), no_id).alias("vec_id"),
         "embedding",
     )
     valid = saved(valid.withColumn("row", F.monotonically_increasing_id()), "vectors")
     trees = fit(first_by_hash(valid.select("row", "embedding"), sample))
-    shared_trees = sent(spark, trees)
-    columns = "asks boolean, vec_id long, embedding array<double>, row long, leaf long"
-    indexed = saved(valid.mapInPandas(_assign(shared_trees), columns), "indexed")
-    dim = F.size("embedding").alias("dim")
-    counts = indexed.groupBy(dim, "leaf").agg(F.count("*").alias("n")).toPandas()  # nodes of the trees
-    sizes = {int(d): dict(zip(g.leaf.tolist(), g.n.tolist(), strict=True)) for d, g in counts.groupby("dim")}
-    asking = indexed.where("asks").drop("asks", "leaf")
+    shared = sent(spark, trees)
+    counts = valid.select("asks", "embedding").mapInArrow(_leaves(shared), LEAVES).groupBy("dim", "leaf")
+    counts = counts.agg(F.sum("n").alias("n"), F.sum("asking").alias("asking")).toPandas()  # nodes of the trees
+    asking = valid.where("asks").drop("asks")
     probes = first_by_hash(asking, CALIBRATION)
-    truth = _ranked(
-        indexed.mapInPandas(_all_rows(sent(spark, probes), k), FOUND), k
-    )
-    least = calibrate(trees, truth.toPandas(), probes, recall)
-    bins = {d: bins_of(own, ROW_BLOCK) for d, own in sizes.items()}
-    visits = asking.mapInPandas(
-        _visits(shared_trees, least, sent(spark, sizes), sent(spark, bins), k + 1),
-        "vec_id long, embedding array<double>, row long, bins array<long>",
-    )
-    visits = saved(visits.withColumn("dim", dim), "visits")
-    key = ["dim", "bin"]
-    # one row for each leaf of the trees, which the sample bounds
-    leaves = [(d, leaf, b) for d, own in bins.items() for leaf, b in own.items()]
-    placed = indexed.withColumn("dim", dim).join(
-        F.broadcast(spark.createDataFrame(leaves, "dim int, leaf long, bin long")), ["dim", "leaf"]
-    )
-    visited = visits.withColumn("bin", F.explode("bins"))
-    blocks = lambda n, of: F.ceil(F.col(n) / of).cast("int")
-    layout = (
-        visited.groupBy(*key).agg(F.count("*").alias("q"))
-        .join(placed.groupBy(*key).agg(F.count("*").alias("r")), key)
-        .select(*key, blocks("q", QUERY_BLOCK).alias("q_blocks"), blocks("r", ROW_BLOCK).alias("r_blocks"))
-    )
-    own = lambda n: F.expr(f"cast(pmod(xxhash64(row), {n}) as int)")
-    every = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
-    asked = visited.join(layout, key).withColumn("q_block", own("q_blocks")).withColumn("r_block", every("r_blocks"))
-    held = placed.join(layout, key).withColumn("r_block", own("r_blocks")).withColumn("q_block", every("q_blocks"))
-    key += ["q_block", "r_block"]
-    found = (
-        asked.select(*key, "vec_id", "embedding", "row").groupBy(*key)
-        .cogroup(held.select(*key, "vec_id", "embedding", "row", "leaf").groupBy(*key))
-        .applyInPandas(_search(k), FOUND)
-    )
+    truth = valid.mapInArrow(_all_rows(shared, sent(spark, probes), k), f"{FOUND}, leaf long")
+    least = calibrate(trees, _ranked(truth, k).toPandas(), probes, recall)
+    layouts, number, tasks = {}, 0, 4 * spark.sparkContext.defaultParallelism
+    for dim, own in counts.groupby("dim"):
+        queries = int(own.asking.sum())
+        if queries:
+            most = max(ROW_BLOCK, min(queries, -(-int(own.n.sum()) // tasks)))
+            sizes = dict(zip(own.leaf.tolist(), own.n.tolist(), strict=True))
+            layouts[int(dim)] = layout_of(sizes, least.get(int(dim), 1), max(1, min(PART // max(int(dim), 64), most)), number)
+            number = layouts[int(dim)].spans[-1][0] + 1
+    columns = f"part long, kind int, bin int, bits binary, vec_id long, row long, embedding array<{kind}>"
+    vector = pa.list_(pa.float32() if kind == "float" else pa.float64())
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), vector]
+    schema = pa.schema([(c.split()[0], t) for c, t in zip(columns.split(", "), types, strict=True)])
+    placed = valid.mapInArrow(_placed(shared, sent(spark, layouts), k, schema), columns)
+    # more tasks than parts, as parts are dealt by their hash
+    found = placed.repartition(3 * max(number, 1), "part").sortWithinPartitions("part", "kind").mapInArrow(_search(k), FOUND)
     return _ranked(found, k).select(
         "query_id",
         "rank",

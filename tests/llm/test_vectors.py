@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -251,6 +252,85 @@ def test_first_by_hash_takes_the_same_rows_as_a_sort(spark):
     assert kmeans_tree.first_by_hash(same.where("row is null"), 30).empty
 
 
+def tree_of(rng, n, dim):
+    points = rng.normal(size=(n, dim))
+    return kmeans_tree.fit(pd.DataFrame({"embedding": points.tolist()}))[dim]
+
+
+def test_visited_leaves_are_the_first_of_the_walk():
+    rng = np.random.default_rng(14)
+    for n, dim in ((3000, 8), (400, 3), (30, 5)):
+        tree = tree_of(rng, n, dim)
+        leaves = tree.leaves()
+        centres, ways = tree.paths()
+        x = kmeans_tree.unit(rng.normal(size=(40, dim)))
+        near = np.concatenate([x @ centres.T, np.full((40, 1), np.inf)], axis=1)[:, ways]
+        for least in {1, 2, 7, len(leaves) // 2, len(leaves) - 1, len(leaves), len(leaves) + 3} - {0}:
+            for q, visited in zip(x, kmeans_tree.first_in_walk(near, least), strict=True):
+                assert set(leaves[visited]) == set([*tree.walk(q)][:least])
+
+
+def test_every_visited_row_is_compared_and_nothing_else():
+    """Copies, near copies, the query itself, scales from 1e-30 to 1e30, bins of any size and none."""
+    rng = np.random.default_rng(15)
+    for dtype, dim in ((np.float32, 6), (np.float64, 3)):
+        x = rng.normal(size=(2500, dim)) * 10.0 ** rng.integers(-30, 30, (2500, 1))
+        x[300:900] = x[300]
+        x[900:1500] = x[300] * (1 + 1e-7 * rng.normal(size=(600, dim)))
+        x = x.astype(dtype)
+        bins = rng.choice([0, 1, 1, 1, 1, 1, 3, 4], 2500)
+        bins[np.flatnonzero(bins == 4)[3:]] = 1
+        vec_id, row = rng.integers(0, 2000, 2500), rng.permutation(2500)
+        block = kmeans_tree.Block(x, bins, vec_id, row, 5)
+        asking = rng.choice(2500, 200, replace=False)
+        visited = rng.random((200, 8)) < 0.5  # the bits of a byte
+        i, j, score = block.best(x[asking], row[asking], visited)
+        got = [list(zip(score[i == q], block.vec_id[j[i == q]], block.row[j[i == q]], strict=True)) for q in range(200)]
+        for q, at in enumerate(asking.tolist()):
+            there = np.flatnonzero(visited[q, bins] & (row != row[at]))
+            near = kmeans_tree.cosines(np.repeat(x[at : at + 1], len(there), 0).astype(float), x[there].astype(float))
+            order = np.lexsort((row[there], vec_id[there], -near))[:5]
+            assert got[q] == list(zip(near[order], vec_id[there][order], row[there][order], strict=True))
+
+
+def test_a_part_smaller_than_a_bin_changes_nothing(spark, folder, monkeypatch):
+    """Bins over several parts, a vector again and again, lengths that the sample holds and not."""
+    rows = rows_of(np.random.default_rng(16))
+    rows += [(50 * i, rng.tolist(), 1, "", 0) for i, rng in enumerate(np.random.default_rng(17).normal(size=(80, 5)), 100)]
+    table = stored(spark, rows, SCHEMA, folder)
+    columns = ["query_id", "rank", "vec_id", "score"]
+    found = []
+    for part in (kmeans_tree.PART, 64 * 37):
+        monkeypatch.setattr(kmeans_tree, "PART", part)
+        monkeypatch.setattr(kmeans_tree, "ROW_BLOCK", 256)
+        got = kmeans_tree.nearest(table, "vec_id % 50 = 0", sample=200).select(*columns)
+        found.append(sorted(map(tuple, got.collect()), key=str))
+    assert found[0] == found[1] and found[0]
+    asked = [i for i, r in enumerate(rows) if r[0] is not None and r[0] % 50 == 0 and usable(r[1])]
+    want = {}
+    for i in asked:
+        want.setdefault(rows[i][0], brute_nearest(rows, i))
+    assert {q for q, *_ in found[0]} == {q for q, best in want.items() if best}
+
+
+def test_rows_and_queries_are_shuffled_a_few_times_only(spark, folder):
+    """Each row goes to one part, and queries do not outweigh rows much."""
+    x = np.random.default_rng(18).normal(size=(20_000, 16))
+    path = f"{folder}/table"
+    spark.createDataFrame(pd.DataFrame({"vec_id": range(20_000), "embedding": x.tolist()})).repartition(4).write.parquet(path)
+    got = kmeans_tree.nearest(spark.read.parquet(path), "vec_id % 2 = 0")
+    placed = []
+    todo = [got._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "MapInArrow":
+            placed.append(node)
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    sent = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, placed[-1])
+    assert 20_000 < sent.where("kind = 0").count() + sent.where("kind = 1").count() <= 20_000 + 10_000 * 14
+    assert sent.where("kind = 0").count() == 20_000
+
+
 def test_op1_query_against_brute_force(spark, sf_dir):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     links = brute_links(rows)
