@@ -15,8 +15,9 @@
   whole bins. For the search, neighbouring bins make up a part; a bin larger than a part is
   dealt to several. Each row goes to one part, each query once to every part in which it
   visits a bin, with a bit for each bin. A part holds as many rows as there are queries, so
-  queries sent outweigh rows only where a part's memory (``PART``) or the least number of
-  tasks limits it. A task holds one part's rows and lets the queries stream past.
+  queries sent outweigh rows only where a part's memory (``PART``) limits it, or up to
+  ``OUTWEIGH`` times for parts enough for all cores. A task holds one part's rows and lets
+  the queries stream past.
 * Blocks of queries and bins are compared in single precision; what may be among the best
   ``k`` within the rounding of that is compared again in double precision.
 
@@ -58,6 +59,7 @@ ITERATIONS = 8
 ROW_BLOCK, QUERY_BLOCK = 2048, 2048
 TILE, PIECES, PIECE = 512, 8, 256  # queries and pieces that are compared at once, rows of a piece
 PART = 2**24  # components of the rows that a task holds
+OUTWEIGH = 16
 UNIT_BLOCK = 2**20  # components that are scaled or compared in double precision at once
 NO_ID = 2**63 - 1  # sorts rows without vec_id last
 
@@ -270,7 +272,8 @@ def _bins_visited(tree: Tree | None, layout: Layout, x: np.ndarray, rows: int) -
     centres, ways = tree.paths()
     at = np.searchsorted(tree.leaves(), layout.leaves)
     for lo in range(0, len(x), 64):
-        near = np.concatenate([x[lo : lo + 64] @ centres.T, np.full((len(x[lo : lo + 64]), 1), np.inf)], axis=1)[:, ways]
+        some = x[lo : lo + 64]
+        near = np.concatenate([some @ centres.T, np.full((len(some), 1), np.inf)], axis=1)[:, ways]
         n = layout.least
         left = np.arange(len(near))
         while len(left):  # nearly always once
@@ -298,7 +301,8 @@ def _placed(trees, layouts, k: int, schema: pa.Schema) -> Callable:
                 pa.nulls(n, pa.binary()) if bits is None else pa.array([b.tobytes() for b in bits], pa.binary()),
                 *(some[c] for c in ("vec_id", "row", "embedding")),
             ]
-            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            columns = [c.cast(f.type) for c, f in zip(columns, schema, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
 
         for batch in batches:
             asks = batch["asks"].to_numpy(zero_copy_only=False)
@@ -324,16 +328,10 @@ def _placed(trees, layouts, k: int, schema: pa.Schema) -> Callable:
     return run
 
 
-def _in_blocks(function: Callable, x: np.ndarray) -> np.ndarray:
-    """``function`` of the rows of ``x`` in double precision, for some of them at once."""
-    step = max(1, UNIT_BLOCK // x.shape[1])
-    return np.concatenate([function(x[i : i + step].astype(np.float64)) for i in range(0, len(x), step)])
-
-
 def distinct(x: np.ndarray, bins: np.ndarray, vec_id: np.ndarray, row: np.ndarray, k: int) -> np.ndarray:
-    """Places of the rows by bin, of equal vectors in a bin the first k + 1 only: the others are never among the best k."""
+    """Places of the rows by bin; of equal vectors in a bin the first k + 1, as no other is ever among the best k."""
     words = np.ascontiguousarray(x).view(np.uint32)
-    odd = np.random.default_rng(1).integers(0, 2**63, words.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    odd = np.random.default_rng(1).integers(0, 2**63, words.shape[1], dtype=np.uint64) | np.uint64(1)
     key = np.einsum("ij,j->i", words, odd)
     order = np.lexsort((row, vec_id, key, bins))
     again = (bins[order][1:] == bins[order][:-1]) & (key[order][1:] == key[order][:-1])
@@ -348,16 +346,22 @@ def distinct(x: np.ndarray, bins: np.ndarray, vec_id: np.ndarray, row: np.ndarra
 
 
 class Block:
-    """Rows of one vector length, by bin, for which queries find the best."""
+    """Rows of one vector length, for which queries find the best."""
 
-    def __init__(self, x: np.ndarray, bins: np.ndarray, vec_id: np.ndarray, row: np.ndarray, k: int):
+    def __init__(self, held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], k: int):
+        """``held``: vectors, bins, vec_ids and row numbers, some at a time; empty afterwards, as memory counts."""
+        x, bins, vec_id, row = (np.concatenate([some[c] for some in held]) for c in range(4))
+        held.clear()
         kept = distinct(x, bins, vec_id, row, k)
-        self.k, self.x, self.vec_id, self.row, self.kept = k, x[kept], vec_id[kept], row[kept], kept
-        self.unit = _in_blocks(lambda y: unit(y).astype(np.float32), self.x)
-        bins = bins[kept]
+        x, bins = x[kept], bins[kept]
+        self.k, self.x, self.vec_id, self.row = k, x, vec_id[kept], row[kept]
+        self.unit = np.empty(x.shape, np.float32)
+        step = max(1, UNIT_BLOCK // x.shape[1])
+        for i in range(0, len(x), step):
+            self.unit[i : i + step] = unit(x[i : i + step].astype(np.float64))
         starts = np.searchsorted(bins, np.arange(bins[-1] + 2))
         pieces = [np.arange(lo, hi, PIECE) for lo, hi in zip(starts[:-1], starts[1:], strict=True)]
-        self.pieces = np.concatenate([*pieces, [len(kept)]])  # where each begins; none holds rows of two bins
+        self.pieces = np.concatenate([*pieces, [len(x)]])  # where each begins; none holds rows of two bins
         self.bins = np.searchsorted(self.pieces, starts)  # the first piece of each bin
         # twice what a product of two such vectors may be off by
         self.margin = np.float32((x.shape[1] + 4) * 2.0**-23)
@@ -409,6 +413,7 @@ class Block:
         return self.better(x, row, found, new)
 
     def better(self, x, row, found, new) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best k rows for each query among those found and new ones, which have no score yet."""
         i, j = (np.concatenate([pair[a] for pair in new] or [found[0][:0]]) for a in (0, 1))
         other = row[i] != self.row[j]
         i, j = i[other], j[other]
@@ -421,8 +426,7 @@ class Block:
         order = np.lexsort((self.row[j], self.vec_id[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         number = np.arange(len(i))
-        start = np.maximum.accumulate(np.where(np.concatenate([[True], i[1:] != i[:-1]]), number, 0)) if len(i) else number
-        best = number - start < self.k
+        best = number - np.searchsorted(i, i) < self.k
         return i[best], j[best], score[best]
 
 
@@ -444,7 +448,7 @@ def _all_rows(trees, queries, k: int) -> Callable:
             for dim, rows, x in _by_dim(batch["embedding"]):
                 same = probes[probes.embedding.map(len) == dim]
                 if len(same):
-                    block = Block(x, np.zeros(len(x), np.int64), vec_id[rows], row[rows], k)
+                    block = Block([(x, np.zeros(len(x), np.int64), vec_id[rows], row[rows])], k)
                     ids = same.row.to_numpy()
                     i, j, score = block.best(matrix(same.embedding), ids, np.ones((len(same), 1), bool))
                     leaf = _leaf_of(own, dim, block.x[j])
@@ -456,11 +460,6 @@ def _all_rows(trees, queries, k: int) -> Callable:
 def _search(k: int) -> Callable:
     """The best k rows of each part for each of its queries; rows come before queries."""
 
-    def block_of(held: list[pa.RecordBatch]) -> Block:
-        table = pa.Table.from_batches(held).combine_chunks()
-        [(_, _, x)] = _by_dim(table["embedding"].chunk(0))
-        return Block(x, *(table[c].to_numpy() for c in ("bin", "vec_id", "row")), k)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held, block = None, [], None
         for batch in batches:
@@ -472,10 +471,12 @@ def _search(k: int) -> Callable:
                 if part[lo] != current:
                     current, held, block = part[lo], [], None
                 if kind[lo] == 0:
-                    held.append(batch.slice(lo, hi - lo))
+                    some = batch.slice(lo, hi - lo)
+                    [(_, _, x)] = _by_dim(some["embedding"])
+                    held.append((x, *(some[c].to_numpy() for c in ("bin", "vec_id", "row"))))
                     continue
                 if held:
-                    block, held = block_of(held), []
+                    block = Block(held, k)
                 for a in range(lo, hi, QUERY_BLOCK) if block else ():
                     asked = batch.slice(a, min(QUERY_BLOCK, hi - a))
                     [(_, _, x)] = _by_dim(asked["embedding"])
@@ -554,9 +555,10 @@ def nearest(
     for dim, own in counts.groupby("dim"):
         queries = int(own.asking.sum())
         if queries:
-            most = max(ROW_BLOCK, min(queries, -(-int(own.n.sum()) // tasks)))
+            part_rows = max(ROW_BLOCK, queries // OUTWEIGH, min(queries, -(-int(own.n.sum()) // tasks)))
+            part_rows = max(1, min(part_rows, PART // max(int(dim), 64)))
             sizes = dict(zip(own.leaf.tolist(), own.n.tolist(), strict=True))
-            layouts[int(dim)] = layout_of(sizes, least.get(int(dim), 1), max(1, min(PART // max(int(dim), 64), most)), number)
+            layouts[int(dim)] = layout_of(sizes, least.get(int(dim), 1), part_rows, number)
             number = layouts[int(dim)].spans[-1][0] + 1
     columns = f"part long, kind int, bin int, bits binary, vec_id long, row long, embedding array<{kind}>"
     vector = pa.list_(pa.float32() if kind == "float" else pa.float64())
@@ -564,7 +566,8 @@ def nearest(
     schema = pa.schema([(c.split()[0], t) for c, t in zip(columns.split(", "), types, strict=True)])
     placed = valid.mapInArrow(_placed(shared, sent(spark, layouts), k, schema), columns)
     # more tasks than parts, as parts are dealt by their hash
-    found = placed.repartition(3 * max(number, 1), "part").sortWithinPartitions("part", "kind").mapInArrow(_search(k), FOUND)
+    dealt = placed.repartition(3 * max(number, 1), "part").sortWithinPartitions("part", "kind")
+    found = dealt.mapInArrow(_search(k), FOUND)
     return _ranked(found, k).select(
         "query_id",
         "rank",

@@ -281,7 +281,7 @@ def test_every_visited_row_is_compared_and_nothing_else():
         bins = rng.choice([0, 1, 1, 1, 1, 1, 3, 4], 2500)
         bins[np.flatnonzero(bins == 4)[3:]] = 1
         vec_id, row = rng.integers(0, 2000, 2500), rng.permutation(2500)
-        block = kmeans_tree.Block(x, bins, vec_id, row, 5)
+        block = kmeans_tree.Block([tuple(c[at] for c in (x, bins, vec_id, row)) for at in (slice(900), slice(900, None))], 5)
         asking = rng.choice(2500, 200, replace=False)
         visited = rng.random((200, 8)) < 0.5  # the bits of a byte
         i, j, score = block.best(x[asking], row[asking], visited)
